@@ -1,5 +1,31 @@
-"""Registered queries."""
+"""Streaming queries over the test tables (events as a file stream)."""
 
 from __future__ import annotations
 
-from .catalog import register  # noqa: F401
+from pyspark.sql import functions as F
+
+from ..operators.topn import fold_changelog
+from ..sources.tables import table
+from ..streaming.histogram import HOUR_MS, rolling_histogram
+from ..streaming.runner import run_available, stream_table_files
+from .catalog import register
+
+
+def _events_stream(spark, sf_dir):
+    schema = table(spark, sf_dir, "events").schema
+    return stream_table_files(spark, sf_dir, "events.parquet", schema)
+
+
+# After availableNow the watermark is the last event time (delay 0), and
+# every mention whose expiry ms + 1 h is at or before it has left the count.
+@register("rolling_stream_1h", """
+SELECT CAST(user_id AS VARCHAR) AS name,
+       CAST(count(*) FILTER (WHERE epoch_ms(ts) + 3600000 > (SELECT epoch_ms(max(ts)) FROM events))
+            AS BIGINT) AS "count"
+FROM events GROUP BY user_id
+""")
+def q_rolling_stream_1h(spark, sf_dir):
+    ev = _events_stream(spark, sf_dir)
+    mentions = ev.select(F.col("user_id").cast("string").alias("name"), "ts")
+    changes = run_available(rolling_histogram(mentions, HOUR_MS), "rolling-stream")
+    return fold_changelog(changes, keep_zero=True).select("name", "count")
