@@ -10,25 +10,17 @@ hot name to one task. Instead the count is a running sum of ±1 deltas
 
 1. deltas are pre-aggregated per (name, time) with a map-side combine, so
    one (name, time) holding a large share of rows becomes one row;
-2. the (name, time) rows are range-partitioned, so a hot name is split over
-   many partitions in time order, and each partition computes local running
-   sums in one pass (``mapInPandas`` over the sorted partition, O(1) memory);
-3. a name can only continue from earlier partitions at the start of a
-   partition, so the carry-in offsets come from the first/last name of each
-   partition: at most 2·P rows, which is what gets broadcast.
-
-The running sums are written once to the shared checkpoint folder and read
-back, so rows and partition totals come from the same execution.
+2. the running sum per name in time order is :func:`prefix.running_sum`:
+   range-partitioned, partition-local sums plus ≤ 2·P carry-in offsets, so a
+   hot name is spread over many tasks.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.timefns import micros_of, ntz_from_micros
+from .prefix import running_sum
 
 HOUR_US = 3_600_000_000
 
@@ -42,68 +34,14 @@ def _horizon_us(horizon) -> int:
     raise TypeError("horizon: microseconds (int) or datetime.timedelta")
 
 
-def _local_running_sum(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One range partition, rows sorted by (name, t).
-
-    Emits each row with its running sum of ``net`` within the partition
-    (``edge`` = False) and, at the end, the partition totals of its first
-    and last name (``edge`` = True): the only names that can continue
-    from or into a neighbouring partition.
-    """
-    pid = None
-    first_name, first_tot = None, 0
-    carry_name, carry = None, 0
-    for pdf in batches:
-        if pdf.empty:
-            continue
-        pid = int(pdf["pid"].iloc[0])
-        cum = pdf.groupby("name", sort=False)["net"].cumsum()
-        if carry_name is not None:
-            cum = cum + (pdf["name"] == carry_name).to_numpy() * carry
-        out = pdf.assign(cum=cum.astype("int64"), edge=False)
-        if first_name is None:
-            first_name = out["name"].iloc[0]
-        is_first = (out["name"] == first_name).to_numpy()
-        if is_first.any():
-            first_tot = int(out["cum"].to_numpy()[is_first][-1])
-        carry_name, carry = out["name"].iloc[-1], int(out["cum"].iloc[-1])
-        yield out[["pid", "name", "t", "net", "cum", "edge"]]
-    if pid is None:
-        return
-    names, tots = [first_name], [first_tot]
-    if carry_name != first_name:
-        names.append(carry_name)
-        tots.append(carry)
-    yield pd.DataFrame({"pid": pid, "name": names, "t": None, "net": 0, "cum": tots, "edge": True}) \
-        .astype({"pid": "int32", "net": "int64", "cum": "int64", "t": "Int64"})
-
-
-_LOCAL_SCHEMA = T.StructType([
-    T.StructField("pid", T.IntegerType()),
-    T.StructField("name", T.StringType()),
-    T.StructField("t", T.LongType()),
-    T.StructField("net", T.LongType()),
-    T.StructField("cum", T.LongType()),
-    T.StructField("edge", T.BooleanType()),
-])
-
-
 def prefix_counts(mentions: DataFrame, horizon, name_col: str = "name", ts_col: str = "ts",
                   partitions: int | None = None) -> DataFrame:
     """Every (name, t) where a delta occurs: ``name, t (µs), net, count``.
 
-    ``count`` is the number of mentions of ``name`` in (t − h, t].
-
-    Runs one job eagerly: the range-partitioned running sums are written once
-    to the shared checkpoint folder (``spark.checkpoint.dir``), and both the
-    row table and the ≤ 2·P edge totals are read from that written table, so
-    they agree by construction (a range partitioner's sampled bounds are not
-    stable across re-executions) and lineage is cut.
+    ``count`` is the number of mentions of ``name`` in (t − h, t]. Deltas are
+    pre-aggregated per (name, t) (map-side), then summed in time order by the
+    skew-safe :func:`~trendlens.operators.prefix.running_sum` (one eager job).
     """
-    from pyspark.sql import Window
-
-    from ..session import scratch_path
-
     h = _horizon_us(horizon)
     us = micros_of(mentions, ts_col)
     deltas = (mentions.select(F.col(name_col).alias("name"), us.alias("t0"))
@@ -113,28 +51,7 @@ def prefix_counts(mentions: DataFrame, horizon, name_col: str = "name", ts_col:
               )).alias("x"))
               .groupBy("name", F.col("x.t").alias("t"))
               .agg(F.sum("x.d").alias("net")))
-    spark = mentions.sparkSession
-    p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    local = (deltas.repartitionByRange(p, "name", "t")
-             .withColumn("pid", F.spark_partition_id())
-             .sortWithinPartitions("name", "t")
-             .select("pid", "name", "t", "net")
-             .mapInPandas(_local_running_sum, _LOCAL_SCHEMA))
-    path = scratch_path(spark, "rolling-prefix")
-    local.write.partitionBy("edge").parquet(path)
-    body = _LOCAL_SCHEMA["pid"], _LOCAL_SCHEMA["name"], _LOCAL_SCHEMA["t"], \
-        _LOCAL_SCHEMA["net"], _LOCAL_SCHEMA["cum"]
-    schema = T.StructType(list(body))
-    edges = spark.read.schema(schema).parquet(f"{path}/edge=true")
-    rows = spark.read.schema(schema).parquet(f"{path}/edge=false")
-
-    w = Window.partitionBy("name").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (edges.select("pid", "name", F.sum("cum").over(w).alias("offset"))
-               .filter(F.col("offset").isNotNull()))
-    # offsets has at most one row per partition (its first name): broadcast.
-    return (rows.join(F.broadcast(offsets), ["pid", "name"], "left")
-            .select("name", "t", "net",
-                    (F.col("cum") + F.coalesce(F.col("offset"), F.lit(0))).alias("count")))
+    return running_sum(deltas, "name", "t", "net", "count", partitions)
 
 
 def rolling_changelog(mentions: DataFrame, horizon, name_col: str = "name", ts_col: str = "ts",

@@ -20,7 +20,7 @@ def timeline_grid(results: DataFrame, k: int = 10) -> DataFrame:
     count desc, topic). The positions come from ``getItem`` on the already
     sorted list, so no pivot shuffle is needed.
     """
-    return results.select("data", *[F.col("result").getItem(i)["topic"].alias(f"p{i}") for i in range(k)])
+    return results.select("data", *[F.get(F.col("result"), i)["topic"].alias(f"p{i}") for i in range(k)])
 
 
 def sorted_histogram(hist: DataFrame, by: str = "count", ascending: bool = False,
