@@ -67,3 +67,13 @@ def spread_event_time(lines: DataFrame, segment_col: str, line_col: str, start_u
     step = F.floor(F.lit(ms) / F.col("n"))
     event_us = F.col(start_us_col) + (F.col("pos") - 1) * step * 1000
     return out.withColumn("event_ts", ntz_from_micros(event_us)).drop("pos", "n")
+
+
+def segment_window(spark, now_us: int, window: int = 60, minutes: int = SEGMENT_MINUTES) -> DataFrame:
+    """Names of the segments in the last ``window`` minutes, one interval
+    behind ``now`` (60 minutes at 12:07 → 11:00, 11:15, 11:30, 11:45)."""
+    step = minutes * 60_000_000
+    last = (now_us // step) * step - step
+    first = last + step - window * 60_000_000
+    return (spark.range(1).select(F.explode(F.sequence(F.lit(first), F.lit(last), F.lit(step))).alias("b"))
+            .select(segment_name(F.col("b")).alias("segment")))
