@@ -31,18 +31,20 @@ def clean_names(records: DataFrame, names_col: str = "AllNames", date_col: str |
 
 def clean_mentions(mentions: DataFrame, name_col: str = "name", record_col: str | None = "record_id",
                    per_record: str = "distinct", stop_substrings: Sequence[str] = NOISE_SUBSTRINGS,
-                   pattern: str = STRIP_PATTERN, trim: bool = False) -> DataFrame:
+                   pattern: str = STRIP_PATTERN, trim: bool = False,
+                   names_cleaned: bool = False) -> DataFrame:
     """Same rules as :func:`clean_names` on rows that are already one per mention.
 
+    ``names_cleaned=True`` skips the per-name rules (already applied with
+    :func:`clean_name_table`) and only applies the per-record rule.
+
     With ``per_record="distinct"`` a name counts once per record: a
     ``dropDuplicates`` on (record, name), which Spark runs as a partial
     (map-side) aggregate before the shuffle, so a record or name repeated
     many times is reduced where it is read.
     """
-    name = strip_chars(name_col, pattern)
-    if trim:
-        name = F.trim(name)
-    out = mentions.withColumn(name_col, name).filter(keep_name(name_col, stop_substrings))
+    out = mentions if names_cleaned else clean_name_table(mentions, name_col, stop_substrings,
+                                                           pattern, trim)
     if per_record == "distinct":
         if record_col is None:
             raise ValueError("per_record='distinct' needs record_col")
@@ -50,3 +52,13 @@ def clean_mentions(mentions: DataFrame, name_col: str = "name", record_col: str
     elif per_record != "mentions":
         raise ValueError("per_record must be 'distinct' or 'mentions'")
     return out
+
+
+def clean_name_table(df: DataFrame, name_col: str = "name",
+                     stop_substrings: Sequence[str] = NOISE_SUBSTRINGS,
+                     pattern: str = STRIP_PATTERN, trim: bool = False) -> DataFrame:
+    """Per-name rules on any table with a name column: strip, trim, drop blank/noise."""
+    name = strip_chars(name_col, pattern)
+    if trim:
+        name = F.trim(name)
+    return df.withColumn(name_col, name).filter(keep_name(name_col, stop_substrings))

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.clean import clean_mentions
+from ..operators.clean import clean_mentions, clean_name_table
 from ..operators.daily import daily_counts, daily_lists, result_json, to_result_schema, top_k_daily
 from ..sources.tables import order_mentions
 from .catalog import register
@@ -28,8 +28,11 @@ def _sql_counts(distinct: bool) -> str:
 
 
 def _names(spark: SparkSession, sf_dir: str, per_record: str = "distinct") -> DataFrame:
-    m = order_mentions(spark, sf_dir).select("record_id", F.col("DATE").alias("day"), "name")
-    return clean_mentions(m, per_record=per_record)
+    # Per-name rules run on the part table (once per part), the per-record
+    # rule (distinct names per order) on the mentions.
+    m = order_mentions(spark, sf_dir, lambda part: clean_name_table(part, "p_name"))
+    m = m.select("record_id", F.col("DATE").alias("day"), "name")
+    return clean_mentions(m, per_record=per_record, names_cleaned=True)
 
 
 def _flat_topk(ranked: DataFrame) -> DataFrame:

@@ -3,27 +3,37 @@ horizon, published as a changelog.
 
 ``rolling_histogram`` keys the mention stream by name and runs one
 ``StatefulProcessor`` per name (``transformWithStateInPandas``, RocksDB
-state, event-time timers):
-
-* state per name: ``count`` (value), ``times`` (map: event ms → how many
-  mentions at that ms, fork F15 needs no string packing), ``seq`` (value);
-* each distinct mention ms registers one timer at ms + horizon; when the
-  watermark passes it the mentions at that ms leave the count (O(expired),
-  never a scan of the store);
-* every change is emitted as ``name, count, ts, seq`` (``seq`` increases per
-  name, so "latest row wins" is well defined); a count that reaches 0 is
-  emitted once and the name's state is cleared (F14);
-* rows older than the watermark are dropped by Spark (F17).
-
-Additions of a micro-batch are applied before the expiries due in the same
-batch, so a count emitted mid-batch can include mentions whose timers fire
-later in that batch; the last row per name after the batch is exact.
+state, event-time timers). Every state access is a round trip to the state
+store, so the state is laid out to need few of them:
+
+* ``meta`` (value): live count, emitted-row sequence, the registered timer,
+  and a small index of chunks ``(id, first ms, last ms)``;
+* ``chunks`` (map: chunk id → sorted ms array, multiplicity array): the
+  mentions one micro-batch brought for the name, packed as int64 bytes.
+  Mentions are typed numbers, never packed into strings (fork F15).
+
+Per name and micro-batch that is one chunk write plus the meta update,
+whatever the number of mentions; a hot name's state is split into
+bounded chunks instead of one growing value. One event-time timer per name
+sits at its earliest pending expiry; when the watermark passes it, every
+mention whose ``ms + horizon`` is at or before the watermark leaves the
+count (O(expired), never a scan of the whole store).
+
+Each change is emitted as ``name, count, ts, seq`` (``seq`` increases per
+name, so "latest row wins" is well defined; ``ts`` is the mention time for
+an increase and the expiry time for a decrease). Before a batch's mentions
+are added, everything the current watermark has already expired is
+removed, so increases never include mentions that are already out of the
+horizon at the watermark. A count that reaches 0 is emitted once and the
+name's state is cleared (F14); rows older than the watermark are dropped by
+Spark (F17).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -41,6 +51,34 @@ OUTPUT_SCHEMA = T.StructType([
     T.StructField("seq", T.LongType()),
 ])
 
+_META = T.StructType([
+    T.StructField("count", T.LongType()),
+    T.StructField("seq", T.LongType()),
+    T.StructField("timer", T.LongType()),
+    T.StructField("next_chunk", T.LongType()),
+    T.StructField("index", T.BinaryType()),
+])
+_CHUNK_KEY = T.StructType([T.StructField("id", T.LongType())])
+_CHUNK = T.StructType([
+    T.StructField("ms", T.BinaryType()),
+    T.StructField("n", T.BinaryType()),
+])
+
+_I64 = np.dtype("<i8")
+
+
+def _arr(b) -> np.ndarray:
+    return np.frombuffer(bytes(b), dtype=_I64)
+
+
+class _Meta:
+    __slots__ = ("count", "seq", "timer", "next_chunk", "index")
+
+    def __init__(self, count=0, seq=0, timer=-1, next_chunk=0, index=None):
+        self.count, self.seq, self.timer, self.next_chunk = int(count), int(seq), int(timer), int(next_chunk)
+        # rows: chunk id, first ms, last ms
+        self.index = np.empty((0, 3), dtype=_I64) if index is None else index
+
 
 class RollingCountProcessor(StatefulProcessor):
     """Count of mentions of one name in (t − horizon, t]."""
@@ -50,66 +88,118 @@ class RollingCountProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.count = handle.getValueState("count", T.StructType([T.StructField("v", T.LongType())]))
-        self.seq = handle.getValueState("seq", T.StructType([T.StructField("v", T.LongType())]))
-        self.times = handle.getMapState(
-            "times",
-            T.StructType([T.StructField("ms", T.LongType())]),
-            T.StructType([T.StructField("n", T.LongType())]))
-
-    def _get(self, state) -> int:
-        return int(state.get()[0]) if state.exists() else 0
-
-    def _emit(self, name: str, counts: list[int], ms: list[int]) -> pd.DataFrame:
-        start = self._get(self.seq)
-        self.seq.update((start + len(counts),))
-        return pd.DataFrame({
-            "name": [name] * len(counts),
-            "count": pd.Series(counts, dtype="int64"),
-            "ts": pd.to_datetime(pd.Series(ms, dtype="int64"), unit="ms", utc=True),
-            "seq": pd.Series(range(start + 1, start + 1 + len(counts)), dtype="int64"),
+        self.meta = handle.getValueState("meta", _META)
+        self.chunks = handle.getMapState("chunks", _CHUNK_KEY, _CHUNK)
+
+    # -- state -----------------------------------------------------------
+    def _load(self) -> _Meta | None:
+        if not self.meta.exists():
+            return None
+        c, s, t, nxt, idx = self.meta.get()
+        return _Meta(c, s, t, nxt, _arr(idx).reshape(-1, 3).copy())
+
+    def _save(self, m: _Meta) -> None:
+        self.meta.update((m.count, m.seq, m.timer, m.next_chunk, m.index.astype(_I64).tobytes()))
+
+    # -- changes ---------------------------------------------------------
+    def _add(self, m: _Meta, ms: np.ndarray):
+        """One new chunk with the batch's mentions; running counts per distinct ms."""
+        u, n = np.unique(ms, return_counts=True)
+        n = n.astype(_I64)
+        cid = m.next_chunk
+        m.next_chunk += 1
+        self.chunks.updateValue((cid,), (u.astype(_I64).tobytes(), n.tobytes()))
+        m.index = np.vstack([m.index, np.array([[cid, u[0], u[-1]]], dtype=_I64)])
+        counts = m.count + np.cumsum(n)
+        m.count = int(counts[-1])
+        return u, counts
+
+    def _expire(self, m: _Meta, limit: int):
+        """Remove mentions with ms + horizon ≤ limit; counts per expiry time."""
+        h = self.horizon_ms
+        due = m.index[:, 1] + h <= limit
+        if not due.any():
+            return None
+        gone_ms, gone_n = [], []
+        for row in np.nonzero(due)[0]:
+            cid = int(m.index[row, 0])
+            v = self.chunks.getValue((cid,))
+            if v is None:
+                m.index[row, 0] = -1
+                continue
+            ms, n = _arr(v[0]), _arr(v[1])
+            cut = int(np.searchsorted(ms, limit - h, side="right"))
+            gone_ms.append(ms[:cut])
+            gone_n.append(n[:cut])
+            if cut == len(ms):
+                self.chunks.removeKey((cid,))
+                m.index[row, 0] = -1
+            else:
+                self.chunks.updateValue((cid,), (ms[cut:].tobytes(), n[cut:].tobytes()))
+                m.index[row, 1] = ms[cut]
+        m.index = m.index[m.index[:, 0] >= 0]
+        ms = np.concatenate(gone_ms) if gone_ms else np.empty(0, dtype=_I64)
+        if ms.size == 0:
+            return None
+        u, inv = np.unique(ms, return_inverse=True)
+        n = np.bincount(inv, weights=np.concatenate(gone_n)).astype(_I64)
+        counts = m.count - np.cumsum(n)
+        m.count = int(counts[-1])
+        return u + h, counts
+
+    def _reschedule(self, m: _Meta, fired: int | None = None) -> None:
+        want = int(m.index[:, 1].min()) + self.horizon_ms if len(m.index) else -1
+        if m.timer == want:
+            return
+        if m.timer >= 0 and m.timer != fired:
+            self.handle.deleteTimer(m.timer)
+        if want >= 0:
+            self.handle.registerTimer(want)
+        m.timer = want
+
+    def _finish(self, name: str, m: _Meta, parts) -> Iterator[pd.DataFrame]:
+        parts = [p for p in parts if p is not None]
+        if not parts:
+            self._save(m)
+            return
+        ts = np.concatenate([p[0] for p in parts])
+        counts = np.concatenate([p[1] for p in parts])
+        seq = m.seq + np.arange(1, len(ts) + 1, dtype=_I64)
+        m.seq = int(seq[-1])
+        if len(m.index) == 0:
+            # The name left the horizon: its 0 was emitted; forget it.
+            self.meta.clear()
+        else:
+            self._save(m)
+        yield pd.DataFrame({
+            "name": [name] * len(ts),
+            "count": counts.astype(_I64),
+            "ts": pd.to_datetime(ts.astype(_I64), unit="ms", utc=True),
+            "seq": seq,
         })
 
+    # -- callbacks -------------------------------------------------------
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        name = key[0]
-        ms = pd.concat([pdf["ms"] for pdf in rows], ignore_index=True)
-        if ms.empty:
+        ms = [pdf["ms"].to_numpy(dtype=_I64) for pdf in rows]
+        ms = np.concatenate(ms) if ms else np.empty(0, dtype=_I64)
+        if ms.size == 0:
             return
-        per_ms = ms.value_counts().sort_index()
-        count = self._get(self.count)
-        counts, stamps = [], []
-        for t, n in per_ms.items():
-            t, n = int(t), int(n)
-            old = self.times.getValue((t,))
-            if old is None:
-                self.handle.registerTimer(t + self.horizon_ms)
-                self.times.updateValue((t,), (n,))
-            else:
-                self.times.updateValue((t,), (int(old[0]) + n,))
-            count += n
-            counts.append(count)
-            stamps.append(t)
-        self.count.update((count,))
-        yield self._emit(name, counts, stamps)
+        m = self._load() or _Meta()
+        expired = self._expire(m, timerValues.getCurrentWatermarkInMs())
+        added = self._add(m, ms)
+        self._reschedule(m)
+        yield from self._finish(key[0], m, [expired, added])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        name = key[0]
-        expiry = expiredTimerInfo.getExpiryTimeInMs()
-        t = expiry - self.horizon_ms
-        entry = self.times.getValue((t,))
-        if entry is None:
+        m = self._load()
+        if m is None:
             return
-        self.times.removeKey((t,))
-        count = self._get(self.count) - int(entry[0])
-        out = self._emit(name, [count], [expiry])
-        if count <= 0:
-            # The name left the horizon: emit its 0 once, then forget it.
-            self.count.clear()
-            self.times.clear()
-            self.seq.clear()
-        else:
-            self.count.update((count,))
-        yield out
+        fired = expiredTimerInfo.getExpiryTimeInMs()
+        if m.timer == fired:
+            m.timer = -1
+        expired = self._expire(m, max(fired, timerValues.getCurrentWatermarkInMs()))
+        self._reschedule(m, fired)
+        yield from self._finish(key[0], m, [expired])
 
     def close(self) -> None:
         pass
