@@ -137,3 +137,23 @@ def test_stream_mentions_keeps_every_mention(spark):
     got = sorted(r["name"] for r in stream_mentions(recs).collect())
     # No per-record distinct (F1), no noise filter (F9), short records dropped.
     assert got == ["A", "A", "B", "Type ParentCategory"]
+
+
+def test_top_n_delta_messages(spark, tmp_path):
+    # Top-2 per batch; leavers get 0; a batch without change sends nothing.
+    from trendlens.streaming.topn import apply_messages, read_messages, read_top, top_n_stream
+    d = str(tmp_path / "in")
+    write_files(d, [[("a", 0), ("a", 10), ("b", 20)], [("c", 30), ("c", 40), ("c", 50)], [("x", 7200)]])
+    stream = stream_table_files(spark, d, "*.parquet", MENTION_SCHEMA, 1)
+    out = str(tmp_path / "out")
+    q = top_n_stream(rolling_histogram(stream, HOUR_MS), out, str(tmp_path / "ck"), n=2)
+    q.awaitTermination(300)
+    assert q.exception() is None
+    msgs = spark.read.text(f"{out}/messages").orderBy("batch").collect()
+    assert [(r["batch"], r["value"]) for r in msgs] == [
+        (0, '[{"name":"a","count":2},{"name":"b","count":1}]'),
+        (1, '[{"name":"b","count":0},{"name":"c","count":3}]'),
+        (3, '[{"name":"a","count":0},{"name":"c","count":0},{"name":"x","count":1}]'),
+    ]
+    assert [tuple(r) for r in read_top(spark, out).collect()] == [("x", 1)]
+    assert [tuple(r) for r in apply_messages(read_messages(spark, out)).collect()] == [("x", 1)]

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from ..operators.topn import fold_changelog
 from ..sources.tables import table
 from ..streaming.histogram import HOUR_MS, rolling_histogram
-from ..streaming.runner import run_available, stream_table_files
+from ..session import scratch_path
+from ..streaming.runner import await_done, run_available, stream_table_files
+from ..streaming.topn import apply_messages, read_messages, read_top, top_n_stream
 from .catalog import register
 
 
@@ -29,3 +31,35 @@ def q_rolling_stream_1h(spark, sf_dir):
     mentions = ev.select(F.col("user_id").cast("string").alias("name"), "ts")
     changes = run_available(rolling_histogram(mentions, HOUR_MS), "rolling-stream")
     return fold_changelog(changes, keep_zero=True).select("name", "count")
+
+
+def _run_top(spark, sf_dir, n: int = 100) -> str:
+    ev = _events_stream(spark, sf_dir)
+    mentions = ev.select(F.col("user_id").cast("string").alias("name"), "ts")
+    base = scratch_path(spark, "rolling-top")
+    q = top_n_stream(rolling_histogram(mentions, HOUR_MS), f"{base}/out", f"{base}/checkpoint", n)
+    await_done(q, "rolling-top")
+    return f"{base}/out"
+
+
+# The exact top-100 of the rolling histogram at the final watermark.
+_SQL_TOP_STREAM = """
+SELECT name, "count" FROM (
+  SELECT CAST(user_id AS VARCHAR) AS name,
+         CAST(count(*) FILTER (WHERE epoch_ms(ts) + 3600000 > (SELECT epoch_ms(max(ts)) FROM events))
+              AS BIGINT) AS "count"
+  FROM events GROUP BY user_id
+) h WHERE "count" > 0 ORDER BY "count" DESC, name LIMIT 100
+"""
+
+
+@register("rolling_top100_stream", _SQL_TOP_STREAM)
+def q_rolling_top100_stream(spark, sf_dir):
+    return read_top(spark, _run_top(spark, sf_dir)).select("name", "count")
+
+
+# Applying every delta message, in batch order, to an empty table gives the
+# last top-100 table.
+@register("rolling_top100_messages", _SQL_TOP_STREAM)
+def q_rolling_top100_messages(spark, sf_dir):
+    return apply_messages(read_messages(spark, _run_top(spark, sf_dir))).select("name", "count")

@@ -57,11 +57,15 @@ def run_available(stream: DataFrame, name: str, timeout_s: int = 600) -> DataFra
     """
     spark = stream.sparkSession
     base = scratch_path(spark, name)
-    q = write_batches(stream, f"{base}/out", f"{base}/checkpoint")
+    await_done(write_batches(stream, f"{base}/out", f"{base}/checkpoint"), name, timeout_s)
+    return spark.read.schema(stream.schema.add("batch", "long")).parquet(f"{base}/out")
+
+
+def await_done(q, name: str, timeout_s: int = 600) -> None:
+    """Wait for an ``availableNow`` query; stop it and raise on timeout or failure."""
     q.awaitTermination(timeout_s)
     if q.isActive:
         q.stop()
         raise TimeoutError(f"stream {name} did not finish in {timeout_s}s")
     if q.exception():
         raise q.exception()
-    return spark.read.schema(stream.schema.add("batch", "long")).parquet(f"{base}/out")
