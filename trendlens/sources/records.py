@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..functions.timefns import day_from_stamp
+from ..functions.timefns import SEGMENT_MINUTES, day_from_stamp, first_field, ltz_from_micros, stamp_micros
 from ..schemas import DATE_POS, NAMES_POS, RECORD_DATE_FORMAT, RECORD_SCHEMA, RESULT_SCHEMA
 
 
@@ -71,17 +71,75 @@ def _unzip_first_entry(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame
                                 "value": lines})
 
 
-def read_zipped_segments(spark: SparkSession, path_glob: str) -> DataFrame:
+_SEGMENT_LAYOUT = T.StructType(_SEGMENT_LINES.fields + [
+    T.StructField("n_lines", T.LongType()),
+    T.StructField("first_id", T.StringType()),
+])
+
+
+def _unzip_with_layout(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    # One frame per file: its line count and first record id are known here,
+    # so spreading needs no window (and works on streams).
+    for out in _unzip_first_entry(batches):
+        first = out["value"].iloc[0].split("\t", 1)[0] if len(out) else ""
+        yield out.assign(n_lines=pd.Series([len(out)] * len(out), dtype="int64"), first_id=first)
+
+
+def read_zipped_segments(spark: SparkSession, path_glob: str, layout: bool = False) -> DataFrame:
     """First entry of each zip file as lines ``path, line_no, value``.
 
     One zip per row (``binaryFile``), unzipped in Arrow batches by
     ``mapInPandas``; malformed UTF-8 bytes are dropped. ``line_no`` keeps
     the order inside a segment, which event-time spreading (W3) needs.
+    ``layout=True`` adds ``n_lines`` and ``first_id`` (the segment's first
+    record id) for :func:`segment_records`.
     """
     files = spark.read.format("binaryFile").load(path_glob).select("path", "content")
+    if layout:
+        return files.mapInPandas(_unzip_with_layout, _SEGMENT_LAYOUT)
     return files.mapInPandas(_unzip_first_entry, _SEGMENT_LINES)
 
 
+# Fixed schema of Spark's binaryFile source (a stream needs it stated).
+_BINARY_FILE = T.StructType([
+    T.StructField("path", T.StringType(), False),
+    T.StructField("modificationTime", T.TimestampType(), False),
+    T.StructField("length", T.LongType(), False),
+    T.StructField("content", T.BinaryType(), True),
+])
+
+
+def stream_segments(spark: SparkSession, directory: str, file_glob: str = "*.zip",
+                    max_files_per_trigger: int | None = 1) -> DataFrame:
+    """Zipped segments appearing in ``directory`` as a stream of lines.
+
+    The file source's checkpointed log reads each file once, never twice, in
+    arrival order; ``max_files_per_trigger`` paces the feed (one segment per
+    micro-batch by default). Columns as :func:`read_zipped_segments` with
+    ``layout=True``.
+    """
+    reader = (spark.readStream.format("binaryFile").schema(_BINARY_FILE)
+              .option("pathGlobFilter", file_glob).option("latestFirst", "false"))
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    return reader.load(directory).select("path", "content").mapInPandas(_unzip_with_layout,
+                                                                         _SEGMENT_LAYOUT)
+
+
+def segment_records(lines: DataFrame, minutes: int = SEGMENT_MINUTES) -> DataFrame:
+    """W3 + F-13 + F-15: segment lines → records ``key, value, timestamp``.
+
+    Line i of a segment of n lines gets start + i·⌊interval/n⌋ ms, where
+    start is the first 12 digits (``yyyyMMddHHmm``, UTC) of the segment's
+    first record id; the key is the line's own record id. Needs the
+    ``layout`` columns; batch or streaming.
+    """
+    step_ms = F.floor(F.lit(minutes * 60_000) / F.greatest(F.col("n_lines"), F.lit(1)))
+    us = stamp_micros(F.col("first_id")) + F.col("line_no") * step_ms * F.lit(1000)
+    return lines.select(first_field(F.col("value")).alias("key"), "value",
+                        ltz_from_micros(us).alias("timestamp"))
+
+
 # Fixed value: how a segment path appears in the published master index.
 SEGMENT_INDEX_PATTERN = r"/v2/gkg/([0-9]*)\.gkg\.csv"
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..schemas import RECORD_STREAM_SCHEMA
 from ..session import scratch_path
 
 
@@ -32,6 +33,42 @@ def stream_records_kafka(spark: SparkSession, servers: str, topic: str = "gdelt"
             .selectExpr("CAST(key AS STRING) AS key", "CAST(value AS STRING) AS value", "timestamp"))
 
 
+def stream_records(spark: SparkSession, path: str | None = None, servers: str | None = None,
+                   topic: str = "gdelt", starting_offsets: str = "earliest",
+                   max_files_per_trigger: int | None = None) -> DataFrame:
+    """The record stream ``key, value, timestamp``.
+
+    From a Kafka topic when ``servers`` is given, otherwise from the parquet
+    log that :func:`trendlens.sinks.writers.publish_records` appends to.
+    """
+    if servers:
+        return stream_records_kafka(spark, servers, topic, starting_offsets)
+    return stream_table_files(spark, path, "*.parquet", RECORD_STREAM_SCHEMA, max_files_per_trigger)
+
+
+def stream_histogram(spark: SparkSession, servers: str, topic: str = "gdelt-histogram") -> DataFrame:
+    """The histogram changelog from the latest offset (history skipped).
+
+    ``name`` is the message key, ``count`` the value. A fresh checkpoint
+    folder per start wipes the consumer's state (T10).
+    """
+    raw = stream_records_kafka(spark, servers, topic, "latest")
+    return raw.selectExpr("key AS name", "CAST(value AS BIGINT) AS count", "timestamp AS ts")
+
+
+def write_kafka(stream: DataFrame, servers: str, topic: str, checkpoint: str,
+                key_col: str = "name", value_col: str = "count", output_mode: str = "append"):
+    """K4: publish a changelog stream to a topic (key = name, value = count).
+
+    Needs the Kafka connector on the classpath (not installed here); the
+    file-based equivalent is :func:`write_batches`.
+    """
+    out = stream.selectExpr(f"CAST({key_col} AS STRING) AS key", f"CAST({value_col} AS STRING) AS value")
+    return (out.writeStream.format("kafka").option("kafka.bootstrap.servers", servers)
+            .option("topic", topic).option("checkpointLocation", checkpoint)
+            .outputMode(output_mode).start())
+
+
 def write_batches(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
                   query_name: str | None = None):
     """K4/K5: append each micro-batch to ``path/batch=<id>`` (idempotent).
