@@ -15,15 +15,23 @@ from pyspark.sql import DataFrame, functions as F
 
 def fold_changelog(changes: DataFrame, order_cols: Sequence[str] = ("batch", "seq"),
                    keep_zero: bool = False, name_col: str = "name",
-                   count_col: str = "count") -> DataFrame:
+                   count_col: str = "count", part_col: str = "salt") -> DataFrame:
     """Latest count per name; a 0 removes the name unless ``keep_zero``.
 
     ``order_cols`` say which row is latest (default: stream batch, then the
     per-name sequence). One aggregation with map-side ``max_by`` partials.
+    When the changelog has a ``part_col`` column (salted histogram), the rows
+    are partial counts: the latest of each (name, part) is taken, then the
+    parts are summed per name.
     """
     cols = [c for c in order_cols if c in changes.columns]
     key = F.struct(*[F.col(c) for c in cols]) if len(cols) > 1 else F.col(cols[0])
-    out = changes.groupBy(name_col).agg(F.max_by(F.col(count_col), key).alias(count_col))
+    latest = F.max_by(F.col(count_col), key)
+    if part_col in changes.columns:
+        parts = changes.groupBy(name_col, part_col).agg(latest.alias(count_col))
+        out = parts.groupBy(name_col).agg(F.sum(count_col).cast("bigint").alias(count_col))
+    else:
+        out = changes.groupBy(name_col).agg(latest.alias(count_col))
     return out if keep_zero else out.filter(F.col(count_col) != 0)
 
 

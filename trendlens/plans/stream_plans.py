@@ -12,6 +12,10 @@ from ..streaming.runner import await_done, run_available, stream_table_files
 from ..streaming.topn import apply_messages, read_messages, read_top, top_n_stream
 from .catalog import register
 
+# State keys per name in the registered streaming queries: a hot name's
+# mentions are spread over this many keys (and tasks).
+SALTS = 4
+
 
 def _events_stream(spark, sf_dir):
     schema = table(spark, sf_dir, "events").schema
@@ -29,7 +33,7 @@ FROM events GROUP BY user_id
 def q_rolling_stream_1h(spark, sf_dir):
     ev = _events_stream(spark, sf_dir)
     mentions = ev.select(F.col("user_id").cast("string").alias("name"), "ts")
-    changes = run_available(rolling_histogram(mentions, HOUR_MS), "rolling-stream")
+    changes = run_available(rolling_histogram(mentions, HOUR_MS, salts=SALTS), "rolling-stream")
     return fold_changelog(changes, keep_zero=True).select("name", "count")
 
 
@@ -37,7 +41,7 @@ def _run_top(spark, sf_dir, n: int = 100) -> str:
     ev = _events_stream(spark, sf_dir)
     mentions = ev.select(F.col("user_id").cast("string").alias("name"), "ts")
     base = scratch_path(spark, "rolling-top")
-    q = top_n_stream(rolling_histogram(mentions, HOUR_MS), f"{base}/out", f"{base}/checkpoint", n)
+    q = top_n_stream(rolling_histogram(mentions, HOUR_MS, salts=SALTS), f"{base}/out", f"{base}/checkpoint", n)
     await_done(q, "rolling-top")
     return f"{base}/out"
 

@@ -46,6 +46,7 @@ HOUR_MS = 3_600_000
 
 OUTPUT_SCHEMA = T.StructType([
     T.StructField("name", T.StringType()),
+    T.StructField("salt", T.IntegerType()),
     T.StructField("count", T.LongType()),
     T.StructField("ts", T.TimestampType()),
     T.StructField("seq", T.LongType()),
@@ -157,7 +158,7 @@ class RollingCountProcessor(StatefulProcessor):
             self.handle.registerTimer(want)
         m.timer = want
 
-    def _finish(self, name: str, m: _Meta, parts) -> Iterator[pd.DataFrame]:
+    def _finish(self, key, m: _Meta, parts) -> Iterator[pd.DataFrame]:
         parts = [p for p in parts if p is not None]
         if not parts:
             self._save(m)
@@ -172,7 +173,8 @@ class RollingCountProcessor(StatefulProcessor):
         else:
             self._save(m)
         yield pd.DataFrame({
-            "name": [name] * len(ts),
+            "name": [key[0]] * len(ts),
+            "salt": pd.Series([key[1]] * len(ts), dtype="int32"),
             "count": counts.astype(_I64),
             "ts": pd.to_datetime(ts.astype(_I64), unit="ms", utc=True),
             "seq": seq,
@@ -188,7 +190,7 @@ class RollingCountProcessor(StatefulProcessor):
         expired = self._expire(m, timerValues.getCurrentWatermarkInMs())
         added = self._add(m, ms)
         self._reschedule(m)
-        yield from self._finish(key[0], m, [expired, added])
+        yield from self._finish(key, m, [expired, added])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         m = self._load()
@@ -199,7 +201,7 @@ class RollingCountProcessor(StatefulProcessor):
             m.timer = -1
         expired = self._expire(m, max(fired, timerValues.getCurrentWatermarkInMs()))
         self._reschedule(m, fired)
-        yield from self._finish(key[0], m, [expired])
+        yield from self._finish(key, m, [expired])
 
     def close(self) -> None:
         pass
@@ -222,17 +224,30 @@ def stream_mentions(records: DataFrame, value_col: str = "value", ts_col: str =
 
 
 def rolling_histogram(mentions: DataFrame, horizon_ms: int = HOUR_MS, watermark: str = "0 seconds",
-                      name_col: str = "name", ts_col: str = "ts") -> DataFrame:
-    """Changelog ``name, count, ts, seq`` of the per-name rolling count.
+                      name_col: str = "name", ts_col: str = "ts", salts: int = 1) -> DataFrame:
+    """Changelog ``name, salt, count, ts, seq`` of the per-name rolling count.
 
     ``mentions`` may be streaming or batch; ``ts`` of any timestamp type
-    (converted to an instant through UTC epoch values). One shuffle by name.
+    (converted to an instant through UTC epoch values). One shuffle by the
+    state key.
+
+    Hot names: with ``salts = S > 1`` the state key is (name, salt), salt =
+    hash(name, ms) mod S, so one name's mentions are spread over S state
+    keys (and tasks); equal (name, ms) mentions stay together and collapse
+    into one multiplicity entry. Each row's ``count`` is then the partial
+    count of its (name, salt); :func:`trendlens.operators.topn.fold_changelog`
+    and the top-N consumer sum the latest partial of every salt. With S = 1
+    (``salt`` = 0) every row carries the name's total.
     """
     ev = as_event_time(mentions, ts_col)
     src = (mentions.select(F.col(name_col).alias("name"), ev.alias("event_time"))
            .withWatermark("event_time", watermark)
            .withColumn("ms", F.unix_millis("event_time")))
-    return (src.groupBy("name").transformWithStateInPandas(
+    if salts > 1:
+        salt = F.pmod(F.xxhash64(F.col("name"), F.col("ms")), F.lit(int(salts))).cast("int")
+    else:
+        salt = F.lit(0)
+    return (src.withColumn("salt", salt).groupBy("name", "salt").transformWithStateInPandas(
         statefulProcessor=RollingCountProcessor(horizon_ms),
         outputStructType=OUTPUT_SCHEMA,
         outputMode="Append",

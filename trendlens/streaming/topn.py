@@ -1,13 +1,14 @@
 """Top-N consumer of the histogram changelog.
 
 ``top_n_stream`` attaches a ``foreachBatch`` sink to a changelog stream
-(``name, count, ts, seq``). For every micro-batch it
+(``name, salt, count, ts, seq``). For every micro-batch it
 
-1. folds the batch to the latest count per name (A9, one aggregation);
+1. folds the batch to the latest count per (name, salt) (A9, one aggregation);
 2. merges that into the current histogram: the previous version minus the
-   changed names, plus the changed names whose count is not 0 — written as a
+   changed keys, plus the changed keys whose count is not 0 — written as a
    new version ``hist/batch=<id>`` under the output folder;
-3. takes the exact top ``n`` of the new version and of the previous one and
+3. sums the salts per name, takes the exact top ``n`` of the new version and
+   of the previous one and
    writes their difference as one JSON message ``[{"name", "count"}, …]``
    (leavers carry 0) to ``messages/batch=<id>``, and the new top table to
    ``top/batch=<id>``.
@@ -27,7 +28,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from ..operators.shape import delta_message
 from ..operators.topn import fold_changelog, top_n, top_n_delta
 
+# Histogram versions hold one partial count per (name, salt) of the
+# changelog; top tables and messages hold totals per name.
 HIST_SCHEMA = T.StructType([
+    T.StructField("name", T.StringType()),
+    T.StructField("salt", T.IntegerType()),
+    T.StructField("count", T.LongType()),
+])
+TOP_SCHEMA = T.StructType([
     T.StructField("name", T.StringType()),
     T.StructField("count", T.LongType()),
 ])
@@ -60,10 +68,15 @@ def _drop_before(spark: SparkSession, base: str, keep_from: int) -> None:
 
 
 def merge_changes(hist: DataFrame, changes: DataFrame) -> DataFrame:
-    """New histogram: ``hist`` with the latest count of each changed name (0 removes)."""
-    latest = fold_changelog(changes, order_cols=("seq",), keep_zero=True)
-    kept = hist.join(latest.select("name"), "name", "left_anti")
-    return kept.unionByName(latest.filter(F.col("count") != 0).select("name", "count"))
+    """New histogram: ``hist`` with the latest count of each changed (name, salt); 0 removes."""
+    latest = changes.groupBy("name", "salt").agg(F.max_by("count", "seq").alias("count"))
+    kept = hist.join(latest.select("name", "salt"), ["name", "salt"], "left_anti")
+    return kept.unionByName(latest.filter(F.col("count") != 0).select("name", "salt", "count"))
+
+
+def totals(hist: DataFrame) -> DataFrame:
+    """Count per name: the sum of its salts' partial counts."""
+    return hist.groupBy("name").agg(F.sum("count").cast("bigint").alias("count"))
 
 
 def top_n_sink(path: str, n: int = 100):
@@ -78,9 +91,9 @@ def top_n_sink(path: str, n: int = 100):
             prev = spark.createDataFrame([], HIST_SCHEMA)
         merge_changes(prev, changes).write.mode("overwrite").parquet(f"{hist_base}/batch={batch_id}")
         cur = spark.read.schema(HIST_SCHEMA).parquet(f"{hist_base}/batch={batch_id}")
-        top = top_n(cur, n)
+        top = top_n(totals(cur), n)
         top.write.mode("overwrite").parquet(f"{path}/top/batch={batch_id}")
-        delta = top_n_delta(top_n(prev, n), spark.read.schema(HIST_SCHEMA).parquet(
+        delta = top_n_delta(top_n(totals(prev), n), spark.read.schema(TOP_SCHEMA).parquet(
             f"{path}/top/batch={batch_id}"))
         delta_message(delta).write.mode("overwrite").text(f"{path}/messages/batch={batch_id}")
         _drop_before(spark, hist_base, batch_id)
@@ -104,13 +117,13 @@ def read_top(spark: SparkSession, path: str) -> DataFrame:
     """The top table of the newest batch (``name, count``)."""
     versions = _versions(spark, f"{path}/top")
     if not versions:
-        return spark.createDataFrame([], HIST_SCHEMA)
-    return spark.read.schema(HIST_SCHEMA).parquet(f"{path}/top/batch={versions[-1]}")
+        return spark.createDataFrame([], TOP_SCHEMA)
+    return spark.read.schema(TOP_SCHEMA).parquet(f"{path}/top/batch={versions[-1]}")
 
 
 def read_messages(spark: SparkSession, path: str) -> DataFrame:
     """Every delta message as rows ``batch, name, count`` (F-19)."""
-    item = T.ArrayType(HIST_SCHEMA)
+    item = T.ArrayType(TOP_SCHEMA)
     msgs = spark.read.text(f"{path}/messages").withColumn("batch", F.col("batch").cast("long"))
     return msgs.select("batch", F.explode(F.from_json("value", item)).alias("m")).select(
         "batch", F.col("m.name").alias("name"), F.col("m.count").alias("count"))
