@@ -1,10 +1,9 @@
-"""Result shaping for display and messages (A7, W6, O3, K6, K7, F-19, F-21)."""
+"""Result shaping for display and messages (A7, W6, O3, K6, K7, F-21)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..schemas import RESULT_SCHEMA
 
 
 def extent(df: DataFrame, count_col: str = "count", date_col: str = "data") -> DataFrame:
@@ -44,11 +43,6 @@ def delta_message(changes: DataFrame, name_col: str = "name", count_col: str = "
     return changes.agg(F.to_json(items).alias("message")).filter(F.col("message") != "[]")
 
 
-def read_daily(spark, path: str) -> DataFrame:
-    """S12/F-19: read daily JSON lines back as ``data date, result list``."""
-    return spark.read.schema(RESULT_SCHEMA).json(path)
-
-
 def daily_text(results: DataFrame) -> DataFrame:
     """K2/F-21: ``(yyyy-MM-dd,List((topic,count), …))`` per day, like tuple text."""
     pairs = F.transform("result", lambda s: F.format_string("(%s,%d)", s["topic"], s["count"]))

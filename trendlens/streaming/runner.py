@@ -22,7 +22,7 @@ def stream_table_files(spark: SparkSession, directory: str, file_glob: str, sche
     return reader.parquet(directory)
 
 
-def stream_records_kafka(spark: SparkSession, servers: str, topic: str = "gdelt",
+def stream_records_kafka(spark: SparkSession, servers: str, topic: str = "records",
                          starting_offsets: str = "earliest") -> DataFrame:
     """S10/S11 with a Kafka broker: ``key, value, timestamp`` as strings.
 
@@ -34,7 +34,7 @@ def stream_records_kafka(spark: SparkSession, servers: str, topic: str = "gdelt"
 
 
 def stream_records(spark: SparkSession, path: str | None = None, servers: str | None = None,
-                   topic: str = "gdelt", starting_offsets: str = "earliest",
+                   topic: str = "records", starting_offsets: str = "earliest",
                    max_files_per_trigger: int | None = None) -> DataFrame:
     """The record stream ``key, value, timestamp``.
 
@@ -46,7 +46,7 @@ def stream_records(spark: SparkSession, path: str | None = None, servers: str |
     return stream_table_files(spark, path, "*.parquet", RECORD_STREAM_SCHEMA, max_files_per_trigger)
 
 
-def stream_histogram(spark: SparkSession, servers: str, topic: str = "gdelt-histogram") -> DataFrame:
+def stream_histogram(spark: SparkSession, servers: str, topic: str = "histogram") -> DataFrame:
     """The histogram changelog from the latest offset (history skipped).
 
     ``name`` is the message key, ``count`` the value. A fresh checkpoint
