@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.timefns import as_event_time
+from ..operators.rolling import sliding_counts
 from ..operators.topn import fold_changelog
 from ..sources.tables import table
 from ..streaming.histogram import HOUR_MS, rolling_histogram
@@ -67,3 +69,24 @@ def q_rolling_top100_stream(spark, sf_dir):
 @register("rolling_top100_messages", _SQL_TOP_STREAM)
 def q_rolling_top100_messages(spark, sf_dir):
     return apply_messages(read_messages(spark, _run_top(spark, sf_dir))).select("name", "count")
+
+
+# The windowed approximation as a stream: 1-hour windows sliding by 15
+# minutes, watermark at the last event time; append mode emits each window
+# once the watermark reaches its end.
+@register("sliding_stream_1h", """
+WITH e AS (SELECT event_type AS name,
+                  CAST(floor(epoch_us(ts) / 900000000) AS BIGINT) * 900000000 AS bucket FROM events),
+c AS (
+  SELECT make_timestamp(bucket - k * 900000000) AS window_start, name, count(*) AS "count"
+  FROM e, (SELECT unnest(generate_series(0, 3)) AS k) s
+  GROUP BY 1, 2
+)
+SELECT * FROM c WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events)
+""")
+def q_sliding_stream_1h(spark, sf_dir):
+    ev = _events_stream(spark, sf_dir)
+    m = (ev.select(F.col("event_type").alias("name"), as_event_time(ev, "ts").alias("ts"))
+         .withWatermark("ts", "0 seconds"))
+    out = run_available(sliding_counts(m, "1 hour", "15 minutes"), "sliding-stream")
+    return out.select(F.col("window.start").cast("timestamp_ntz").alias("window_start"), "name", "count")

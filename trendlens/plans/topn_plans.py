@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators.daily import daily_counts, daily_lists, to_result_schema, top_k_daily
 from ..operators.rolling import HOUR_US, rolling_changelog
 from ..operators.shape import extent, sorted_histogram, timeline_grid
-from ..operators.topn import candidate_top_n, fold_changelog, fold_increments, top_n, top_n_delta
+from ..operators.topn import candidate_top_n, fold_changelog, fold_increments, lowest, top_n, top_n_delta
 from ..sources.tables import event_mentions, table
 from .catalog import register
 from .daily_plans import _names, _sql_counts
@@ -34,6 +34,14 @@ def q_top100_candidates(spark, sf_dir):
     return candidate_top_n(_user_totals(spark, sf_dir), 100, 1000)
 
 
+@register("lowest_user", """
+SELECT CAST(user_id AS VARCHAR) AS name, count(*) AS "count" FROM events
+GROUP BY user_id ORDER BY "count" ASC, name ASC LIMIT 1
+""")
+def q_lowest_user(spark, sf_dir):
+    return lowest(_user_totals(spark, sf_dir))
+
+
 @register("histogram_sorted", """
 SELECT CAST(user_id AS VARCHAR) AS name, count(*) AS "count" FROM events GROUP BY user_id
 """)
