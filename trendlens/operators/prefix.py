@@ -63,6 +63,24 @@ def _local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield edge[["pid", "g", "o", "v", "cum", "edge"]]
 
 
+def _partition_count(df: DataFrame) -> int:
+    """Range partitions for ``df``: enough for the advisory size per partition.
+
+    AQE can coalesce small range partitions but cannot split large ones, so
+    the count is sized up front from Catalyst's size estimate (no job), and
+    is never below ``spark.sql.shuffle.partitions``.
+    """
+    spark = df.sparkSession
+    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    target = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
+    target_bytes = int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(target))
+    try:
+        est = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - estimate unavailable: keep the default
+        return base
+    return max(base, min(-(-est // max(target_bytes, 1)), 1_000_000))
+
+
 def running_sum(df: DataFrame, group_col: str, order_col: str, value_col: str,
                 out_col: str = "running", partitions: int | None = None) -> DataFrame:
     """Rows ``group_col, order_col, value_col, out_col`` (one per input row).
@@ -80,7 +98,7 @@ def running_sum(df: DataFrame, group_col: str, order_col: str, value_col: str,
         T.StructField("cum", T.LongType()),
         T.StructField("edge", T.BooleanType()),
     ])
-    p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    p = partitions or _partition_count(df)
     local = (df.select(F.col(group_col).alias("g"), F.col(order_col).alias("o"),
                        F.col(value_col).cast("bigint").alias("v"))
              .repartitionByRange(p, "g", "o")
