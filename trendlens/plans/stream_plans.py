@@ -8,9 +8,11 @@ from ..functions.timefns import as_event_time
 from ..operators.rolling import sliding_counts
 from ..operators.topn import fold_changelog
 from ..sources.tables import table
-from ..streaming.histogram import HOUR_MS, rolling_histogram
+from ..sinks.writers import publish_records
+from ..sources.tables import event_records
+from ..streaming.histogram import HOUR_MS, rolling_histogram, stream_mentions
 from ..session import scratch_path
-from ..streaming.runner import await_done, run_available, stream_table_files
+from ..streaming.runner import await_done, run_available, stream_records, stream_table_files
 from ..streaming.topn import apply_messages, read_messages, read_top, top_n_stream
 from .catalog import register
 
@@ -90,3 +92,24 @@ def q_sliding_stream_1h(spark, sf_dir):
          .withWatermark("ts", "0 seconds"))
     out = run_available(sliding_counts(m, "1 hour", "15 minutes"), "sliding-stream")
     return out.select(F.col("window.start").cast("timestamp_ntz").alias("window_start"), "name", "count")
+
+
+# The whole record path: events as record lines → published log (K5) →
+# record stream (S10) → mentions (T1: every mention, no noise filter) →
+# salted rolling histogram → latest count per name at the final watermark.
+@register("rolling_records_stream_1h", """
+WITH m AS (
+  SELECT 'user ' || translate(CAST(user_id AS VARCHAR), '0123456789', 'abcdefghij') AS name, ts FROM events
+  UNION ALL
+  SELECT event_type AS name, ts FROM events
+)
+SELECT name, CAST(count(*) FILTER (WHERE epoch_ms(ts) + 3600000 > (SELECT epoch_ms(max(ts)) FROM events))
+                  AS BIGINT) AS "count"
+FROM m GROUP BY name
+""")
+def q_rolling_records_stream_1h(spark, sf_dir):
+    log = scratch_path(spark, "record-log")
+    publish_records(event_records(spark, sf_dir), log)
+    mentions = stream_mentions(stream_records(spark, log))
+    changes = run_available(rolling_histogram(mentions, HOUR_MS, salts=SALTS), "records-stream")
+    return fold_changelog(changes, keep_zero=True).select("name", "count")

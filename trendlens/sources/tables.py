@@ -16,6 +16,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.timefns import as_event_time
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -60,3 +62,21 @@ def event_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     return ev.select(F.col("event_type").alias("sensorname"), F.col("ts").alias("timestamp"),
                      F.col("value").alias("numA"), F.col("event_id").alias("numC"))
+
+
+def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Record-stream rows ``key, value, timestamp`` from ``events``, one per event.
+
+    ``value`` is a 27-field tab-separated record line: id, date stamp, and
+    the name list ``user <letters>,<offset>;<event type>,<offset>``. User ids
+    are spelled with letters (digit d → the d-th letter from ``a``), because
+    the cleaning rules strip digits from names.
+    """
+    ev = table(spark, sf_dir, "events")
+    user = F.concat(F.lit("user "), F.translate(F.col("user_id").cast("string"), "0123456789", "abcdefghij"))
+    names = F.concat_ws(";", F.concat_ws(",", user, F.lit("0")),
+                        F.concat_ws(",", F.col("event_type"), F.lit("1")))
+    fields = ([F.col("event_id").cast("string"), F.date_format("ts", "yyyyMMddHHmmss")]
+              + [F.lit("")] * 21 + [names] + [F.lit("")] * 3)
+    return ev.select(F.col("event_id").cast("string").alias("key"), F.concat_ws("\t", *fields).alias("value"),
+                     as_event_time(ev, "ts").alias("timestamp"))
