@@ -5,9 +5,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.clean import clean_mentions, clean_name_table
+from ..operators.clean import clean_mentions, clean_name_table, clean_names
 from ..operators.daily import daily_counts, daily_lists, result_json, to_result_schema, top_k_daily
-from ..sources.tables import order_mentions
+from ..session import scratch_path
+from ..sources.records import read_records, read_records_text
+from ..sources.tables import event_records, order_mentions
 from .catalog import register
 
 
@@ -95,3 +97,44 @@ def q_topk_daily_json(spark, sf_dir):
     ranked = top_k_daily(daily_counts(_names(spark, sf_dir), "day"), 10, "rank", "day")
     res = to_result_schema(daily_lists(ranked, "day"), "day").orderBy("data")
     return result_json(res, keep=("data",))
+
+
+# The record path in batch: events as 27-field record lines, written as text
+# by Spark, read back by the CSV reader (S1) or as raw lines (S2), cleaned
+# inside each row (strip, split, drop blank/noise, distinct per record).
+_SQL_RECORDS_JSON = """
+WITH m AS (
+  SELECT CAST(ts AS DATE) AS day,
+         'user ' || translate(CAST(user_id AS VARCHAR), '0123456789', 'abcdefghij') AS name FROM events
+  UNION ALL
+  SELECT CAST(ts AS DATE) AS day, event_type AS name FROM events
+), c AS (SELECT day, name, count(*) AS cnt FROM m GROUP BY day, name),
+r AS (SELECT day, name, cnt FROM c QUALIFY rank() OVER (PARTITION BY day ORDER BY cnt DESC) <= 10)
+SELECT day AS data,
+       CAST(to_json(struct_pack(data := day,
+            result := list(struct_pack(topic := name, count := cnt) ORDER BY cnt DESC, name))) AS VARCHAR)
+         AS value
+FROM r GROUP BY day
+"""
+
+
+def _record_lines(spark, sf_dir) -> str:
+    path = scratch_path(spark, "record-lines")
+    event_records(spark, sf_dir).select("value").write.text(path)
+    return path
+
+
+def _records_json(records):
+    names = clean_names(records)
+    ranked = top_k_daily(daily_counts(names), 10, "rank")
+    return result_json(to_result_schema(daily_lists(ranked)).orderBy("data"), keep=("data",))
+
+
+@register("topk_daily_records", _SQL_RECORDS_JSON)
+def q_topk_daily_records(spark, sf_dir):
+    return _records_json(read_records(spark, _record_lines(spark, sf_dir)))
+
+
+@register("topk_daily_records_text", _SQL_RECORDS_JSON)
+def q_topk_daily_records_text(spark, sf_dir):
+    return _records_json(read_records_text(spark, _record_lines(spark, sf_dir)))
