@@ -5,6 +5,7 @@ import os
 import random
 
 import pandas as pd
+import pytest
 from conftest import record_line
 from pyspark.sql import functions as F
 
@@ -31,9 +32,11 @@ def write_files(directory, batches):
         os.utime(path, (1_700_000_000 + 10 * i, 1_700_000_000 + 10 * i))
 
 
-def histogram_of(spark, directory, horizon_ms=HOUR_MS, per_trigger=1, salts=1):
+def histogram_of(spark, directory, horizon_ms=HOUR_MS, per_trigger=1, salts=1, inline_max=4096,
+                 hot=None):
     stream = stream_table_files(spark, directory, "*.parquet", MENTION_SCHEMA, per_trigger)
-    return run_available(rolling_histogram(stream, horizon_ms, salts=salts), "test-hist")
+    return run_available(rolling_histogram(stream, horizon_ms, salts=salts, hot=hot,
+                                           inline_max=inline_max), "test-hist")
 
 
 def sequences(changes):
@@ -49,8 +52,9 @@ def test_golden_single_batch(spark, tmp_path):
     d = str(tmp_path / "in")
     write_files(d, [[("a", 0), ("b", 0), ("a", 1), ("a", 1800), ("c", 3600.5), ("a", 3600.4),
                      ("c", 7200), ("c", 14400)]])
-    seq = sequences(histogram_of(spark, d))
-    assert seq == {"a": [1, 2, 3, 4, 3, 2, 1, 0], "b": [1, 0], "c": [1, 2, 3, 2, 1]}
+    for inline_max in (4096, 1):
+        seq = sequences(histogram_of(spark, d, inline_max=inline_max))
+        assert seq == {"a": [1, 2, 3, 4, 3, 2, 1, 0], "b": [1, 0], "c": [1, 2, 3, 2, 1]}
 
 
 def test_expired_before_added_across_batches(spark, tmp_path):
@@ -58,7 +62,7 @@ def test_expired_before_added_across_batches(spark, tmp_path):
     # first, so the addition is emitted with the count of (45m, 1h45m].
     d = str(tmp_path / "in")
     write_files(d, [[("a", 0)], [("a", 1800)], [("b", 5400)], [("a", 6300)]])
-    ch = histogram_of(spark, d)
+    ch = histogram_of(spark, d, inline_max=1)
     assert sequences(ch) == {"a": [1, 2, 1, 0, 1], "b": [1]}
     exp = ch.filter(F.col("name") == "a").orderBy("batch", "seq").select("ts").collect()
     assert [r[0].replace(tzinfo=None) - T0.replace(tzinfo=None) for r in exp] == [
@@ -75,7 +79,9 @@ def brute_final(rows, horizon_s, watermark_s):
     return live
 
 
-def test_stream_equals_batch_on_many_files(spark, tmp_path):
+@pytest.mark.parametrize("inline_max", [4096, 3])
+def test_stream_equals_batch_on_many_files(spark, tmp_path, inline_max):
+    # inline_max=3 sends most batches' mentions to chunks (the busy-key layout).
     rnd = random.Random(7)
     names = ["n0", "n1", "n2", "hot"]
     rows = sorted(((rnd.choice(names + ["hot"] * 4), rnd.randrange(0, 4 * 3600)) for _ in range(400)),
@@ -83,7 +89,7 @@ def test_stream_equals_batch_on_many_files(spark, tmp_path):
     batches = [rows[i:i + 50] for i in range(0, len(rows), 50)]
     d = str(tmp_path / "in")
     write_files(d, batches)
-    ch = histogram_of(spark, d, horizon_ms=600_000, per_trigger=2)
+    ch = histogram_of(spark, d, horizon_ms=600_000, per_trigger=2, inline_max=inline_max)
     final = {r["name"]: r["count"] for r in fold_changelog(ch, keep_zero=True).collect()}
     assert final == brute_final(rows, 600, max(s for _, s in rows))
     assert ch.filter(F.col("count") < 0).count() == 0
@@ -97,10 +103,19 @@ def test_salted_hot_name_sums_to_the_same_counts(spark, tmp_path):
                    for _ in range(300)), key=lambda r: r[1])
     d = str(tmp_path / "in")
     write_files(d, [rows[i:i + 100] for i in range(0, len(rows), 100)])
+    expected = brute_final(rows, 900, max(s for _, s in rows))
     ch = histogram_of(spark, d, horizon_ms=900_000, salts=4)
     assert ch.filter(F.col("name") == "hot").select("salt").distinct().count() == 4
     final = {r["name"]: r["count"] for r in fold_changelog(ch, keep_zero=True).collect()}
-    assert final == brute_final(rows, 900, max(s for _, s in rows))
+    assert final == expected
+    # Only the listed hot names are spread; the others keep salt 0.
+    hot = spark.createDataFrame([("hot",)], "name string")
+    ch = histogram_of(spark, d, horizon_ms=900_000, salts=4, hot=hot)
+    salts = {(r["name"], r["salt"]) for r in ch.select("name", "salt").distinct().collect()}
+    assert {s for n, s in salts if n == "hot"} == {0, 1, 2, 3}
+    assert {s for n, s in salts if n != "hot"} == {0}
+    final = {r["name"]: r["count"] for r in fold_changelog(ch, keep_zero=True).collect()}
+    assert final == expected
 
 
 def test_late_rows_are_dropped(spark, tmp_path):

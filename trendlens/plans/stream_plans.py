@@ -16,9 +16,21 @@ from ..streaming.runner import await_done, run_available, stream_records, stream
 from ..streaming.topn import apply_messages, read_messages, read_top, top_n_stream
 from .catalog import register
 
-# State keys per name in the registered streaming queries: a hot name's
-# mentions are spread over this many keys (and tasks).
-SALTS = 4
+# Hot names in the registered streaming queries: the top HOT_NAMES names of
+# the table's histogram; each is spread over SALTS state keys (and tasks),
+# every other name keeps one key.
+SALTS = 16
+HOT_NAMES = 10
+
+
+def _hot(names):
+    """The most mentioned names (a table of at most HOT_NAMES rows)."""
+    from ..operators.topn import top_n
+    return top_n(names.groupBy("name").agg(F.count(F.lit(1)).alias("count")), HOT_NAMES)
+
+
+def _histogram(mentions, hot):
+    return rolling_histogram(mentions, HOUR_MS, salts=SALTS, hot=hot, max_hot=HOT_NAMES)
 
 
 def _events_stream(spark, sf_dir):
@@ -37,7 +49,8 @@ FROM events GROUP BY user_id
 def q_rolling_stream_1h(spark, sf_dir):
     ev = _events_stream(spark, sf_dir)
     mentions = ev.select(F.col("user_id").cast("string").alias("name"), "ts")
-    changes = run_available(rolling_histogram(mentions, HOUR_MS, salts=SALTS), "rolling-stream")
+    hot = _hot(table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("name")))
+    changes = run_available(_histogram(mentions, hot), "rolling-stream")
     return fold_changelog(changes, keep_zero=True).select("name", "count")
 
 
@@ -45,7 +58,8 @@ def _run_top(spark, sf_dir, n: int = 100) -> str:
     ev = _events_stream(spark, sf_dir)
     mentions = ev.select(F.col("user_id").cast("string").alias("name"), "ts")
     base = scratch_path(spark, "rolling-top")
-    q = top_n_stream(rolling_histogram(mentions, HOUR_MS, salts=SALTS), f"{base}/out", f"{base}/checkpoint", n)
+    hot = _hot(table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("name")))
+    q = top_n_stream(_histogram(mentions, hot), f"{base}/out", f"{base}/checkpoint", n)
     await_done(q, "rolling-top")
     return f"{base}/out"
 
@@ -111,5 +125,6 @@ def q_rolling_records_stream_1h(spark, sf_dir):
     log = scratch_path(spark, "record-log")
     publish_records(event_records(spark, sf_dir), log)
     mentions = stream_mentions(stream_records(spark, log))
-    changes = run_available(rolling_histogram(mentions, HOUR_MS, salts=SALTS), "records-stream")
+    hot = _hot(stream_mentions(spark.read.parquet(log)))
+    changes = run_available(_histogram(mentions, hot), "records-stream")
     return fold_changelog(changes, keep_zero=True).select("name", "count")

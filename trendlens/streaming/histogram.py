@@ -8,13 +8,15 @@ store, so the state is laid out to need few of them:
 
 * ``meta`` (value): live count, emitted-row sequence, the registered timer,
   and a small index of chunks ``(id, first ms, last ms)``;
-* ``chunks`` (map: chunk id → sorted ms array, multiplicity array): the
-  mentions one micro-batch brought for the name, packed as int64 bytes.
-  Mentions are typed numbers, never packed into strings (fork F15).
-
-Per name and micro-batch that is one chunk write plus the meta update,
-whatever the number of mentions; a hot name's state is split into
-bounded chunks instead of one growing value. One event-time timer per name
+* the live mentions themselves, as sorted ms and multiplicity arrays packed
+  as int64 bytes: inside ``meta`` while there are at most ``INLINE_MAX``
+  distinct ms, otherwise in ``chunks`` (map: chunk id → arrays), one chunk
+  per micro-batch. Mentions are typed numbers, never packed into strings
+  (fork F15).
+
+Per key and micro-batch that is one ``meta`` read and write (plus one chunk
+write for a busy key), whatever the number of mentions; a hot name's state
+is split into bounded chunks instead of one growing value. One event-time timer per name
 sits at its earliest pending expiry; when the watermark passes it, every
 mention whose ``ms + horizon`` is at or before the watermark leaves the
 count (O(expired), never a scan of the whole store).
@@ -58,6 +60,8 @@ _META = T.StructType([
     T.StructField("timer", T.LongType()),
     T.StructField("next_chunk", T.LongType()),
     T.StructField("index", T.BinaryType()),
+    T.StructField("inline_ms", T.BinaryType()),
+    T.StructField("inline_n", T.BinaryType()),
 ])
 _CHUNK_KEY = T.StructType([T.StructField("id", T.LongType())])
 _CHUNK = T.StructType([
@@ -66,26 +70,42 @@ _CHUNK = T.StructType([
 ])
 
 _I64 = np.dtype("<i8")
+# Live mentions kept inside ``meta`` while they are few (most names): one
+# state read and one write per key and batch. Beyond this many distinct ms
+# a batch's mentions go to their own chunk.
+INLINE_MAX = 4096
+_EMPTY = np.empty(0, dtype=_I64)
 
 
 def _arr(b) -> np.ndarray:
     return np.frombuffer(bytes(b), dtype=_I64)
 
 
+def _merge(ms_a, n_a, ms_b, n_b):
+    """Union of two (sorted ms, multiplicity) sets, multiplicities added."""
+    u, inv = np.unique(np.concatenate([ms_a, ms_b]), return_inverse=True)
+    return u.astype(_I64), np.bincount(inv, weights=np.concatenate([n_a, n_b])).astype(_I64)
+
+
 class _Meta:
-    __slots__ = ("count", "seq", "timer", "next_chunk", "index")
+    __slots__ = ("count", "seq", "timer", "next_chunk", "index", "ims", "inn")
 
-    def __init__(self, count=0, seq=0, timer=-1, next_chunk=0, index=None):
+    def __init__(self, count=0, seq=0, timer=-1, next_chunk=0, index=None, ims=_EMPTY, inn=_EMPTY):
         self.count, self.seq, self.timer, self.next_chunk = int(count), int(seq), int(timer), int(next_chunk)
         # rows: chunk id, first ms, last ms
         self.index = np.empty((0, 3), dtype=_I64) if index is None else index
+        self.ims, self.inn = ims, inn  # inline mentions: sorted ms, multiplicity
+
+    def empty(self) -> bool:
+        return len(self.index) == 0 and len(self.ims) == 0
 
 
 class RollingCountProcessor(StatefulProcessor):
     """Count of mentions of one name in (t − horizon, t]."""
 
-    def __init__(self, horizon_ms: int = HOUR_MS):
+    def __init__(self, horizon_ms: int = HOUR_MS, inline_max: int = INLINE_MAX):
         self.horizon_ms = int(horizon_ms)
+        self.inline_max = int(inline_max)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -94,23 +114,28 @@ class RollingCountProcessor(StatefulProcessor):
 
     # -- state -----------------------------------------------------------
     def _load(self) -> _Meta | None:
-        if not self.meta.exists():
+        v = self.meta.get()
+        if v is None:
             return None
-        c, s, t, nxt, idx = self.meta.get()
-        return _Meta(c, s, t, nxt, _arr(idx).reshape(-1, 3).copy())
+        c, s, t, nxt, idx, ims, inn = v
+        return _Meta(c, s, t, nxt, _arr(idx).reshape(-1, 3).copy(), _arr(ims), _arr(inn))
 
     def _save(self, m: _Meta) -> None:
-        self.meta.update((m.count, m.seq, m.timer, m.next_chunk, m.index.astype(_I64).tobytes()))
+        self.meta.update((m.count, m.seq, m.timer, m.next_chunk, m.index.astype(_I64).tobytes(),
+                          m.ims.astype(_I64).tobytes(), m.inn.astype(_I64).tobytes()))
 
     # -- changes ---------------------------------------------------------
     def _add(self, m: _Meta, ms: np.ndarray):
-        """One new chunk with the batch's mentions; running counts per distinct ms."""
+        """Add the batch's mentions (inline, or as one new chunk); running counts per distinct ms."""
         u, n = np.unique(ms, return_counts=True)
-        n = n.astype(_I64)
-        cid = m.next_chunk
-        m.next_chunk += 1
-        self.chunks.updateValue((cid,), (u.astype(_I64).tobytes(), n.tobytes()))
-        m.index = np.vstack([m.index, np.array([[cid, u[0], u[-1]]], dtype=_I64)])
+        u, n = u.astype(_I64), n.astype(_I64)
+        if len(m.ims) + len(u) <= self.inline_max:
+            m.ims, m.inn = _merge(m.ims, m.inn, u, n)
+        else:
+            cid = m.next_chunk
+            m.next_chunk += 1
+            self.chunks.updateValue((cid,), (u.tobytes(), n.tobytes()))
+            m.index = np.vstack([m.index, np.array([[cid, u[0], u[-1]]], dtype=_I64)])
         counts = m.count + np.cumsum(n)
         m.count = int(counts[-1])
         return u, counts
@@ -118,10 +143,13 @@ class RollingCountProcessor(StatefulProcessor):
     def _expire(self, m: _Meta, limit: int):
         """Remove mentions with ms + horizon ≤ limit; counts per expiry time."""
         h = self.horizon_ms
-        due = m.index[:, 1] + h <= limit
-        if not due.any():
-            return None
         gone_ms, gone_n = [], []
+        if len(m.ims) and m.ims[0] + h <= limit:
+            cut = int(np.searchsorted(m.ims, limit - h, side="right"))
+            gone_ms.append(m.ims[:cut])
+            gone_n.append(m.inn[:cut])
+            m.ims, m.inn = m.ims[cut:], m.inn[cut:]
+        due = m.index[:, 1] + h <= limit
         for row in np.nonzero(due)[0]:
             cid = int(m.index[row, 0])
             v = self.chunks.getValue((cid,))
@@ -149,7 +177,8 @@ class RollingCountProcessor(StatefulProcessor):
         return u + h, counts
 
     def _reschedule(self, m: _Meta, fired: int | None = None) -> None:
-        want = int(m.index[:, 1].min()) + self.horizon_ms if len(m.index) else -1
+        firsts = ([int(m.ims[0])] if len(m.ims) else []) + ([int(m.index[:, 1].min())] if len(m.index) else [])
+        want = min(firsts) + self.horizon_ms if firsts else -1
         if m.timer == want:
             return
         if m.timer >= 0 and m.timer != fired:
@@ -167,7 +196,7 @@ class RollingCountProcessor(StatefulProcessor):
         counts = np.concatenate([p[1] for p in parts])
         seq = m.seq + np.arange(1, len(ts) + 1, dtype=_I64)
         m.seq = int(seq[-1])
-        if len(m.index) == 0:
+        if m.empty():
             # The name left the horizon: its 0 was emitted; forget it.
             self.meta.clear()
         else:
@@ -224,7 +253,9 @@ def stream_mentions(records: DataFrame, value_col: str = "value", ts_col: str =
 
 
 def rolling_histogram(mentions: DataFrame, horizon_ms: int = HOUR_MS, watermark: str = "0 seconds",
-                      name_col: str = "name", ts_col: str = "ts", salts: int = 1) -> DataFrame:
+                      name_col: str = "name", ts_col: str = "ts", salts: int = 1,
+                      hot: DataFrame | Sequence[str] | None = None, max_hot: int = 10_000,
+                      inline_max: int = INLINE_MAX) -> DataFrame:
     """Changelog ``name, salt, count, ts, seq`` of the per-name rolling count.
 
     ``mentions`` may be streaming or batch; ``ts`` of any timestamp type
@@ -234,21 +265,32 @@ def rolling_histogram(mentions: DataFrame, horizon_ms: int = HOUR_MS, watermark:
     Hot names: with ``salts = S > 1`` the state key is (name, salt), salt =
     hash(name, ms) mod S, so one name's mentions are spread over S state
     keys (and tasks); equal (name, ms) mentions stay together and collapse
-    into one multiplicity entry. Each row's ``count`` is then the partial
-    count of its (name, salt); :func:`trendlens.operators.topn.fold_changelog`
-    and the top-N consumer sum the latest partial of every salt. With S = 1
-    (``salt`` = 0) every row carries the name's total.
+    into one multiplicity entry. ``hot`` (names, or a table with a ``name``
+    column such as the top names of an earlier period) limits salting to
+    those names; every other name keeps one key (salt 0), so cold names cost
+    nothing extra. A hot table is read once, at most ``max_hot`` names (the
+    bound on what reaches the driver), and applied as an ``isin`` set, so a
+    stream does not re-run it per micro-batch. Each row's ``count`` is the partial count of its (name, salt);
+    :func:`trendlens.operators.topn.fold_changelog` and the top-N consumer
+    sum the latest partial of every salt. Without salting every row carries
+    the name's total.
     """
     ev = as_event_time(mentions, ts_col)
     src = (mentions.select(F.col(name_col).alias("name"), ev.alias("event_time"))
            .withWatermark("event_time", watermark)
            .withColumn("ms", F.unix_millis("event_time")))
     if salts > 1:
-        salt = F.pmod(F.xxhash64(F.col("name"), F.col("ms")), F.lit(int(salts))).cast("int")
+        spread = F.pmod(F.xxhash64(F.col("name"), F.col("ms")), F.lit(int(salts))).cast("int")
+        if hot is not None:
+            if isinstance(hot, DataFrame):
+                hot = [r[0] for r in hot.select("name").distinct().limit(int(max_hot)).collect()]
+            names = list(hot)[: int(max_hot)]
+            spread = F.when(F.col("name").isin(names), spread).otherwise(F.lit(0))
+        salt = spread
     else:
         salt = F.lit(0)
     return (src.withColumn("salt", salt).groupBy("name", "salt").transformWithStateInPandas(
-        statefulProcessor=RollingCountProcessor(horizon_ms),
+        statefulProcessor=RollingCountProcessor(horizon_ms, inline_max),
         outputStructType=OUTPUT_SCHEMA,
         outputMode="Append",
         timeMode="EventTime"))
