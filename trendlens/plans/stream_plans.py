@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.timefns import as_event_time
+from ..functions.timefns import as_event_time, ntz_from_micros
 from ..operators.rolling import sliding_counts
 from ..operators.topn import fold_changelog
 from ..sources.tables import table
@@ -105,7 +105,8 @@ def q_sliding_stream_1h(spark, sf_dir):
     m = (ev.select(F.col("event_type").alias("name"), as_event_time(ev, "ts").alias("ts"))
          .withWatermark("ts", "0 seconds"))
     out = run_available(sliding_counts(m, "1 hour", "15 minutes"), "sliding-stream")
-    return out.select(F.col("window.start").cast("timestamp_ntz").alias("window_start"), "name", "count")
+    start = ntz_from_micros(F.unix_micros(F.col("window.start")))  # UTC wall clock, any session zone
+    return out.select(start.alias("window_start"), "name", "count")
 
 
 # The whole record path: events as record lines → published log (K5) →

@@ -45,6 +45,17 @@ from ..operators.clean import clean_names
 from ..schemas import NAMES_POS
 
 HOUR_MS = 3_600_000
+STATE_PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def ensure_rocksdb_state(spark) -> None:
+    """``transformWithState`` needs the RocksDB state store; switch to it when
+    the session still has the default provider (a new query's checkpoint then
+    records it)."""
+    current = spark.conf.get(STATE_PROVIDER_KEY, None)
+    if not current or "RocksDB" not in current:
+        spark.conf.set(STATE_PROVIDER_KEY, ROCKSDB_PROVIDER)
 
 OUTPUT_SCHEMA = T.StructType([
     T.StructField("name", T.StringType()),
@@ -275,6 +286,7 @@ def rolling_histogram(mentions: DataFrame, horizon_ms: int = HOUR_MS, watermark:
     sum the latest partial of every salt. Without salting every row carries
     the name's total.
     """
+    ensure_rocksdb_state(mentions.sparkSession)
     ev = as_event_time(mentions, ts_col)
     src = (mentions.select(F.col(name_col).alias("name"), ev.alias("event_time"))
            .withWatermark("event_time", watermark)
