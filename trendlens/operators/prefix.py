@@ -29,6 +29,10 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from ..session import scratch_path
 
+# Broadcast the carry-in offsets (≤ 2 rows per range partition) only up to
+# this many partitions.
+BROADCAST_MAX_PARTITIONS = 100_000
+
 
 def _local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     pid = None
@@ -114,8 +118,11 @@ def running_sum(df: DataFrame, group_col: str, order_col: str, value_col: str,
     w = Window.partitionBy("g").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (edges.select("pid", "g", F.sum("cum").over(w).alias("offset"))
                .filter(F.col("offset").isNotNull()))
-    # ≤ one offset row per partition: a broadcast of proven size.
-    return (rows.join(F.broadcast(offsets), ["pid", "g"], "left")
+    # At most two offset rows per partition: broadcast while that bound is
+    # small, otherwise an ordinary join on (pid, g).
+    if p <= BROADCAST_MAX_PARTITIONS:
+        offsets = F.broadcast(offsets)
+    return (rows.join(offsets, ["pid", "g"], "left")
             .select(F.col("g").alias(group_col), F.col("o").alias(order_col),
                     F.col("v").alias(value_col),
                     (F.col("cum") + F.coalesce(F.col("offset"), F.lit(0))).alias(out_col)))
