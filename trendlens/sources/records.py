@@ -58,17 +58,38 @@ _SEGMENT_LINES = T.StructType([
 ])
 
 
-def _unzip_first_entry(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+# Lines per emitted Arrow batch: bounds the batch size for large segments.
+_LINES_PER_BATCH = 65_536
+
+
+def _segment_lines(content: bytes) -> list[str] | None:
+    """Lines of the first entry of a zip; only \\n, \\r and \\r\\n end a line."""
+    with zipfile.ZipFile(io.BytesIO(content)) as zf:
+        names = zf.namelist()
+        if not names:
+            return None
+        text = zf.read(names[0]).decode("utf-8", errors="ignore")
+    return [line.rstrip("\n") for line in io.StringIO(text, newline=None)]
+
+
+def _unzip_first_entry(batches: Iterator[pd.DataFrame], layout: bool = False) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         for path, content in zip(pdf["path"], pdf["content"]):
-            with zipfile.ZipFile(io.BytesIO(content)) as zf:
-                names = zf.namelist()
-                if not names:
-                    continue
-                text = zf.read(names[0]).decode("utf-8", errors="ignore")
-            lines = text.splitlines()
-            yield pd.DataFrame({"path": path, "line_no": pd.Series(range(len(lines)), dtype="int64"),
-                                "value": lines})
+            lines = _segment_lines(content)
+            if lines is None:
+                continue
+            n = len(lines)
+            # The whole file is in this call, so its line count and first
+            # record id are known here: spreading needs no window.
+            first = lines[0].split("\t", 1)[0] if n else ""
+            for lo in range(0, n, _LINES_PER_BATCH):
+                part = lines[lo:lo + _LINES_PER_BATCH]
+                out = pd.DataFrame({"path": path,
+                                    "line_no": pd.Series(range(lo, lo + len(part)), dtype="int64"),
+                                    "value": part})
+                if layout:
+                    out = out.assign(n_lines=pd.Series([n] * len(part), dtype="int64"), first_id=first)
+                yield out
 
 
 _SEGMENT_LAYOUT = T.StructType(_SEGMENT_LINES.fields + [
@@ -78,11 +99,7 @@ _SEGMENT_LAYOUT = T.StructType(_SEGMENT_LINES.fields + [
 
 
 def _unzip_with_layout(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    # One frame per file: its line count and first record id are known here,
-    # so spreading needs no window (and works on streams).
-    for out in _unzip_first_entry(batches):
-        first = out["value"].iloc[0].split("\t", 1)[0] if len(out) else ""
-        yield out.assign(n_lines=pd.Series([len(out)] * len(out), dtype="int64"), first_id=first)
+    return _unzip_first_entry(batches, layout=True)
 
 
 def read_zipped_segments(spark: SparkSession, path_glob: str, layout: bool = False) -> DataFrame:
