@@ -65,10 +65,13 @@ MENTION_SCHEMA = T.StructType([
     T.StructField("ts", T.TimestampType(), True),
 ])
 
-# Histogram changelog: latest row per name wins; ts is the event time of the
-# change, seq orders changes that share a ts.
+# Histogram changelog: latest row per (name, salt) wins; ``salt`` is 0 unless
+# hot names are spread over several state keys (then counts are partial and
+# are summed per name); ts is the event time of the change, seq orders
+# changes of one key.
 CHANGELOG_SCHEMA = T.StructType([
     T.StructField("name", T.StringType(), True),
+    T.StructField("salt", T.IntegerType(), True),
     T.StructField("count", T.LongType(), True),
     T.StructField("ts", T.TimestampType(), True),
     T.StructField("seq", T.LongType(), True),

@@ -42,7 +42,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from ..functions.timefns import as_event_time
 from ..operators.clean import clean_names
-from ..schemas import NAMES_POS
+from ..schemas import CHANGELOG_SCHEMA, NAMES_POS
 
 HOUR_MS = 3_600_000
 STATE_PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
@@ -57,13 +57,7 @@ def ensure_rocksdb_state(spark) -> None:
     if not current or "RocksDB" not in current:
         spark.conf.set(STATE_PROVIDER_KEY, ROCKSDB_PROVIDER)
 
-OUTPUT_SCHEMA = T.StructType([
-    T.StructField("name", T.StringType()),
-    T.StructField("salt", T.IntegerType()),
-    T.StructField("count", T.LongType()),
-    T.StructField("ts", T.TimestampType()),
-    T.StructField("seq", T.LongType()),
-])
+OUTPUT_SCHEMA = CHANGELOG_SCHEMA
 
 _META = T.StructType([
     T.StructField("count", T.LongType()),
