@@ -11,10 +11,11 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import __spark_entry__ as E  # noqa: E402
 from conftest import SF_SMALL  # noqa: E402
 from oracle_check import digest  # noqa: E402
+from trendlens.plans.registry import all_queries, all_sql  # noqa: E402
 from trendlens.sources.tables import TABLES  # noqa: E402
 
-QUERIES = E.queries()
-SQL = E.oracle_sql()
+QUERIES = all_queries()
+SQL = all_sql()
 
 
 @pytest.fixture(scope="module")
@@ -45,4 +46,8 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["data", "value"]
-    assert df.count() >= 0
+    assert df.count() == len({r["data"] for r in df.collect()}) > 0
+
+
+def test_entry_lists_the_library_queries():
+    assert set(QUERIES) <= set(E.queries())
