@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import quality_rules as rules
+from . import fingerprints as prints, quality_rules as rules
 from .sql import OP1
 
 QUERIES: dict = {}
@@ -35,3 +35,9 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = rules.quality_rules(_table(spark, sf_dir, "documents"), keep=["doc_id"])
     return judged.select(F.col("row.doc_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
                          "n_repeat_words", "base_failed", "host_blocked", "kept")
+
+
+@_query()
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One-permutation MinHash fingerprints of every document, its edited text and their likeness."""
+    return prints.edited_pairs(_table(spark, sf_dir, "documents"))
