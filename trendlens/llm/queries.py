@@ -9,8 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import fingerprints as prints, quality_rules as rules
-from .sql import OP1
+from . import fingerprints as prints, quality_rules as rules, url_filter as urls
+from .sql import OP1, OP8
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -41,3 +41,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One-permutation MinHash fingerprints of every document, its edited text and their likeness."""
     return prints.edited_pairs(_table(spark, sf_dir, "documents"))
+
+
+@_query(OP8)
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule or host reputation verdict of every page; a page's label is that of the same id."""
+    labels = _table(spark, sf_dir, "labels")
+    outcomes = labels.select(F.col("doc_id").alias("page_id"), ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
+    return urls.url_filter(_table(spark, sf_dir, "pages"), outcomes)

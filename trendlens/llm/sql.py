@@ -31,3 +31,31 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, shor
        NOT (short OR repeat OR symbols OR dup_lines OR word_length) AND host NOT IN (SELECT host FROM blocked) AS kept
 FROM f
 """
+
+OP8 = r"""
+WITH p AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest, url FROM pages),
+u AS (SELECT page_id, translate(regexp_extract(coalesce(rest, ''), '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path FROM p),
+r(action, rh, rp) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('allow', 'example.org', '/en/1'),
+                             ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+fit AS (SELECT page_id, arg_max(rh || rp, length(rh || rp)) AS rule, arg_max(action, length(rh || rp)) AS action
+        FROM u JOIN r ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY page_id),
+h AS (SELECT host, string_split(host, '.')[-1] AS suffix, regexp_extract(host, '([^.]*\.)?[^.]*$', 0) AS domain, count(*) AS n,
+             count(*) FILTER (WHERE quality = 0 OR toxic = 1) AS bad
+      FROM u JOIN labels ON labels.doc_id = page_id WHERE quality = 0 OR toxic = 1 OR (quality IS NOT NULL AND toxic IS NOT NULL)
+      GROUP BY host),
+d AS (SELECT suffix, domain, sum(n) AS n, sum(bad) AS bad FROM h GROUP BY ALL),
+s AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM d GROUP BY ALL),
+w AS (SELECT level, key, total, m, sq / total - m * m - m * (1 - m) * (members - 1) / total AS var FROM (
+        SELECT 'root' AS level, '' AS key, sum(n)::DOUBLE AS total, sum(bad) / sum(n)::DOUBLE AS m, count(*) AS members, sum(bad * bad / n::DOUBLE) AS sq FROM s
+        UNION ALL SELECT 'suffix', suffix, sum(n)::DOUBLE, sum(bad) / sum(n)::DOUBLE, count(*), sum(bad * bad / n::DOUBLE) FROM d GROUP BY suffix
+        UNION ALL SELECT 'domain', domain, sum(n)::DOUBLE, sum(bad) / sum(n)::DOUBLE, count(*), sum(bad * bad / n::DOUBLE) FROM h GROUP BY domain)),
+k AS (SELECT level, key, m, CASE WHEN var > 0 THEN greatest(1.0, least(1000.0, m * (1 - m) / var - 1)) ELSE 1000.0 END AS w FROM w),
+s1 AS (SELECT suffix, (bad + k.m * k.w) / (n + k.w) AS mean FROM s, k WHERE k.level = 'root'),
+d1 AS (SELECT domain, (bad + s1.mean * k.w) / (n + k.w) AS mean FROM d JOIN s1 USING (suffix) JOIN k ON k.level = 'suffix' AND k.key = d.suffix),
+h1 AS (SELECT host, n, k.w, (bad + d1.mean * k.w) / (n + k.w) AS mean FROM h JOIN d1 USING (domain) JOIN k ON k.level = 'domain' AND k.key = h.domain),
+blocked AS (SELECT host FROM h1 WHERE mean - 1.645 * sqrt(mean * (1 - mean) / (n + w + 1)) > 0.2)
+SELECT u.page_id, host, path, rule, coalesce(action, CASE WHEN host IN (SELECT host FROM blocked) THEN 'block' ELSE 'allow' END) AS verdict,
+       host IN (SELECT host FROM blocked) AS host_blocked
+FROM u LEFT JOIN fit USING (page_id)
+"""
