@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import fingerprints as prints, quality_rules as rules, url_filter as urls
+from . import fingerprints as prints, licenses, quality_rules as rules, url_filter as urls
 from .sql import OP1, OP8
 
 QUERIES: dict = {}
@@ -49,3 +49,9 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = _table(spark, sf_dir, "labels")
     outcomes = labels.select(F.col("doc_id").alias("page_id"), ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
     return urls.url_filter(_table(spark, sf_dir, "pages"), outcomes)
+
+
+@_query()
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases, tags and expressions found in every document."""
+    return licenses.scan_licenses(_table(spark, sf_dir, "documents"))
