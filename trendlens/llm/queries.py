@@ -7,13 +7,17 @@ those that SQL can express.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import fingerprints as prints, licenses, quality_rules as rules, url_filter as urls
+from ..session import scratch_path
+from . import fingerprints as prints, licenses, packing, quality_rules as rules, token_store as tokens, url_filter as urls
 from .sql import OP1, OP8
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
+#: Where the vocabulary file is; the operators take it as a parameter.
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def _query(sql: str | None = None):
@@ -55,3 +59,17 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence phrases, tags and expressions found in every document."""
     return licenses.scan_licenses(_table(spark, sf_dir, "documents"))
+
+
+@_query()
+def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans and checksums of all documents' ids, read back from the token files."""
+    path = scratch_path(spark, "tokens")
+    tokens.write_tokens(_table(spark, sf_dir, "documents"), path, VOCABULARY)
+    return tokens.token_spans(tokens.read_tokens(spark, path))
+
+
+@_query()
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of all documents' pieces in sequences of at most 1024 tokens."""
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), VOCABULARY)

@@ -38,7 +38,8 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers(n: int) -> np.ndarray:
+def powers(n: int) -> np.ndarray:
+    """The first ``n`` (or more) powers of the hash base modulo 2^64."""
     global _POWERS
     if len(_POWERS) < n:
         _POWERS = np.concatenate([[np.uint64(1)], np.cumprod(np.full(2 * n, _BASE, dtype=np.uint64))])
@@ -81,7 +82,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     lengths = ends - starts
     at = np.flatnonzero(solid)
     place = np.arange(len(at)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    terms = (_LOWER[raw[at]].astype(np.uint64) + np.uint64(1)) * _powers(int(lengths.max()))[place]
+    terms = (_LOWER[raw[at]].astype(np.uint64) + np.uint64(1)) * powers(int(lengths.max()))[place]
     h = np.add.reduceat(terms, np.cumsum(lengths) - lengths)
     return mix64(h + lengths.astype(np.uint64) * _BASE), np.searchsorted(starts, offsets - lo)
 
