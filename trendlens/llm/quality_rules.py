@@ -26,6 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import materialize
+from .columns import once
 
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
@@ -43,11 +44,6 @@ _POS_BITS = 20
 _POS_MASK = (1 << _POS_BITS) - 1
 
 
-def _once(value: Column, use) -> Column:
-    """``use(value)`` with ``value`` evaluated once however often it is used."""
-    return F.transform(F.array(value), use)[0]
-
-
 def _window(h: Column, i: Column) -> Column:
     """Hash of the 3-word window at position ``i``."""
     return F.xxhash64(h[i], h[i + 1], h[i + 2])
@@ -86,7 +82,7 @@ def _starts_by_pairs(h: Column) -> Column:
     def places(p):
         hits = F.filter(p, lambda e, j: (e["x"] == F.get(p, j - 1)["x"]) | (e["x"] == F.get(p, j + 1)["x"]))
         return F.sort_array(F.transform(hits, lambda e: e["i"]))
-    return _once(pairs, places)
+    return once(pairs, places)
 
 
 def measure(docs: DataFrame, text_col: str = "text", host_col: str = "source",
@@ -107,7 +103,7 @@ def measure(docs: DataFrame, text_col: str = "text", host_col: str = "source",
     d = d.select("row", "host",
                  F.filter(F.split("text", WORD_BREAK), lambda w: w != "").alias("words"),
                  F.length(F.regexp_replace("text", f"[^{SYMBOLS}]+", "")).cast("long").alias("n_symbols"),
-                 F.when(F.instr("text", "\n") > 0, _once(lines, lambda x: F.struct(F.size(x).alias("n"), (F.size(x) - F.size(F.array_distinct(x))).alias("dup")))).alias("lines"))
+                 F.when(F.instr("text", "\n") > 0, once(lines, lambda x: F.struct(F.size(x).alias("n"), (F.size(x) - F.size(F.array_distinct(x))).alias("dup")))).alias("lines"))
     d = d.select("row", "host", "n_symbols", "lines", F.size("words").cast("long").alias("n_words"),
                  F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
                  F.transform("words", lambda w: F.xxhash64(w)).alias("h"))

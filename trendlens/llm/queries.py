@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
-from . import fingerprints as prints, licenses, packing, quality_rules as rules, token_store as tokens, url_filter as urls
+from . import fingerprints as prints, licenses, packing, pii, quality_rules as rules, token_store as tokens, url_filter as urls
 from .sql import OP1, OP8
 
 QUERIES: dict = {}
@@ -73,3 +73,10 @@ def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Places of all documents' pieces in sequences of at most 1024 tokens."""
     return packing.pack_documents(_table(spark, sf_dir, "documents"), VOCABULARY)
+
+
+@_query()
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text with personal data pseudonymized, and how many values were replaced."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymize(docs, found_col="n_replaced")
