@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
-from . import fingerprints as prints, licenses, packing, pii, quality_rules as rules, token_store as tokens, url_filter as urls
+from . import fingerprints as prints, kneser_ney as lm, licenses, packing, pii, quality_rules as rules, token_store as tokens, url_filter as urls
 from .sql import OP1, OP8
 
 QUERIES: dict = {}
@@ -80,3 +80,10 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's text with personal data pseudonymized, and how many values were replaced."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return pii.pseudonymize(docs, found_col="n_replaced")
+
+
+@_query()
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity of every document under its language's model of trusted text, and the verdict."""
+    judged = lm.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), keep=["doc_id"])
+    return judged.select(F.col("row.doc_id").alias("doc_id"), "model", "symbols", "perplexity", "threshold", "kept")
