@@ -11,13 +11,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
-from . import fingerprints as prints, kneser_ney as lm, licenses, packing, pii, quality_rules as rules, token_store as tokens, url_filter as urls
+from . import fingerprints as prints, kneser_ney as lm, licenses, packing, pii, quality_rules as rules, suffix_pieces, token_store as tokens, url_filter as urls
 from .sql import OP1, OP8
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
-#: Where the vocabulary file is; the operators take it as a parameter.
+#: Where the vocabulary files are; the operators take them as a parameter.
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def _query(sql: str | None = None):
@@ -87,3 +88,11 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Perplexity of every document under its language's model of trusted text, and the verdict."""
     judged = lm.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), keep=["doc_id"])
     return judged.select(F.col("row.doc_id").alias("doc_id"), "model", "symbols", "perplexity", "threshold", "kept")
+
+
+@_query()
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's SentencePiece ids, as count and checksum, and whether decoding gives the text back."""
+    coded = suffix_pieces.encode(_table(spark, sf_dir, "documents"), PIECES)
+    back = suffix_pieces.decoded(F.col("ids"), PIECES)
+    return coded.select("doc_id", "n_tokens", "ids_crc32", (back == F.replace(F.coalesce("text", F.lit("")), F.lit("▁"), F.lit(" "))).alias("round_trip"))
