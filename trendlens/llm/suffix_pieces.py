@@ -213,9 +213,9 @@ class Pieces:
         nxt, prv = np.arange(1, n + 1), np.arange(-1, n - 1)
         nxt[begin + length - 1] = -1
         prv[begin] = -1
-        short = (length <= LONG)[unit] & alive
+        short = (length <= LONG)[unit] & alive & (len(piece) > 0)
         self._join(size, nxt, prv, alive, unit, slot, score, np.flatnonzero(short))
-        for k in np.flatnonzero(length > LONG):
+        for k in np.flatnonzero((length > LONG) & (len(piece) > 0)):
             self._join_long(int(begin[k]), int(begin[k] + length[k]), size, alive, slot, score)
         at = np.flatnonzero(alive)
         e = slot[at * (self.longest + 1) + size[at]]
