@@ -56,7 +56,7 @@ def test_ranges_find_every_occurrence(model):
     wide = model.longest + 1
     got = {(k // wide, k % wide, int(model.ids[piece[slot[k]]])) for k in np.flatnonzero(slot >= 0)}
     by_text = {model.out[i].decode().replace(" ", "▁"): int(i) for i in model.ids}
-    want = {(a, n, by_text[text[a:a + n]]) for a in range(len(text)) for n in range(2, wide) if text[a:a + n] in by_text}
+    want = {(a, n, by_text[text[a:a + n]]) for a in range(len(text)) for n in range(2, min(wide, len(text) - a + 1)) if text[a:a + n] in by_text}
     assert got == want
 
 
