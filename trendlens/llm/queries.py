@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
-from . import fingerprints as prints, kneser_ney as lm, licenses, packing, pii, quality_rules as rules, suffix_pieces, token_store as tokens, url_filter as urls
+from . import fingerprints as prints, kneser_ney as lm, licenses, ngram_join as near, packing, pii, quality_rules as rules, suffix_pieces, token_store as tokens, url_filter as urls
 from .sql import OP1, OP8
 
 QUERIES: dict = {}
@@ -96,3 +96,9 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = suffix_pieces.encode(_table(spark, sf_dir, "documents"), PIECES)
     back = suffix_pieces.decoded(F.col("ids"), PIECES)
     return coded.select("doc_id", "n_tokens", "ids_crc32", (back == F.replace(F.coalesce("text", F.lit("")), F.lit("▁"), F.lit(" "))).alias("round_trip"))
+
+
+@_query()
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and near-duplicate class of every document."""
+    return near.jaccard_classes(_table(spark, sf_dir, "documents"))
