@@ -56,3 +56,18 @@ def test_producer_transformer_consumer_chain(spark, tmp_path):
     # All six records lie within one hour: A 4, B 2, C 2; top-2 breaks the tie by name.
     assert sorted(tuple(r) for r in read_top(spark, out).collect()) == [("A", 4), ("B", 2)]
     assert sorted(tuple(r) for r in apply_messages(read_messages(spark, out)).collect()) == [("A", 4), ("B", 2)]
+
+
+def test_a_name_that_left_and_came_back_is_in_the_top(spark, tmp_path):
+    # A@01:00, A@01:01, then B@04:00, then A@05:00 and B@05:00; one consumer run over all of it.
+    seg = str(tmp_path / "segments")
+    os.makedirs(seg)
+    log, changes, out = (str(tmp_path / d) for d in ("log", "changes", "out"))
+    for stamp, names in (("20150218010000", ["A,1", "A,1"]), ("20150218040000", ["B,1"]), ("20150218050000", ["A,1", "B,1"])):
+        _segment(seg, stamp, names)
+        producer(spark, seg, log, str(tmp_path / "ck1")).awaitTermination(300)
+        transformer(spark, log, changes, str(tmp_path / "ck2")).awaitTermination(300)
+    q = consumer(spark, changes, out, str(tmp_path / "ck3"))
+    q.awaitTermination(300)
+    assert q.exception() is None
+    assert sorted(tuple(r) for r in read_top(spark, out).collect()) == [("A", 1), ("B", 1)]

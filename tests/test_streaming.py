@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from trendlens.operators.topn import fold_changelog
 from trendlens.schemas import MENTION_SCHEMA
-from trendlens.streaming.histogram import HOUR_MS, rolling_histogram, stream_mentions
-from trendlens.streaming.runner import run_available, stream_table_files, write_batches
+from trendlens.streaming.histogram import BUCKET_MS, HOUR_MS, rolling_histogram, salt_plan, stream_mentions
+from trendlens.streaming.runner import (changelog_from_messages, changelog_messages, run_available, stream_table_files, write_batches)
+from trendlens.streaming.topn import apply_messages, read_messages, read_snapshot, read_top, top_n_sink
 
 T0 = dt.datetime(2024, 3, 1, tzinfo=dt.timezone.utc)
 
@@ -32,11 +33,29 @@ def write_files(directory, batches):
         os.utime(path, (1_700_000_000 + 10 * i, 1_700_000_000 + 10 * i))
 
 
-def histogram_of(spark, directory, horizon_ms=HOUR_MS, per_trigger=1, salts=1, inline_max=4096,
-                 hot=None):
+def histogram_of(spark, directory, horizon_ms=HOUR_MS, per_trigger=1, salts=1, hot=None, watermark="0 seconds",
+                 bucket_ms=BUCKET_MS):
     stream = stream_table_files(spark, directory, "*.parquet", MENTION_SCHEMA, per_trigger)
-    return run_available(rolling_histogram(stream, horizon_ms, salts=salts, hot=hot,
-                                           inline_max=inline_max), "test-hist")
+    return run_available(rolling_histogram(stream, horizon_ms, watermark, salts=salts, hot=hot,
+                                           bucket_ms=bucket_ms), "test-hist")
+
+
+def brute_changelog(rows, horizon_s, upto_s):
+    """T7 by hand: the count in (t - h, t] at every t where adds and expiries don't cancel."""
+    out = set()
+    for name in {n for n, _ in rows}:
+        mine = [s for n, s in rows if n == name]
+        for t in sorted({x for s in mine for x in (s, s + horizon_s)}):
+            if t <= upto_s and mine.count(t) != mine.count(t - horizon_s):
+                out.add((name, t, sum(t - horizon_s < s <= t for s in mine)))
+    return out
+
+
+def emitted(changes):
+    rows = [(r["name"], (r["ts"].replace(tzinfo=None) - T0.replace(tzinfo=None)).total_seconds(), r["count"])
+            for r in changes.collect()]
+    assert len(rows) == len(set(rows))
+    return set(rows)
 
 
 def sequences(changes):
@@ -52,9 +71,8 @@ def test_golden_single_batch(spark, tmp_path):
     d = str(tmp_path / "in")
     write_files(d, [[("a", 0), ("b", 0), ("a", 1), ("a", 1800), ("c", 3600.5), ("a", 3600.4),
                      ("c", 7200), ("c", 14400)]])
-    for inline_max in (4096, 1):
-        seq = sequences(histogram_of(spark, d, inline_max=inline_max))
-        assert seq == {"a": [1, 2, 3, 4, 3, 2, 1, 0], "b": [1, 0], "c": [1, 2, 3, 2, 1]}
+    seq = sequences(histogram_of(spark, d))
+    assert seq == {"a": [1, 2, 3, 2, 3, 2, 1, 0], "b": [1, 0], "c": [1, 2, 1, 0, 1]}
 
 
 def test_expired_before_added_across_batches(spark, tmp_path):
@@ -62,7 +80,7 @@ def test_expired_before_added_across_batches(spark, tmp_path):
     # first, so the addition is emitted with the count of (45m, 1h45m].
     d = str(tmp_path / "in")
     write_files(d, [[("a", 0)], [("a", 1800)], [("b", 5400)], [("a", 6300)]])
-    ch = histogram_of(spark, d, inline_max=1)
+    ch = histogram_of(spark, d)
     assert sequences(ch) == {"a": [1, 2, 1, 0, 1], "b": [1]}
     exp = ch.filter(F.col("name") == "a").orderBy("batch", "seq").select("ts").collect()
     assert [r[0].replace(tzinfo=None) - T0.replace(tzinfo=None) for r in exp] == [
@@ -79,20 +97,36 @@ def brute_final(rows, horizon_s, watermark_s):
     return live
 
 
-@pytest.mark.parametrize("inline_max", [4096, 3])
-def test_stream_equals_batch_on_many_files(spark, tmp_path, inline_max):
-    # inline_max=3 sends most batches' mentions to chunks (the busy-key layout).
+@pytest.mark.parametrize("files, bucket_ms", [(1, BUCKET_MS), (8, BUCKET_MS), (8, 1000), (3, 10_000_000)])
+def test_changelog_equals_batch_for_any_batching(spark, tmp_path, files, bucket_ms):
     rnd = random.Random(7)
     names = ["n0", "n1", "n2", "hot"]
     rows = sorted(((rnd.choice(names + ["hot"] * 4), rnd.randrange(0, 4 * 3600)) for _ in range(400)),
                   key=lambda r: r[1])
-    batches = [rows[i:i + 50] for i in range(0, len(rows), 50)]
+    size = -(-len(rows) // files)
+    cuts = [rows[i:i + size] for i in range(0, len(rows), size)]
+    for a, b in zip(cuts[:-1], cuts[1:]):  # rows of a batch's last time belong to that batch
+        while b and b[0][1] == a[-1][1]:
+            a.append(b.pop(0))
     d = str(tmp_path / "in")
-    write_files(d, batches)
-    ch = histogram_of(spark, d, horizon_ms=600_000, per_trigger=2, inline_max=inline_max)
+    write_files(d, cuts)
+    ch = histogram_of(spark, d, horizon_ms=600_000, bucket_ms=bucket_ms)
+    last = max(s for _, s in rows)
+    assert emitted(ch) == brute_changelog(rows, 600, last)
     final = {r["name"]: r["count"] for r in fold_changelog(ch, keep_zero=True).collect()}
-    assert final == brute_final(rows, 600, max(s for _, s in rows))
-    assert ch.filter(F.col("count") < 0).count() == 0
+    assert final == brute_final(rows, 600, last)
+
+
+def test_changelog_with_a_delay_holds_back_until_the_watermark(spark, tmp_path):
+    # Rows come up to 10 minutes out of order; what is emitted is final: T7 up to the watermark.
+    rnd = random.Random(9)
+    rows = [(rnd.choice("ab"), s) for s in range(0, 7200, 40)]
+    mixed = sorted(rows, key=lambda r: r[1] + rnd.randrange(0, 500))
+    d = str(tmp_path / "in")
+    write_files(d, [mixed[i:i + 30] for i in range(0, len(mixed), 30)])
+    ch = histogram_of(spark, d, horizon_ms=900_000, watermark="10 minutes")
+    last = max(s for _, s in rows) - 600
+    assert emitted(ch) == brute_changelog(rows, 900, last)
 
 
 def test_salted_hot_name_sums_to_the_same_counts(spark, tmp_path):
@@ -118,11 +152,36 @@ def test_salted_hot_name_sums_to_the_same_counts(spark, tmp_path):
     assert final == expected
 
 
+def test_every_hot_name_is_spread(spark, tmp_path):
+    # Sixty hot names, more than any list bound: each is spread over all of its salts, the cold one isn't.
+    rows = sorted([(f"h{k}", 60 * i + k) for k in range(60) for i in range(90)] + [("cold", 7000 + i) for i in range(20)], key=lambda r: r[1])
+    d = str(tmp_path / "in")
+    write_files(d, [rows])
+    hot = spark.createDataFrame([(f"h{k}", 2 + k % 3) for k in range(60)], "name string, salts int")
+    ch = histogram_of(spark, d, hot=hot)
+    got = {}
+    for r in ch.select("name", "salt").distinct().collect():
+        got.setdefault(r["name"], set()).add(r["salt"])
+    assert got == {f"h{k}": set(range(2 + k % 3)) for k in range(60)} | {"cold": {0}}
+
+
+def test_salt_plan_bounds_each_key(spark):
+    names = spark.createDataFrame([("a",)] * 500 + [("b",)] * 100 + [(f"n{i}",) for i in range(400)], "name string")
+    plan = {r["name"]: r["salts"] for r in salt_plan(names, 1 / 20).collect()}
+    assert plan == {"a": 10, "b": 2}
+    assert salt_plan(names.limit(0)).collect() == []
+
+
 def test_late_rows_are_dropped(spark, tmp_path):
     # after a batch at 2h the watermark is 2h; a@0 arrives later and is dropped.
     d = str(tmp_path / "in")
     write_files(d, [[("a", 7200)], [("a", 0), ("b", 7300)]])
-    final = {r["name"]: r["count"] for r in fold_changelog(histogram_of(spark, d), keep_zero=True).collect()}
+    stream = stream_table_files(spark, d, "*.parquet", MENTION_SCHEMA, 1)
+    out = str(tmp_path / "out")
+    q = write_batches(rolling_histogram(stream, HOUR_MS), out, str(tmp_path / "ck"))
+    q.awaitTermination(300)
+    assert q.exception() is None
+    final = {r["name"]: r["count"] for r in fold_changelog(spark.read.parquet(out), keep_zero=True).collect()}
     assert final == {"a": 1, "b": 1}
 
 
@@ -170,14 +229,15 @@ def test_stream_mentions_keeps_every_mention(spark):
 
 def test_top_n_delta_messages(spark, tmp_path):
     # Top-2 per batch; leavers get 0; a batch without change sends nothing.
-    from trendlens.streaming.topn import apply_messages, read_messages, read_top, top_n_stream
     d = str(tmp_path / "in")
     write_files(d, [[("a", 0), ("a", 10), ("b", 20)], [("c", 30), ("c", 40), ("c", 50)], [("x", 7200)]])
     stream = stream_table_files(spark, d, "*.parquet", MENTION_SCHEMA, 1)
-    out = str(tmp_path / "out")
-    q = top_n_stream(rolling_histogram(stream, HOUR_MS), out, str(tmp_path / "ck"), n=2)
-    q.awaitTermination(300)
-    assert q.exception() is None
+    log, out = str(tmp_path / "log"), str(tmp_path / "out")
+    write_batches(rolling_histogram(stream, HOUR_MS), log, str(tmp_path / "ck1")).awaitTermination(300)
+    for batch in sorted(os.listdir(log)):  # the consumer's batches are the transformer's
+        if batch.startswith("batch="):
+            b = int(batch.split("=")[1])
+            top_n_sink(out, 2)(spark.read.parquet(log).filter(F.col("batch") == b), b)
     msgs = spark.read.text(f"{out}/messages").orderBy("batch").collect()
     assert [(r["batch"], r["value"]) for r in msgs] == [
         (0, '[{"name":"a","count":2},{"name":"b","count":1}]'),
@@ -186,3 +246,55 @@ def test_top_n_delta_messages(spark, tmp_path):
     ]
     assert [tuple(r) for r in read_top(spark, out).collect()] == [("x", 1)]
     assert [tuple(r) for r in apply_messages(read_messages(spark, out)).collect()] == [("x", 1)]
+    assert [tuple(r) for r in read_snapshot(spark, out).collect()] == [(3, "x", 1)]
+
+
+def _changes(spark, rows):
+    return spark.createDataFrame([(n, 0, c, T0, q, b) for n, c, q, b in rows],
+                                 "name string, salt int, count long, ts timestamp, seq long, batch long")
+
+
+def test_replayed_batch_gives_the_same_table(spark, tmp_path):
+    out = str(tmp_path / "out")
+    sink = top_n_sink(out, 10)
+    sink(_changes(spark, [("a", 5, 1, 0)]), 0)
+    for _ in range(3):  # the engine may run a batch again before it is committed
+        sink(_changes(spark, [("b", 4, 1, 1)]), 1)
+        assert sorted(tuple(r) for r in read_top(spark, out).collect()) == [("a", 5), ("b", 4)]
+    sink(_changes(spark, [("a", 0, 2, 2)]), 2)
+    assert [tuple(r) for r in read_top(spark, out).collect()] == [("b", 4)]
+    assert len(os.listdir(f"{out}/hist")) == 2  # the current version and the one it was built from
+
+
+def test_a_name_that_comes_back_counts(spark, tmp_path):
+    # seq starts anew after a 0: the batch says which row is the latest.
+    out = str(tmp_path / "out")
+    top_n_sink(out, 10)(_changes(spark, [("a", 1, 1, 0), ("a", 2, 2, 0), ("a", 0, 3, 1), ("a", 1, 1, 2)]), 0)
+    assert [tuple(r) for r in read_top(spark, out).collect()] == [("a", 1)]
+
+
+def test_fold_needs_its_order_columns(spark):
+    with pytest.raises(ValueError, match="batch"):
+        fold_changelog(_changes(spark, [("a", 1, 1, 0)]).drop("batch"))
+
+
+def test_messages_carry_what_the_consumer_reads(spark, tmp_path):
+    # K4 → S11 → T8: salted partial counts, as messages and back.
+    rows = spark.createDataFrame([("a", s, c, T0, 1, 0) for s, c in ((0, 2), (1, 3))] + [("b", 0, 4, T0, 1, 0)],
+                                 "name string, salt int, count long, ts timestamp, seq long, batch long")
+    messages = changelog_messages(rows)
+    assert messages.columns == ["key", "value"]
+    back = changelog_from_messages(messages)
+    assert sorted(back.collect()) == sorted(rows.select(*back.columns).collect())
+    out = str(tmp_path / "out")
+    top_n_sink(out, 5)(back, 0)
+    assert [tuple(r) for r in read_top(spark, out).orderBy("name").collect()] == [("a", 5), ("b", 4)]
+
+
+def test_retained_messages_and_snapshot(spark, tmp_path):
+    out = str(tmp_path / "out")
+    sink = top_n_sink(out, 5, retain=2)
+    for b in range(4):
+        sink(_changes(spark, [(f"n{b}", b + 1, 1, b)]), b)
+    assert sorted(x for x in os.listdir(f"{out}/messages") if x.startswith("batch=")) == ["batch=2", "batch=3"]
+    assert {(r["name"], r["count"]) for r in read_snapshot(spark, out).collect()} == {(f"n{b}", b + 1) for b in range(4)}

@@ -12,11 +12,8 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 _EPOCH_NTZ = "1970-01-01 00:00:00"
 _US_PER_DAY = 86_400_000_000
 
-# Segment raster of the news feed (minutes) and the stamp
-# formats used in segment names and record ids.
+# Segment raster of the news feed (minutes).
 SEGMENT_MINUTES = 15
-SEGMENT_STAMP_FORMAT = "yyyyMMddHHmm00"
-RECORD_ID_STAMP_FORMAT = "yyyyMMddHHmm"
 
 
 def _c(col) -> Column:
@@ -84,14 +81,16 @@ def next_boundary_us(us, minutes: int = SEGMENT_MINUTES) -> Column:
     return floor_to_interval_us(us, minutes) + F.lit(minutes * 60_000_000)
 
 
-def stamp_micros(col, fmt: str = RECORD_ID_STAMP_FORMAT, length: int = 12) -> Column:
-    """Epoch microseconds (UTC) of the leading ``length`` characters of a stamp."""
-    ntz = F.try_to_timestamp(F.substring(_c(col), 1, length), F.lit(fmt))
-    # try_to_timestamp returns an instant in the session zone; go through the
-    # wall-clock fields instead so the session zone does not matter.
-    wall = F.make_timestamp_ntz(F.year(ntz), F.month(ntz), F.dayofmonth(ntz),
-                                F.hour(ntz), F.minute(ntz), F.second(ntz))
-    return ntz_micros(wall)
+def stamp_micros(col) -> Column:
+    """Epoch microseconds (UTC) of the leading ``yyyyMMddHHmm`` of a stamp; null if invalid.
+
+    Its fields are read as a wall-clock time, never as an instant of the
+    session zone, so hours that the zone skips are kept.
+    """
+    stamp = F.regexp_extract(_c(col), r"^\d{12}", 0)
+    part = lambda a, n: F.substring(stamp, a, n).try_cast("int")
+    return ntz_micros(F.try_make_timestamp_ntz(part(1, 4), part(5, 2), part(7, 2), part(9, 2), part(11, 2),
+                                               F.lit(0).cast("decimal(16,6)")))
 
 
 def parse_record_id(col) -> Column:

@@ -20,12 +20,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .operators.clean import clean_names
 from .operators.daily import daily_result
-from .schemas import CHANGELOG_SCHEMA
+from .session import build_session
 from .sinks.writers import write_daily, write_daily_text
 from .sources.records import read_records, read_records_text, read_zipped_segments, segment_records, \
     split_record_lines, stream_segments
 from .streaming.histogram import HOUR_MS, rolling_histogram, stream_mentions
-from .streaming.runner import stream_records, stream_table_files
+from .streaming.runner import published_changelog, stream_records, write_batches
 from .streaming.topn import top_n_stream
 
 READERS = ("csv", "text", "zip")
@@ -62,26 +62,32 @@ def _start(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None):
 
 
 def producer(spark: SparkSession, segments_dir: str, log_dir: str, checkpoint: str,
-             files_per_trigger: int = 1, trigger: dict | None = None):
-    """New segments → records ``key, value, timestamp`` appended to a log."""
+             files_per_trigger: int | None = None, trigger: dict | None = None):
+    """New segments → records ``key, value, timestamp`` appended to a log.
+
+    A micro-batch takes all new segments, one task for each; ``files_per_trigger`` paces a replay.
+    """
     records = segment_records(stream_segments(spark, segments_dir, max_files_per_trigger=files_per_trigger))
     return _start(records, log_dir, checkpoint, trigger)
 
 
+#: State keys that a name is spread over unless a table of hot names says otherwise.
+SALTS = 16
+
+
 def transformer(spark: SparkSession, log_dir: str, changelog_dir: str, checkpoint: str,
-                horizon_ms: int = HOUR_MS, watermark: str = "0 seconds", salts: int = 1,
+                horizon_ms: int = HOUR_MS, watermark: str = "0 seconds", salts: int = SALTS,
                 hot=None, trigger: dict | None = None):
-    """Record log → rolling-histogram changelog (S10, T1–T6, K4 file form)."""
+    """Record log → rolling-histogram changelog, by micro-batch (S10, T1–T6, K4 file form)."""
     mentions = stream_mentions(stream_records(spark, log_dir))
     changes = rolling_histogram(mentions, horizon_ms, watermark, salts=salts, hot=hot)
-    return _start(changes, changelog_dir, checkpoint, trigger)
+    return write_batches(changes, changelog_dir, checkpoint, trigger)
 
 
 def consumer(spark: SparkSession, changelog_dir: str, out_dir: str, checkpoint: str, n: int = 100,
-             trigger: dict | None = None):
-    """Changelog log → exact top-N and one delta message per micro-batch."""
-    changes = stream_table_files(spark, changelog_dir, "*.parquet", CHANGELOG_SCHEMA)
-    return top_n_stream(changes, out_dir, checkpoint, n, trigger)
+             trigger: dict | None = None, retain: int | None = None):
+    """Changelog log → exact top-N, one delta message and snapshot per micro-batch."""
+    return top_n_stream(published_changelog(spark, changelog_dir), out_dir, checkpoint, n, trigger, retain=retain)
 
 
 def main(argv=None) -> None:
@@ -103,15 +109,29 @@ def main(argv=None) -> None:
         p.add_argument("sink")
         p.add_argument("checkpoint")
         p.add_argument("--processing-time", default=None, help="e.g. '1 second'; default: available now")
+        if name == "producer":
+            p.add_argument("--files-per-trigger", type=int, default=None)
+        if name == "transformer":
+            p.add_argument("--salts", type=int, default=SALTS, help="state keys that each name is spread over")
+            p.add_argument("--hot", default=None, help="parquet table name, salts: only these names are spread")
+        if name == "consumer":
+            p.add_argument("--n", type=int, default=100)
+            p.add_argument("--retain", type=int, default=None, help="keep so many delta messages")
     a = ap.parse_args(argv)
-    spark = SparkSession.builder.appName(f"trendlens-{a.job}").getOrCreate()
+    spark = build_session(app_name=f"trendlens-{a.job}")
     if a.job == "daily":
         daily_top_k(spark, a.input, a.output, a.k, a.ties, a.per_record, a.reader, a.output_format,
                     a.single_file)
         return
     trigger = {"processingTime": a.processing_time} if a.processing_time else None
-    job = {"producer": producer, "transformer": transformer, "consumer": consumer}[a.job]
-    job(spark, a.source, a.sink, a.checkpoint, trigger=trigger).awaitTermination()
+    if a.job == "producer":
+        q = producer(spark, a.source, a.sink, a.checkpoint, a.files_per_trigger, trigger)
+    elif a.job == "transformer":
+        hot = spark.read.parquet(a.hot) if a.hot else None
+        q = transformer(spark, a.source, a.sink, a.checkpoint, salts=a.salts, hot=hot, trigger=trigger)
+    else:
+        q = consumer(spark, a.source, a.sink, a.checkpoint, a.n, trigger, a.retain)
+    q.awaitTermination()
 
 
 __all__ = ["daily_top_k", "producer", "transformer", "consumer", "read_any", "main"]

@@ -32,7 +32,3 @@ def reject_counts(records: DataFrame, date_col: str = "DATE", names_col: str = "
         F.sum(F.when(F.col(date_col).isNull(), 1).otherwise(0)).cast("bigint").alias("null_date"),
         F.sum(F.when(F.col(names_col).isNull(), 1).otherwise(0)).cast("bigint").alias("null_names"))
 
-
-def late_rows(mentions: DataFrame, watermark_us: int, ts_us_col: str = "t") -> DataFrame:
-    """rows that a watermark at ``watermark_us`` would drop."""
-    return mentions.filter(F.col(ts_us_col) < F.lit(watermark_us))

@@ -24,8 +24,10 @@ def fold_changelog(changes: DataFrame, order_cols: Sequence[str] = ("batch", "se
     are partial counts: the latest of each (name, part) is taken, then the
     parts are summed per name.
     """
-    cols = [c for c in order_cols if c in changes.columns]
-    key = F.struct(*[F.col(c) for c in cols]) if len(cols) > 1 else F.col(cols[0])
+    missing = [c for c in order_cols if c not in changes.columns]
+    if missing:
+        raise ValueError(f"the changelog has no {', '.join(missing)} to order its rows by")
+    key = F.struct(*[F.col(c) for c in order_cols])
     latest = F.max_by(F.col(count_col), key)
     if part_col in changes.columns:
         parts = changes.groupBy(name_col, part_col).agg(latest.alias(count_col))

@@ -4,38 +4,49 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.timefns import as_event_time, ntz_from_micros
+from ..functions.timefns import as_event_time, micros_of, ntz_from_micros
 from ..operators.rolling import sliding_counts
 from ..operators.topn import fold_changelog
 from ..sources.tables import table
 from ..sinks.writers import publish_records
 from ..sources.tables import event_records
-from ..streaming.histogram import HOUR_MS, rolling_histogram, stream_mentions
+from ..streaming.histogram import HOUR_MS, rolling_histogram, salt_plan, stream_mentions
 from ..session import scratch_path
-from ..streaming.runner import await_done, run_available, stream_records, stream_table_files
-from ..streaming.topn import apply_messages, read_messages, read_top, top_n_stream
+from ..streaming.runner import await_done, published_changelog, run_available, stream_records, stream_table_files, write_batches
+from ..streaming.topn import apply_messages, read_messages, read_snapshot, read_top, top_n_stream
 from .catalog import register
+from .rolling_plans import _sql_changelog
 
-# Hot names in the registered streaming queries: the top HOT_NAMES names of
-# the table's histogram; each is spread over SALTS state keys (and tasks),
-# every other name keeps one key.
-SALTS = 16
-HOT_NAMES = 10
+# The streaming queries read events in SLICES time-ordered parts, one
+# micro-batch each, of FILES files (tasks) a part.
+SLICES = 4
+FILES = 4
 
 
-def _hot(names):
-    """The most mentioned names (a table of at most HOT_NAMES rows)."""
-    from ..operators.topn import top_n
-    return top_n(names.groupBy("name").agg(F.count(F.lit(1)).alias("count")), HOT_NAMES)
+def _histogram(mentions, hot):
+    return rolling_histogram(mentions, HOUR_MS, hot=hot)
 
 
-def _histogram(mentions, hot):
-    return rolling_histogram(mentions, HOUR_MS, salts=SALTS, hot=hot, max_hot=HOT_NAMES)
+def _hot(spark, sf_dir, name_col="user_id"):
+    """Names with more than their share of the table's rows, and how many state keys each gets."""
+    return salt_plan(table(spark, sf_dir, "events").select(F.col(name_col).cast("string").alias("name")))
+
+
+def _sliced(df, ts_col, write):
+    """Write the rows in SLICES parts of equal time spans, in time order."""
+    us = micros_of(df, ts_col)
+    lo, hi = df.agg(F.min(us), F.max(us)).first()
+    part = F.least(F.floor((us - lo) * SLICES / F.lit(hi - lo + 1)), F.lit(SLICES - 1))
+    for i in range(SLICES):
+        write(df.filter(part == i).repartition(FILES))
 
 
 def _events_stream(spark, sf_dir):
-    schema = table(spark, sf_dir, "events").schema
-    return stream_table_files(spark, sf_dir, "events.parquet", schema)
+    """``events`` as a stream of several micro-batches."""
+    ev = table(spark, sf_dir, "events")
+    log = scratch_path(spark, "event-log")
+    _sliced(ev, "ts", lambda df: df.write.mode("append").parquet(log))
+    return stream_table_files(spark, log, "*.parquet", ev.schema, FILES)
 
 
 # After availableNow the watermark is the last event time (delay 0), and
@@ -49,17 +60,29 @@ FROM events GROUP BY user_id
 def q_rolling_stream_1h(spark, sf_dir):
     ev = _events_stream(spark, sf_dir)
     mentions = ev.select(F.col("user_id").cast("string").alias("name"), "ts")
-    hot = _hot(table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("name")))
-    changes = run_available(_histogram(mentions, hot), "rolling-stream")
+    changes = run_available(_histogram(mentions, _hot(spark, sf_dir)), "rolling-stream")
     return fold_changelog(changes, keep_zero=True).select("name", "count")
 
 
+# Row for row the batch changelog (T7) up to the last event time, although the
+# stream sees the events in several micro-batches.
+@register("rolling_stream_changelog_1h", f"""
+SELECT name, ts, "count" FROM ({_sql_changelog("user_id", 1)}) c WHERE ts <= (SELECT max(ts) FROM events)
+""")
+def q_rolling_stream_changelog_1h(spark, sf_dir):
+    mentions = _events_stream(spark, sf_dir).select(F.col("user_id").cast("string").alias("name"), "ts")
+    changes = run_available(rolling_histogram(mentions, HOUR_MS), "stream-changelog")
+    return changes.select("name", ntz_from_micros(F.unix_micros("ts")).alias("ts"), "count")
+
+
 def _run_top(spark, sf_dir, n: int = 100) -> str:
-    ev = _events_stream(spark, sf_dir)
-    mentions = ev.select(F.col("user_id").cast("string").alias("name"), "ts")
+    """Transformer and consumer: the published changelog is read in several micro-batches of its own."""
+    mentions = _events_stream(spark, sf_dir).select(F.col("user_id").cast("string").alias("name"), "ts")
     base = scratch_path(spark, "rolling-top")
-    hot = _hot(table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("name")))
-    q = top_n_stream(_histogram(mentions, hot), f"{base}/out", f"{base}/checkpoint", n)
+    q = write_batches(_histogram(mentions, _hot(spark, sf_dir)), f"{base}/changes", f"{base}/transformer")
+    await_done(q, "rolling-changes")
+    files = len(spark.read.parquet(f"{base}/changes").inputFiles())
+    q = top_n_stream(published_changelog(spark, f"{base}/changes", max(1, files // 3)), f"{base}/out", f"{base}/consumer", n)
     await_done(q, "rolling-top")
     return f"{base}/out"
 
@@ -87,6 +110,12 @@ def q_rolling_top100_messages(spark, sf_dir):
     return apply_messages(read_messages(spark, _run_top(spark, sf_dir))).select("name", "count")
 
 
+# The snapshot is what a reader that joins after the last batch gets (K7).
+@register("rolling_top100_snapshot", _SQL_TOP_STREAM)
+def q_rolling_top100_snapshot(spark, sf_dir):
+    return read_snapshot(spark, _run_top(spark, sf_dir)).select("name", "count")
+
+
 # The windowed approximation as a stream: 1-hour windows sliding by 15
 # minutes, watermark at the last event time; append mode emits each window
 # once the watermark reaches its end.
@@ -124,8 +153,8 @@ FROM m GROUP BY name
 """)
 def q_rolling_records_stream_1h(spark, sf_dir):
     log = scratch_path(spark, "record-log")
-    publish_records(event_records(spark, sf_dir), log)
-    mentions = stream_mentions(stream_records(spark, log))
-    hot = _hot(stream_mentions(spark.read.parquet(log)))
+    _sliced(event_records(spark, sf_dir), "timestamp", lambda df: publish_records(df, log))
+    mentions = stream_mentions(stream_records(spark, log, max_files_per_trigger=FILES))
+    hot = salt_plan(stream_mentions(spark.read.parquet(log)))
     changes = run_available(_histogram(mentions, hot), "records-stream")
     return fold_changelog(changes, keep_zero=True).select("name", "count")

@@ -77,4 +77,7 @@ CHANGELOG_SCHEMA = T.StructType([
     T.StructField("seq", T.LongType(), True),
 ])
 
-DELTA_ITEM_TYPE = "array<struct<name:string,count:bigint>>"
+# The changelog as it is published and consumed: each row with the id of the
+# micro-batch that emitted it, because ``seq`` starts anew when a key's state
+# is cleared; readers order a key's rows by (batch, seq).
+PUBLISHED_CHANGELOG_SCHEMA = T.StructType([*CHANGELOG_SCHEMA.fields, T.StructField("batch", T.LongType(), True)])

@@ -39,11 +39,13 @@ def split_record_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
     8 characters of field 1 (null when invalid, fork F8).
     """
     fields = F.split(F.col(value_col), "\t", -1)
-    arity = F.size(F.split(F.regexp_replace(F.col(value_col), "\t+$", ""), "\t", -1))
-    return (lines.filter(arity > NAMES_POS)
-            .select(fields.getItem(0).alias("GKGRECORDID"),
-                    day_from_stamp(fields.getItem(DATE_POS)).alias("DATE"),
-                    fields.getItem(NAMES_POS).alias("AllNames")))
+    f = F.col("f")
+    # more than NAMES_POS fields, trailing empty ones aside: some field from there on isn't empty
+    more = F.exists(F.slice(f, NAMES_POS + 1, F.greatest(F.size(f) - NAMES_POS, F.lit(0))), lambda x: x != "")
+    return (lines.select(fields.alias("f")).filter(more)
+            .select(f.getItem(0).alias("GKGRECORDID"),
+                    day_from_stamp(f.getItem(DATE_POS)).alias("DATE"),
+                    f.getItem(NAMES_POS).alias("AllNames")))
 
 
 def read_records_text(spark: SparkSession, path) -> DataFrame:

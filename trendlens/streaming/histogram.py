@@ -1,38 +1,38 @@
 """Streaming rolling histogram (T1–T6, T10): per-name count over a trailing
 horizon, published as a changelog.
 
-``rolling_histogram`` keys the mention stream by name and runs one
-``StatefulProcessor`` per name (``transformWithStateInPandas``, RocksDB
-state, event-time timers). Every state access is a round trip to the state
-store, so the state is laid out to need few of them:
-
-* ``meta`` (value): live count, emitted-row sequence, the registered timer,
-  and a small index of chunks ``(id, first ms, last ms)``;
-* the live mentions themselves, as sorted ms and multiplicity arrays packed
-  as int64 bytes: inside ``meta`` while there are at most ``INLINE_MAX``
-  distinct ms, otherwise in ``chunks`` (map: chunk id → arrays), one chunk
-  per micro-batch. Mentions are typed numbers, never packed into strings
-  (fork F15).
-
-Per key and micro-batch that is one ``meta`` read and write (plus one chunk
-write for a busy key), whatever the number of mentions; a hot name's state
-is split into bounded chunks instead of one growing value. One event-time timer per name
-sits at its earliest pending expiry; when the watermark passes it, every
-mention whose ``ms + horizon`` is at or before the watermark leaves the
-count (O(expired), never a scan of the whole store).
-
-Each change is emitted as ``name, count, ts, seq`` (``seq`` increases per
-name, so "latest row wins" is well defined; ``ts`` is the mention time for
-an increase and the expiry time for a decrease). Before a batch's mentions
-are added, everything the current watermark has already expired is
-removed, so increases never include mentions that are already out of the
-horizon at the watermark. A count that reaches 0 is emitted once and the
-name's state is cleared (F14); rows older than the watermark are dropped by
-Spark (F17).
+``rolling_histogram`` keys the mention stream by name (and salt) and runs one
+``StatefulProcessor`` per key (``transformWithStateInPandas``, RocksDB state,
+event-time timers). State has one layout:
+
+* ``meta`` (value): the live count, the time up to which changes are emitted,
+  the emitted-row sequence, the registered timer and the first and last ms of
+  every bucket;
+* ``buckets`` (map: bucket id → sorted ms and multiplicities, packed int64):
+  the mentions of one ``BUCKET_MS`` of event time. A value never has more than
+  ``BUCKET_MS`` entries, and a batch reads and writes only the buckets that its
+  mentions, and the expiries due with them, fall into. Mentions are typed
+  numbers, never packed into strings (fork F15).
+
+The changelog is the batch changelog (T7) of the key's mentions, row for row,
+however the rows fall into files and micro-batches: changes are emitted in
+time order, each as the number of mentions in (t − horizon, t]. At a time t
+all mentions at t are added and all that expire at t leave; a row is emitted
+if the two don't cancel. With no watermark delay rows arrive in time order (older
+ones are dropped), so a batch emits everything up to its key's last mention;
+with a delay, changes are held until the watermark has passed them. A timer
+at the next pending time emits the rest as the watermark advances: O(due
+changes), never a scan of the store.
+
+Rows are ``name, salt, count, ts, seq``; ``seq`` increases while a key has
+state. A count that reaches 0 is emitted once and the key's state is cleared
+(F14), after which ``seq`` starts anew: readers order by (batch, seq). Rows
+behind the watermark are dropped (F17).
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -45,6 +45,8 @@ from ..operators.clean import clean_names
 from ..schemas import CHANGELOG_SCHEMA, NAMES_POS
 
 HOUR_MS = 3_600_000
+#: Event time that one state bucket covers.
+BUCKET_MS = 60_000
 STATE_PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -57,185 +59,189 @@ def ensure_rocksdb_state(spark) -> None:
     if not current or "RocksDB" not in current:
         spark.conf.set(STATE_PROVIDER_KEY, ROCKSDB_PROVIDER)
 
+
 OUTPUT_SCHEMA = CHANGELOG_SCHEMA
 
 _META = T.StructType([
     T.StructField("count", T.LongType()),
+    T.StructField("done", T.LongType()),
     T.StructField("seq", T.LongType()),
     T.StructField("timer", T.LongType()),
-    T.StructField("next_chunk", T.LongType()),
     T.StructField("index", T.BinaryType()),
-    T.StructField("inline_ms", T.BinaryType()),
-    T.StructField("inline_n", T.BinaryType()),
 ])
-_CHUNK_KEY = T.StructType([T.StructField("id", T.LongType())])
-_CHUNK = T.StructType([
+_BUCKET_KEY = T.StructType([T.StructField("id", T.LongType())])
+_BUCKET = T.StructType([
     T.StructField("ms", T.BinaryType()),
     T.StructField("n", T.BinaryType()),
 ])
 
 _I64 = np.dtype("<i8")
-# Live mentions kept inside ``meta`` while they are few (most names): one
-# state read and one write per key and batch. Beyond this many distinct ms
-# a batch's mentions go to their own chunk.
-INLINE_MAX = 4096
-_EMPTY = np.empty(0, dtype=_I64)
+_NEVER = -(1 << 62)
 
 
 def _arr(b) -> np.ndarray:
     return np.frombuffer(bytes(b), dtype=_I64)
 
 
-def _merge(ms_a, n_a, ms_b, n_b):
-    """Union of two (sorted ms, multiplicity) sets, multiplicities added."""
-    u, inv = np.unique(np.concatenate([ms_a, ms_b]), return_inverse=True)
-    return u.astype(_I64), np.bincount(inv, weights=np.concatenate([n_a, n_b])).astype(_I64)
-
-
-class _Meta:
-    __slots__ = ("count", "seq", "timer", "next_chunk", "index", "ims", "inn")
-
-    def __init__(self, count=0, seq=0, timer=-1, next_chunk=0, index=None, ims=_EMPTY, inn=_EMPTY):
-        self.count, self.seq, self.timer, self.next_chunk = int(count), int(seq), int(timer), int(next_chunk)
-        # rows: chunk id, first ms, last ms
-        self.index = np.empty((0, 3), dtype=_I64) if index is None else index
-        self.ims, self.inn = ims, inn  # inline mentions: sorted ms, multiplicity
-
-    def empty(self) -> bool:
-        return len(self.index) == 0 and len(self.ims) == 0
+def _merge(ms: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ms in order, multiplicities added."""
+    u, inv = np.unique(ms, return_inverse=True)
+    return u.astype(_I64), np.bincount(inv, weights=n, minlength=len(u)).astype(_I64)
+
+
+class _Key:
+    """One key's state: ``meta`` at once, buckets as they are needed."""
+
+    def __init__(self, meta, buckets):
+        self._meta, self._buckets = meta, buckets
+        self._held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        self._changed: set[int] = set()
+        v = meta.get()
+        self.exists = v is not None
+        self.count, self.done, self.seq, self.timer = (int(x) for x in v[:4]) if v else (0, _NEVER, 0, -1)
+        rows = _arr(v[4]).reshape(-1, 3) if v else np.empty((0, 3), dtype=_I64)
+        self.index = {int(i): (int(a), int(b)) for i, a, b in rows}  # bucket id: first ms, last ms
+
+    def bucket(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        if i not in self._held:
+            v = self._buckets.getValue((i,)) if i in self.index else None
+            self._held[i] = (_arr(v[0]), _arr(v[1])) if v is not None else (np.empty(0, _I64), np.empty(0, _I64))
+        return self._held[i]
+
+    def put(self, i: int, ms: np.ndarray, n: np.ndarray) -> None:
+        self._held[i] = (ms, n)
+        self._changed.add(i)
+        if len(ms):
+            self.index[i] = (int(ms[0]), int(ms[-1]))
+        else:
+            self.index.pop(i, None)
+
+    def between(self, after: int, upto: int) -> tuple[np.ndarray, np.ndarray]:
+        """The mentions with ``after < ms <= upto``."""
+        found = [self.bucket(i) for i in sorted(i for i, (a, b) in self.index.items() if a <= upto and b > after)]
+        if not found:
+            return np.empty(0, _I64), np.empty(0, _I64)
+        ms, n = np.concatenate([x[0] for x in found]), np.concatenate([x[1] for x in found])
+        a, b = np.searchsorted(ms, [after, upto], side="right")
+        return ms[a:b], n[a:b]
+
+    def first_after(self, t: int) -> int | None:
+        """The first mention after ``t``."""
+        later = [i for i, (_, b) in self.index.items() if b > t]
+        if not later:
+            return None
+        ms, _ = self.bucket(min(later))
+        return int(ms[np.searchsorted(ms, t, side="right")])
+
+    def save(self) -> None:
+        for i in self._changed:
+            ms, n = self._held[i]
+            if len(ms):
+                self._buckets.updateValue((i,), (ms.tobytes(), n.tobytes()))
+            elif self._buckets.containsKey((i,)):
+                self._buckets.removeKey((i,))
+        if self.index:
+            rows = np.array([(i, a, b) for i, (a, b) in sorted(self.index.items())], dtype=_I64)
+            self._meta.update((self.count, self.done, self.seq, self.timer, rows.tobytes()))
+        elif self.exists:
+            self._meta.clear()
 
 
 class RollingCountProcessor(StatefulProcessor):
-    """Count of mentions of one name in (t − horizon, t]."""
+    """Count of mentions of one key in (t − horizon, t], at every t where it changes."""
 
-    def __init__(self, horizon_ms: int = HOUR_MS, inline_max: int = INLINE_MAX):
+    def __init__(self, horizon_ms: int = HOUR_MS, in_order: bool = True, bucket_ms: int = BUCKET_MS):
         self.horizon_ms = int(horizon_ms)
-        self.inline_max = int(inline_max)
+        self.in_order = bool(in_order)
+        self.bucket_ms = int(bucket_ms)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.meta = handle.getValueState("meta", _META)
-        self.chunks = handle.getMapState("chunks", _CHUNK_KEY, _CHUNK)
-
-    # -- state -----------------------------------------------------------
-    def _load(self) -> _Meta | None:
-        v = self.meta.get()
-        if v is None:
-            return None
-        c, s, t, nxt, idx, ims, inn = v
-        return _Meta(c, s, t, nxt, _arr(idx).reshape(-1, 3).copy(), _arr(ims), _arr(inn))
-
-    def _save(self, m: _Meta) -> None:
-        self.meta.update((m.count, m.seq, m.timer, m.next_chunk, m.index.astype(_I64).tobytes(),
-                          m.ims.astype(_I64).tobytes(), m.inn.astype(_I64).tobytes()))
+        self.buckets = handle.getMapState("buckets", _BUCKET_KEY, _BUCKET)
 
-    # -- changes ---------------------------------------------------------
-    def _add(self, m: _Meta, ms: np.ndarray):
-        """Add the batch's mentions (inline, or as one new chunk); running counts per distinct ms."""
+    def _add(self, k: _Key, ms: np.ndarray) -> None:
         u, n = np.unique(ms, return_counts=True)
-        u, n = u.astype(_I64), n.astype(_I64)
-        if len(m.ims) + len(u) <= self.inline_max:
-            m.ims, m.inn = _merge(m.ims, m.inn, u, n)
-        else:
-            cid = m.next_chunk
-            m.next_chunk += 1
-            self.chunks.updateValue((cid,), (u.tobytes(), n.tobytes()))
-            m.index = np.vstack([m.index, np.array([[cid, u[0], u[-1]]], dtype=_I64)])
-        counts = m.count + np.cumsum(n)
-        m.count = int(counts[-1])
-        return u, counts
-
-    def _expire(self, m: _Meta, limit: int):
-        """Remove mentions with ms + horizon ≤ limit; counts per expiry time."""
+        ids = u // self.bucket_ms
+        for i in np.unique(ids):
+            a, b = np.searchsorted(ids, [i, i + 1])
+            old_ms, old_n = k.bucket(int(i))
+            k.put(int(i), *_merge(np.concatenate([old_ms, u[a:b]]), np.concatenate([old_n, n[a:b]])))
+
+    def _advance(self, k: _Key, limit: int, late: int = 0) -> tuple[np.ndarray, np.ndarray] | None:
+        """Emit the changes in (done, limit]; ``late`` mentions are of a time already emitted."""
         h = self.horizon_ms
-        gone_ms, gone_n = [], []
-        if len(m.ims) and m.ims[0] + h <= limit:
-            cut = int(np.searchsorted(m.ims, limit - h, side="right"))
-            gone_ms.append(m.ims[:cut])
-            gone_n.append(m.inn[:cut])
-            m.ims, m.inn = m.ims[cut:], m.inn[cut:]
-        due = m.index[:, 1] + h <= limit
-        for row in np.nonzero(due)[0]:
-            cid = int(m.index[row, 0])
-            v = self.chunks.getValue((cid,))
-            if v is None:
-                m.index[row, 0] = -1
-                continue
-            ms, n = _arr(v[0]), _arr(v[1])
-            cut = int(np.searchsorted(ms, limit - h, side="right"))
-            gone_ms.append(ms[:cut])
-            gone_n.append(n[:cut])
-            if cut == len(ms):
-                self.chunks.removeKey((cid,))
-                m.index[row, 0] = -1
-            else:
-                self.chunks.updateValue((cid,), (ms[cut:].tobytes(), n[cut:].tobytes()))
-                m.index[row, 1] = ms[cut]
-        m.index = m.index[m.index[:, 0] >= 0]
-        ms = np.concatenate(gone_ms) if gone_ms else np.empty(0, dtype=_I64)
-        if ms.size == 0:
+        if limit <= k.done and not late:
             return None
-        u, inv = np.unique(ms, return_inverse=True)
-        n = np.bincount(inv, weights=np.concatenate(gone_n)).astype(_I64)
-        counts = m.count - np.cumsum(n)
-        m.count = int(counts[-1])
-        return u + h, counts
-
-    def _reschedule(self, m: _Meta, fired: int | None = None) -> None:
-        firsts = ([int(m.ims[0])] if len(m.ims) else []) + ([int(m.index[:, 1].min())] if len(m.index) else [])
-        want = min(firsts) + self.horizon_ms if firsts else -1
-        if m.timer == want:
+        add_ms, add_n = k.between(k.done, limit)
+        out_ms, out_n = k.between(k.done - h if k.done > _NEVER else _NEVER, limit - h)
+        times = np.concatenate([add_ms, out_ms + h])
+        net = np.concatenate([add_n, -out_n])
+        if late:
+            times, net = np.concatenate([[k.done], times]), np.concatenate([[late], net])
+        t, d = _merge(times, net)
+        counts = k.count + np.cumsum(d)
+        if len(counts):
+            k.count = int(counts[-1])
+        k.done = max(k.done, limit)
+        for i in [i for i, (a, _) in k.index.items() if a + h <= k.done]:
+            ms, n = k.bucket(i)
+            cut = int(np.searchsorted(ms, k.done - h, side="right"))
+            k.put(i, ms[cut:], n[cut:])
+        return t[d != 0], counts[d != 0]
+
+    def _schedule(self, k: _Key, fired: int | None = None) -> None:
+        """One timer at the next pending time: a held mention, or the first expiry."""
+        firsts = [a for a, _ in k.index.values()]
+        pending = k.first_after(k.done)
+        want = min([min(firsts) + self.horizon_ms] + ([pending] if pending is not None else [])) if firsts else -1
+        if k.timer == want:
             return
-        if m.timer >= 0 and m.timer != fired:
-            self.handle.deleteTimer(m.timer)
+        if k.timer >= 0 and k.timer != fired:
+            self.handle.deleteTimer(k.timer)
         if want >= 0:
             self.handle.registerTimer(want)
-        m.timer = want
+        k.timer = want
+
+    def _finish(self, key, k: _Key, changes, fired: int | None = None) -> Iterator[pd.DataFrame]:
+        self._schedule(k, fired)
+        rows = 0 if changes is None else len(changes[0])
+        seq = k.seq + np.arange(1, rows + 1, dtype=_I64)
+        k.seq += rows
+        k.save()
+        if rows:
+            yield pd.DataFrame({
+                "name": [key[0]] * rows,
+                "salt": pd.Series([key[1]] * rows, dtype="int32"),
+                "count": changes[1].astype(_I64),
+                "ts": pd.to_datetime(changes[0].astype(_I64), unit="ms", utc=True),
+                "seq": seq,
+            })
 
-    def _finish(self, key, m: _Meta, parts) -> Iterator[pd.DataFrame]:
-        parts = [p for p in parts if p is not None]
-        if not parts:
-            self._save(m)
-            return
-        ts = np.concatenate([p[0] for p in parts])
-        counts = np.concatenate([p[1] for p in parts])
-        seq = m.seq + np.arange(1, len(ts) + 1, dtype=_I64)
-        m.seq = int(seq[-1])
-        if m.empty():
-            # The name left the horizon: its 0 was emitted; forget it.
-            self.meta.clear()
-        else:
-            self._save(m)
-        yield pd.DataFrame({
-            "name": [key[0]] * len(ts),
-            "salt": pd.Series([key[1]] * len(ts), dtype="int32"),
-            "count": counts.astype(_I64),
-            "ts": pd.to_datetime(ts.astype(_I64), unit="ms", utc=True),
-            "seq": seq,
-        })
-
-    # -- callbacks -------------------------------------------------------
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         ms = [pdf["ms"].to_numpy(dtype=_I64) for pdf in rows]
         ms = np.concatenate(ms) if ms else np.empty(0, dtype=_I64)
         if ms.size == 0:
             return
-        m = self._load() or _Meta()
-        expired = self._expire(m, timerValues.getCurrentWatermarkInMs())
-        added = self._add(m, ms)
-        self._reschedule(m)
-        yield from self._finish(key, m, [expired, added])
+        watermark = timerValues.getCurrentWatermarkInMs()
+        ms = ms[ms >= watermark]  # Spark's own filter of late rows lags one batch behind
+        if ms.size == 0:
+            return
+        k = _Key(self.meta, self.buckets)
+        late = int((ms <= k.done).sum())  # the emitted time itself: several rows of one ms in two batches
+        self._add(k, ms)
+        limit = int(ms.max()) if self.in_order else watermark
+        yield from self._finish(key, k, self._advance(k, limit, late))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        m = self._load()
-        if m is None:
+        k = _Key(self.meta, self.buckets)
+        if not k.exists:
             return
         fired = expiredTimerInfo.getExpiryTimeInMs()
-        if m.timer == fired:
-            m.timer = -1
-        expired = self._expire(m, max(fired, timerValues.getCurrentWatermarkInMs()))
-        self._reschedule(m, fired)
-        yield from self._finish(key, m, [expired])
+        if k.timer == fired:
+            k.timer = -1
+        limit = max(fired, timerValues.getCurrentWatermarkInMs())
+        yield from self._finish(key, k, self._advance(k, limit), fired)
 
     def close(self) -> None:
         pass
@@ -250,53 +256,65 @@ def stream_mentions(records: DataFrame, value_col: str = "value", ts_col: str =
     (F1) and no noise filter (F9). Blank names are dropped (F4, F5).
     """
     fields = F.split(F.col(value_col), "\t", -1)
-    # JVM split drops trailing empty fields, so count fields after rtrim of tabs.
-    arity = F.size(F.split(F.regexp_replace(F.col(value_col), "\t+$", ""), "\t", -1))
-    shaped = (records.filter(arity > NAMES_POS)
-              .select(fields.getItem(NAMES_POS).alias("AllNames"), F.col(ts_col).alias("ts")))
+    # JVM split drops trailing empty fields: a line has more than NAMES_POS
+    # fields exactly when one from there on isn't empty.
+    shaped = (records.select(fields.alias("f"), F.col(ts_col).alias("ts"))
+              .filter(F.exists(F.slice("f", NAMES_POS + 1, F.greatest(F.size("f") - NAMES_POS, F.lit(0))), lambda x: x != ""))
+              .select(F.col("f").getItem(NAMES_POS).alias("AllNames"), "ts"))
     return clean_names(shaped, "AllNames", None, per_record, stop_substrings, keep=("ts",))
 
 
+def salt_plan(names: DataFrame, share: float = 1 / 64, name_col: str = "name") -> DataFrame:
+    """``name, salts`` of the names that hold more than ``share`` of all rows.
+
+    A name gets as many salts as shares it holds, so no state key has much more
+    than ``share`` of the rows. At most ``1 / share`` names qualify, however large
+    the table is.
+    """
+    counts = names.groupBy(F.col(name_col).alias("name")).agg(F.count(F.lit(1)).alias("n"))
+    total = names.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    return counts.filter(F.col("n") > share * total).select("name", F.ceil(F.col("n") / (share * max(total, 1))).cast("int").alias("salts"))
+
+
 def rolling_histogram(mentions: DataFrame, horizon_ms: int = HOUR_MS, watermark: str = "0 seconds",
                       name_col: str = "name", ts_col: str = "ts", salts: int = 1,
-                      hot: DataFrame | Sequence[str] | None = None, max_hot: int = 10_000,
-                      inline_max: int = INLINE_MAX) -> DataFrame:
+                      hot: DataFrame | Sequence[str] | None = None, bucket_ms: int = BUCKET_MS) -> DataFrame:
     """Changelog ``name, salt, count, ts, seq`` of the per-name rolling count.
 
     ``mentions`` may be streaming or batch; ``ts`` of any timestamp type
     (converted to an instant through UTC epoch values). One shuffle by the
     state key.
 
-    Hot names: with ``salts = S > 1`` the state key is (name, salt), salt =
-    hash(name, ms) mod S, so one name's mentions are spread over S state
-    keys (and tasks); equal (name, ms) mentions stay together and collapse
-    into one multiplicity entry. ``hot`` (names, or a table with a ``name``
-    column such as the top names of an earlier period) limits salting to
-    those names; every other name keeps one key (salt 0), so cold names cost
-    nothing extra. A hot table is read once, at most ``max_hot`` names (the
-    bound on what reaches the driver), and applied as an ``isin`` set, so a
-    stream does not re-run it per micro-batch. Each row's ``count`` is the partial count of its (name, salt);
+    Hot names: a name with ``S`` salts is spread over S state keys (and tasks)
+    by hash(name, ms) mod S; equal (name, ms) mentions stay together and collapse
+    into one multiplicity entry. Without ``hot`` every name has ``salts``. ``hot``
+    is a table ``name, salts`` (see :func:`salt_plan`; without a ``salts`` column,
+    or as a list of names, each has ``salts``); names that aren't in it keep one key. It is
+    joined to the stream as a table, whatever its size. Each row's ``count`` is the
+    partial count of its (name, salt);
     :func:`trendlens.operators.topn.fold_changelog` and the top-N consumer
     sum the latest partial of every salt. Without salting every row carries
     the name's total.
     """
-    ensure_rocksdb_state(mentions.sparkSession)
+    spark = mentions.sparkSession
+    ensure_rocksdb_state(spark)
     ev = as_event_time(mentions, ts_col)
     src = (mentions.select(F.col(name_col).alias("name"), ev.alias("event_time"))
            .withWatermark("event_time", watermark)
            .withColumn("ms", F.unix_millis("event_time")))
-    if salts > 1:
-        spread = F.pmod(F.xxhash64(F.col("name"), F.col("ms")), F.lit(int(salts))).cast("int")
-        if hot is not None:
-            if isinstance(hot, DataFrame):
-                hot = [r[0] for r in hot.select("name").distinct().limit(int(max_hot)).collect()]
-            names = list(hot)[: int(max_hot)]
-            spread = F.when(F.col("name").isin(names), spread).otherwise(F.lit(0))
-        salt = spread
-    else:
-        salt = F.lit(0)
-    return (src.withColumn("salt", salt).groupBy("name", "salt").transformWithStateInPandas(
-        statefulProcessor=RollingCountProcessor(horizon_ms, inline_max),
+    parts = F.lit(int(salts))
+    if hot is not None:
+        if not isinstance(hot, DataFrame):
+            hot = spark.createDataFrame([(x,) for x in hot], "name string")
+        if "salts" not in hot.columns:
+            hot = hot.select("name", F.lit(int(salts)).alias("salts"))
+        plan = hot.groupBy(F.col("name").alias("hot_name")).agg(F.max("salts").alias("salts"))
+        src = src.join(plan, F.col("name") == F.col("hot_name"), "left")
+        parts = F.coalesce(F.col("salts"), F.lit(1))
+    salt = F.pmod(F.xxhash64(F.col("name"), F.col("ms")), parts).cast("int")
+    in_order = not re.search(r"[1-9]", watermark)  # no delay: every row is after what has been emitted
+    return (src.select("name", "event_time", "ms", salt.alias("salt")).groupBy("name", "salt").transformWithStateInPandas(
+        statefulProcessor=RollingCountProcessor(horizon_ms, in_order, bucket_ms),
         outputStructType=OUTPUT_SCHEMA,
         outputMode="Append",
         timeMode="EventTime"))

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..schemas import RECORD_STREAM_SCHEMA
+from ..schemas import PUBLISHED_CHANGELOG_SCHEMA, RECORD_STREAM_SCHEMA
 from ..session import scratch_path
 
 
@@ -46,27 +46,41 @@ def stream_records(spark: SparkSession, path: str | None = None, servers: str |
     return stream_table_files(spark, path, "*.parquet", RECORD_STREAM_SCHEMA, max_files_per_trigger)
 
 
+def changelog_messages(changes: DataFrame) -> DataFrame:
+    """K4: published changelog rows as messages: key = name, value = the whole row as JSON."""
+    return changes.select(F.col("name").alias("key"), F.to_json(F.struct(*[f.name for f in PUBLISHED_CHANGELOG_SCHEMA.fields])).alias("value"))
+
+
+def changelog_from_messages(messages: DataFrame) -> DataFrame:
+    """The rows of such messages again, with the columns the consumer reads."""
+    return messages.select(F.from_json(F.col("value"), PUBLISHED_CHANGELOG_SCHEMA).alias("row")).select("row.*")
+
+
 def stream_histogram(spark: SparkSession, servers: str, topic: str = "histogram") -> DataFrame:
     """The histogram changelog from the latest offset (history skipped).
 
-    ``name`` is the message key, ``count`` the value. A fresh checkpoint
-    folder per start wipes the consumer's state (T10).
+    A fresh checkpoint folder per start wipes the consumer's state (T10).
     """
-    raw = stream_records_kafka(spark, servers, topic, "latest")
-    return raw.selectExpr("key AS name", "CAST(value AS BIGINT) AS count", "timestamp AS ts")
+    return changelog_from_messages(stream_records_kafka(spark, servers, topic, "latest"))
 
 
-def write_kafka(stream: DataFrame, servers: str, topic: str, checkpoint: str,
-                key_col: str = "name", value_col: str = "count", output_mode: str = "append"):
-    """K4: publish a changelog stream to a topic (key = name, value = count).
+def write_kafka(changes: DataFrame, servers: str, topic: str, checkpoint: str, trigger: dict | None = None):
+    """K4: publish a changelog stream to a topic, each row with its batch.
 
     Needs the Kafka connector on the classpath (not installed here); the
     file-based equivalent is :func:`write_batches`.
     """
-    out = stream.selectExpr(f"CAST({key_col} AS STRING) AS key", f"CAST({value_col} AS STRING) AS value")
-    return (out.writeStream.format("kafka").option("kafka.bootstrap.servers", servers)
-            .option("topic", topic).option("checkpointLocation", checkpoint)
-            .outputMode(output_mode).start())
+    def sink(df: DataFrame, batch_id: int) -> None:
+        (changelog_messages(df.withColumn("batch", F.lit(batch_id).cast("long"))).write.format("kafka")
+         .option("kafka.bootstrap.servers", servers).option("topic", topic).save())
+
+    w = changes.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+    return w.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def published_changelog(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """The changelog that :func:`write_batches` wrote to ``path``, as a stream with its ``batch`` column."""
+    return stream_table_files(spark, path, "*.parquet", PUBLISHED_CHANGELOG_SCHEMA, max_files_per_trigger)
 
 
 def write_batches(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,

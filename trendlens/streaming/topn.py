@@ -1,21 +1,24 @@
 """Top-N consumer of the histogram changelog.
 
-``top_n_stream`` attaches a ``foreachBatch`` sink to a changelog stream
-(``name, salt, count, ts, seq``). For every micro-batch it
+``top_n_stream`` attaches a ``foreachBatch`` sink to a published changelog
+(``name, salt, count, ts, seq, batch``; the batch is the one that emitted the
+row). For every micro-batch it
 
-1. folds the batch to the latest count per (name, salt) (A9, one aggregation);
+1. folds the batch to the latest count per (name, salt), by (batch, seq)
+   (A9, one aggregation);
 2. merges that into the current histogram: the previous version minus the
    changed keys, plus the changed keys whose count is not 0 — written as a
    new version ``hist/batch=<id>`` under the output folder;
-3. sums the salts per name, takes the exact top ``n`` of the new version and
-   of the previous one and
-   writes their difference as one JSON message ``[{"name", "count"}, …]``
-   (leavers carry 0) to ``messages/batch=<id>``, and the new top table to
-   ``top/batch=<id>``.
-
-A replayed batch reads the same previous version and overwrites its own
-folders, so the outputs are exactly-once together with the checkpoint. Only
-the newest histogram version is kept once the next one is written. The
+3. sums the salts per name, takes the exact top ``n``, writes it to
+   ``top/batch=<id>``, its difference to the previous batch's stored table as
+   one JSON message ``[{"name", "count"}, …]`` (leavers carry 0) to
+   ``messages/batch=<id>``, and the whole table as one message to
+   ``snapshot/batch=<id>`` for readers that join late (K7).
+
+A replayed batch reads the same previous versions and overwrites its own
+folders, so the outputs are exactly-once together with the checkpoint: a
+batch drops only versions older than the one it was built from. ``retain``
+bounds the messages kept; who reads later starts from the snapshot. The
 histogram is a table of live names (bounded by the names mentioned within
 one horizon), processed by Spark like any other table; only ``n`` rows per
 batch reach the top-N merge.
@@ -68,8 +71,11 @@ def _drop_before(spark: SparkSession, base: str, keep_from: int) -> None:
 
 
 def merge_changes(hist: DataFrame, changes: DataFrame) -> DataFrame:
-    """New histogram: ``hist`` with the latest count of each changed (name, salt); 0 removes."""
-    latest = changes.groupBy("name", "salt").agg(F.max_by("count", "seq").alias("count"))
+    """New histogram: ``hist`` with the latest count of each changed (name, salt); 0 removes.
+
+    A key's rows are ordered by (batch, seq): ``seq`` starts anew when its state is cleared.
+    """
+    latest = changes.groupBy("name", "salt").agg(F.max_by("count", F.struct("batch", "seq")).alias("count"))
     kept = hist.join(latest.select("name", "salt"), ["name", "salt"], "left_anti")
     return kept.unionByName(latest.filter(F.col("count") != 0).select("name", "salt", "count"))
 
@@ -79,35 +85,40 @@ def totals(hist: DataFrame) -> DataFrame:
     return hist.groupBy("name").agg(F.sum("count").cast("bigint").alias("count"))
 
 
-def top_n_sink(path: str, n: int = 100):
+def top_n_sink(path: str, n: int = 100, retain: int | None = None):
     """The ``foreachBatch`` function of :func:`top_n_stream`."""
+    def version(spark: SparkSession, kind: str, v: int | None, schema) -> DataFrame:
+        if v is None:
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).parquet(f"{path}/{kind}/batch={v}")
+
     def sink(changes: DataFrame, batch_id: int) -> None:
         spark = changes.sparkSession
-        hist_base = f"{path}/hist"
-        prev_versions = [v for v in _versions(spark, hist_base) if v < batch_id]
-        if prev_versions:
-            prev = spark.read.schema(HIST_SCHEMA).parquet(f"{hist_base}/batch={prev_versions[-1]}")
-        else:
-            prev = spark.createDataFrame([], HIST_SCHEMA)
-        merge_changes(prev, changes).write.mode("overwrite").parquet(f"{hist_base}/batch={batch_id}")
-        cur = spark.read.schema(HIST_SCHEMA).parquet(f"{hist_base}/batch={batch_id}")
-        top = top_n(totals(cur), n)
-        top.write.mode("overwrite").parquet(f"{path}/top/batch={batch_id}")
-        delta = top_n_delta(top_n(totals(prev), n), spark.read.schema(TOP_SCHEMA).parquet(
-            f"{path}/top/batch={batch_id}"))
+        before = [v for v in _versions(spark, f"{path}/top") if v < batch_id]
+        last = before[-1] if before else None
+        prev = version(spark, "hist", last, HIST_SCHEMA)
+        merge_changes(prev, changes).write.mode("overwrite").parquet(f"{path}/hist/batch={batch_id}")
+        top_n(totals(version(spark, "hist", batch_id, HIST_SCHEMA)), n).write.mode("overwrite").parquet(f"{path}/top/batch={batch_id}")
+        top = version(spark, "top", batch_id, TOP_SCHEMA)
+        delta = top_n_delta(version(spark, "top", last, TOP_SCHEMA), top)
         delta_message(delta).write.mode("overwrite").text(f"{path}/messages/batch={batch_id}")
-        _drop_before(spark, hist_base, batch_id)
+        snapshot_message(top).write.mode("overwrite").text(f"{path}/snapshot/batch={batch_id}")
+        if last is not None:  # the version before stays: a replay of this batch needs it
+            for kind in ("hist", "top", "snapshot"):
+                _drop_before(spark, f"{path}/{kind}", last)
+        if retain is not None:
+            _drop_before(spark, f"{path}/messages", batch_id - retain + 1)
     return sink
 
 
 def top_n_stream(changes: DataFrame, path: str, checkpoint: str, n: int = 100,
-                 trigger: dict | None = None, query_name: str | None = None):
+                 trigger: dict | None = None, query_name: str | None = None, retain: int | None = None):
     """Start the top-N consumer; one delta message per micro-batch.
 
     ``trigger={"processingTime": "1 second"}`` gives the reference's
     one-message-per-second cadence; the default runs what is available now.
     """
-    w = changes.writeStream.foreachBatch(top_n_sink(path, n)).option("checkpointLocation", checkpoint)
+    w = changes.writeStream.foreachBatch(top_n_sink(path, n, retain)).option("checkpointLocation", checkpoint)
     if query_name:
         w = w.queryName(query_name)
     return w.trigger(**(trigger or {"availableNow": True})).start()
@@ -137,3 +148,13 @@ def apply_messages(messages: DataFrame) -> DataFrame:
 def snapshot_message(top: DataFrame) -> DataFrame:
     """K7: the full top table as one message, for a reader that joins late."""
     return delta_message(top)
+
+
+def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
+    """The newest snapshot as rows ``batch, name, count``; later messages apply on top of it."""
+    versions = _versions(spark, f"{path}/snapshot")
+    if not versions:
+        return spark.createDataFrame([], "batch long, name string, count long")
+    text = spark.read.text(f"{path}/snapshot/batch={versions[-1]}")
+    items = text.select(F.explode(F.from_json("value", T.ArrayType(TOP_SCHEMA))).alias("m"))
+    return items.select(F.lit(versions[-1]).cast("long").alias("batch"), F.col("m.name").alias("name"), F.col("m.count").alias("count"))
