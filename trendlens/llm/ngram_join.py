@@ -9,9 +9,11 @@ one node. Steps:
 2. A second scan emits every set's prefix: its rarest shingles, by this scale
    and then by hash. Sets of similarity ``t`` share a shingle of their prefixes
    of ``n - ceil(t n) + 1`` shingles under any common order; the scale only keeps
-   frequent shingles out of prefixes.
-3. A shingle's sets in order of size form tiles. First only neighbours in that
-   order are candidates: their number is linear in the tiles' rows.
+   frequent shingles out of prefixes. A pair that needs an overlap of ``o`` shares
+   one within its first ``n - o + 1`` shingles each, so places count as well.
+3. The sets of a shingle form a tile. First only the pairs of each set with the
+   tile's most typical one (the most frequent shingles on average: an original
+   among its copies) are candidates: their number is linear in the tiles' rows.
 4. Candidates are checked: sizes, then hashed bitmaps whose length depends on
    the size band (bits of one that the other lacks bound the overlap from
    above), then the intersection of the sorted arrays.
@@ -125,7 +127,7 @@ def _frequency_table(repeats: DataFrame) -> np.ndarray:
 
 
 def _prefixes(table) -> Callable:
-    """Rows ``shingle, key, n`` of each set's prefix."""
+    """Rows ``shingle, key, n, place, typical`` of each set's prefix."""
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scale, seen = table.value, set()
         for batch in batches:
@@ -134,23 +136,29 @@ def _prefixes(table) -> Callable:
                 rows = _first_of_task(keys, n_all, seen)
                 s, n = _of_rows(h, edges, rows)
                 set_ = np.repeat(np.arange(len(rows)), n)
-                order = np.argsort(set_ * 64 + scale[(s & np.uint64(CELLS - 1)).astype(np.int64)], kind="stable")
+                frequent = scale[(s & np.uint64(CELLS - 1)).astype(np.int64)]
+                order = np.argsort(set_ * 64 + frequent, kind="stable")
+                typical = 1000 * np.bincount(set_, weights=frequent, minlength=len(rows)) // np.maximum(n, 1)
                 length = n - -(-n * NUMERATOR // DENOMINATOR) + 1
-                at = order[np.arange(int(length.sum())) + np.repeat((np.cumsum(n) - n) - (np.cumsum(length) - length), length)]
-                yield pa.RecordBatch.from_arrays([pa.array(s[at].view(np.int64)), pa.array(np.repeat(keys[rows], length)), pa.array(np.repeat(n, length).astype(np.int32))],
-                                                 names=["shingle", "key", "n"])
+                place = np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length)
+                at = order[place + np.repeat(np.cumsum(n) - n, length)]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(s[at].view(np.int64)), pa.array(np.repeat(keys[rows], length)), pa.array(np.repeat(n, length).astype(np.int32)),
+                    pa.array(place.astype(np.int32)), pa.array(np.repeat(typical, length).astype(np.int32))], names=["shingle", "key", "n", "place", "typical"])
     return emit
 
 
-def _near_size(a: Column, b: Column) -> Column:
-    return DENOMINATOR * F.least(a, b) >= NUMERATOR * F.greatest(a, b)
+def _may_link(n: Column, place: Column, m: Column, other: Column) -> Column:
+    """Sizes ``n`` and ``m`` allow a link, and a shared shingle at these places can be the first one of the two."""
+    need = F.ceil(NUMERATOR * (n + m) / (NUMERATOR + DENOMINATOR))
+    return (DENOMINATOR * F.least(n, m) >= NUMERATOR * F.greatest(n, m)) & (place <= n - need) & (other <= m - need)
 
 
-def _neighbours(prefixes: DataFrame) -> DataFrame:
-    """The rows of shingles with several sets, with the preceding set in order of size (``key_before``, ``n_before``)."""
-    w = Window.partitionBy("shingle").orderBy("n", "key")
+def _with_typical(prefixes: DataFrame) -> DataFrame:
+    """The rows of shingles with several sets, with the tile's most typical set (``t_key``, ``t_n``, ``t_place``)."""
+    w = Window.partitionBy("shingle").orderBy(F.desc("typical"), "n", "key")
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return (prefixes.select("*", F.lag("key").over(w).alias("key_before"), F.lag("n").over(w).alias("n_before"),
+    return (prefixes.select("shingle", "key", "n", "place", *[F.first(c).over(w).alias(f"t_{c}") for c in ("key", "n", "place")],
                             F.min("key").over(whole).alias("least"), F.max("key").over(whole).alias("most"))
             .filter("least <> most").drop("least", "most"))
 
@@ -163,20 +171,21 @@ def _band(n: Column) -> Column:
 def _across(rows: DataFrame, roots: DataFrame) -> DataFrame:
     """Pairs ``a < b`` (with sizes) of different components that share a tile, except those within its largest."""
     rows = rows.join(roots.select(F.col("node").alias("of"), "root"), F.col("key") == F.col("of"), "left")
-    rows = rows.select("shingle", "key", "n", F.coalesce("root", "key").alias("root"))
+    rows = rows.select("shingle", "key", "n", "place", F.coalesce("root", "key").alias("root"))
     band = _band(F.col("n"))
     tiles = rows.select("*", F.explode(F.array(F.struct(band.alias("band"), F.lit(True).alias("home")),
                                                F.struct((band + 1).alias("band"), F.lit(False).alias("home")))).alias("t"))
-    tiles = tiles.select("shingle", "t.band", "t.home", "key", "n", "root").distinct()
+    tiles = tiles.select("shingle", "t.band", "t.home", "key", "n", "place", "root").distinct()
     sizes = tiles.groupBy("shingle", "band", "root").agg(F.count("*").alias("rows"), F.max("home").alias("home"))
     several = (sizes.groupBy(F.col("shingle").alias("s"), F.col("band").alias("b"))
                .agg(F.max_by("root", F.struct("rows", "root")).alias("largest"), F.count("*").alias("roots"), F.max("home").alias("any_home"))
                .filter("roots > 1 and any_home"))
     left = materialize(tiles.join(several, (F.col("shingle") == F.col("s")) & (F.col("band") == F.col("b"))).select(
-        "shingle", "band", "home", "key", "n", "root", "largest"), "tiles")
-    x = left.filter("root <> largest").select(*[F.col(c).alias(f"x_{c}") for c in ("shingle", "band", "home", "key", "n", "root")])
+        "shingle", "band", "home", "key", "n", "place", "root", "largest"), "tiles")
+    x = left.filter("root <> largest").select(*[F.col(c).alias(f"x_{c}") for c in ("shingle", "band", "home", "key", "n", "place", "root")])
     pairs = x.join(left, (F.col("x_shingle") == F.col("shingle")) & (F.col("x_band") == F.col("band")) & (F.col("x_root") != F.col("root"))
-                   & (F.col("x_home") | F.col("home")) & ((F.col("root") == F.col("largest")) | (F.col("x_key") < F.col("key"))) & _near_size(F.col("x_n"), F.col("n")))
+                   & (F.col("x_home") | F.col("home")) & ((F.col("root") == F.col("largest")) | (F.col("x_key") < F.col("key")))
+                   & _may_link(F.col("x_n"), F.col("x_place"), F.col("n"), F.col("place")))
     return _oriented(pairs, "x_key", "x_n", "key", "n")
 
 
@@ -279,12 +288,12 @@ def _classes(d: DataFrame) -> tuple[DataFrame, DataFrame]:
     first = materialize(d.mapInArrow(_sizes_and_repeats, "doc_id long, n long, key long, shingle long, times long"), "sizes")
     sets = first.filter("n is not null").select("doc_id", "n", "key")
     table = spark.sparkContext.broadcast(_frequency_table(first.filter("shingle is not null").select("shingle", "times")))
-    prefixes = d.mapInArrow(_prefixes(table), "shingle long, key long, n int")
-    tiles = materialize(_neighbours(prefixes), "prefixes")
-    chain = tiles.filter((F.col("key") != F.col("key_before")) & _near_size(F.col("n"), F.col("n_before")))
-    links = _verified(d, _oriented(chain, "key_before", "n_before", "key", "n"), "chain")
+    prefixes = d.mapInArrow(_prefixes(table), "shingle long, key long, n int, place int, typical int")
+    tiles = materialize(_with_typical(prefixes), "prefixes")
+    star = tiles.filter((F.col("key") != F.col("t_key")) & _may_link(F.col("n"), F.col("place"), F.col("t_n"), F.col("t_place")))
+    links = _verified(d, _oriented(star, "t_key", "t_n", "key", "n"), "star")
     roots = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    more = _verified(d, _across(tiles.select("shingle", "key", "n"), roots), "across")
+    more = _verified(d, _across(tiles.select("shingle", "key", "n", "place"), roots), "across")
     roots = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionAll(more.select("a", "b")))
     ids = sets.filter("key is not null").groupBy(F.col("key").alias("of")).agg(F.min("doc_id").alias("least"))
     named = ids.join(roots, F.col("of") == F.col("node"), "left").select("of", "least", F.coalesce("root", "of").alias("root"))
