@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 LONG = 128
 #: Characters of text in one stretch.
-STRETCH = 4 << 20
+STRETCH = 2 << 20
 _MARK = "▁"
 _UNIT = re.compile(f"{_MARK}+[^{_MARK}]*")
 _MODELS: dict[str, "Pieces"] = {}
