@@ -114,3 +114,22 @@ def test_sliding_counts_cover_each_mention_four_times(spark):
     rows = [(0, "a", T0 + dt.timedelta(minutes=7))]
     got = sliding_counts(mentions_df(spark, rows), "1 hour", "15 minutes").collect()
     assert len(got) == 4 and all(r["count"] == 1 for r in got)
+
+
+def test_null_names_and_times(spark):
+    import datetime as dt
+    t = dt.datetime(2024, 1, 1)
+    rows = [(1, None, t), (2, None, t + dt.timedelta(minutes=10)), (3, "a", t), (4, "a", None), (5, None, t + dt.timedelta(hours=2))]
+    df = spark.createDataFrame(rows, "id int, name string, ts timestamp_ntz").repartition(3)
+    got = {r["id"]: r["count"] for r in rolling_counts(df, 3_600_000_000).collect()}
+    assert got == {1: 1, 2: 2, 3: 1, 5: 1}
+    changes = sorted((r["name"] or "", r["ts"], r["count"]) for r in rolling_changelog(df, 3_600_000_000).collect())
+    assert [c for n, _, c in changes if n == ""] == [1, 2, 1, 0, 1, 0]
+
+
+def test_many_range_partitions_with_a_null_group(spark):
+    from trendlens.operators.prefix import running_sum
+    rows = [(g, i, 1) for g in (None, "a", "b") for i in range(200)]
+    df = spark.createDataFrame(rows, "g string, o long, v long")
+    got = {(r["g"], r["o"]): r["running"] for r in running_sum(df, "g", "o", "v", partitions=17).collect()}
+    assert got == {(g, i): i + 1 for g, i, _ in rows}

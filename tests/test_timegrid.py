@@ -60,3 +60,15 @@ def test_segment_name_format(spark):
     df = spark.createDataFrame([(dt.datetime(2019, 9, 1, 0, 15),)], "ts timestamp_ntz")
     got = df.select(segment_name(ntz_micros(F.col("ts")))).first()[0]
     assert got == "20190901001500.gkg.csv.zip"
+
+
+def test_stamp_ignores_the_session_zone(spark):
+    # 02:30 on 29 March 2015 doesn't exist in Amsterdam.
+    df = spark.createDataFrame([("20150329023000-0",), ("2015032902",), ("20150230023000",), ("x",), (None,)], "id string")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Europe/Amsterdam")
+        got = [r[0] for r in df.select(stamp_micros("id")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got == [1427596200000000, None, None, None, None]

@@ -11,11 +11,12 @@
    first and last group — the only groups that can continue from or into a
    neighbouring partition;
 3. that output is written once to the shared checkpoint folder; the carry-in
-   offsets are a window over the ≤ 2·P edge rows (broadcast: proven bound)
-   and are added to the local sums.
+   offsets are a window over the ≤ 2·P edge rows and are joined to the local
+   sums.
 
 (group, order) must be unique: pre-aggregate duplicates first (which also
-turns a hot (group, order) into one row). Writing the table once makes the
+turns a hot (group, order) into one row). A null group is a group like any
+other. Writing the table once makes the
 rows and the edge totals agree by construction — a range partitioner's
 sampled bounds may differ between two executions — and cuts lineage.
 """
@@ -24,31 +25,33 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from ..session import scratch_path
 
-# Broadcast the carry-in offsets (≤ 2 rows per range partition) only up to
-# this many partitions.
-BROADCAST_MAX_PARTITIONS = 100_000
+
+def _is(groups: pd.Series, key) -> np.ndarray:
+    """Which rows are of this group; null is a group like any other."""
+    return (groups.isna() if pd.isna(key) else groups == key).to_numpy()
 
 
 def _local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     pid = None
     first_key, first_tot = None, 0
-    carry_key, carry = None, 0
+    carry_key, carry, begun = None, 0, False
     for pdf in batches:
         if pdf.empty:
             continue
         pid = int(pdf["pid"].iloc[0])
-        cum = pdf.groupby("g", sort=False)["v"].cumsum()
-        if carry_key is not None:
-            cum = cum + (pdf["g"] == carry_key).to_numpy() * carry
+        cum = pdf.groupby("g", sort=False, dropna=False)["v"].cumsum()
+        if begun:
+            cum = cum + _is(pdf["g"], carry_key) * carry
         out = pdf.assign(cum=cum.astype("int64"), edge=False)
-        if first_key is None:
-            first_key = out["g"].iloc[0]
-        is_first = (out["g"] == first_key).to_numpy()
+        if not begun:
+            first_key, begun = out["g"].iloc[0], True
+        is_first = _is(out["g"], first_key)
         if is_first.any():
             first_tot = int(out["cum"].to_numpy()[is_first][-1])
         carry_key, carry = out["g"].iloc[-1], int(out["cum"].iloc[-1])
@@ -56,7 +59,7 @@ def _local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     if pid is None:
         return
     keys, tots = [first_key], [first_tot]
-    if carry_key != first_key:
+    if not (carry_key == first_key or (pd.isna(carry_key) and pd.isna(first_key))):
         keys.append(carry_key)
         tots.append(carry)
     edge = pd.DataFrame({"g": keys, "cum": pd.Series(tots, dtype="int64")})
@@ -82,7 +85,7 @@ def _partition_count(df: DataFrame) -> int:
         est = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # noqa: BLE001 - estimate unavailable: keep the default
         return base
-    return max(base, min(-(-est // max(target_bytes, 1)), 1_000_000))
+    return min(max(base, -(-est // max(target_bytes, 1))), (1 << 31) - 1)  # what the API can number
 
 
 def running_sum(df: DataFrame, group_col: str, order_col: str, value_col: str,
@@ -116,13 +119,10 @@ def running_sum(df: DataFrame, group_col: str, order_col: str, value_col: str,
     edges = spark.read.schema(body).parquet(f"{path}/edge=true")
     rows = spark.read.schema(body).parquet(f"{path}/edge=false")
     w = Window.partitionBy("g").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (edges.select("pid", "g", F.sum("cum").over(w).alias("offset"))
+    offsets = (edges.select(F.col("pid").alias("_pid"), F.col("g").alias("_g"), F.sum("cum").over(w).alias("offset"))
                .filter(F.col("offset").isNotNull()))
-    # At most two offset rows per partition: broadcast while that bound is
-    # small, otherwise an ordinary join on (pid, g).
-    if p <= BROADCAST_MAX_PARTITIONS:
-        offsets = F.broadcast(offsets)
-    return (rows.join(offsets, ["pid", "g"], "left")
+    # two rows per partition at most; the planner measures them and chooses the join
+    return (rows.join(offsets, (F.col("pid") == F.col("_pid")) & F.col("g").eqNullSafe(F.col("_g")), "left")
             .select(F.col("g").alias(group_col), F.col("o").alias(order_col),
                     F.col("v").alias(value_col),
                     (F.col("cum") + F.coalesce(F.col("offset"), F.lit(0))).alias(out_col)))

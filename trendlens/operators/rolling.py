@@ -44,7 +44,7 @@ def prefix_counts(mentions: DataFrame, horizon, name_col: str = "name", ts_col:
     """
     h = _horizon_us(horizon)
     us = micros_of(mentions, ts_col)
-    deltas = (mentions.select(F.col(name_col).alias("name"), us.alias("t0"))
+    deltas = (mentions.select(F.col(name_col).alias("name"), us.alias("t0")).filter("t0 is not null")
               .select("name", F.explode(F.array(
                   F.struct(F.col("t0").alias("t"), F.lit(1).cast("bigint").alias("d")),
                   F.struct((F.col("t0") + F.lit(h)).alias("t"), F.lit(-1).cast("bigint").alias("d")),
@@ -73,13 +73,16 @@ def rolling_counts(mentions: DataFrame, horizon, name_col: str = "name", ts_col:
 
     Mentions sharing (name, ts) get the same count (range-frame peers). The
     final join is on (name, ts); a (name, ts) repeated very often is split by
-    AQE's skew-join handling, the other side holds one row per key.
+    AQE's skew-join handling, the other side holds one row per key. Mentions
+    without a name are counted as one name, those without a time have no count
+    and are left out.
     """
     pc = prefix_counts(mentions, horizon, name_col, ts_col, partitions).select(
         F.col("name").alias("_n"), F.col("t").alias("_t"), F.col("count"))
     m = mentions.withColumn("_t", micros_of(mentions, ts_col))
-    return (m.join(pc, (m[name_col] == pc["_n"]) & (m["_t"] == pc["_t"]))
-             .drop("_n", "_t"))
+    pc = pc.withColumnRenamed("_t", "_at")
+    return (m.join(pc, m[name_col].eqNullSafe(pc["_n"]) & (m["_t"] == pc["_at"]))
+             .drop("_n", "_t", "_at"))
 
 
 def sliding_counts(mentions: DataFrame, horizon: str = "1 hour", slide: str = "1 minute",

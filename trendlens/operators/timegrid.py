@@ -60,13 +60,15 @@ def spread_event_time(lines: DataFrame, segment_col: str, line_col: str, start_u
     """
     ms = minutes * 60_000
     pos = running_sum(lines.select(segment_col, line_col, F.lit(1).alias("one")),
-                      segment_col, line_col, "one", "pos", partitions)
-    sizes = lines.groupBy(segment_col).agg(F.count(F.lit(1)).alias("n"))
-    out = (lines.join(pos.drop("one"), [segment_col, line_col])
-           .join(sizes, segment_col))
-    step = F.floor(F.lit(ms) / F.col("n"))
-    event_us = F.col(start_us_col) + (F.col("pos") - 1) * step * 1000
-    return out.withColumn("event_ts", ntz_from_micros(event_us)).drop("pos", "n")
+                      segment_col, line_col, "one", "_pos", partitions)
+    # a segment's size is its last position: the small side of the one join back to the lines
+    sizes = pos.groupBy(F.col(segment_col).alias("_of")).agg(F.max("_pos").alias("_n"))
+    placed = pos.join(sizes, F.col(segment_col).eqNullSafe(F.col("_of"))).select(
+        F.col(segment_col).alias("_seg"), F.col(line_col).alias("_line"), "_pos", "_n")
+    out = lines.join(placed, lines[segment_col].eqNullSafe(F.col("_seg")) & (lines[line_col] == F.col("_line")))
+    step = F.floor(F.lit(ms) / F.col("_n"))
+    event_us = F.col(start_us_col) + (F.col("_pos") - 1) * step * 1000
+    return out.withColumn("event_ts", ntz_from_micros(event_us)).drop("_pos", "_n", "_seg", "_line")
 
 
 def segment_window(spark, now_us: int, window: int = 60, minutes: int = SEGMENT_MINUTES) -> DataFrame:
