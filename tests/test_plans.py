@@ -13,8 +13,10 @@ def plan_of(df) -> str:
 
 
 def final_plan(df) -> str:
-    df.write.format("noop").mode("overwrite").save()
-    return plan_of(df)
+    df.collect()  # a write would plan a copy of its own
+    plan = plan_of(df)
+    assert "isFinalPlan=true" in plan
+    return plan
 
 
 def test_flagship_limits_top_k_on_both_sides_of_the_day_exchange(spark):
@@ -61,3 +63,7 @@ def test_rolling_counts_have_no_window_over_names(spark):
     # task); the only window runs over ≤ 2 edge rows per range partition.
     plan = final_plan(Q["rolling_changelog_1h"](spark, SF_SMALL))
     assert not re.search(r"Window \[[^\]]*windowspecdefinition\(name", plan)
+
+
+def test_top_n_delta_scans_once(spark):
+    assert plan_of(Q["top_n_delta"](spark, SF_SMALL)).count("Scan parquet") == 1

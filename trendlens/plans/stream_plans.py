@@ -65,9 +65,11 @@ def q_rolling_stream_1h(spark, sf_dir):
 
 
 # Row for row the batch changelog (T7) up to the last event time, although the
-# stream sees the events in several micro-batches.
+# stream sees the events in several micro-batches. Its clock has milliseconds.
 @register("rolling_stream_changelog_1h", f"""
-SELECT name, ts, "count" FROM ({_sql_changelog("user_id", 1)}) c WHERE ts <= (SELECT max(ts) FROM events)
+SELECT name, ts, "count"
+FROM ({_sql_changelog("user_id", 1).replace("FROM events", "FROM (SELECT user_id, date_trunc('milliseconds', ts) AS ts FROM events)")}) c
+WHERE ts <= (SELECT max(ts) FROM events)
 """)
 def q_rolling_stream_changelog_1h(spark, sf_dir):
     mentions = _events_stream(spark, sf_dir).select(F.col("user_id").cast("string").alias("name"), "ts")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from ..operators.daily import daily_counts, daily_lists, to_result_schema, top_k_daily
 from ..operators.rolling import HOUR_US, rolling_changelog
@@ -113,14 +113,16 @@ def q_top_n_delta(spark, sf_dir):
     ev = event_mentions(spark, sf_dir, "user_id").withColumn("day", F.to_date("ts"))
     counts = daily_counts(ev, "day")
     cur = top_k_daily(counts, 5, "row_number", "day").select("day", "name", "count")
-    prev = cur.select(F.date_add("day", 1).alias("day"), "name", "count")
-    days = cur.select("day").distinct()
-    # Per-day version of top_n_delta: both sides hold ≤ 5 rows per day.
-    p = prev.select("day", "name", F.col("count").alias("_p"))
-    c = cur.select("day", "name", F.col("count").alias("_c"))
-    j = c.join(p, ["day", "name"], "full_outer").join(days, "day", "left_semi")
-    return (j.filter(~F.col("_c").eqNullSafe(F.col("_p")))
-             .select("day", "name", F.coalesce(F.col("_c"), F.lit(0)).cast("bigint").alias("count")))
+    # One pass: each top row is its day's current and the next day's previous
+    # entry. At most ten rows per day meet in the window that keeps days of the data.
+    none = F.lit(None).cast("bigint")
+    both = F.array(F.struct(F.col("day").alias("day"), F.col("count").alias("c"), none.alias("p")),
+                   F.struct(F.date_add("day", 1).alias("day"), none.alias("c"), F.col("count").alias("p")))
+    pairs = cur.select("name", F.explode(both).alias("x")).groupBy(F.col("x.day").alias("day"), "name").agg(
+        F.max("x.c").alias("c"), F.max("x.p").alias("p"))
+    there = F.max(F.col("c").isNotNull()).over(Window.partitionBy("day"))
+    return (pairs.withColumn("there", there).filter(F.col("there") & ~F.col("c").eqNullSafe(F.col("p")))
+            .select("day", "name", F.coalesce(F.col("c"), F.lit(0)).cast("bigint").alias("count")))
 
 
 @register("top_n_delta_halves", """
