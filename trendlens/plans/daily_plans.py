@@ -7,8 +7,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.clean import clean_mentions, clean_name_table, clean_names
 from ..operators.daily import daily_counts, daily_lists, result_json, to_result_schema, top_k_daily
+from ..operators.metrics import reject_counts
+from ..operators.shape import daily_text
 from ..session import scratch_path
-from ..sources.records import read_records, read_records_text
+from ..sources.records import read_records, read_records_text, split_record_lines
 from ..sources.tables import event_records, order_mentions
 from .catalog import register
 
@@ -138,3 +140,51 @@ def q_topk_daily_records(spark, sf_dir):
 @register("topk_daily_records_text", _SQL_RECORDS_JSON)
 def q_topk_daily_records_text(spark, sf_dir):
     return _records_json(read_records_text(spark, _record_lines(spark, sf_dir)))
+
+
+# The tuple-text form (K2, F-21), lists by count and name.
+@register("topk_daily_text", f"""
+WITH r AS (
+  SELECT day, name, cnt FROM ({_sql_counts(True)}) c
+  QUALIFY row_number() OVER (PARTITION BY day ORDER BY cnt DESC, name ASC) <= 10
+)
+SELECT '(' || strftime(day, '%Y-%m-%d') || ',List(' ||
+       string_agg('(' || name || ',' || cnt || ')', ',' ORDER BY cnt DESC, name) || '))' AS value
+FROM r GROUP BY day
+""")
+def q_topk_daily_text(spark, sf_dir):
+    ranked = top_k_daily(daily_counts(_names(spark, sf_dir), "day"), 10, "row_number", "day")
+    return daily_text(to_result_schema(daily_lists(ranked, "day"), "day"))
+
+
+def _irregular_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as a record line of one of five kinds: plain; a repeated name and a
+    trailing separator; a blank and a noise name; too few fields; a bad date."""
+    kind = F.col("key").cast("bigint") % 5
+    f = F.split("value", "\t", -1)
+    names = f.getItem(23)
+    changed = (F.when(kind == 1, F.concat(names, F.lit(";"), names, F.lit(";")))
+               .when(kind == 2, F.concat(names, F.lit("; ,3;Type ParentCategory,5"))).otherwise(names))
+    day = F.when(kind == 4, F.lit("20159940000000")).otherwise(f.getItem(1))
+    line = F.concat_ws("\t", f.getItem(0), day, *[F.lit("")] * 21, changed, *[F.lit("")] * 3)
+    return event_records(spark, sf_dir).select(F.when(kind == 3, F.concat_ws("\t", f.getItem(0), f.getItem(1), F.lit("a"))).otherwise(line).alias("value"))
+
+
+# Short lines (P3, F6) and bad dates (F8) are dropped, repeated names count
+# once per record (F-3), noise (P4, F-5) and blank names (F-6) go.
+@register("record_rules", """
+WITH e AS (SELECT *, 'user ' || translate(CAST(user_id AS VARCHAR), '0123456789', 'abcdefghij') AS u FROM events WHERE event_id % 5 NOT IN (3, 4)),
+m AS (SELECT CAST(ts AS DATE) AS "DATE", u AS name FROM e UNION ALL SELECT CAST(ts AS DATE), event_type FROM e)
+SELECT "DATE", name, count(*) AS "count" FROM m GROUP BY ALL
+""")
+def q_record_rules(spark, sf_dir):
+    return daily_counts(clean_names(split_record_lines(_irregular_lines(spark, sf_dir)))).select("DATE", "name", "count")
+
+
+# F8: what the batch job drops, by reason (short lines are gone before).
+@register("record_rejects", """
+SELECT count(*) AS records, count(*) FILTER (WHERE event_id % 5 = 4) AS null_date, CAST(0 AS BIGINT) AS null_names
+FROM events WHERE event_id % 5 <> 3
+""")
+def q_record_rejects(spark, sf_dir):
+    return reject_counts(split_record_lines(_irregular_lines(spark, sf_dir)))
