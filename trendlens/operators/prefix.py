@@ -85,7 +85,9 @@ def _partition_count(df: DataFrame) -> int:
         est = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # noqa: BLE001 - estimate unavailable: keep the default
         return base
-    return min(max(base, -(-est // max(target_bytes, 1))), (1 << 31) - 1)  # what the API can number
+    if est >= 1 << 60:  # Catalyst's stand-in for an unknown size
+        return base
+    return max(base, -(-est // max(target_bytes, 1)))
 
 
 def running_sum(df: DataFrame, group_col: str, order_col: str, value_col: str,
