@@ -138,3 +138,31 @@ def test_bound_is_below_the_optimum(lengths):
         return best
     assert packing.lower_bound(lengths, 20) <= optimum(0, []) <= len(rooms)
     assert all(lengths[where == b].sum() + rooms[b] == 20 for b in range(len(rooms)))
+
+
+ADDED = ["a <|endoftext|> b", "<|endoftext|>", "  <|endoftext|><|endoftext|>x ", "<|endoftext|", "none", "", None, " \n<|endoftext|>\xa0 é", "<|ENDOFTEXT|>", "tail <|endoftext|>"]
+
+
+def test_added_tokens_equal_the_default_library():
+    default = Tokenizer.from_file(VOCAB)
+    random.seed(2)
+    parts = [" ", "  ", "\n", "a", "The", "é", "\xa0", "'s", "<|endoftext|>", "<|", "|>", "endoftext"]
+    texts = ADDED + ["".join(random.choices(parts, k=random.randint(0, 12))) for _ in range(2000)]
+    want = [default.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert 50256 in want[0]
+    enc = Encoder(VOCAB, added=True)
+    assert encode(enc, texts) == want
+    assert encode(enc, texts, 2) == [w + [2] for w in want]
+    assert [a for a, _, e in enc.encode_column(pa.array(texts[:4])) for _ in e[1:]] == [0, 1, 2, 3]
+
+
+def test_added_tokens_in_store_and_packing(spark, tmp_path):
+    default = Tokenizer.from_file(VOCAB)
+    rows = list(enumerate(ADDED)) + [(100, "words <|endoftext|> " * 700)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    path = str(tmp_path / "added")
+    token_store.write_tokens(df, path, VOCAB)
+    got = {r.doc_id: (r.n_tokens, r.ids_crc32) for r in token_store.token_spans(token_store.read_tokens(spark, path)).collect()}
+    want = {i: default.encode(t or "", add_special_tokens=False).ids + [2] for i, t in rows}
+    assert got == {i: (len(ids), crc(ids)) for i, ids in want.items()}
+    check_packing(packing.pack_documents(df, VOCAB).collect(), rows, default)

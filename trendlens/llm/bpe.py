@@ -6,7 +6,8 @@ before such spaces without changing its ids. (Spaces before a byte that could
 open a non-ASCII space aren't cut at, which is always safe.) Pieces repeat a
 lot: a worker keeps the ids of those it has met, by a 64-bit hash of their
 bytes, and passes only new ones to the library. It starts anew beyond
-``CACHE_PIECES``, so its memory is bounded.
+``CACHE_PIECES``, so its memory is bounded. A text that holds an added token's
+string goes to the library as a whole.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from .text_kernels import chunks, mix64, powers, utf8
 
@@ -40,13 +42,19 @@ def _pieces(raw: np.ndarray, begins: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    """Encodes texts to the ids that ``Tokenizer.encode`` gives without special tokens."""
+    """Encodes texts to the ids that ``Tokenizer.encode`` gives with ``add_special_tokens=False``.
 
-    def __init__(self, path: str):
+    With ``added`` the strings of added tokens in a text become those tokens, as
+    the library does by default; else they are ordinary text
+    (``encode_special_tokens``).
+    """
+
+    def __init__(self, path: str, added: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self._library = Tokenizer.from_file(path)
-        self._library.encode_special_tokens = True  # their strings are ordinary text
+        self._library.encode_special_tokens = not added
+        self._added = [t.content for t in self._library.get_added_tokens_decoder().values()] if added else []
         vocab = self._library.get_vocab()
         self._id_type = np.uint16 if max(vocab.values()) < 1 << 16 else np.uint32
         self._opens = np.zeros(max(vocab.values()) + 1, dtype=bool)
@@ -116,6 +124,26 @@ class Encoder:
 
         Null is the empty text. ``end`` is put after each text.
         """
+        whole = self._with_added(column)
+        at = np.flatnonzero(whole)
+        a = 0
+        for i in [*at.tolist(), len(column)]:
+            if i > a:
+                for b, ids, tokens in self._encode_plain(column.slice(a, i - a)):
+                    yield a + b, *_ended(ids, tokens, end)
+            if i < len(column):
+                ids = np.array(self._library.encode(column[i].as_py(), add_special_tokens=False).ids, dtype=np.uint32)
+                yield i, *_ended(ids, np.array([0, len(ids)]), end)
+            a = i + 1
+
+    def _with_added(self, column: pa.Array) -> np.ndarray:
+        """Which texts hold an added token's string."""
+        found = np.zeros(len(column), dtype=bool)
+        for token in self._added:
+            found |= pc.fill_null(pc.match_substring(column, token), False).to_numpy(zero_copy_only=False)
+        return found
+
+    def _encode_plain(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         data, offsets = utf8(column)
         for a, b in chunks(offsets):
             lo, hi = int(offsets[a]), int(offsets[b])
@@ -130,14 +158,18 @@ class Encoder:
                 ids = self._ids[place].astype(np.uint32)
             else:
                 ids, tokens = np.zeros(0, np.uint32), np.zeros(len(edges), np.int64)
-            if end is not None:
-                ids = np.insert(ids, tokens[1:], np.uint32(end))
-                tokens = tokens + np.arange(len(tokens))
             yield a, ids, tokens
 
 
+def _ended(ids: np.ndarray, tokens: np.ndarray, end: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """The ids with ``end`` after each text, and the offsets."""
+    if end is None:
+        return ids, tokens
+    return np.insert(ids, tokens[1:], np.uint32(end)), tokens + np.arange(len(tokens))
+
+
 def encoder(path: str) -> Encoder:
     """The worker's encoder of this vocabulary file; it lives as long as the worker."""
     if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
+        _ENCODERS[path] = Encoder(path, added=True)
     return _ENCODERS[path]
