@@ -111,3 +111,27 @@ def test_days_are_a_bijection(spark):
     day = F.date_add(F.lit("1700-03-01").cast("date"), F.col("id").cast("int"))
     rows = spark.range(0, 146097, 1).select(pii.permute_day(day).alias("p"), day.alias("d")).select("p", (pii.permute_day(F.col("p"), undo=True) == F.col("d")).alias("back"))
     assert rows.filter("back").select("p").distinct().count() == 146097
+
+
+def test_slash_dates_by_language(spark):
+    first = dt.date(1700, 3, 1)
+
+    def day(y, m, d):
+        cycle, n = divmod((dt.date(y, m, d) - first).days, 146097)
+        return first + dt.timedelta(cycle * 146097 + feistel(n, 189, 773, "date"))
+    text = "1999-12-31 31/12/1999 12/31/1999 03/04/2001 31/02/2001 13/13/2001"
+    docs = spark.createDataFrame([(i, text, lang) for i, lang in enumerate(["en", None, "fr", "es", "en-US", "en-GB"])], "doc_id long, text string, lang string")
+    got = {r.lang: r.text for r in pii.pseudonymize(docs).collect()}
+    end = day(1999, 12, 31)
+    for lang, month_first in (("en", True), (None, True), ("en-US", True), ("fr", False), ("es", False), ("en-GB", False)):
+        both = f"{day(2001, 3, 4):%m/%d/%Y}" if month_first else f"{day(2001, 4, 3):%d/%m/%Y}"
+        assert got[lang] == f"{end:%Y-%m-%d} {end:%d/%m/%Y} {end:%m/%d/%Y} {both} 31/02/2001 13/13/2001"
+
+
+def test_bare_telephone_numbers(spark):
+    new = digits("3165552121", "phone")
+    a, b, c = new[:3], new[3:6], new[6:]
+    texts = ["316-555-2121 or 316.555.2121, 1-316-555-2121; Tel.316-555-2121. (316) 555-2121", "316-555.2121 316-555-21210 1234-316-555-2121 316.555.2121.7 x316-555-2121 316-555-2121-9"]
+    (got, n), kept = replace(spark, texts)
+    assert got == f"{a}-{b}-{c} or {a}.{b}.{c}, 1-{a}-{b}-{c}; Tel.{a}-{b}-{c}. ({a}) {b}-{c}" and n == 5
+    assert kept == (texts[1], 0)

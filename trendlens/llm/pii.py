@@ -8,11 +8,14 @@ undone with the key:
   hyphens; valid by the Luhn rule): all digits but the first and the check digit are permuted,
   the check digit is computed anew;
 * IBANs (valid modulo 97): the digits of the account part, check digits anew;
-* dates (``YYYY-MM-DD`` and ``DD.MM.YYYY`` or ``MM/DD/YYYY``, valid in the
-  calendar): days are permuted within their 400-year cycle;
+* dates (``YYYY-MM-DD``, ``DD.MM.YYYY``, and ``MM/DD/YYYY`` or ``DD/MM/YYYY``,
+  valid in the calendar): days are permuted within their 400-year cycle. Slash
+  dates that are valid both ways are read by the text's language: the month
+  first in English and where it isn't known, else the day. (One that is valid
+  only in the other order keeps that order, so to undo it the order must be known);
 * IPv4 addresses (each part below 256): permuted as 32-bit numbers;
-* telephone numbers (``+`` or a bracketed area code): digits permuted in place,
-  the country code stays;
+* telephone numbers (``+`` or a bracketed area code, or ``ddd-ddd-dddd`` and
+  ``ddd.ddd.dddd``): digits permuted in place, the country code stays;
 * US social security numbers ``ddd-dd-dddd``: digits permuted in place.
 
 Values without a number format get keyed names of the same shape class:
@@ -46,9 +49,10 @@ _IBAN = r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?\b"
 _IP = r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?![\d]|\.\d)"
 _DATE = r"(?<![\d/.-])(?:\d{4}-\d{2}-\d{2}|\d{2}[./]\d{2}[./]\d{4})(?![\d/-]|\.\d)"
 _PHONE = r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)|(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?!\d)"
+_BARE_PHONE = r"(?<![\w+])(?<!\d[.-])(?:1[.-])?(?:\d{3}-\d{3}-\d{4}|\d{3}\.\d{3}\.\d{4})(?!\w|[.-]\d)"
 _SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 _CARD = r"(?<![\d.])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3}|\d{4}[ -]\d{6}[ -]\d{5})(?!\d|\.\d)"
-PATTERN = "|".join((_EMAIL, _SECRET, _ACCESS_KEY, _IBAN, _IP, _DATE, _PHONE, _SSN, _CARD))
+PATTERN = "|".join((_EMAIL, _SECRET, _ACCESS_KEY, _IBAN, _IP, _DATE, _PHONE, _BARE_PHONE, _SSN, _CARD))
 #: Every match contains one of these; texts without them aren't searched.
 HINT = r"@|\d[ .()/+-]{0,2}\d[ .()/+-]{0,2}\d|(?i:token|passw|secret|api.?key)|AKIA|ASIA"
 
@@ -145,12 +149,18 @@ def permute_day(day: Column, key: str = KEY, undo: bool = False) -> Column:
     return F.date_add(first, new.cast("int"))
 
 
-def _date(m: Column, key: str) -> Column:
-    def by(fmt):
+def _date(m: Column, key: str, day_first: Column) -> Column:
+    def by(fmt, other):
         day = F.try_to_timestamp(m, F.lit(fmt)).cast("date")
-        return F.when(day.isNotNull(), F.date_format(permute_day(day, key), fmt)).otherwise(m)
-    return (F.when(m.rlike(r"^\d{4}-"), by("yyyy-MM-dd")).when(m.rlike(r"^\d\d\.\d\d\.\d{4}$"), by("dd.MM.yyyy"))
-            .when(m.rlike(r"^\d\d/\d\d/\d{4}$"), by("MM/dd/yyyy")).otherwise(m))
+        return F.when(day.isNotNull(), F.date_format(permute_day(day, key), fmt)).otherwise(other)
+    month, day = "MM/dd/yyyy", "dd/MM/yyyy"
+    return (F.when(m.rlike(r"^\d{4}-"), by("yyyy-MM-dd", m)).when(m.rlike(r"^\d\d\.\d\d\.\d{4}$"), by("dd.MM.yyyy", m))
+            .when(m.rlike(r"^\d\d/\d\d/\d{4}$"), F.when(day_first, by(day, by(month, m))).otherwise(by(month, by(day, m)))).otherwise(m))
+
+
+def _day_first(lang: Column) -> Column:
+    """Whether texts of this language write the day before the month; false for null."""
+    return F.coalesce(~lang.cast("string").rlike(r"^(?i:\s*|(en|eng|english)([_-]us)?)$"), F.lit(False))
 
 
 def _ip(m: Column, key: str) -> Column:
@@ -166,7 +176,7 @@ def _in_place(m: Column, tag: str, key: str) -> Column:
 
 
 def _phone(m: Column, key: str) -> Column:
-    land = F.regexp_extract(m, r"^(\+\d{1,3})[ .(-]", 1)
+    land = F.regexp_extract(m, r"^(\+\d{1,3}|1(?=[.-]\d{3}[.-]))[ .(-]", 1)
     rest = F.substr(m, F.length(land) + 1, F.length(m))
     return F.concat(land, _in_place(rest, "phone", key))
 
@@ -191,15 +201,16 @@ def _access_key(m: Column, key: str) -> Column:
     return F.concat(F.lit("AKIA"), F.upper(_name(m, "access", key, F.lit(16))))
 
 
-def pseudonym(m: Column, key: str = KEY) -> Column:
+def pseudonym(m: Column, key: str = KEY, day_first: Column | None = None) -> Column:
     """The pseudonym of one match of ``PATTERN`` (the match itself if it isn't valid)."""
+    day_first = F.lit(False) if day_first is None else day_first
     whole = lambda p: f"^(?:{p})$"
     return (F.when(m.contains("@"), _email(m, key))
             .when(m.rlike(whole(_SECRET)), _secret(m, key))
             .when(m.rlike(whole(_ACCESS_KEY)), _access_key(m, key))
             .when(m.rlike(whole(_IP)), _ip(m, key))
-            .when(m.rlike(whole(_DATE)), _date(m, key))
-            .when(m.rlike(r"^[+(]"), _phone(m, key))
+            .when(m.rlike(whole(_DATE)), _date(m, key, day_first))
+            .when(m.rlike(rf"^[+(]|^(?:{_BARE_PHONE})$"), _phone(m, key))
             .when(m.rlike(whole(_SSN)), _in_place(m, "ssn", key))
             .when(m.rlike(r"^[A-Z]{2}"), _iban(m, key))
             .otherwise(_card(m, key)))
@@ -208,13 +219,15 @@ def pseudonym(m: Column, key: str = KEY) -> Column:
 def pseudonymize(docs: DataFrame, text_col: str = "text", key: str = KEY, found_col: str | None = None) -> DataFrame:
     """``docs`` with ``text_col`` pseudonymized; ``found_col`` gets the number of replaced values.
 
-    Matches are found once per text; only they go through the network.
+    Matches are found once per text; only they go through the network. A column
+    ``lang``, if there is one, tells how slash dates are read.
     """
     text = F.col(f"`{text_col}`")
     rest = [F.col(f"`{c}`") for c in docs.columns]
     hit = F.when(text.rlike(HINT), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)))
     d = docs.select(F.struct(*rest).alias("row"), hit.alias("found"))
-    d = d.select("row", "found", F.transform("found", lambda m: pseudonym(m, key)).alias("new"))
+    day_first = _day_first(F.col("row.`lang`")) if "lang" in docs.columns else None
+    d = d.select("row", "found", F.transform("found", lambda m: pseudonym(m, key, day_first)).alias("new"))
     text = F.col(f"row.`{text_col}`")
     put = F.array_join(F.flatten(F.zip_with(F.split(text, PATTERN, -1), F.col("new"), lambda p, m: F.array(p, F.coalesce(m, F.lit(""))))), "")
     text = F.when(F.size("new") > 0, put).otherwise(text)

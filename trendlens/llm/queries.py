@@ -79,8 +79,8 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query()
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's text with personal data pseudonymized, and how many values were replaced."""
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pii.pseudonymize(docs, found_col="n_replaced")
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return pii.pseudonymize(docs, found_col="n_replaced").drop("lang")
 
 
 @_query()
