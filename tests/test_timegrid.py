@@ -2,9 +2,11 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from trendlens.functions.timefns import first_field, ntz_micros, parse_record_id, stamp_micros
+from trendlens.operators.rolling import rolling_counts
 from trendlens.operators.timegrid import (next_quarter, segment_coverage, segment_name,
                                           segment_window, spread_event_time)
 
@@ -72,3 +74,34 @@ def test_stamp_ignores_the_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
     assert got == [1427596200000000, None, None, None, None]
+
+
+@pytest.fixture(params=["UTC", "Europe/Amsterdam", "America/New_York"])
+def zone(request, spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.session.timeZone", before)
+
+
+#: Hours that Amsterdam skips (29 March 2015) and has twice (25 October 2015), and New York's (8 March, 1 November).
+CHANGES = [dt.datetime(2015, 3, 29, 1, 45), dt.datetime(2015, 10, 25, 1, 45), dt.datetime(2015, 3, 8, 1, 45), dt.datetime(2015, 11, 1, 0, 45)]
+
+
+@pytest.mark.parametrize("first", CHANGES)
+def test_rolling_counts_over_a_change_of_the_clock(spark, zone, first):
+    times = [first + dt.timedelta(minutes=m) for m in (0, 45, 75, 105)]
+    df = spark.createDataFrame([("a", t) for t in times], "name string, ts timestamp_ntz")
+    got = [r[0] for r in rolling_counts(df, dt.timedelta(hours=1)).orderBy("ts").select("count").collect()]
+    assert got == [1, 2, 2, 2]
+
+
+@pytest.mark.parametrize("first", CHANGES)
+def test_grid_over_a_change_of_the_clock(spark, zone, first):
+    times = [first + dt.timedelta(minutes=15 * i) for i in range(8)]
+    df = spark.createDataFrame([(t,) for t in times], "ts timestamp_ntz")
+    after = [r[0] for r in df.orderBy("ts").select(next_quarter(df, "ts")).collect()]
+    assert after == [t + dt.timedelta(minutes=15) for t in times]
+    rows = df.select("ts", segment_name(ntz_micros("ts")).alias("segment"))
+    assert rows.orderBy("ts").collect() == [(t, t.strftime("%Y%m%d%H%M%S") + ".gkg.csv.zip") for t in times]
+    assert all(r["present"] for r in segment_coverage(df, rows).collect())

@@ -25,8 +25,13 @@ def epoch_ntz() -> Column:
 
 
 def ntz_micros(col) -> Column:
-    """Microseconds since the epoch of a ``TIMESTAMP_NTZ`` read as UTC."""
-    return F.timestamp_diff("MICROSECOND", epoch_ntz(), _c(col))
+    """Microseconds since the epoch of a ``TIMESTAMP_NTZ`` read as UTC.
+
+    A difference of two wall-clock values is an interval, which no zone shifts;
+    ``timestamp_diff`` would read both as instants of the session zone.
+    """
+    seconds = (_c(col) - epoch_ntz()).cast("interval second").cast("decimal(20,6)")
+    return (seconds * F.lit(1_000_000)).cast("bigint")
 
 
 def micros_of(df: DataFrame, name: str) -> Column:

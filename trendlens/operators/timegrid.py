@@ -14,7 +14,9 @@ SEGMENT_SUFFIX = ".gkg.csv.zip"
 
 def segment_name(bucket_us, suffix: str = SEGMENT_SUFFIX) -> "F.Column":
     """``yyyyMMddHHmm00<suffix>`` of a raster start (UTC wall clock)."""
-    return F.concat(F.date_format(ntz_from_micros(bucket_us), "yyyyMMddHHmm'00'"), F.lit(suffix))
+    # date_format would read the wall clock as an instant of the session zone
+    minute = F.substring(ntz_from_micros(bucket_us).cast("string"), 1, 16)
+    return F.concat(F.translate(minute, "-: ", ""), F.lit("00"), F.lit(suffix))
 
 
 def next_quarter(df: DataFrame, ts_col: str = "ts", minutes: int = SEGMENT_MINUTES) -> "F.Column":
