@@ -3,7 +3,7 @@
 A term is a maximal run of solid bytes. ASCII marks, blanks and controls are
 not solid; all bytes from 128 up are, so in UTF-8 a run of solid bytes is a run
 of solid code points. Only ``A-Z`` are lower-cased. Work goes over pieces of
-about 4 MB, so memory doesn't grow with the batch.
+about ``PIECE`` bytes, so memory doesn't grow with the batch.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ import pyarrow as pa
 
 from .text_kernels import chunks, mix64, powers, utf8
 
+PIECE = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -82,7 +83,7 @@ def _terms(row: int, data: np.ndarray, offsets: np.ndarray, solid: np.ndarray) -
 def terms_of(column: pa.Array, solid: np.ndarray) -> Iterator[Terms]:
     """The terms of a string column, piece by piece; null is empty."""
     data, offsets = utf8(column)
-    for a, b in chunks(offsets):
+    for a, b in chunks(offsets, PIECE):
         yield _terms(a, data, offsets[a:b + 1], solid)
 
 
