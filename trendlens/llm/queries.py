@@ -11,8 +11,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
-from . import decontamination as leaks, fingerprints as prints, kneser_ney as lm, licenses, ngram_join as near, packing, pii, quality_rules as rules, suffix_pieces, token_store as tokens, url_filter as urls
-from .sql import OP1, OP8, OP12
+from . import decontamination as leaks, divergence as audit, fingerprints as prints, kneser_ney as lm, licenses, ngram_join as near, packing, pii, quality_rules as rules, suffix_pieces, token_store as tokens, url_filter as urls
+from .sql import OP1, OP8, OP12, OP13
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -108,3 +108,9 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The words of every document that stand in a window of a benchmark item, and those items."""
     return leaks.digest(leaks.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")))
+
+
+@_query(OP13)
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far every source's term shares are from the other sources', and its leading terms."""
+    return audit.divergence(_table(spark, sf_dir, "documents"))
