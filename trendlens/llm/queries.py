@@ -11,8 +11,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
-from . import decontamination as leaks, divergence as audit, fingerprints as prints, kneser_ney as lm, licenses, ngram_join as near, packing, pii, quality_rules as rules, suffix_pieces, token_store as tokens, url_filter as urls
-from .sql import OP1, OP8, OP12, OP13
+from . import decontamination as leaks, divergence as audit, fingerprints as prints, kneser_ney as lm, lexical_search, licenses, ngram_join as near, packing, pii, quality_rules as rules, suffix_pieces, token_store as tokens, url_filter as urls
+from .sql import OP1, OP8, OP11, OP12, OP13
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -114,3 +114,9 @@ def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How far every source's term shares are from the other sources', and its leading terms."""
     return audit.divergence(_table(spark, sf_dir, "documents"))
+
+
+@_query(OP11)
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best documents of every benchmark item, by weighted terms."""
+    return lexical_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
