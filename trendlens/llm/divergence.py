@@ -38,6 +38,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import materialize
 from .terms import LETTERS, Terms, terms_of
+from .text_kernels import mix64
 
 #: A language keeps the terms of so many of its documents.
 LEAST_DOCS = 10
@@ -76,10 +77,11 @@ class _Groups:
 def _tally(group: np.ndarray, row: np.ndarray, digest: np.ndarray) -> pd.DataFrame:
     """``group, digest, n, docs`` of terms with their rows and the rows' groups."""
     code, digests = pd.factorize(digest)
-    # once for each row and term
-    pair, n = np.unique(row * len(digests) + code, return_counts=True)
-    each = pd.DataFrame({"group": group[pair // len(digests)], "digest": digests[pair % len(digests)], "n": n})
-    return each.groupby(["group", "digest"], sort=False)["n"].agg(n="sum", docs="count").reset_index()
+    # once for each row and term, then for each group and term
+    pair, pairs = pd.factorize(row * len(digests) + code)
+    both, found = pd.factorize(group[pairs // len(digests)] * len(digests) + pairs % len(digests))
+    n = np.bincount(both, weights=np.bincount(pair)).astype(np.int64)
+    return pd.DataFrame({"group": found // len(digests), "digest": digests[found % len(digests)], "n": n, "docs": np.bincount(both)})
 
 
 def _others(t: Terms, code: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -95,23 +97,60 @@ def _others(t: Terms, code: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.flatnonzero(~same)
 
 
+def _second_hashes(t: Terms, at: np.ndarray) -> np.ndarray:
+    """Of some terms, a hash that has nothing to do with the digest."""
+    size = t.ends[at] - t.starts[at]
+    edges = np.cumsum(size) - size
+    place = np.arange(int(size.sum())) - np.repeat(edges, size)
+    symbol = mix64(place.astype(np.uint64) * np.uint64(257) + t.raw[np.repeat(t.starts[at], size) + place])
+    return np.add.reduceat(symbol, edges).view(np.int64)
+
+
+class _Texts:
+    """The distinct (digest, text) pairs of a task; texts are told apart by a second hash."""
+
+    def __init__(self):
+        self.keys, self.texts = [], []
+
+    def add(self, t: Terms, at: np.ndarray, digest: np.ndarray) -> None:
+        if len(at):
+            self.keys.append(pd.DataFrame({"digest": digest[at], "second": _second_hashes(t, at)}))
+            self.texts.append(t.texts(at))
+
+    def __len__(self) -> int:
+        return sum(map(len, self.keys))
+
+    def merge(self) -> None:
+        keys = pd.concat(self.keys, ignore_index=True)
+        first = np.flatnonzero(~keys.duplicated().to_numpy())
+        self.keys, self.texts = [keys.iloc[first]], [pa.concat_arrays(self.texts).take(pa.array(first))]
+
+    def rows(self) -> list[pa.Array]:
+        self.merge()
+        digest, texts = self.keys[0]["digest"].to_numpy(), self.texts[0].cast(pa.string())
+        self.keys, self.texts = [], []
+        none, zero = pa.nulls(len(digest), pa.string()), pa.nulls(len(digest), pa.int64())
+        return [none, none, pa.array(digest), zero, zero, texts]
+
+
 def _scan(bits: int) -> Callable:
     """Rows of counts (without ``term``) and rows of texts (``digest, term`` alone)."""
     names = ["lang", "source", "digest", "n", "docs", "term"]
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        groups, held, texts = _Groups(), [], {}
+        groups, held, texts = _Groups(), [], _Texts()
+
+        def merged():
+            sums = pd.concat(held).groupby(["group", "digest"], sort=False).sum().reset_index()
+            held[:] = [sums]
+            return sums
 
-        def counts(parts):
-            sums = pd.concat(parts).groupby(["group", "digest"], sort=False).sum().reset_index()
+        def counts():
+            sums = merged()
+            held.clear()
             return pa.RecordBatch.from_arrays([*groups.columns(sums["group"].to_numpy()), *(pa.array(sums[c].to_numpy()) for c in ("digest", "n", "docs")),
                                                pa.nulls(len(sums), pa.string())], names=names)
 
-        def listed(found):
-            none = pa.nulls(len(found), pa.string())
-            zero = pa.nulls(len(found), pa.int64())
-            return pa.RecordBatch.from_arrays([none, none, pa.array([d for d, _ in found], type=pa.int64()), zero, zero, pa.array([x for _, x in found], type=pa.string())], names=names)
-
         for batch in batches:
             of_row = groups.of(batch.column(0), batch.column(1))
             for t in terms_of(batch.column(2), LETTERS):
@@ -123,24 +162,18 @@ def _scan(bits: int) -> Callable:
                 code, digests = pd.factorize(digest)
                 first = np.zeros(len(digests), np.int64)
                 first[code[::-1]] = np.arange(len(code))[::-1]
-                further = []
-                for d, text in zip(digests.tolist(), t.texts(first).to_pylist()):
-                    if texts.setdefault(d, text) != text:
-                        further.append((d, text))
-                others = _others(t, code, first)
-                further += set(zip(digest[others].tolist(), t.texts(others).to_pylist()))
-                if further:
-                    yield listed(further)
-                if len(texts) > HELD:
-                    yield listed(list(texts.items()))
-                    texts.clear()
-                if sum(map(len, held)) > HELD:
-                    yield counts(held)
-                    held.clear()
+                texts.add(t, first, digest)
+                texts.add(t, _others(t, code, first), digest)
+                if len(texts) > 2 * HELD:
+                    texts.merge()
+                    if len(texts) > HELD:
+                        yield pa.RecordBatch.from_arrays(texts.rows(), names=names)
+                if sum(map(len, held)) > 2 * HELD and len(merged()) > HELD:
+                    yield counts()
         if held:
-            yield counts(held)
-        if texts:
-            yield listed(list(texts.items()))
+            yield counts()
+        if len(texts):
+            yield pa.RecordBatch.from_arrays(texts.rows(), names=names)
     return emit
 
 
@@ -150,13 +183,14 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 
 def _kept(counts: DataFrame, term: list[str]) -> DataFrame:
-    """``lang, source, term..., n, lang_n``: the counts of the terms that the language keeps."""
-    lang = (counts.groupBy("lang", *term).agg(F.sum("n").alias("lang_n"), F.sum("docs").alias("lang_docs"))
-            .filter(F.col("lang_docs") >= LEAST_DOCS).select(F.col("lang").alias("k_lang"), *[F.col(c).alias(f"k_{c}") for c in term], "lang_n"))
-    on = F.col("lang") == F.col("k_lang")
-    for c in term:
-        on = on & (F.col(c) == F.col(f"k_{c}"))
-    return counts.join(lang, on).select("lang", "source", *term, "n", "lang_n")
+    """``lang, source, term..., n, lang_n``: the counts of the terms that the language keeps.
+
+    Rows are dealt by language and term once; sums by source and by language both follow from that.
+    """
+    dealt = counts.repartition("lang", *term).groupBy("lang", *term, "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    lang = Window.partitionBy("lang", *term)
+    sums = dealt.withColumns({"lang_n": F.sum("n").over(lang), "lang_docs": F.sum("docs").over(lang)})
+    return sums.filter(F.col("lang_docs") >= LEAST_DOCS).select("lang", "source", *term, "n", "lang_n")
 
 
 def _split_counts(rows: DataFrame, several: DataFrame, bits: int) -> DataFrame:
@@ -180,7 +214,7 @@ def _split_counts(rows: DataFrame, several: DataFrame, bits: int) -> DataFrame:
                                                   pa.array(found["split"], type=pa.string()), pa.array(found["n"].to_numpy())], names=["lang", "source", "digest", "split", "n"])
 
     found = rows.mapInArrow(emit, "lang string, source string, digest long, split string, n long")
-    found = found.groupBy("lang", "source", "digest", "split").agg(F.sum("n").alias("n"), F.count("*").alias("docs"))
+    found = found.groupBy("lang", "source", "digest", "split").agg(F.sum("n").alias("n"), F.count("*").alias("docs"))  # one row a document
     counted = materialize(found.join(several.select("digest"), "digest", "left_semi").select("lang", "source", "digest", "split", "n", "docs"), "split")
     sent.destroy()
     return counted
@@ -193,8 +227,7 @@ def term_counts(docs: DataFrame, bits: int = DIGEST_BITS) -> tuple[DataFrame, Da
     """
     rows = _rows(docs)
     found = materialize(rows.mapInArrow(_scan(bits), _COUNTS), "terms")
-    counts = found.filter("term is null").groupBy("lang", "source", "digest").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-    kept = materialize(_kept(counts, ["digest"]), "kept")
+    kept = materialize(_kept(found.filter("term is null"), ["digest"]), "kept")
     texts = found.filter("term is not null").select("digest", "term").join(kept.select("digest").distinct(), "digest", "left_semi")
     names = materialize(texts.groupBy("digest").agg(F.min("term").alias("name"), F.max("term").alias("last")), "names")
     several = names.filter(F.col("name") != F.col("last"))
