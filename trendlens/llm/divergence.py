@@ -47,9 +47,9 @@ SCALE = 1_000_000_000
 TOP = 10
 DIGEST_BITS = 64
 #: Counts and texts that a task holds before it hands them on.
-HELD = 1 << 20
-#: Rows of a block of terms, and elements of its matrix.
-BLOCK = 1 << 18
+HELD = 1 << 19
+#: Rows of a block of terms; a quarter of the elements of its matrix.
+BLOCK = 1 << 16
 #: Bits of the filter of split digests.
 SPLIT_CELLS = 1 << 20
 
@@ -133,6 +133,12 @@ class _Texts:
         return [none, none, pa.array(digest), zero, zero, texts]
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of 64k rows, as the JVM holds a whole one."""
+    for a in range(0, len(batch), 1 << 16):
+        yield batch.slice(a, 1 << 16)
+
+
 def _scan(bits: int) -> Callable:
     """Rows of counts (without ``term``) and rows of texts (``digest, term`` alone)."""
     names = ["lang", "source", "digest", "n", "docs", "term"]
@@ -167,13 +173,13 @@ def _scan(bits: int) -> Callable:
                 if len(texts) > 2 * HELD:
                     texts.merge()
                     if len(texts) > HELD:
-                        yield pa.RecordBatch.from_arrays(texts.rows(), names=names)
+                        yield from _slices(pa.RecordBatch.from_arrays(texts.rows(), names=names))
                 if sum(map(len, held)) > 2 * HELD and len(merged()) > HELD:
-                    yield counts()
+                    yield from _slices(counts())
         if held:
-            yield counts()
+            yield from _slices(counts())
         if len(texts):
-            yield pa.RecordBatch.from_arrays(texts.rows(), names=names)
+            yield from _slices(pa.RecordBatch.from_arrays(texts.rows(), names=names))
     return emit
 
 
