@@ -1,58 +1,52 @@
+"""The quality classifier: its n-grams, model, scores, thresholds and verdicts against plain Python."""
+
 import math
 import random
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from trendlens.llm import kneser_ney as kn
+from trendlens.llm.blocks import blocks, positions, unpacked
 
-S = kn.SYMBOLS
-
+ORDER = kn.ORDER
 
-def symbols(text):
-    out = []
-    for c in text:
-        cp = ord(c)
-        if cp >= 128:
-            out.append(kn._FIRST_OTHER + ((cp * 2654435761 % 2**32) >> 16) % (S - kn._FIRST_OTHER))
-        else:
-            if "A" <= c <= "Z":
-                out.append(kn._SHIFT)
-            out.append(int(kn._TABLE[cp]))
-    return out
 
-
-def trigrams(text):
-    s = [kn._LINE, kn._LINE, *symbols(text)]
-    return [tuple(s[i:i + 3]) for i in range(len(s) - 2)]
+def ngrams(text):
+    s = "\n" * (ORDER - 1) + (text or "").replace("\0", "�")
+    return [s[i:i + ORDER] for i in range(len(s) - ORDER + 1)]
 
 
 def brute_model(texts):
-    """p(c | a, b) as nested functions over plain dictionaries."""
-    c3 = Counter(g for t in texts for g in trigrams(t))
-    c2 = Counter((b, c) for a, b, c in c3)
-    c1 = Counter((c,) for b, c in c2)
+    """p(n-gram's last symbol | those before), over plain dictionaries."""
+    counts = {ORDER: Counter(g for t in texts for g in ngrams(t))}
+    for k in range(ORDER - 1, 0, -1):
+        counts[k] = Counter(g[1:] for g in counts[k + 1])
 
-    def discounts(counts):
-        n = [sum(v == i for v in counts.values()) for i in range(5)]
+    def discounts(c):
+        n = [sum(v == i for v in c.values()) for i in range(5)]
         y = n[1] / (n[1] + 2 * n[2]) if n[1] else 0.5
-        d = [0.0] + [i - (i + 1) * y * n[i + 1] / n[i] if n[i] and i < 4 and (n[i + 1] if i < 4 else 0) else 0.5 * i for i in (1, 2, 3)]
-        return [max(0.05, min(i - 0.05, x)) if i else 0.0 for i, x in enumerate(d)]
-
-    def order(counts, below):
-        d, total, cut = discounts(counts), defaultdict(int), defaultdict(float)
-        for g, n in counts.items():
-            total[g[:-1]] += n
-            cut[g[:-1]] += d[min(n, 3)]
-
-        def p(*g):
-            lower = below(*g[1:])
-            if g[:-1] not in total:
-                return lower
-            n = counts.get(g, 0)
-            return ((n - d[min(n, 3)] if n else 0) + cut[g[:-1]] * lower) / total[g[:-1]]
-        return p
-    return order(c3, order(c2, order(c1, lambda *g: 1 / S)))
+        d = [i - (i + 1) * y * n[i + 1] / n[i] if n[i] and n[i + 1] else 0.5 * i for i in (1, 2, 3)]
+        return [0.0] + [max(0.05, min(i - 0.05, x)) for i, x in enumerate(d, 1)]
+
+    cut = {k: discounts(c) for k, c in counts.items()}
+    total, back = defaultdict(int), defaultdict(float)
+    for k, c in counts.items():
+        for g, n in c.items():
+            total[k, g[:-1]] += n
+            back[k, g[:-1]] += cut[k][min(n, 3)]
+
+    def p(g, k=ORDER):
+        if not k:
+            return 1 / (len(counts[1]) + 1)
+        g = g[-k:]
+        lower = p(g, k - 1)
+        if (k, g[:-1]) not in total:
+            return lower
+        n = counts[k][g]
+        return ((n - cut[k][min(n, 3)] if n else 0) + back[k, g[:-1]] * lower) / total[k, g[:-1]]
+    return p
 
 
 def sample(n, seed, words="the of and Lorem ipsum dolor sit amet é über 42 x-y,".split()):
@@ -60,25 +54,36 @@ def sample(n, seed, words="the of and Lorem ipsum dolor sit amet é über 42 x-y
     return [" ".join(r.choices(words, k=r.randint(1, 30))) + "." for _ in range(n)]
 
 
-def test_grams_equal_brute_force():
-    texts = ["", "a", "AB c", "É日\n9!", *sample(20, 1), "\U0001f600 Z"]
-    codes, ends = kn.grams(texts)
-    for t, a, b in zip(texts, ends[:-1], ends[1:], strict=True):
-        assert codes[a:b].tolist() == [(x * S + y) * S + z for x, y, z in trigrams(t)]
+@pytest.mark.parametrize("piece", [1 << 20, 7])
+def test_ngrams_equal_brute_force(monkeypatch, piece):
+    monkeypatch.setattr(kn, "PIECE", piece)
+    texts = ["", "a", "AB c", "É日\n9!", *sample(20, 1), "\U0001f600 Z", "nul\0nul"]
+    tally, sizes = kn.Tally(), Counter()
+    for rows, parts in kn._pieces(texts):
+        tally.add(parts)
+        for r, n in zip(rows, kn._grams(parts)[3].tolist(), strict=True):
+            sizes[r] += n
+    grams, n = tally.result()
+    assert dict(zip(grams.to_pylist(), n.tolist(), strict=True)) == Counter(g for t in texts for g in ngrams(t))
+    assert [sizes[i] for i in range(len(texts))] == [len(t) for t in texts]
 
 
 @pytest.mark.parametrize("size", [1, 40])
 def test_model_equals_brute_force(spark, size):
     texts = sample(size, 2)
-    df = spark.createDataFrame([("xx", t) for t in texts], "lang string, text string")
-    model = {(r.lang, r.gram): r.bits for r in kn.train(kn.count_grams(df)).collect()}
-    assert set(lang for lang, _ in model) == {kn.POOLED} and len(model) == S ** 3
+    counts = spark.createDataFrame([("xx", g, n) for g, n in Counter(g for t in texts for g in ngrams(t)).items()], "lang string, gram string, n long")
     p = brute_model(texts)
-    seen = {g for t in texts for g in trigrams(t)} | {(1, 2, 3), (kn._LINE, kn._LINE, 63), (0, 63, 5)}
-    for a, b, c in seen:
-        assert math.isclose(2 ** -model[kn.POOLED, (a * S + b) * S + c], p(a, b, c), rel_tol=1e-9)
-    for a, b in {g[:2] for g in seen}:
-        assert math.isclose(sum(2 ** -model[kn.POOLED, (a * S + b) * S + c] for c in range(S)), 1.0, rel_tol=1e-9)
+    known = sorted({c for t in texts for c in t})
+    want = {g for t in texts for g in ngrams(t)} | {"\n\n\n\nZ", "日本語です", "the o", "\n\n\n\n\n"}
+    contexts = {g[:-1] for g in want}
+    want |= {c + x for c in sorted(contexts)[:60] for x in [*known, "☃"]}
+    grams = spark.createDataFrame([("xx", g) for g in want] + [("other", "abcde")], "lang string, gram string")
+    got = {(r.lang, r.gram): r.p for r in kn.probabilities(grams, kn.orders(counts)).collect()}
+    assert set(got) == {("xx", g) for g in want}
+    for g in want:
+        assert math.isclose(got["xx", g], p(g), rel_tol=1e-9)
+    for c in sorted(contexts)[:60]:  # the known symbols and one unknown make up everything
+        assert math.isclose(sum(got["xx", c + x] for x in [*known, "☃"]), 1.0, rel_tol=1e-9)
 
 
 @pytest.fixture(scope="module")
@@ -102,44 +107,74 @@ def test_bad_text_goes_and_clean_text_stays(spark, corpus):
     assert not any(r.kept for r in judged if r.row.doc_id is not None and 10_000 <= r.row.doc_id < 20_000)
     by = {r.row.doc_id: r for r in judged}
     assert by[20_000].kept and by[20_001].kept and by[20_000].perplexity is None and by[20_002].symbols == 220_000
-    assert kn.keep_good(docs, lab).columns == docs.columns
+    assert by[20_000].row.text is None and by[20_002].row.text == "the of and " * 20_000
+    kept = kn.keep_good(docs, lab)
+    assert kept.schema == docs.schema
+    assert sorted(map(tuple, kept.select("doc_id", "text", "model").collect()), key=str) == sorted(((r.row.doc_id, r.row.text, "x") for r in judged if r.kept), key=str)
+
+
+def test_scores_thresholds_and_verdicts_equal_brute_force(spark, corpus):
+    rows, labels = corpus
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    hashed = {r[0]: r[1] for r in docs.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(kn.HELD_OUT)) == 0).collect()}
+    trusted = set(range(300)) - {6, 7}
+    by_lang = defaultdict(list)
+    for i, t, lang in rows:
+        by_lang[lang or ""].append((i, t))
+    want = {}
+    for lang, of in by_lang.items():
+        p = brute_model([t for i, t in of if i in trusted and not hashed[i]])
+        bits = {i: -sum(math.log2(p(g)) for g in ngrams(t)) for i, t in of}
+        held = [(bits[i], len(t)) for i, t in of if i in trusted and hashed[i]]
+        mean = sum(b for b, _ in held) / sum(n for _, n in held)
+        rate = {i: (bits[i] + kn.PRIOR_SYMBOLS * mean) / (len(t) + kn.PRIOR_SYMBOLS) for i, t in of}
+        q = sorted(rate[i] for i, _ in of if i in trusted and hashed[i])
+        at = lambda x: q[max(0, math.ceil(x * len(q)) - 1)]
+        limit = at(kn.QUANTILE) + kn.SLACK * (at(kn.QUANTILE) - at(0.5)) + kn.WIDEN / math.sqrt(len(q))
+        want |= {i: (lang, 2 ** rate[i], 2 ** limit, rate[i] <= limit) for i, _ in of}
+    for r in kn.classify(docs, lab, keep=["doc_id"]).collect():
+        lang, perplexity, threshold, kept = want[r.row.doc_id]
+        assert (r.lang, r.model, r.kept) == (lang, lang, kept)
+        assert math.isclose(r.perplexity, perplexity, rel_tol=1e-9) and math.isclose(r.threshold, threshold, rel_tol=1e-9)
 
 
 def test_no_labels_or_no_documents(spark, corpus):
     docs = spark.createDataFrame(corpus[0][:5], "doc_id long, text string, lang string")
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
-    assert all(r.kept for r in kn.classify(docs, none).collect())
+    assert all(r.kept and r.perplexity is None and r.model is None for r in kn.classify(docs, none).collect())
     assert kn.classify(docs.limit(0), none).collect() == []
     one = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
     assert kn.classify(docs.limit(0), one).collect() == []
     assert kn.classify(docs, one).count() == 5
 
 
-def test_language_models_need_enough_text(spark, monkeypatch):
-    monkeypatch.setattr(kn, "LANGUAGE_SYMBOLS", 500)
-    df = spark.createDataFrame([("aa", t) for t in sample(30, 4)] + [("bb", "short")] + [(None, "none")], "lang string, text string")
-    counts = kn.count_grams(df)
-    assert {r.lang for r in counts.select("lang").distinct().collect()} == {"aa", kn.POOLED}
-    total = sum(len(symbols(t)) for t in [*sample(30, 4), "short", "none"])
-    assert counts.filter("lang = ''").agg({"n": "sum"}).first()[0] == total
-
-
 FOREIGN = "der die und nicht über Straße gewöhnlich vielleicht zwölf Jahre später".split()
 UNLIKE = "żółć wykrzyknąć chrząszcz źdźbło gżegżółka Szczebrzeszyn pchła jaźń mgła krzywy".split()
 
 
-def test_languages_are_held_to_their_own_limits(spark, monkeypatch):
-    monkeypatch.setattr(kn, "LANGUAGE_SYMBOLS", 5_000)
+def test_languages_are_held_to_their_own_models_and_limits(spark):
     junk = "".join(random.Random(1).choices("zqxj#*%$!~^", k=400))
     rows = [(i, t, "en") for i, t in enumerate(sample(400, 5, "the of and with some other words here to say".split()))]
     rows += [(1000 + i, t, "de") for i, t in enumerate(sample(60, 6, UNLIKE))]      # no document is trusted
-    rows += [(2000 + i, t, "nl") for i, t in enumerate(sample(80, 7, FOREIGN))]      # too little trusted text for a model
+    rows += [(2000 + i, t, "nl") for i, t in enumerate(sample(80, 7, FOREIGN))]
+    rows += [(4000 + i, t, f"l{i}") for i, t in enumerate(sample(80, 8, FOREIGN))]  # many languages of one trusted document
     rows += [(3000, junk, "nl"), (3001, junk, "en"), (3002, junk, "de")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
-    labels = spark.createDataFrame([(i, 1, 0) for i in [*range(300), *range(2000, 2040)]], "doc_id long, quality int, toxic int")
+    labels = spark.createDataFrame([(i, 1, 0) for i in [*range(300), *range(2000, 2040), *range(4000, 4080)]], "doc_id long, quality int, toxic int")
     by = {r.row.doc_id: r for r in kn.classify(docs, labels, keep=["doc_id"]).collect()}
     assert len(by) == len(rows)
-    assert {(r.lang, r.model) for r in by.values()} == {("en", "en"), ("de", ""), ("nl", "")}
-    assert all(r.kept and r.threshold is None and r.perplexity > 1 for i, r in by.items() if r.lang == "de")
+    assert all(r.kept and r.threshold is None and r.perplexity is None and r.model is None for r in by.values() if r.lang == "de")
     assert sum(by[i].kept for i in range(2000, 2080)) >= 78 and not by[3000].kept and not by[3001].kept
     assert len({r.threshold for r in by.values() if r.lang == "nl"}) == 1
+    assert all(by[i].kept for i in range(4000, 4080))
+
+
+def test_blocks_give_their_rows_back(spark):
+    rows = [(i, f"text {i}" * (i % 7), None if i % 5 else "en", float(i)) for i in range(500)] + [(None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, x double").repartition(3)
+    table = blocks(docs, docs.columns, size=1000)
+    found = [x for r in table.collect() for x in unpacked(bytes(r.blob)).to_pylist()]
+    assert table.count() > 6
+    assert sorted(((x["id"], x["text"], x["row"]["lang"], x["row"]["x"]) for x in found), key=str) == sorted(rows, key=str)
+    assert positions(table).count() == len(rows)

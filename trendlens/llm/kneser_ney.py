@@ -1,29 +1,34 @@
-"""Quality classifier: interpolated modified Kneser-Ney 3-gram model of trusted text.
-
-Symbols: a character belongs to one of ``SYMBOLS`` classes (letters, digits,
-blanks, marks; other code points by hash); a capital is a shift symbol and its
-letter. So there are at most ``SYMBOLS^3`` n-grams for a language, whatever the
-corpus. That bounds the model that scoring needs in every task: a megabyte for
-each of at most ``LANGUAGES`` languages. (Joining each document's n-grams to a
-sharded table would shuffle more than the texts themselves.)
-
-Training covers every trusted document. Tasks count n-grams before the
-shuffle; counts are summed by (language, n-gram), and joins of the count
-tables of the three orders, sharded by their n-grams, give each n-gram's
-probability: absolute discounts for counts 1, 2 and 3+ from the counts of
-counts, lower orders from continuation counts, the lowest from the uniform
-distribution. Scores are bits per symbol, drawn to the language's mean as if
-``PRIOR_SYMBOLS`` symbols of mean text were added, so that short texts aren't
-rejected by chance. A document is rejected when its perplexity is above its
-language's threshold: the quantile ``QUANTILE`` of the trusted documents'
-scores and ``SLACK`` times its distance from their median.
-
-Defined results: null and empty texts have no score and are kept; languages
-without a model of their own (null, too little trusted text) use the model of
-all trusted text together, but have their own threshold, from their own trusted
-documents; a language with fewer than ``LEAST_TRUSTED`` of those has no
-threshold, and its documents are kept; with no trusted text all is kept. Repeated rows are
-judged alike, conflicting labels make a document untrusted, an empty table
+"""Quality classifier: interpolated modified Kneser-Ney model of code-point n-grams of trusted text, one for each language.
+
+The vocabulary is open: symbols are the code points themselves, n-grams of
+``ORDER`` of them, so the model's tables grow with the trusted text. They are
+sharded DataFrames throughout; nothing of the model goes to the driver or whole
+to a task.
+
+1. Texts are packed into blocks (:mod:`blocks`), written once.
+2. Trusted documents are found by id. ``1 / HELD_OUT`` of them are held out for
+   the thresholds; the others' n-grams are counted, in the tasks first.
+3. Lower orders are continuation counts of the order above. Absolute discounts
+   for counts 1, 2 and 3+ come from the counts of counts of each order.
+4. Each block lists its distinct n-grams. The distinct ones of all blocks are
+   joined with the counts of their order and of their context, from the lowest
+   order up, which gives each n-gram's bits. The lowest order is interpolated
+   with a uniform distribution over the known symbols and one unknown.
+5. The bits are joined back to the blocks' n-grams and meet the texts there,
+   where they are summed by document.
+
+A score is bits per symbol, drawn to the language's mean as if ``PRIOR_SYMBOLS``
+symbols of mean text were added, so that short texts aren't rejected by chance.
+The threshold of a language comes from its held-out documents: the quantile
+``QUANTILE``, ``SLACK`` times its distance from the median, and ``WIDEN`` bits
+divided by the root of their number, as few documents say little.
+
+Defined results: null and empty texts have no score and are kept; a null
+language is one, named ``''``; a language without trusted text has no model and
+no score, one without held-out documents no threshold, and their documents are
+kept; repeated rows are judged alike, conflicting labels make a document
+untrusted, a null ``doc_id`` is never trusted; very long texts are read in pieces
+that overlap by a context; the code point 0 counts as U+FFFD; an empty table
 gives an empty one.
 """
 
@@ -37,101 +42,112 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import materialize
+from .blocks import blocks, positions, unpacked
+from .text_kernels import mix64
 
-SYMBOLS = 64
-#: Languages with a model of their own: those with the most trusted text, of so many symbols at least.
-LANGUAGES = 63
-LANGUAGE_SYMBOLS = 20_000
+ORDER = 5
+#: One in so many trusted documents is held out from training.
+HELD_OUT = 5
 PRIOR_SYMBOLS = 30
-#: A language has a threshold if so many of its documents are trusted.
-LEAST_TRUSTED = 20
 QUANTILE = 0.99
 SLACK = 0.5
-#: The language name of the model of all trusted text.
-POOLED = ""
-_SHIFT, _DIGIT, _BLANK, _LINE = 26, 27, 28, 29
-_FIRST_MARK, _MARKS, _FIRST_OTHER = 30, 14, 44
-#: Texts are worked through in pieces of about so many characters.
-_PIECE = 1 << 20
-
-
-def _class_table() -> np.ndarray:
-    table = np.empty(128, dtype=np.uint8)
-    for cp in range(128):
-        c = chr(cp)
-        if c.isalpha():
-            table[cp] = ord(c.lower()) - 97
-        elif c.isdigit():
-            table[cp] = _DIGIT
-        elif c in " \t":
-            table[cp] = _BLANK
-        elif c in "\n\r\x0b\x0c":
-            table[cp] = _LINE
-        else:
-            table[cp] = _FIRST_MARK + ".,".index(c) if c in ".," else _FIRST_MARK + 2 + cp * 7 % (_MARKS - 2)
-    return table
-
-
-_TABLE = _class_table()
-_UPPER = np.array([65 <= cp <= 90 for cp in range(128)])
-
-
-def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The 3-gram codes of all texts, one after the other, and each text's first one (with the end).
-
-    Every symbol of a text ends one n-gram; two line symbols stand before the text.
-    """
-    size = np.array([len(t) + 2 for t in texts], dtype=np.int64)
-    cp = np.frombuffer("".join(["\n\n" + t for t in texts]).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    low = np.minimum(cp, 127)
-    symbols = np.where(cp < 128, _TABLE[low], _FIRST_OTHER + ((cp * np.uint32(2654435761)) >> np.uint32(16)) % np.uint32(SYMBOLS - _FIRST_OTHER))
-    width = 1 + (_UPPER[low] & (cp < 128))
-    place = np.cumsum(width)
-    out = np.repeat(symbols.astype(np.int32), width)
-    out[place[width == 2] - 2] = _SHIFT
-    ends = np.concatenate([[0], place[np.cumsum(size) - 1]]) if len(texts) else np.zeros(1, np.int64)
-    codes = (out[:-2] * SYMBOLS + out[1:-1]) * SYMBOLS + out[2:] if len(out) > 2 else np.zeros(0, np.int32)
-    # the n-grams that reach over a text's end go: two before each start but the first
-    keep = np.ones(len(codes), dtype=bool)
-    inner = ends[1:-1]
-    keep[inner - 1] = False
-    keep[inner - 2] = False
-    return codes[keep], ends - 2 * np.arange(len(ends))
-
-
-def _pieces(texts: list[str]) -> Iterator[tuple[int, int]]:
-    a = 0
-    while a < len(texts):
-        b, n = a, 0
-        while b < len(texts) and (b == a or n + len(texts[b]) <= _PIECE):
-            n += len(texts[b])
-            b += 1
-        yield a, b
-        a = b
-
-
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of a task's n-grams by language; at most ``LANGUAGES`` tables are held at a time."""
-    held: dict[str, np.ndarray] = {}
-
-    def flush():
-        for lang, n in held.items():
-            at = np.flatnonzero(n)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), type=pa.string()), pa.array(at.astype(np.int32)), pa.array(n[at])], names=["lang", "gram", "n"])
-        held.clear()
-
-    for batch in batches:
-        langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        for a, b in _pieces(texts):
-            codes, ends = grams(texts[a:b])
-            of = np.repeat(np.arange(b - a), np.diff(ends))
-            names = np.array([x or POOLED for x in langs[a:b]], dtype=object)
-            for lang in set(names):
-                if lang not in held and len(held) >= LANGUAGES:
-                    yield from flush()
-                n = np.bincount(codes[(names == lang)[of]], minlength=SYMBOLS ** 3)
-                held[lang] = held[lang] + n if lang in held else n
-    yield from flush()
+WIDEN = 1.0
+#: What stands before a text.
+_START = "\n" * (ORDER - 1)
+#: Symbols that are worked through at a time, and n-grams that are held before they are merged.
+PIECE = 1 << 20
+HELD = 1 << 21
+_FACTORS = mix64(np.arange(1, ORDER + 1, dtype=np.uint64)) | np.uint64(1)
+
+
+def _pieces(texts: list[str]) -> Iterator[tuple[list[int], list[str]]]:
+    """Numbers of texts and their symbols with the context before; long texts come in several pieces."""
+    rows, parts, size = [], [], 0
+    for i, text in enumerate(texts):
+        padded = _START + text
+        for a in range(0, len(text), PIECE):
+            rows.append(i)
+            parts.append(padded[a:a + PIECE + ORDER - 1])
+            size += len(parts[-1])
+            if size > PIECE:
+                yield rows, parts
+                rows, parts, size = [], [], 0
+    if rows:
+        yield rows, parts
+
+
+def _hashes(window: np.ndarray, n: int) -> np.ndarray:
+    """Of ``n`` n-grams whose symbols are ``window[0:n]``, ``window[1:n + 1]`` and so on."""
+    h = np.zeros(n, np.uint64)
+    for j in range(ORDER):
+        h += window[j:j + n] * _FACTORS[j]
+    return mix64(h).view(np.int64)
+
+
+def _grams(parts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Code points; hash and place of every n-gram; and how many n-grams each part has (one for each symbol of its own)."""
+    cp = np.frombuffer("".join(parts).encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
+    cp[cp == 0] = 0xFFFD
+    size = np.array([len(p) for p in parts])
+    own = np.ones(len(cp), dtype=bool)
+    own[(np.cumsum(size)[:, None] - np.arange(1, ORDER)).ravel()] = False  # these would reach into the next part
+    at = np.flatnonzero(own)
+    padded = np.concatenate([cp, np.zeros(ORDER, np.uint64)])
+    return cp, _hashes(padded, len(cp))[at], at, size - (ORDER - 1)
+
+
+class Tally:
+    """Distinct n-grams with counts; merged whenever ``HELD`` are held."""
+
+    def __init__(self):
+        self.hash, self.symbols, self.n = [np.zeros(0, np.int64)], [np.zeros((0, ORDER), np.uint32)], [np.zeros(0, np.int64)]
+
+    def add(self, parts: list[str]) -> None:
+        cp, h, at, _ = _grams(parts)
+        code, found = pd.factorize(h)
+        first = np.zeros(len(found), np.int64)
+        first[code[::-1]] = at[::-1]
+        self.hash.append(found)
+        self.n.append(np.bincount(code, minlength=len(found)))
+        self.symbols.append(cp[first[:, None] + np.arange(ORDER)].astype(np.uint32))
+        if sum(map(len, self.hash)) > HELD:
+            self.merge()
+
+    def merge(self) -> None:
+        code, found = pd.factorize(np.concatenate(self.hash))
+        first = np.zeros(len(found), np.int64)
+        first[code[::-1]] = np.arange(len(code))[::-1]
+        n = np.bincount(code, weights=np.concatenate(self.n), minlength=len(found)).astype(np.int64)
+        self.hash, self.symbols, self.n = [found], [np.concatenate(self.symbols)[first]], [n]
+
+    def result(self) -> tuple[pa.Array, np.ndarray]:
+        """The n-grams as strings, and their counts."""
+        self.merge()
+        text = np.ascontiguousarray(self.symbols[0]).view(f"<U{ORDER}").ravel()
+        return pa.array(text, type=pa.string()), self.n[0]
+
+
+def _by_language(rows: pa.Table) -> Iterator[tuple[str, np.ndarray, list[str]]]:
+    """Each language of some documents, their row numbers and texts."""
+    lang = rows["lang"].to_pandas()
+    texts = rows["text"].fill_null("")
+    for name, at in lang.groupby(lang, sort=True).indices.items():
+        yield name, at, texts.take(pa.array(at)).to_pylist()
+
+
+def _count(rows: pa.Table, block: int) -> pa.Table:
+    """``block, lang, gram, n`` of the distinct n-grams of some documents."""
+    found = []
+    for name, _, texts in _by_language(rows):
+        tally = Tally()
+        for _, parts in _pieces(texts):
+            tally.add(parts)
+        gram, n = tally.result()
+        found.append(pa.table({"block": pa.array(np.full(len(n), block)), "lang": pa.array([name] * len(n), type=pa.string()), "gram": gram, "n": n}))
+    return pa.concat_tables(found) if found else None
+
+
+_COUNTED = "block long, lang string, gram string, n long"
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -141,133 +157,138 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
             .filter("q = 1 and t = 0").select("trusted_id"))
 
 
-def count_grams(trusted: DataFrame) -> DataFrame:
-    """``lang, gram, n`` over all trusted texts (``lang, text``), with the pooled counts as ``POOLED``."""
-    partial = trusted.select(F.col("lang").cast("string").alias("lang"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(_count, "lang string, gram int, n long")
-    counts = materialize(partial.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "gram-counts")
-    sizes = counts.filter(F.col("lang") != POOLED).groupBy("lang").agg(F.sum("n").alias("size")).filter(F.col("size") >= LANGUAGE_SYMBOLS)
-    own = sizes.orderBy(F.desc("size"), "lang").limit(LANGUAGES).select(F.col("lang").alias("own"))
-    pooled = counts.groupBy("gram").agg(F.sum("n").alias("n")).select(F.lit(POOLED).alias("lang"), "gram", "n")
-    return counts.join(own, counts.lang == own.own, "left_semi").unionAll(pooled)
+def _held_out(doc_id: Column) -> Column:
+    return F.pmod(F.xxhash64(doc_id), F.lit(HELD_OUT)) == 0
 
 
-def _discounts(counts: DataFrame, d: str) -> DataFrame:
-    """Per language the discounts of counts 1, 2 and 3+ (columns ``d``1 to ``d``3)."""
-    n = [F.count_if(F.col("n") == i).cast("double") for i in (1, 2, 3, 4)]
-    c = counts.groupBy(F.col("lang").alias(f"{d}_lang")).agg(*[x.alias(f"n{i}") for i, x in enumerate(n, 1)])
-    y = F.when(F.col("n1") > 0, F.col("n1") / (F.col("n1") + 2 * F.col("n2"))).otherwise(0.5)
-    out = [F.when((F.col(f"n{i}") > 0) & (F.col(f"n{i + 1}") > 0), i - (i + 1) * y * F.col(f"n{i + 1}") / F.col(f"n{i}")).otherwise(0.5 * i) for i in (1, 2, 3)]
-    # within (0, count), so that no probability is negative or lost
-    return c.select(f"{d}_lang", *[F.greatest(F.lit(0.05), F.least(F.lit(i - 0.05), x)).alias(f"{d}{i}") for i, x in enumerate(out, 1)])
-
-
-def _discount(d: str) -> Column:
-    return F.when(F.col("n") >= 3, F.col(f"{d}3")).when(F.col("n") == 2, F.col(f"{d}2")).when(F.col("n") == 1, F.col(f"{d}1")).otherwise(0.0)
-
-
-def _order(counts: DataFrame, key: str, context: Column | None, d: str) -> tuple[DataFrame, DataFrame]:
-    """One order of the model: ``(lang, key) -> own`` discounted share, and ``(lang, context) -> back`` weight of the order below."""
-    c = counts.join(_discounts(counts, d), F.col("lang") == F.col(f"{d}_lang")).withColumn("cut", _discount(d)).withColumn("ctx", F.lit(0) if context is None else context)
-    ctx = c.groupBy(F.col("lang").alias("c_lang"), F.col("ctx").alias("c_ctx")).agg(F.sum("n").alias("total"), (F.sum("cut") / F.sum("n")).alias("back"))
-    share = c.join(ctx, (F.col("lang") == F.col("c_lang")) & (F.col("ctx") == F.col("c_ctx"))).select("lang", key, ((F.col("n") - F.col("cut")) / F.col("total")).alias("own"))
-    return share, ctx.select("c_lang", "c_ctx", "back")
-
-
-def _interpolate(grid: DataFrame, share: DataFrame, back: DataFrame, key: str, context: Column) -> DataFrame:
-    """``lang, key, p``: one order over every ``key`` of the grid, which holds the order ``below``."""
-    share = share.select(F.col("lang").alias("s_lang"), F.col(key).alias("s_key"), "own")
-    g = grid.join(share, (F.col("lang") == F.col("s_lang")) & (F.col(key) == F.col("s_key")), "left")
-    g = g.join(back, (F.col("lang") == F.col("c_lang")) & (context == F.col("c_ctx")), "left")
-    return g.select("lang", key, (F.coalesce("own", F.lit(0.0)) + F.coalesce("back", F.lit(1.0)) * F.col("below")).alias("p"))
-
-
-def _extend(lower: DataFrame, key: str, longer: str, factor: int) -> DataFrame:
-    """``lang, longer, below``: each n-gram of the lower order behind every possible first symbol."""
-    first = F.explode(F.sequence(F.lit(0), F.lit(SYMBOLS - 1)))
-    g = lower.select("lang", F.col(key).alias("tail"), F.col("p").alias("below"), first.alias("first"))
-    return g.select("lang", (F.col("first") * factor + F.col("tail")).alias(longer), "below")
-
-
-def train(counts: DataFrame) -> DataFrame:
-    """``lang, gram, bits``: the information of every possible n-gram's last symbol, given the two before."""
-    s = SYMBOLS
-    c2 = counts.groupBy("lang", (F.col("gram") % (s * s)).alias("pair")).agg(F.count("*").alias("n"))
-    c1 = c2.groupBy("lang", (F.col("pair") % s).alias("last")).agg(F.count("*").alias("n"))
-    p3, b3 = _order(counts, "gram", F.floor(F.col("gram") / s), "x")
-    p2, b2 = _order(c2, "pair", F.floor(F.col("pair") / s), "y")
-    p1, b1 = _order(c1, "last", None, "z")
-    symbols = b1.select(F.col("c_lang").alias("lang"), F.explode(F.sequence(F.lit(0), F.lit(s - 1))).alias("last"), F.lit(1.0 / s).alias("below"))
-    one = _interpolate(symbols, p1, b1, "last", F.lit(0))
-    two = _interpolate(_extend(one, "last", "pair", s), p2, b2, "pair", F.floor(F.col("pair") / s))
-    three = _interpolate(_extend(two, "pair", "gram", s * s), p3, b3, "gram", F.floor(F.col("gram") / s))
-    return three.select("lang", F.col("gram").cast("int").alias("gram"), (-F.log2("p")).alias("bits"))
-
-
-class Scorer:
-    """A trained model's tables (at most ``LANGUAGES`` + 1 of ``SYMBOLS^3`` numbers), shipped to the tasks once."""
-
-    def __init__(self, model: DataFrame):
-        langs = [r["lang"] for r in model.select("lang").distinct().collect()]
-        tables = {lang: np.zeros(SYMBOLS ** 3, np.float32) for lang in langs}
-        number = F.array_position(F.array(*map(F.lit, langs)), F.col("lang")) - 1 if langs else F.lit(0)
-        for batch in model.select(number.cast("byte"), "gram", F.col("bits").cast("float")).toArrow().to_batches():
-            of, code, bits = (c.to_numpy() for c in batch.columns)
-            for i, lang in enumerate(langs):
-                tables[lang][code[of == i]] = bits[of == i]
-        self.empty = not tables
-        self._sent = model.sparkSession.sparkContext.broadcast(tables)
-
-    def column(self, text: Column, lang: Column) -> Column:
-        """``bits, symbols, model`` of each row's text."""
-        sent = self._sent
-
-        def of(texts: pd.Series, langs: pd.Series) -> pd.DataFrame:
-            tables = sent.value
-            texts = [t or "" for t in texts]
-            names = [x if x in tables else POOLED for x in langs]
-            bits, count = np.zeros(len(texts)), np.zeros(len(texts), dtype=np.int64)
-            for a, b in _pieces(texts):
-                codes, ends = grams(texts[a:b])
-                each = np.empty(len(codes), dtype=np.float64)
-                for lang in set(names[a:b]):
-                    mine = np.repeat([n == lang for n in names[a:b]], np.diff(ends))
-                    each[mine] = tables[lang][codes[mine]]
-                sums = np.concatenate([[0.0], np.cumsum(each)])
-                bits[a:b], count[a:b] = np.diff(sums[ends]), np.diff(ends)
-            return pd.DataFrame({"bits": bits, "symbols": count, "model": names})
-
-        return F.pandas_udf(of, "bits double, symbols long, model string")(text, lang)
-
-
-def fit(docs: DataFrame, labels: DataFrame) -> Scorer:
-    """The model of the trusted documents' texts."""
+def count_grams(table: DataFrame, labels: DataFrame) -> DataFrame:
+    """``lang, gram, n`` over the trusted documents of the blocks that aren't held out."""
     # labels grow with the documents: the join is the same at every size
-    ids = trusted_ids(labels).hint("merge")
-    trusted = docs.select("doc_id", "lang", "text").join(ids, F.col("doc_id") == F.col("trusted_id"), "left_semi")
-    return Scorer(materialize(train(materialize(count_grams(trusted), "gram-model-counts")), "gram-model"))
+    mine = positions(table).join(trusted_ids(labels).hint("merge"), F.col("doc_id") == F.col("trusted_id"), "left_semi").filter(~_held_out(F.col("doc_id")))
 
+    def count(left: pa.Table, right: pa.Table) -> pa.Table:
+        empty = pa.table({"block": pa.array([], pa.int64()), "lang": pa.array([], pa.string()), "gram": pa.array([], pa.string()), "n": pa.array([], pa.int64())})
+        if not len(left) or not len(right):
+            return empty
+        rows = unpacked(left["blob"][0].as_py()).take(right["pos"])
+        return _count(rows, left["block"][0].as_py()) or empty
 
-def _language(lang: Column) -> Column:
-    """The language that a row is judged with; null is one."""
-    return F.coalesce(lang.cast("string"), F.lit(POOLED))
+    counted = table.select("block", "blob").groupBy("block").cogroup(mine.select(F.col("block").alias("of"), "pos").groupBy("of")).applyInArrow(count, _COUNTED)
+    return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def score(docs: DataFrame, scorer: Scorer, keep: list[str]) -> DataFrame:
-    """``row`` (the kept columns), ``lang``, ``model``, ``bits``, ``symbols`` of every document."""
-    row = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row")
-    found = docs.select(row, _language(F.col("lang")).alias("lang"), scorer.column(F.col("text").cast("string"), F.col("lang").cast("string")).alias("found"))
-    return found.select("row", "lang", "found.model", "found.bits", "found.symbols")
+def orders(counts: DataFrame) -> list[DataFrame]:
+    """``lang, gram, n`` of each order from 1 to ``ORDER``: the counts, and below them how many symbols stand before."""
+    found = [materialize(counts, f"order-{ORDER}")]
+    for k in range(ORDER - 1, 0, -1):
+        found.insert(0, materialize(found[0].groupBy("lang", F.substring("gram", 2, k).alias("gram")).agg(F.count("*").alias("n")), f"order-{k}"))
+    return found
 
 
-def thresholds(scored: DataFrame, labels: DataFrame, quantile: float = QUANTILE, slack: float = SLACK) -> DataFrame:
-    """Per language ``of, mean, limit`` in bits per symbol, from all of its trusted documents (``LEAST_TRUSTED`` at least)."""
-    trusted = (scored.filter("symbols > 0").join(trusted_ids(labels), F.col("row.doc_id") == F.col("trusted_id"), "left_semi")
-               .select("lang", "bits", "symbols"))
-    mean = trusted.groupBy("lang").agg((F.sum("bits") / F.sum("symbols")).alias("mean"), F.count("*").alias("n")).filter(F.col("n") >= LEAST_TRUSTED)
-    each = trusted.join(mean, "lang").withColumn("rate", smoothed(F.col("mean")))
-    q = F.percentile_approx("rate", [0.5, quantile], 10_000)
-    return (each.groupBy(F.col("lang").alias("of")).agg(F.first("mean").alias("mean"), q.alias("q"))
-            .select("of", "mean", (F.col("q")[1] + slack * (F.col("q")[1] - F.col("q")[0])).alias("limit")))
+def _discounts(counts: DataFrame, k: int) -> DataFrame:
+    """``d_lang, k, d1, d2, d3``: each language's discounts of the counts 1, 2 and 3+ of an order."""
+    c = counts.groupBy(F.col("lang").alias("d_lang")).agg(*[F.count_if(F.col("n") == i).cast("double").alias(f"n{i}") for i in (1, 2, 3, 4)])
+    y = F.when(F.col("n1") > 0, F.col("n1") / (F.col("n1") + 2 * F.col("n2"))).otherwise(0.5)
+    out = [F.when((F.col(f"n{i}") > 0) & (F.col(f"n{i + 1}") > 0), i - (i + 1) * y * F.col(f"n{i + 1}") / F.col(f"n{i}")).otherwise(0.5 * i) for i in (1, 2, 3)]
+    # within (0, count), so that no probability is negative or lost
+    return c.select("d_lang", F.lit(k).alias("k"), *[F.greatest(F.lit(0.05), F.least(F.lit(i - 0.05), x)).alias(f"d{i}") for i, x in enumerate(out, 1)])
+
+
+def _level(want: DataFrame, counts: DataFrame, discounts: DataFrame, below: DataFrame | None, k: int) -> DataFrame:
+    """``lang, gram, p`` of the wanted n-grams of order ``k``, from those of the order below."""
+    ctx = counts.groupBy(F.col("lang").alias("c_lang"), F.substring("gram", 1, k - 1).alias("c_ctx")).agg(
+        F.sum("n").alias("total"), *[F.count_if(F.col("n") == i).alias(f"n{i}") for i in (1, 2)], F.count_if(F.col("n") >= 3).alias("n3"))
+    own = counts.select(F.col("lang").alias("o_lang"), F.col("gram").alias("o_gram"), "n")
+    t = want.join(own, (F.col("lang") == F.col("o_lang")) & (F.col("gram") == F.col("o_gram")), "left")
+    t = t.join(ctx, (F.col("lang") == F.col("c_lang")) & (F.substring("gram", 1, k - 1) == F.col("c_ctx")), "left")
+    t = t.join(discounts.filter(F.col("k") == k), F.col("lang") == F.col("d_lang"))
+    if below is None:
+        lower = 1.0 / (F.col("n1") + F.col("n2") + F.col("n3") + 1)
+    else:
+        t = t.join(below.select(F.col("lang").alias("b_lang"), F.col("gram").alias("b_gram"), F.col("p").alias("lower")),
+                   (F.col("lang") == F.col("b_lang")) & (F.substring("gram", 2, k) == F.col("b_gram")))
+        lower = F.col("lower")
+    cut = F.when(F.col("n") >= 3, F.col("d3")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d1"))
+    share = F.coalesce((F.col("n") - cut) / F.col("total"), F.lit(0.0))
+    back = F.coalesce((F.col("d1") * F.col("n1") + F.col("d2") * F.col("n2") + F.col("d3") * F.col("n3")) / F.col("total"), F.lit(1.0))
+    return t.select("lang", "gram", (share + back * lower).alias("p"))
+
+
+def probabilities(grams: DataFrame, counted: list[DataFrame]) -> DataFrame:
+    """``lang, gram, p``: the probability of each n-gram's last symbol after the others, under its language's model.
+
+    ``grams`` holds ``lang, gram``; languages without a model are left out.
+    """
+    discounts = _discounts(counted[0], 1)
+    for k in range(2, ORDER + 1):
+        discounts = discounts.unionAll(_discounts(counted[k - 1], k))
+    discounts = materialize(discounts, "discounts")
+    known = discounts.filter("k = 1").select("d_lang")
+    want = materialize(grams.select("lang", "gram").distinct().join(known, F.col("lang") == F.col("d_lang"), "left_semi"), "wanted")
+    p = None
+    for k in range(1, ORDER + 1):
+        wanted = want if k == ORDER else want.select("lang", F.substring("gram", ORDER - k + 1, k).alias("gram")).distinct()
+        p = materialize(_level(wanted, counted[k - 1], discounts, p, k), f"p-{k}")
+    return p
+
+
+def _block_grams(table: DataFrame) -> DataFrame:
+    """``block, lang, gram``: the distinct n-grams of each block."""
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
+                found = _count(unpacked(blob.as_py()), block)
+                if found is not None:
+                    yield from found.select(["block", "lang", "gram"]).to_batches(max_chunksize=1 << 18)
+    return table.select("block", "blob").mapInArrow(emit, "block long, lang string, gram string")
+
+
+def _symbols_of(grams: pa.Array) -> np.ndarray:
+    """The hashes of n-grams that are given as strings."""
+    text = grams.to_numpy(zero_copy_only=False).astype(f"<U{ORDER}")
+    symbols = np.ascontiguousarray(text).view(np.uint32).reshape(-1, ORDER).astype(np.uint64)
+    return mix64((symbols * _FACTORS).sum(axis=1, dtype=np.uint64)).view(np.int64)
+
+
+def _score(left: pa.Table, right: pa.Table) -> pa.Table:
+    """``block, pos, doc_id, lang, bits, symbols`` of a block's documents from the bits of its n-grams; no bits without a model."""
+    rows = unpacked(left["blob"][0].as_py())
+    n = len(rows)
+    bits, symbols, modelled = np.zeros(n), np.zeros(n, np.int64), np.zeros(n, dtype=bool)
+    lang = right["lang"].to_pandas().to_numpy()
+    for name, at, texts in _by_language(rows):
+        symbols[at] = [len(t) for t in texts]
+        mine = np.flatnonzero(lang == name)
+        if not len(mine):
+            continue
+        modelled[at] = True
+        some = right.take(pa.array(mine))
+        index = pd.Index(_symbols_of(some["gram"].combine_chunks()))
+        cost = some["bits"].to_numpy()
+        for of, parts in _pieces(texts):
+            _, h, _, sizes = _grams(parts)
+            where = index.get_indexer(h)
+            if (where < 0).any():
+                raise ValueError("a block's n-grams changed between two reads")
+            edges = np.concatenate([[0], np.cumsum(sizes)])
+            np.add.at(bits, at[np.array(of)], np.add.reduceat(cost[where], edges[:-1]))
+    return pa.table({"block": pa.array(np.full(n, left["block"][0].as_py())), "pos": pa.array(np.arange(n, dtype=np.int32)), "doc_id": rows["id"].combine_chunks(),
+                     "lang": rows["lang"].combine_chunks(), "bits": pa.array(bits, mask=~modelled), "symbols": pa.array(symbols)})
+
+
+_SCORES = "block long, pos int, doc_id long, lang string, bits double, symbols long"
+
+
+def score(table: DataFrame, counted: list[DataFrame]) -> DataFrame:
+    """``block, pos, doc_id, lang, bits, symbols`` of every document of the blocks, written once."""
+    grams = materialize(_block_grams(table), "block-grams")
+    p = probabilities(grams, counted).select(F.col("lang").alias("p_lang"), F.col("gram").alias("p_gram"), (-F.log2("p")).alias("bits"))
+    mine = grams.join(p, (F.col("lang") == F.col("p_lang")) & (F.col("gram") == F.col("p_gram"))).select(F.col("block").alias("of"), "lang", "gram", "bits")
+
+    def of(left: pa.Table, right: pa.Table) -> pa.Table:
+        return _score(left, right)
+
+    return materialize(table.select("block", "blob").groupBy("block").cogroup(mine.groupBy("of")).applyInArrow(of, _SCORES), "scores")
 
 
 def smoothed(mean: Column) -> Column:
@@ -275,30 +296,60 @@ def smoothed(mean: Column) -> Column:
     return (F.col("bits") + PRIOR_SYMBOLS * mean) / (F.col("symbols") + PRIOR_SYMBOLS)
 
 
+def thresholds(scored: DataFrame, labels: DataFrame, quantile: float = QUANTILE, slack: float = SLACK) -> DataFrame:
+    """Per language ``of, mean, limit`` in bits per symbol, from its held-out trusted documents."""
+    held = (scored.filter((F.col("symbols") > 0) & F.col("bits").isNotNull() & _held_out(F.col("doc_id")))
+            .join(trusted_ids(labels).hint("merge"), F.col("doc_id") == F.col("trusted_id"), "left_semi").select("lang", "bits", "symbols"))
+    held = materialize(held, "held-out")
+    mean = materialize(held.groupBy(F.col("lang").alias("of")).agg((F.sum("bits") / F.sum("symbols")).alias("mean"), F.count("*").alias("documents")), "means")
+    q = F.percentile_approx(smoothed(F.col("mean")), [0.5, quantile], 10_000)
+    each = held.join(mean, F.col("lang") == F.col("of")).groupBy("of", "mean", "documents").agg(q.alias("q"))
+    return materialize(each.select("of", "mean", (F.col("q")[1] + slack * (F.col("q")[1] - F.col("q")[0]) + WIDEN / F.sqrt("documents")).alias("limit")), "limits")
+
+
 def judge(scored: DataFrame, limits: DataFrame) -> DataFrame:
-    """``scored`` with ``perplexity``, ``threshold`` and ``kept``; without a threshold the perplexity is the text's alone."""
+    """``scored`` with ``model``, ``perplexity``, ``threshold`` and ``kept``; without a threshold the perplexity is the text's alone."""
     rate = F.when(F.col("symbols") > 0, F.coalesce(smoothed(F.col("mean")), F.col("bits") / F.col("symbols")))
     found = scored.join(limits, F.col("lang") == F.col("of"), "left")
-    return found.select(*scored.columns, F.pow(F.lit(2.0), rate).alias("perplexity"), F.pow(F.lit(2.0), F.col("limit")).alias("threshold"), F.coalesce(rate <= F.col("limit"), F.lit(True)).alias("kept"))
+    return found.select(*scored.columns, F.when(F.col("bits").isNotNull(), F.col("lang")).alias("model"), F.pow(F.lit(2.0), rate).alias("perplexity"),
+                        F.pow(F.lit(2.0), F.col("limit")).alias("threshold"), F.coalesce(rate <= F.col("limit"), F.lit(True)).alias("kept"))
+
+
+def verdicts(docs: DataFrame, labels: DataFrame, keep: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The documents' blocks, and ``block, pos, doc_id`` with scores and ``kept`` of every document."""
+    table = blocks(docs, keep)
+    scored = score(table, orders(count_grams(table, labels)))
+    return table, judge(scored, thresholds(scored, labels))
+
+
+def _with_rows(docs: DataFrame, keep: list[str], table: DataFrame, judged: DataFrame) -> DataFrame:
+    """``row`` (the kept columns) and the other columns of ``judged``, by block and place."""
+    rest = [c for c in judged.columns if c not in ("block", "pos", "doc_id")]
+    fields = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"))
+
+    def of(left: pa.Table, right: pa.Table) -> pa.Table:
+        rows = unpacked(left["blob"][0].as_py())
+        some = rows.take(right["pos"])
+        row = some["row"].combine_chunks()
+        columns = [some["text"].combine_chunks() if c == "text" else row.field(c) for c in keep]
+        return pa.table({"row": pa.StructArray.from_arrays(columns, names=keep), **{c: right[c] for c in rest}})
+
+    schema = fields.schema
+    for c in rest:
+        schema = schema.add(judged.schema[c])
+    return table.select("block", "blob").groupBy("block").cogroup(judged.withColumnRenamed("block", "of_block").groupBy("of_block")).applyInArrow(of, schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """``row``, the scores and ``kept`` of every document."""
+    """``row`` (the columns ``keep``), ``lang``, the scores and ``kept`` of every document."""
     names = docs.columns if keep is None else keep
-    scorer = fit(docs, labels)
-    if scorer.empty:
-        row = F.struct(*[F.col(f"`{c}`") for c in names]).alias("row")
-        none = F.lit(None).cast("double")
-        return docs.select(row, _language(F.col("lang")).alias("lang"), F.lit(POOLED).alias("model"), F.lit(0.0).alias("bits"), F.lit(0).cast("long").alias("symbols"),
-                           none.alias("perplexity"), none.alias("threshold"), F.lit(True).alias("kept"))
+    table, judged = verdicts(docs, labels, names)
     if names == ["doc_id"]:
-        scored = materialize(score(docs, scorer, ["doc_id"]), "scores")
-        return judge(scored, materialize(thresholds(scored, labels), "limits"))
-    # scoring is cheap beside writing texts: once for the limits, once for the rows
-    limits = materialize(thresholds(materialize(score(docs, scorer, ["doc_id"]), "scores"), labels), "limits")
-    return judge(score(docs, scorer, names), limits)
+        return judged.select(F.struct("doc_id").alias("row"), *[c for c in judged.columns if c not in ("block", "pos", "doc_id")])
+    return _with_rows(docs, names, table, judged)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The kept documents, with the columns of ``docs``."""
-    return classify(docs, labels).filter("kept").select("row.*")
+    table, judged = verdicts(docs, labels, docs.columns)
+    return _with_rows(docs, docs.columns, table, judged.filter("kept").select("block", "pos", "doc_id", "kept")).select("row.*")
