@@ -45,7 +45,7 @@ from ..session import materialize
 from .blocks import blocks, positions, unpacked
 from .text_kernels import mix64
 
-ORDER = 5
+ORDER = 4
 #: One in so many trusted documents is held out from training.
 HELD_OUT = 5
 PRIOR_SYMBOLS = 30
