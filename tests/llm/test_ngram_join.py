@@ -111,3 +111,28 @@ def test_components(spark, edges):
             if a != b:
                 root[a] = root[b] = min(root[a], root[b])
     assert got == root
+
+
+def test_sets_of_one_template_do_not_meet(spark, monkeypatch):
+    # 60 of 71 shingles are shared: similarity below 0.75, so there is no link, and pairs would be quadratic.
+    made = []
+    verified = nj._verified
+    monkeypatch.setattr(nj, "_verified", lambda d, pairs, name: made.append(pairs.count()) or verified(d, pairs, name))
+    template = [f"t{i}" for i in range(64)]
+    rows = [(i, " ".join(template + [f"own{i}x{j}" for j in range(11)])) for i in range(5000)]
+    got = nj.jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert sorted(r.component_id for r in got) == list(range(5000))
+    assert sum(made) <= 5000
+
+
+@pytest.mark.parametrize("part", [1 << 13, 4])
+def test_links_equal_brute_force(spark, monkeypatch, part):
+    monkeypatch.setattr(nj, "PART", part)
+    rows = [(i, t) for i, t in enumerate(family(160, 9))] + [(500, None), (501, "a b"), (502, "A b")]
+    rows += [(600 + i, " ".join([f"z{j}" for j in range(90)] + [f"e{i}"])) for i in range(40)]
+    sets = [shingle_set(t) for _, t in rows]
+    want = {i: sum(k != j and bool(sets[j]) and 100 * len(sets[k] & sets[j]) >= 75 * len(sets[k] | sets[j]) for j in range(len(rows))) if sets[k] else 0
+            for k, (i, _) in enumerate(rows)}
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {r.doc_id: r.n_links for r in nj.link_counts(df).collect()} == want
+    assert sorted(map(tuple, nj.jaccard_classes(df).collect()), key=key) == sorted(brute(rows), key=key)

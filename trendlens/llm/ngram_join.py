@@ -4,28 +4,33 @@ Exact up to 64-bit hashes of shingles and sets. Documents with equal sets are
 one node. Steps:
 
 1. One scan gives each document's set size and key, and the shingles that tasks
-   meet repeatedly. From these a table of ``CELLS`` cells (fixed size) holds how
+   meet repeatedly. From these a table of cells, sized by their number, holds how
    frequent the shingles of a cell are, on a logarithmic scale.
 2. A second scan emits every set's prefix: its rarest shingles, by this scale
    and then by hash. Sets of similarity ``t`` share a shingle of their prefixes
    of ``n - ceil(t n) + 1`` shingles under any common order; the scale only keeps
    frequent shingles out of prefixes. A pair that needs an overlap of ``o`` shares
-   one within its first ``n - o + 1`` shingles each, so places count as well.
-3. The sets of a shingle form a tile. First only the pairs of each set with the
-   tile's most typical one (the most frequent shingles on average: an original
-   among its copies) are candidates: their number is linear in the tiles' rows.
+   one within its first ``n - o + 1`` shingles each, so places count as well: the
+   place says how large a partner can be.
+3. The sets of a shingle form a tile; those of a hot shingle are dealt to parts of
+   about ``PART`` sets. First only the pairs of each set with its part's most typical
+   one (the most frequent shingles on average: an original among its copies), and
+   of these with the tile's, are candidates: their number is linear in the rows.
 4. Candidates are checked: sizes, then hashed bitmaps whose length depends on
    the size band (bits of one that the other lacks bound the overlap from
    above), then the intersection of the sorted arrays.
-5. Components of the links. In tiles of one size band (with the next smaller
-   band's sets as guests) that still hold several components, all pairs across
+5. Components of the links. Tiles that still hold several components are cut by
+   size: a set goes to the tile of (shingle, its band, a partner's band) only if
+   its place allows a partner of that band, so sets of one template that differ in
+   more than the similarity allows don't meet. In what is left, all pairs across
    components are candidates, except those within the largest: these are
    linked already, directly or not. They are checked the same way.
 6. Components of all links; each document gets its component's least id.
 
 A large group of near copies becomes one component in step 5 without all of
-its pairs. Candidates of steps 3 and 5 are checked from the texts: a filter of
-fixed size says which sets are needed, so only their bitmaps and arrays move.
+its pairs; :func:`jaccard_links` gives the links themselves, all of them.
+Candidates are checked from the texts: a bitmap, sized by their number, says
+which sets are needed, so only their bitmaps and arrays move.
 
 Defined results: words are lower-cased (``A-Z``) runs of anything but
 ``\\x20 \\x09-\\x0D``; a text of fewer than five words is one shingle; null, empty
@@ -49,9 +54,16 @@ from .text_kernels import mix64, shingle_chunks
 
 #: Similarity as a fraction.
 NUMERATOR, DENOMINATOR = 3, 4
-#: Cells of the frequency table and of the filters of needed sets (a byte each).
-CELLS = 1 << 20
-NEEDED_CELLS = 1 << 22
+#: Cells of the frequency table (of four shingles, eight bytes) for each frequent shingle, and at most (32 MB).
+CELLS_EACH = 8
+MOST_CELLS = 1 << 22
+#: Bits of the filter of needed sets for each of them, and at most (16 MB).
+BITS_EACH = 32
+FILTER_BITS = 1 << 27
+#: Sets of a part of a hot shingle's tile.
+PART = 1 << 13
+#: Ratio of the sizes at a band's ends.
+STEP = 1.02
 #: Shingles found at least so often are frequent.
 FREQUENT = 8
 #: Shingles that a task counts at a time.
@@ -118,16 +130,35 @@ def _sizes_and_repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
 
 
 def _frequency_table(repeats: DataFrame) -> np.ndarray:
-    """How frequent the shingles of each cell are: 0, or the binary logarithm. ``CELLS`` bytes, whatever the input."""
-    often = repeats.groupBy("shingle").agg(F.sum("times").alias("times")).filter(F.col("times") >= FREQUENT)
-    cells = often.groupBy(F.pmod("shingle", F.lit(CELLS)).alias("cell")).agg(F.max(F.floor(F.log2("times"))).cast("int").alias("scale")).toArrow()
-    table = np.zeros(CELLS, dtype=np.uint8)
-    table[cells["cell"].to_numpy()] = cells["scale"].to_numpy()
-    return table
+    """How frequent shingles are: a cell holds, for its four most frequent shingles, the binary logarithm and eight bits of the shingle.
+
+    At most ``MOST_CELLS`` cells. A frequent shingle that finds no room counts as a rare one, and a rare one
+    with a frequent one's cell and bits as frequent; both only cost candidates.
+    """
+    often = materialize(repeats.groupBy("shingle").agg(F.sum("times").alias("times")).filter(F.col("times") >= FREQUENT), "frequent")
+    cells = 1 << max(10, min((CELLS_EACH * often.count()).bit_length(), MOST_CELLS.bit_length() - 1))
+    check = F.shiftright("shingle", 40).bitwiseAND(F.lit(255))
+    first = F.slice(F.sort_array(F.collect_list(F.struct("times", check.alias("check"))), False), 1, 4)
+    entry = lambda x, i: F.call_function("shiftleft", x["check"] * 256 + F.floor(F.log2(x["times"])).cast("long"), (16 * i).cast("int"))
+    word = F.aggregate(F.transform(first, entry), F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(x)).alias("word")
+    found = often.groupBy(F.pmod("shingle", F.lit(cells)).alias("cell")).agg(word).toArrow()
+    table = np.zeros(cells, dtype=np.int64)
+    table[found["cell"].to_numpy()] = found["word"].to_numpy()
+    return table.view(np.uint16).reshape(cells, 4)
+
+
+def _scales(s: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """The logarithms of how frequent the shingles are, 0 for rare ones."""
+    cell, check = (s & np.uint64(len(table) - 1)).astype(np.int64), ((s >> np.uint64(40)) & np.uint64(255)).astype(np.uint16)
+    out = np.zeros(len(s), dtype=np.int64)
+    for i in range(4):
+        entry = table[cell, i]
+        out = np.maximum(out, np.where(entry >> 8 == check, entry & 255, 0))
+    return out
 
 
 def _prefixes(table) -> Callable:
-    """Rows ``shingle, key, n, place, typical`` of each set's prefix."""
+    """Rows ``shingle, key, n, place, typical, parts`` of each set's prefix; ``parts`` is how many its tile is dealt to."""
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scale, seen = table.value, set()
         for batch in batches:
@@ -136,15 +167,17 @@ def _prefixes(table) -> Callable:
                 rows = _first_of_task(keys, n_all, seen)
                 s, n = _of_rows(h, edges, rows)
                 set_ = np.repeat(np.arange(len(rows)), n)
-                frequent = scale[(s & np.uint64(CELLS - 1)).astype(np.int64)]
+                frequent = _scales(s, scale)
                 order = np.argsort(set_ * 64 + frequent, kind="stable")
                 typical = 1000 * np.bincount(set_, weights=frequent, minlength=len(rows)) // np.maximum(n, 1)
                 length = n - -(-n * NUMERATOR // DENOMINATOR) + 1
                 place = np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length)
                 at = order[place + np.repeat(np.cumsum(n) - n, length)]
+                parts = np.maximum(1, (1 << frequent[at]) // PART).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(s[at].view(np.int64)), pa.array(np.repeat(keys[rows], length)), pa.array(np.repeat(n, length).astype(np.int32)),
-                    pa.array(place.astype(np.int32)), pa.array(np.repeat(typical, length).astype(np.int32))], names=["shingle", "key", "n", "place", "typical"])
+                    pa.array(place.astype(np.int32)), pa.array(np.repeat(typical, length).astype(np.int32)), pa.array(parts)],
+                    names=["shingle", "key", "n", "place", "typical", "parts"])
     return emit
 
 
@@ -155,38 +188,72 @@ def _may_link(n: Column, place: Column, m: Column, other: Column) -> Column:
 
 
 def _with_typical(prefixes: DataFrame) -> DataFrame:
-    """The rows of shingles with several sets, with the tile's most typical set (``t_key``, ``t_n``, ``t_place``)."""
-    w = Window.partitionBy("shingle").orderBy(F.desc("typical"), "n", "key")
+    """The rows of shingles with several sets, with the most typical set of their part (``t_key``, ``t_n``, ``t_place``, ``t_typical``).
+
+    A part of a hot tile stays even with one set, as the other parts hold others.
+    """
+    part = F.when(F.col("parts") > 1, F.pmod(F.xxhash64("key"), F.col("parts"))).otherwise(F.lit(0)).alias("part")
+    rows = prefixes.select("*", part)
+    w = Window.partitionBy("shingle", "part").orderBy(F.desc("typical"), "n", "key")
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return (prefixes.select("shingle", "key", "n", "place", *[F.first(c).over(w).alias(f"t_{c}") for c in ("key", "n", "place")],
-                            F.min("key").over(whole).alias("least"), F.max("key").over(whole).alias("most"))
-            .filter("least <> most").drop("least", "most"))
+    return (rows.select("shingle", "key", "n", "place", "parts", *[F.first(c).over(w).alias(f"t_{c}") for c in ("key", "n", "place", "typical")],
+                        F.min("key").over(whole).alias("least"), F.max("key").over(whole).alias("most"))
+            .filter((F.col("least") != F.col("most")) | (F.col("parts") > 1)).drop("least", "most"))
+
+
+def _star(tiles: DataFrame) -> DataFrame:
+    """Pairs ``a < b`` (with sizes): each set with its part's most typical one, and these with their tile's."""
+    near = tiles.select("t_key", "t_n", "t_place", "key", "n", "place")
+    parts = tiles.filter("parts > 1").select("shingle", "t_key", "t_n", "t_place", "t_typical").distinct()
+    first = F.min_by(F.struct("t_key", "t_n", "t_place"), F.struct((-F.col("t_typical")).alias("x"), "t_n", "t_key")).alias("f")
+    top = parts.groupBy(F.col("shingle").alias("s")).agg(first).select("s", F.col("f.t_key").alias("f_key"), F.col("f.t_n").alias("f_n"), F.col("f.t_place").alias("f_place"))
+    far = parts.join(top, F.col("shingle") == F.col("s")).select(F.col("f_key").alias("t_key"), F.col("f_n").alias("t_n"), F.col("f_place").alias("t_place"),
+                                                                 F.col("t_key").alias("key"), F.col("t_n").alias("n"), F.col("t_place").alias("place"))
+    pairs = near.unionAll(far).filter((F.col("key") != F.col("t_key")) & _may_link(F.col("n"), F.col("place"), F.col("t_n"), F.col("t_place")))
+    return _oriented(pairs, "t_key", "t_n", "key", "n")
 
 
 def _band(n: Column) -> Column:
-    """Sizes of one band differ by less than the similarity allows; linked sets are at most one band apart."""
-    return F.floor(F.log(n.cast("double")) / F.lit(float(np.log(DENOMINATOR / NUMERATOR))) + 1e-9).cast("int")
+    """The band of sizes that a size lies in."""
+    return F.floor(F.log(n.cast("double")) / F.lit(float(np.log(STEP))) + 1e-9).cast("int")
+
+
+def _by_size(rows: DataFrame) -> DataFrame:
+    """Each row once for every tile (shingle, band, band) of its own band and a band in which its place allows partners.
+
+    A shingle at ``place`` can be the first that a set of size ``n`` shares with one of size ``m``
+    only if ``3 (n + m) <= 7 (n - place)``, and sizes that link differ by the similarity at most.
+    """
+    n, place = F.col("n"), F.col("place")
+    least = F.ceil(n * NUMERATOR / DENOMINATOR)
+    most = F.least(F.floor(n * DENOMINATOR / NUMERATOR), F.floor(((NUMERATOR + DENOMINATOR) * (n - place) - NUMERATOR * n) / NUMERATOR))
+    of = rows.withColumn("band", _band(n)).filter(most >= least)
+    each = of.withColumn("partner", F.explode(F.sequence(_band(least), _band(most))))
+    return each.select(*rows.columns, "band", F.least("band", "partner").alias("low"), F.greatest("band", "partner").alias("high"))
+
+
+def _meet(x: DataFrame, y: DataFrame, also: Column) -> DataFrame:
+    """Pairs ``a < b`` (with sizes) of rows of one tile that may link, ``x``'s columns prefixed with ``x_``."""
+    sides = (F.col("low") == F.col("high")) | (F.col("x_band") != F.col("band"))
+    pairs = x.join(y, (F.col("x_shingle") == F.col("shingle")) & (F.col("x_low") == F.col("low")) & (F.col("x_high") == F.col("high")) & sides & also
+                   & _may_link(F.col("x_n"), F.col("x_place"), F.col("n"), F.col("place")))
+    return _oriented(pairs, "x_key", "x_n", "key", "n")
 
 
 def _across(rows: DataFrame, roots: DataFrame) -> DataFrame:
     """Pairs ``a < b`` (with sizes) of different components that share a tile, except those within its largest."""
     rows = rows.join(roots.select(F.col("node").alias("of"), "root"), F.col("key") == F.col("of"), "left")
-    rows = rows.select("shingle", "key", "n", "place", F.coalesce("root", "key").alias("root"))
-    band = _band(F.col("n"))
-    tiles = rows.select("*", F.explode(F.array(F.struct(band.alias("band"), F.lit(True).alias("home")),
-                                               F.struct((band + 1).alias("band"), F.lit(False).alias("home")))).alias("t"))
-    tiles = tiles.select("shingle", "t.band", "t.home", "key", "n", "place", "root").distinct()
-    sizes = tiles.groupBy("shingle", "band", "root").agg(F.count("*").alias("rows"), F.max("home").alias("home"))
-    several = (sizes.groupBy(F.col("shingle").alias("s"), F.col("band").alias("b"))
-               .agg(F.max_by("root", F.struct("rows", "root")).alias("largest"), F.count("*").alias("roots"), F.max("home").alias("any_home"))
-               .filter("roots > 1 and any_home"))
-    left = materialize(tiles.join(several, (F.col("shingle") == F.col("s")) & (F.col("band") == F.col("b"))).select(
-        "shingle", "band", "home", "key", "n", "place", "root", "largest"), "tiles")
-    x = left.filter("root <> largest").select(*[F.col(c).alias(f"x_{c}") for c in ("shingle", "band", "home", "key", "n", "place", "root")])
-    pairs = x.join(left, (F.col("x_shingle") == F.col("shingle")) & (F.col("x_band") == F.col("band")) & (F.col("x_root") != F.col("root"))
-                   & (F.col("x_home") | F.col("home")) & ((F.col("root") == F.col("largest")) | (F.col("x_key") < F.col("key")))
-                   & _may_link(F.col("x_n"), F.col("x_place"), F.col("n"), F.col("place")))
-    return _oriented(pairs, "x_key", "x_n", "key", "n")
+    rows = materialize(rows.select("shingle", "key", "n", "place", F.coalesce("root", "key").alias("root")), "rooted")
+    mixed = rows.groupBy(F.col("shingle").alias("s")).agg(F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 <> r2").select("s")
+    tiles = _by_size(rows.join(mixed, F.col("shingle") == F.col("s"), "left_semi"))
+    sizes = tiles.groupBy("shingle", "low", "high", "root").agg(F.count("*").alias("rows"), F.min("band").alias("b1"), F.max("band").alias("b2"))
+    several = (sizes.groupBy(F.col("shingle").alias("s"), F.col("low").alias("l"), F.col("high").alias("h"))
+               .agg(F.max_by("root", F.struct("rows", "root")).alias("largest"), F.count("*").alias("roots"), F.min("b1").alias("b1"), F.max("b2").alias("b2"))
+               .filter((F.col("roots") > 1) & (F.col("b1") == F.col("l")) & (F.col("b2") == F.col("h"))).select("s", "l", "h", "largest"))
+    left = materialize(tiles.join(several, (F.col("shingle") == F.col("s")) & (F.col("low") == F.col("l")) & (F.col("high") == F.col("h"))).select(
+        "shingle", "low", "high", "band", "key", "n", "place", "root", "largest"), "tiles")
+    x = left.filter("root <> largest").select(*[F.col(c).alias(f"x_{c}") for c in ("shingle", "low", "high", "band", "key", "n", "place", "root")])
+    return _meet(x, left, (F.col("x_root") != F.col("root")) & ((F.col("root") == F.col("largest")) | (F.col("x_key") < F.col("key"))))
 
 
 def _oriented(pairs: DataFrame, a: str, na: str, b: str, nb: str) -> DataFrame:
@@ -226,24 +293,31 @@ def _enough(overlap: int, a_n: int, b_n: int) -> bool:
 
 
 def _needed(pairs: DataFrame) -> np.ndarray:
-    """A filter of ``NEEDED_CELLS`` cells: which sets stand in pairs (others may pass, too)."""
-    keys = pairs.select(F.explode(F.array("a", "b")).alias("key"))
-    cells = keys.select(F.pmod("key", F.lit(NEEDED_CELLS)).alias("cell")).distinct().toArrow()
-    table = np.zeros(NEEDED_CELLS, dtype=bool)
-    table[cells["cell"].to_numpy()] = True
+    """A bitmap in 64-bit words, at most ``FILTER_BITS`` bits: which sets stand in pairs (others may pass, too)."""
+    keys = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    bits = 1 << max(10, min((BITS_EACH * keys.count()).bit_length(), FILTER_BITS.bit_length() - 1))
+    cell = F.pmod("key", F.lit(bits))
+    word = F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (cell % 64).cast("int"))).alias("word")
+    found = keys.groupBy(F.shiftright(cell, 6).alias("at")).agg(word).toArrow()
+    table = np.zeros(bits // 64, dtype=np.uint64)
+    table[found["at"].to_numpy()] = found["word"].to_numpy().view(np.uint64)
     return table
 
 
-def _content(docs: DataFrame, needed: np.ndarray, whole: bool) -> DataFrame:
+def _is_needed(keys: np.ndarray, table: np.ndarray) -> np.ndarray:
+    cell = keys.view(np.uint64) & np.uint64(64 * len(table) - 1)
+    return (table[(cell >> np.uint64(6)).astype(np.int64)] >> (cell & np.uint64(63))) & np.uint64(1) == 1
+
+
+def _content(docs: DataFrame, sent, whole: bool) -> DataFrame:
     """``set_key, content`` of the sets that pass the filter: their bitmaps, or whole sorted arrays."""
-    sent = docs.sparkSession.sparkContext.broadcast(needed)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted, seen = sent.value, set()
         for batch in batches:
             for _, h, edges in _sets(batch.column(1)):
                 n, keys = np.diff(edges), _keys(h, edges)
-                rows = _first_of_task(keys, np.where(wanted[keys % NEEDED_CELLS], n, 0), seen)
+                rows = _first_of_task(keys, np.where(_is_needed(keys, wanted), n, 0), seen)
                 values = [h[edges[i]:edges[i + 1]].tobytes() if whole else _bitmap(h[edges[i]:edges[i + 1]]) for i in rows]
                 yield pa.RecordBatch.from_arrays([pa.array(keys[rows]), pa.array(values, type=pa.binary())], names=["set_key", "content"])
 
@@ -277,21 +351,31 @@ def _arrays_link(a: bytes, a_n: int, b: bytes, b_n: int) -> bool:
 
 def _verified(docs: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
     """The pairs that are links: bitmaps first, arrays for what they leave."""
-    pairs = materialize(pairs, f"{name}-pairs")
-    maybe = materialize(_tested(pairs, _content(docs, _needed(pairs), False), _bitmaps_allow), f"{name}-maybe")
-    return materialize(_tested(maybe, _content(docs, _needed(maybe), True), _arrays_link), f"{name}-links")
+    left = materialize(pairs, f"{name}-pairs")
+    for test, whole, step in ((_bitmaps_allow, False, "maybe"), (_arrays_link, True, "links")):
+        if left.isEmpty():
+            break
+        sent = docs.sparkSession.sparkContext.broadcast(_needed(left))
+        left = materialize(_tested(left, _content(docs, sent, whole), test), f"{name}-{step}")
+        sent.destroy()
+    return left
+
+
+def _tiles(d: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, n, key`` of every document, and the tiles' rows with their most typical sets."""
+    first = materialize(d.mapInArrow(_sizes_and_repeats, "doc_id long, n long, key long, shingle long, times long"), "sizes")
+    sets = first.filter("n is not null").select("doc_id", "n", "key")
+    table = d.sparkSession.sparkContext.broadcast(_frequency_table(first.filter("shingle is not null").select("shingle", "times")))
+    prefixes = d.mapInArrow(_prefixes(table), "shingle long, key long, n int, place int, typical int, parts int")
+    tiles = materialize(_with_typical(prefixes), "prefixes")
+    table.destroy()
+    return sets, tiles
 
 
 def _classes(d: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``doc_id, n, key`` of every document, and ``of, least, root`` of every set key (its least id and class)."""
-    spark = d.sparkSession
-    first = materialize(d.mapInArrow(_sizes_and_repeats, "doc_id long, n long, key long, shingle long, times long"), "sizes")
-    sets = first.filter("n is not null").select("doc_id", "n", "key")
-    table = spark.sparkContext.broadcast(_frequency_table(first.filter("shingle is not null").select("shingle", "times")))
-    prefixes = d.mapInArrow(_prefixes(table), "shingle long, key long, n int, place int, typical int")
-    tiles = materialize(_with_typical(prefixes), "prefixes")
-    star = tiles.filter((F.col("key") != F.col("t_key")) & _may_link(F.col("n"), F.col("place"), F.col("t_n"), F.col("t_place")))
-    links = _verified(d, _oriented(star, "t_key", "t_n", "key", "n"), "star")
+    sets, tiles = _tiles(d)
+    links = _verified(d, _star(tiles), "star")
     roots = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
     more = _verified(d, _across(tiles.select("shingle", "key", "n", "place"), roots), "across")
     roots = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionAll(more.select("a", "b")))
@@ -313,6 +397,29 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
+def jaccard_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """All links: ``a, b`` (``a < b``) between the distinct sets that link, and ``doc_id, n_shingles, set`` of every document.
+
+    Documents of one set are linked with each other and with all of the sets linked with theirs.
+    """
+    d = _texts(docs)
+    sets, tiles = _tiles(d)
+    rows = materialize(_by_size(tiles.select("shingle", "key", "n", "place")), "sized")
+    x = rows.select(*[F.col(c).alias(f"x_{c}") for c in rows.columns])
+    return _verified(d, _meet(x, rows, F.col("x_key") < F.col("key")), "all").select("a", "b"), sets.select("doc_id", F.col("n").alias("n_shingles"), F.col("key").alias("set"))
+
+
+def link_counts(docs: DataFrame) -> DataFrame:
+    """``doc_id, n_shingles, n_links``: how many other documents each document is linked with."""
+    links, sets = jaccard_links(docs)
+    sets = materialize(sets, "sets")
+    copies = sets.filter("set is not null").groupBy(F.col("set").alias("of")).agg(F.count("*").alias("copies"))
+    both = links.select("a", "b").unionAll(links.select("b", "a")).toDF("a", "b")
+    others = both.join(copies, F.col("b") == F.col("of")).groupBy(F.col("a").alias("linked")).agg(F.sum("copies").alias("others"))
+    each = copies.join(others, F.col("of") == F.col("linked"), "left").select("of", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    return sets.join(each, F.col("set") == F.col("of"), "left").select("doc_id", "n_shingles", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
 def set_key(text: Column) -> Column:
     """The key of a text's shingle set; null if that is empty."""
     def of(texts: pd.Series) -> pd.Series:
