@@ -71,3 +71,12 @@ def test_round_trip_through_spark(spark, library):
         assert r.ids == want and r.n_tokens == len(want) and r.ids_crc32 == zlib.crc32(np.array(want, dtype="<u4").tobytes())
         assert r.back == (r.text or "").replace("▁", " ")
     assert sa.encode(df.limit(0), PATH).collect() == []
+
+
+def test_long_units_without_blanks(library, model):
+    r = random.Random(6)
+    letters = "".join(r.choice("etaoinshrdlucmfwypvbgkqjxz") for _ in range(60_000))
+    texts = [letters, "".join(r.choice("abcxyz日本é") for _ in range(5_000)), "a" * 3000, letters[:500] + " " + letters[:500]]
+    assert [x.tolist() for x in model.encode(texts)] == library.encode(texts)
+    parts = model._cut(letters)
+    assert "".join(parts) == letters and max(map(len, parts)) < 1000

@@ -9,7 +9,11 @@ searches, which give the range of its occurrences. The occurrences are edges
 from their start to their end; sorted by position they are relaxed: in each
 unit the best-scored edge that joins two adjacent symbols (the leftmost of
 equals) replaces them, until none is left. That is the BPE rule. All units
-take a step at a time; units over ``LONG`` characters use a heap instead.
+take a step at a time. Units over ``LONG`` characters are first cut between
+characters that stand together in no piece, as nothing is joined there; what is
+still longer uses a heap. Units are worked through ``STRETCH`` characters at a
+time, so a long text needs no more memory, unless it goes on without any such
+place (say, millions of one letter).
 Characters outside the vocabulary become byte pieces.
 
 Defined results: null and empty texts have no ids; repeated rows are encoded
@@ -77,6 +81,8 @@ class Pieces:
             raise ValueError("more than 65,535 characters in pieces")
         self.rank_of = np.zeros(0x110000, dtype=np.uint64)  # 0: in no longer piece
         self.rank_of[[ord(c) for c in alphabet]] = np.arange(1, len(alphabet) + 1)
+        # every two neighbouring characters of a piece
+        self.pairs = np.unique(np.array([self._pair(ord(x), ord(y)) for i in many for x, y in zip(text[i], text[i][1:])], dtype=np.uint64))
         self.ids = np.array(many, dtype=np.int32)
         self.sizes = np.array([len(text[i]) for i in many], dtype=np.int64)
         self.longest = int(self.sizes.max())
@@ -94,6 +100,17 @@ class Pieces:
             self.out[i] = bytes([b])
         self.out[model.unk_id()] = " ⁇ ".encode()
 
+    def _pair(self, x, y) -> np.ndarray:
+        return (self.rank_of[x] << np.uint64(16)) | self.rank_of[y]
+
+    def _cut(self, unit: str) -> list[str]:
+        """A long unit, cut between characters that stand together in no piece: nothing is joined over such a place."""
+        cp = np.frombuffer(unit.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        pair = self._pair(cp[:-1], cp[1:])
+        known = self.pairs[np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)] == pair
+        cuts = (np.flatnonzero(~known) + 1).tolist()
+        return [unit[a:b] for a, b in zip([0, *cuts], [*cuts, len(unit)])]
+
     @staticmethod
     def _packed(rows: np.ndarray) -> np.ndarray:
         r = rows.reshape(len(rows), -1, 4)
@@ -234,6 +251,19 @@ class Pieces:
         tokens = np.concatenate([[0], np.cumsum(count)])
         return out, tokens[np.searchsorted(at, np.append(begin, n))]
 
+    def _encode_all(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """:meth:`encode_units`, about ``STRETCH`` characters at a time."""
+        ids, first, a = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)], 0
+        while a < len(units):
+            b, seen = a, 0
+            while b < len(units) and (b == a or seen + len(units[b]) <= STRETCH):
+                seen, b = seen + len(units[b]), b + 1
+            found, edges = self.encode_units(units[a:b])
+            first.append(first[-1][-1] + edges[1:])
+            ids.append(found)
+            a = b
+        return np.concatenate(ids), np.concatenate(first)
+
     def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
         """The ids of every text."""
         a = 0
@@ -242,9 +272,11 @@ class Pieces:
             while a < len(texts) and (not rows or seen + len(texts[a] or "") <= STRETCH):
                 text = texts[a] or ""
                 found = _UNIT.findall(_MARK + text.replace(" ", _MARK)) if text else []
+                if any(len(u) > LONG for u in found):
+                    found = [part for u in found for part in (self._cut(u) if len(u) > LONG else (u,))]
                 rows.append(np.fromiter(map(number.__getitem__, found), dtype=np.int64, count=len(found)))
                 seen, a = seen + len(text), a + 1
-            ids, first = self.encode_units(list(number)) if number else (np.zeros(0, np.int32), np.zeros(1, np.int64))
+            ids, first = self._encode_all(list(number))
             for r in rows:
                 yield ids[_ranges(first[r], first[r + 1] - first[r])]
 
