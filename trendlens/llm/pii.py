@@ -83,17 +83,36 @@ def _digits(s: Column) -> Column:
     return F.regexp_replace(s, r"\D", "")
 
 
-def permute_digits(digits: Column, tag: str, key: str = KEY, undo: bool = False) -> Column:
+def permute_digits(digits: Column, tag: str | Column, key: str = KEY, undo: bool = False) -> Column:
     """A digit string of 1 to 18 digits permuted among those of its length."""
+    tag = F.lit(tag) if isinstance(tag, str) else tag
     def within(d):
         n = F.length(d)
         left = F.floor(n / 2)
         sizes = F.struct(F.pow(F.lit(10.0), left).cast("bigint").alias("a"), F.pow(F.lit(10.0), n - left).cast("bigint").alias("b"),
-                         F.concat_ws(":", F.lit(tag), n.cast("string")).alias("tag"))
+                         F.concat_ws(":", tag, n.cast("string")).alias("tag"))
         return F.lpad(once(sizes, lambda z: feistel(d.cast("bigint"), z["a"], z["b"], z["tag"], key, undo)).cast("string"), n, "0")
     return once(digits, within)
 
 
+#: Digits that one network takes.
+_BLOCK = 17
+
+
+def permute_long(digits: Column, tag: str, key: str = KEY, undo: bool = False) -> Column:
+    """A digit string of 1 to 34 digits permuted among those of its length.
+
+    Longer ones than a network takes go through two; the second block's depends
+    on the first block as it was.
+    """
+    first, long = F.substr(digits, F.lit(1), F.lit(_BLOCK)), F.length(digits) > _BLOCK
+    head = permute_digits(first, tag, key, undo)
+    # a single digit stands in where there is no second block
+    rest = F.when(long, F.substr(digits, F.lit(_BLOCK + 1), F.length(digits))).otherwise("0")
+    tail = permute_digits(rest, F.concat_ws("/", F.lit(tag), head if undo else first), key, undo)
+    return F.when(long, F.concat(head, tail)).otherwise(head)
+
+
 def _refill(original: Column, new: Column) -> Column:
     """``original`` with its digits, in order, replaced by those of ``new``."""
     def fill(digits):
@@ -129,7 +148,7 @@ def _iban(m: Column, key: str) -> Column:
     def valid(v):
         account, land = F.substr(v, F.lit(5), F.length(v)), F.substr(v, F.lit(1), F.lit(2))
         digits = _digits(account)
-        new = F.concat(permute_digits(F.substr(digits, F.lit(1), F.lit(17)), "iban", key), F.substr(digits, F.lit(18), F.length(digits)))
+        new = permute_long(digits, "iban", key)
         body = F.when(F.length(digits) > 0, _refill(account, new)).otherwise(account)
         whole = once(body, lambda x: _digits(F.concat(F.lpad((98 - _mod97(F.concat(land, F.lit("00"), x))).cast("string"), 2, "0"), x)))
         return F.when(_mod97(v) == 1, _refill(m, whole)).otherwise(m)
@@ -175,8 +194,12 @@ def _in_place(m: Column, tag: str, key: str) -> Column:
     return _refill(m, permute_digits(_digits(m), tag, key))
 
 
+# The telephone country codes of one and two digits; all others have three.
+_COUNTRY = r"1|7|2[07]|3[0-4]|36|39|4[01]|4[3-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3}"
+
+
 def _phone(m: Column, key: str) -> Column:
-    land = F.regexp_extract(m, r"^(\+\d{1,3}|1(?=[.-]\d{3}[.-]))[ .(-]", 1)
+    land = F.regexp_extract(m, rf"^(\+\d{{1,3}}(?=[ .(-])|\+(?:{_COUNTRY})|1(?=[.-]\d{{3}}[.-]))", 1)
     rest = F.substr(m, F.length(land) + 1, F.length(m))
     return F.concat(land, _in_place(rest, "phone", key))
 
@@ -198,7 +221,7 @@ def _secret(m: Column, key: str) -> Column:
 
 
 def _access_key(m: Column, key: str) -> Column:
-    return F.concat(F.lit("AKIA"), F.upper(_name(m, "access", key, F.lit(16))))
+    return F.concat(F.substr(m, F.lit(1), F.lit(4)), F.upper(_name(m, "access", key, F.lit(16))))
 
 
 def pseudonym(m: Column, key: str = KEY, day_first: Column | None = None) -> Column:
