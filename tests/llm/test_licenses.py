@@ -51,3 +51,8 @@ def test_expressions(text, want, ok):
 
 def test_empty_table(spark):
     assert L.scan_licenses(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+@pytest.mark.parametrize("text, ok", [("mitxyz", False), ("iscsi", False), ("bsd-3-clause", True), ("BSD-3-Clause+", True), ("apache-3.0", False), ("cc-by-nc-4.0", False), ("zlib", True)])
+def test_permissive_ids_are_exact(text, ok):
+    assert L.permissive(L.parse_expression(text)) is ok

@@ -36,11 +36,24 @@ NOTICE_PHRASES = {
     "gnu affero general public license": "agpl", "eclipse public license": "epl", "isc license": "isc",
     "creative commons": "cc", "licensed under cc by": "cc", "all rights reserved": "proprietary",
     "this is free and unencumbered software": "unlicense", "boost software license": "bsl",
+    "permission to use copy modify and or distribute this software": "isc", "without warranties or conditions of any kind either express or implied": "apache",
+    "neither the name of the copyright holder nor the names of its contributors": "bsd", "free software foundation either version": "gpl",
+    "european union public licence": "eupl", "common development and distribution license": "cddl", "server side public license": "sspl",
+    "business source license": "busl", "elastic license": "elastic", "artistic license": "artistic", "zlib license": "zlib",
+    "python software foundation license": "psf", "open data commons": "odc", "open database license": "odbl", "sil open font license": "ofl",
+    "university of illinois ncsa open source license": "ncsa", "postgresql license": "postgresql",
+    "common public attribution license": "cpal", "microsoft public license": "mspl", "gnu free documentation license": "gfdl",
 }
 #: The words of identifier tags.
 TAGS = ("spdx license identifier",)
-#: Id prefixes of permissive licences.
-PERMISSIVE = ("mit", "apache-", "bsd-", "isc", "zlib", "bsl-", "cc0-", "unlicense", "0bsd", "cc-by-1", "cc-by-2", "cc-by-3", "cc-by-4")
+#: The identifiers of permissive licences, in lower case; ``+`` (or later) may follow.
+PERMISSIVE = frozenset("""
+0bsd aal afl-1.1 afl-1.2 afl-2.0 afl-2.1 afl-3.0 apache-1.0 apache-1.1 apache-2.0 artistic-1.0 artistic-2.0 beerware blueoak-1.0.0
+bsd-1-clause bsd-2-clause bsd-2-clause-patent bsd-3-clause bsd-3-clause-clear bsd-4-clause bsl-1.0 bzip2-1.0.6
+cc-by-1.0 cc-by-2.0 cc-by-2.5 cc-by-3.0 cc-by-4.0 cc0-1.0 curl ecl-1.0 ecl-2.0 efl-1.0 efl-2.0 fair fsfap ftl hpnd icu ijg imagemagick isc
+libpng libpng-2.0 libtiff mirros mit mit-0 mit-modern-variant mulanpsl-1.0 mulanpsl-2.0 ncsa nist-pd ntp odc-by-1.0 openssl pddl-1.0 php-3.0 php-3.01
+postgresql psf-2.0 python-2.0 ruby tcl unicode-3.0 unicode-dfs-2016 unlicense upl-1.0 vim w3c wtfpl x11 xnet zend-2.0 zlib zlib-acknowledgement zpl-2.0 zpl-2.1
+""".split())
 
 _TO_WORDS = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 _TAG = re.compile(r"spdx[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+license[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+identifier[ \t]*:?[ \t]*([^\n]*)", re.I | re.A)
@@ -101,7 +114,7 @@ def permissive(postfix: list[str]) -> bool:
             b, a = stack.pop(), stack.pop()
             stack.append(a or b if token == "or" else a and b if token == "and" else a)
         else:
-            stack.append(token.startswith(PERMISSIVE))
+            stack.append(token.removesuffix("+") in PERMISSIVE)
     return stack[0]
 
 
