@@ -5,7 +5,7 @@ import random
 import pytest
 
 from trendlens.llm import quality_rules as qr, url_filter as uf
-from trendlens.llm.queries import QUERIES
+from trendlens.llm.queries import QUERIES, SQL
 
 WORDS = [f"word{i}" for i in range(400)]
 
@@ -88,4 +88,17 @@ def test_reputation_shrinks_and_blocks(spark):
 
 def test_every_operator_has_one_query():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
+
+
+def test_null_and_empty_hosts_are_two_hosts(spark, tmp_path):
+    import duckdb
+    rows = [(i, "# " * 60, "") for i in range(60)] + [(100 + i, clean(i), None) for i in range(60)] + [(200 + i, clean(300 + i), "good") for i in range(60)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    got = QUERIES["op1_quality_rules"](spark, str(tmp_path))
+    cur = con.execute(SQL["op1_quality_rules"])
+    names = [d[0] for d in cur.description]
+    assert sorted(map(tuple, got.select(*names).collect())) == sorted(cur.fetchall())
+    assert sum(r.host_blocked for r in got.collect()) == 60

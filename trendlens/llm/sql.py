@@ -1,7 +1,7 @@
 """DuckDB SQL of the queries that SQL can express."""
 
 OP1 = r"""
-WITH d AS (SELECT doc_id, coalesce(source, '') AS host, coalesce(text, '') AS text FROM documents),
+WITH d AS (SELECT doc_id, CASE WHEN source IS NULL THEN 'none' ELSE 'host ' || source END AS host, coalesce(text, '') AS text FROM documents),
 w AS (SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM d),
 win AS (SELECT doc_id, unnest(range(1, len(w) - 1)) AS i, w FROM w),
 hits AS (SELECT doc_id, i FROM win QUALIFY count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) > 1),
