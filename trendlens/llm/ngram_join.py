@@ -20,11 +20,12 @@ one node. Steps:
    the size band (bits of one that the other lacks bound the overlap from
    above), then the intersection of the sorted arrays.
 5. Components of the links. Tiles that still hold several components are cut by
-   size: a set goes to the tile of (shingle, its band, a partner's band) only if
-   its place allows a partner of that band, so sets of one template that differ in
-   more than the similarity allows don't meet. In what is left, all pairs across
-   components are candidates, except those within the largest: these are
-   linked already, directly or not. They are checked the same way.
+   size bands (each with the next smaller band's sets as guests). A set's place
+   says how large a partner can be, so sets whose tile holds none small enough
+   leave it: sets of one template that differ in more than the similarity allows
+   don't meet. In what is left, all pairs across components are candidates, except
+   those within the largest: these are linked already, directly or not. They are
+   checked the same way.
 6. Components of all links; each document gets its component's least id.
 
 A large group of near copies becomes one component in step 5 without all of
@@ -62,8 +63,6 @@ BITS_EACH = 32
 FILTER_BITS = 1 << 27
 #: Sets of a part of a hot shingle's tile.
 PART = 1 << 13
-#: Ratio of the sizes at a band's ends.
-STEP = 1.02
 #: Shingles found at least so often are frequent.
 FREQUENT = 8
 #: Shingles that a task counts at a time.
@@ -214,45 +213,45 @@ def _star(tiles: DataFrame) -> DataFrame:
 
 
 def _band(n: Column) -> Column:
-    """The band of sizes that a size lies in."""
-    return F.floor(F.log(n.cast("double")) / F.lit(float(np.log(STEP))) + 1e-9).cast("int")
+    """Sizes of one band differ by less than the similarity allows; linked sets are at most one band apart."""
+    return F.floor(F.log(n.cast("double")) / F.lit(float(np.log(DENOMINATOR / NUMERATOR))) + 1e-9).cast("int")
 
 
 def _by_size(rows: DataFrame) -> DataFrame:
-    """Each row once for every tile (shingle, band, band) of its own band and a band in which its place allows partners.
+    """Each row in the tile (shingle, band) of its own size and, as a guest, in the next; ``most`` is the largest partner that its place allows.
 
     A shingle at ``place`` can be the first that a set of size ``n`` shares with one of size ``m``
-    only if ``3 (n + m) <= 7 (n - place)``, and sizes that link differ by the similarity at most.
+    only if ``3 (n + m) <= 7 (n - place)``.
     """
-    n, place = F.col("n"), F.col("place")
-    least = F.ceil(n * NUMERATOR / DENOMINATOR)
-    most = F.least(F.floor(n * DENOMINATOR / NUMERATOR), F.floor(((NUMERATOR + DENOMINATOR) * (n - place) - NUMERATOR * n) / NUMERATOR))
-    of = rows.withColumn("band", _band(n)).filter(most >= least)
-    each = of.withColumn("partner", F.explode(F.sequence(_band(least), _band(most))))
-    return each.select(*rows.columns, "band", F.least("band", "partner").alias("low"), F.greatest("band", "partner").alias("high"))
+    band, n = _band(F.col("n")), F.col("n")
+    most = F.floor(((NUMERATOR + DENOMINATOR) * (n - F.col("place")) - NUMERATOR * n) / NUMERATOR).cast("int")
+    tile = F.explode(F.array(F.struct(band.alias("band"), F.lit(True).alias("home")), F.struct((band + 1).alias("band"), F.lit(False).alias("home"))))
+    return rows.withColumn("most", most).withColumn("t", tile).select(*rows.columns, "most", "t.band", "t.home")
 
 
 def _meet(x: DataFrame, y: DataFrame, also: Column) -> DataFrame:
     """Pairs ``a < b`` (with sizes) of rows of one tile that may link, ``x``'s columns prefixed with ``x_``."""
-    sides = (F.col("low") == F.col("high")) | (F.col("x_band") != F.col("band"))
-    pairs = x.join(y, (F.col("x_shingle") == F.col("shingle")) & (F.col("x_low") == F.col("low")) & (F.col("x_high") == F.col("high")) & sides & also
+    pairs = x.join(y, (F.col("x_shingle") == F.col("shingle")) & (F.col("x_band") == F.col("band")) & (F.col("x_home") | F.col("home")) & also
                    & _may_link(F.col("x_n"), F.col("x_place"), F.col("n"), F.col("place")))
     return _oriented(pairs, "x_key", "x_n", "key", "n")
 
 
+_TILE = ["shingle", "band", "home", "key", "n", "place"]
+
+
 def _across(rows: DataFrame, roots: DataFrame) -> DataFrame:
     """Pairs ``a < b`` (with sizes) of different components that share a tile, except those within its largest."""
     rows = rows.join(roots.select(F.col("node").alias("of"), "root"), F.col("key") == F.col("of"), "left")
-    rows = materialize(rows.select("shingle", "key", "n", "place", F.coalesce("root", "key").alias("root")), "rooted")
-    mixed = rows.groupBy(F.col("shingle").alias("s")).agg(F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 <> r2").select("s")
-    tiles = _by_size(rows.join(mixed, F.col("shingle") == F.col("s"), "left_semi"))
-    sizes = tiles.groupBy("shingle", "low", "high", "root").agg(F.count("*").alias("rows"), F.min("band").alias("b1"), F.max("band").alias("b2"))
-    several = (sizes.groupBy(F.col("shingle").alias("s"), F.col("low").alias("l"), F.col("high").alias("h"))
-               .agg(F.max_by("root", F.struct("rows", "root")).alias("largest"), F.count("*").alias("roots"), F.min("b1").alias("b1"), F.max("b2").alias("b2"))
-               .filter((F.col("roots") > 1) & (F.col("b1") == F.col("l")) & (F.col("b2") == F.col("h"))).select("s", "l", "h", "largest"))
-    left = materialize(tiles.join(several, (F.col("shingle") == F.col("s")) & (F.col("low") == F.col("l")) & (F.col("high") == F.col("h"))).select(
-        "shingle", "low", "high", "band", "key", "n", "place", "root", "largest"), "tiles")
-    x = left.filter("root <> largest").select(*[F.col(c).alias(f"x_{c}") for c in ("shingle", "low", "high", "band", "key", "n", "place", "root")])
+    tiles = _by_size(rows.select("shingle", "key", "n", "place", F.coalesce("root", "key").alias("root"))).distinct()
+    sizes = tiles.groupBy("shingle", "band", "root").agg(F.count("*").alias("rows"), F.max("home").alias("home"), F.min("n").alias("least"), F.max("most").alias("most"))
+    several = (sizes.groupBy(F.col("shingle").alias("s"), F.col("band").alias("b"))
+               .agg(F.max_by("root", F.struct("rows", "root")).alias("largest"), F.count("*").alias("roots"), F.max("home").alias("any_home"),
+                    F.min("least").alias("t_least"), F.max("most").alias("t_most"))
+               .filter("roots > 1 and any_home"))
+    # a set stays if its tile holds one that it may take, and one that may take it
+    left = materialize(tiles.join(several, (F.col("shingle") == F.col("s")) & (F.col("band") == F.col("b"))).filter("most >= t_least and n <= t_most").select(
+        *_TILE, "root", "largest"), "tiles")
+    x = left.filter("root <> largest").select(*[F.col(c).alias(f"x_{c}") for c in [*_TILE, "root"]])
     return _meet(x, left, (F.col("x_root") != F.col("root")) & ((F.col("root") == F.col("largest")) | (F.col("x_key") < F.col("key"))))
 
 
@@ -404,7 +403,9 @@ def jaccard_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     d = _texts(docs)
     sets, tiles = _tiles(d)
-    rows = materialize(_by_size(tiles.select("shingle", "key", "n", "place")), "sized")
+    rows = _by_size(tiles.select("shingle", "key", "n", "place"))
+    size = rows.groupBy(F.col("shingle").alias("s"), F.col("band").alias("b")).agg(F.min("n").alias("t_least"), F.max("most").alias("t_most"))
+    rows = materialize(rows.join(size, (F.col("shingle") == F.col("s")) & (F.col("band") == F.col("b"))).filter("most >= t_least and n <= t_most").select(*_TILE), "sized")
     x = rows.select(*[F.col(c).alias(f"x_{c}") for c in rows.columns])
     return _verified(d, _meet(x, rows, F.col("x_key") < F.col("key")), "all").select("a", "b"), sets.select("doc_id", F.col("n").alias("n_shingles"), F.col("key").alias("set"))
 
