@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..session import scratch_path
 from .text_kernels import chunks, utf8
 
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 16 << 20
 
 
 def _packed(parts: list[pa.RecordBatch]) -> bytes:

@@ -55,8 +55,8 @@ WIDEN = 1.0
 #: What stands before a text.
 _START = "\n" * (ORDER - 1)
 #: Symbols that are worked through at a time, and n-grams that are held before they are merged.
-PIECE = 1 << 20
-HELD = 1 << 21
+PIECE = 1 << 18
+HELD = 1 << 19
 _FACTORS = mix64(np.arange(1, ORDER + 1, dtype=np.uint64)) | np.uint64(1)
 
 
