@@ -7,7 +7,8 @@ below how many sequences its lengths need; a partition that meets its bound is
 certified and stays as it is. The others exchange documents: their sequences
 that have room go, whole, to new and fewer partitions, which run best-fit
 decreasing over them anew and keep what is better, the new packing or the old.
-This goes on until all are certified or ``ROUNDS`` are over.
+This goes on until all are certified, one partition is left, or a round saves
+nothing; ``certified`` says which pieces lie in partitions that meet their bound.
 
 Defined results: a null or empty text is the end id alone; repeated rows are
 packed each; an empty table gives no pieces. Results depend on the rows alone
@@ -31,7 +32,6 @@ SIZE = 1024
 END = 2
 #: So many pieces go to a partition on average.
 PARTITION_PIECES = 16_384
-ROUNDS = 3
 _NO_ID = -(1 << 63)  # stands for a null id inside tasks
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, salt long"
 _PACKED = _PIECES + ", sequence_id long, offset long, room long, certified boolean"
@@ -125,26 +125,30 @@ def _step(size: int, round_: int):
     return lambda key, rows: _pack(key, rows, size, round_)[columns]
 
 
-def pack(cut: DataFrame, size: int = SIZE, rounds: int = ROUNDS, partition_pieces: int = PARTITION_PIECES) -> DataFrame:
+def _sequences(packed: DataFrame) -> int:
+    """Each sequence has one piece at its start."""
+    return packed.filter("offset = 0").count()
+
+
+def pack(cut: DataFrame, size: int = SIZE, partition_pieces: int = PARTITION_PIECES) -> DataFrame:
     """``pieces`` with ``sequence_id``, ``offset`` and ``certified``."""
     todo = materialize(cut, "pieces").withColumns({
         "doc_id": F.coalesce("doc_id", F.lit(_NO_ID)),
         "sequence_id": F.xxhash64("doc_id", "piece", "salt"), "offset": F.lit(0).cast("long"), "room": F.lit(0).cast("long"), "certified": F.lit(False)})
     settled: list[DataFrame] = []
-    for round_ in range(rounds + 1):
-        n = todo.count()
-        if not n:
-            break
+    round_, before = 0, None
+    while n := todo.count():
         partitions = -(-n // partition_pieces)
         dealt = todo.withColumn("bucket", F.pmod(F.xxhash64("sequence_id", F.lit(round_)), F.lit(partitions)))
-
-        packed = materialize(dealt.groupBy("bucket").applyInPandas(_step(size, round_), _PACKED), f"packed-{round_}")
-        loose = ~F.col("certified") & (F.col("room") > 0)
-        if round_ == rounds or partitions == 1:
+        # the round is part of a sequence's number, in seven bits
+        packed = materialize(dealt.groupBy("bucket").applyInPandas(_step(size, round_ % 128), _PACKED), f"packed-{round_}")
+        if partitions == 1 or (round_ and _sequences(packed) == before):
             settled.append(packed)
             break
+        loose = ~F.col("certified") & (F.col("room") > 0)
         settled.append(packed.filter(~loose))
         todo = packed.filter(loose)
+        round_, before = round_ + 1, _sequences(todo)
     out = settled[0] if settled else todo
     for more in settled[1:]:
         out = out.unionAll(more)
