@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.timefns import micros_of, ntz_from_micros
+from .carried import carried_sums
 from .prefix import running_sum
 
 HOUR_US = 3_600_000_000
@@ -71,18 +72,21 @@ def rolling_counts(mentions: DataFrame, horizon, name_col: str = "name", ts_col:
                    partitions: int | None = None) -> DataFrame:
     """Every mention row with ``count`` = mentions of its name in (ts − h, ts].
 
-    Mentions sharing (name, ts) get the same count (range-frame peers). The
-    final join is on (name, ts); a (name, ts) repeated very often is split by
-    AQE's skew-join handling, the other side holds one row per key. Mentions
-    without a name are counted as one name, those without a time have no count
-    and are left out.
+    Mentions sharing (name, ts) get the same count (range-frame peers). Each
+    mention goes through the running sum as +1 at t with its row, and as −1 at
+    t + h without; see :mod:`carried`. Mentions without a name are counted as
+    one name, those without a time have no count and are left out.
     """
-    pc = prefix_counts(mentions, horizon, name_col, ts_col, partitions).select(
-        F.col("name").alias("_n"), F.col("t").alias("_t"), F.col("count"))
-    m = mentions.withColumn("_t", micros_of(mentions, ts_col))
-    pc = pc.withColumnRenamed("_t", "_at")
-    return (m.join(pc, m[name_col].eqNullSafe(pc["_n"]) & (m["_t"] == pc["_at"]))
-             .drop("_n", "_t", "_at"))
+    h = _horizon_us(horizon)
+    m = mentions.withColumn("_t", micros_of(mentions, ts_col)).filter("_t is not null")
+    step = F.explode(F.array(F.struct(F.lit(0).cast("long").alias("after"), F.lit(1).alias("d")), F.struct(F.lit(h).cast("long").alias("after"), F.lit(-1).alias("d"))))
+    steps = m.withColumn("_step", step)
+    comes = F.col("_step.d") == 1
+    # what has left carries nothing
+    rows = steps.select(*[F.when(comes, F.col(f"`{c}`")).alias(c) for c in mentions.columns], F.col(f"`{name_col}`").alias("_name"), "_t", "_step")
+    spread = F.xxhash64(*[F.col(f"`{c}`") for c in mentions.columns])
+    sums = carried_sums(rows, mentions.columns, F.col("_name"), F.col("_t") + F.col("_step.after"), F.col("_step.d"), comes, spread=spread, partitions=partitions)
+    return sums.withColumnRenamed("_cs_end", "count").drop("_cs_cum")
 
 
 def sliding_counts(mentions: DataFrame, horizon: str = "1 hour", slide: str = "1 minute",

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.timefns import (SEGMENT_MINUTES, floor_to_interval_us, micros_of, next_boundary_us,
                                  ntz_from_micros)
-from .prefix import running_sum
+from .carried import carried_sums
 
 # Fixed value: file-name suffix of a news segment.
 SEGMENT_SUFFIX = ".gkg.csv.zip"
@@ -56,21 +56,15 @@ def spread_event_time(lines: DataFrame, segment_col: str, line_col: str, start_u
     """Line i (0-based, by ``line_col``) of a segment of n lines gets
     ``start + i · ⌊interval / n⌋`` (milliseconds), as the producer did.
 
-    Position and size per segment come from a skew-safe running count and a
-    grouped count, so a segment holding a large share of lines is not
-    processed by one task. Output: input columns + ``event_ts`` (NTZ).
+    Position and size come from one pass in order that carries the rows
+    (:mod:`carried`), so a segment holding a large share of lines is cut over
+    tasks. Output: input columns + ``event_ts`` (NTZ).
     """
     ms = minutes * 60_000
-    pos = running_sum(lines.select(segment_col, line_col, F.lit(1).alias("one")),
-                      segment_col, line_col, "one", "_pos", partitions)
-    # a segment's size is its last position: the small side of the one join back to the lines
-    sizes = pos.groupBy(F.col(segment_col).alias("_of")).agg(F.max("_pos").alias("_n"))
-    placed = pos.join(sizes, F.col(segment_col).eqNullSafe(F.col("_of"))).select(
-        F.col(segment_col).alias("_seg"), F.col(line_col).alias("_line"), "_pos", "_n")
-    out = lines.join(placed, lines[segment_col].eqNullSafe(F.col("_seg")) & (lines[line_col] == F.col("_line")))
-    step = F.floor(F.lit(ms) / F.col("_n"))
-    event_us = F.col(start_us_col) + (F.col("_pos") - 1) * step * 1000
-    return out.withColumn("event_ts", ntz_from_micros(event_us)).drop("_pos", "_n", "_seg", "_line")
+    placed = carried_sums(lines, lines.columns, F.col(segment_col), F.col(line_col), F.lit(1), whole_groups=True, partitions=partitions)
+    step = F.floor(F.lit(ms) / F.col("_cs_end"))
+    event_us = F.col(start_us_col) + (F.col("_cs_cum") - 1) * step * 1000
+    return placed.withColumn("event_ts", ntz_from_micros(event_us)).drop("_cs_cum", "_cs_end")
 
 
 def segment_window(spark, now_us: int, window: int = 60, minutes: int = SEGMENT_MINUTES) -> DataFrame:
