@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.timefns import SEGMENT_MINUTES, day_from_stamp, first_field, ltz_from_micros, stamp_micros
+from .segments import read_segments
 from ..schemas import DATE_POS, NAMES_POS, RECORD_DATE_FORMAT, RECORD_SCHEMA, RESULT_SCHEMA
 
 
@@ -104,15 +105,19 @@ def _unzip_with_layout(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame
     return _unzip_first_entry(batches, layout=True)
 
 
-def read_zipped_segments(spark: SparkSession, path_glob: str, layout: bool = False) -> DataFrame:
+def read_zipped_segments(spark: SparkSession, path_glob: str, layout: bool = False, whole_files: bool = False) -> DataFrame:
     """First entry of each zip file as lines ``path, line_no, value``.
 
-    One zip per row (``binaryFile``), unzipped in Arrow batches by
-    ``mapInPandas``; malformed UTF-8 bytes are dropped. ``line_no`` keeps
-    the order inside a segment, which event-time spreading (W3) needs.
-    ``layout=True`` adds ``n_lines`` and ``first_id`` (the segment's first
-    record id) for :func:`segment_records`.
+    Malformed UTF-8 bytes are dropped; ``line_no`` keeps the order inside a
+    segment, which event-time spreading (W3) needs. ``layout=True`` adds
+    ``n_lines`` and ``first_id`` (the segment's first record id) for
+    :func:`segment_records`. Segments are unzipped as they are read
+    (:mod:`segments`); ``whole_files`` reads them through Spark's own file
+    source, one zip a row, for stores that only Spark can open.
     """
+    if not whole_files:
+        lines = read_segments(spark, path_glob, layout)
+        return lines if layout else lines.select("path", "line_no", "value")
     files = spark.read.format("binaryFile").load(path_glob).select("path", "content")
     if layout:
         return files.mapInPandas(_unzip_with_layout, _SEGMENT_LAYOUT)
