@@ -7,13 +7,17 @@ import random
 import pandas as pd
 import pytest
 from conftest import record_line
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from trendlens.operators.topn import fold_changelog
 from trendlens.schemas import MENTION_SCHEMA
-from trendlens.streaming.histogram import BUCKET_MS, HOUR_MS, rolling_histogram, salt_plan, stream_mentions
-from trendlens.streaming.runner import (changelog_from_messages, changelog_messages, run_available, stream_table_files, write_batches)
-from trendlens.streaming.topn import apply_messages, read_messages, read_snapshot, read_top, top_n_sink
+from trendlens.streaming import topn
+from trendlens.streaming.histogram import BUCKET_MS, HOUR_MS, changes_only, late_counts, rolling_histogram, salt_plan, stream_mentions
+from trendlens.streaming.runner import (changelog_from_messages, changelog_messages, publish_batch, published_changelog, run_available,
+                                        stream_table_files, write_batches)
+from trendlens.streaming.state import live_histogram
+from trendlens.streaming.topn import apply_messages, join_at, read_messages, read_snapshot, read_top, snapshots, top_n_sink, top_n_stream
 
 T0 = dt.datetime(2024, 3, 1, tzinfo=dt.timezone.utc)
 
@@ -34,10 +38,10 @@ def write_files(directory, batches):
 
 
 def histogram_of(spark, directory, horizon_ms=HOUR_MS, per_trigger=1, salts=1, hot=None, watermark="0 seconds",
-                 bucket_ms=BUCKET_MS):
+                 bucket_ms=BUCKET_MS, **more):
     stream = stream_table_files(spark, directory, "*.parquet", MENTION_SCHEMA, per_trigger)
     return run_available(rolling_histogram(stream, horizon_ms, watermark, salts=salts, hot=hot,
-                                           bucket_ms=bucket_ms), "test-hist")
+                                           bucket_ms=bucket_ms, **more), "test-hist")
 
 
 def brute_changelog(rows, horizon_s, upto_s):
@@ -254,6 +258,10 @@ def _changes(spark, rows):
                                  "name string, salt int, count long, ts timestamp, seq long, batch long")
 
 
+def versions(out):
+    return {int(x.split("=")[1]) for x in os.listdir(f"{out}/hist") if x.startswith("v=")}
+
+
 def test_replayed_batch_gives_the_same_table(spark, tmp_path):
     out = str(tmp_path / "out")
     sink = top_n_sink(out, 10)
@@ -263,7 +271,9 @@ def test_replayed_batch_gives_the_same_table(spark, tmp_path):
         assert sorted(tuple(r) for r in read_top(spark, out).collect()) == [("a", 5), ("b", 4)]
     sink(_changes(spark, [("a", 0, 2, 2)]), 2)
     assert [tuple(r) for r in read_top(spark, out).collect()] == [("b", 4)]
-    assert len(os.listdir(f"{out}/hist")) == 2  # the current version and the one it was built from
+    assert versions(out) == {0, 1, 2}  # those of the last two manifests
+    sink(_changes(spark, [("c", 1, 1, 3)]), 3)
+    assert versions(out) == {1, 2, 3}
 
 
 def test_a_name_that_comes_back_counts(spark, tmp_path):
@@ -298,3 +308,175 @@ def test_retained_messages_and_snapshot(spark, tmp_path):
         sink(_changes(spark, [(f"n{b}", b + 1, 1, b)]), b)
     assert sorted(x for x in os.listdir(f"{out}/messages") if x.startswith("batch=")) == ["batch=2", "batch=3"]
     assert {(r["name"], r["count"]) for r in read_snapshot(spark, out).collect()} == {(f"n{b}", b + 1) for b in range(4)}
+
+
+def fold(batches, upto, n):
+    """The exact top n after the batches so far: the newest row of each (name, salt), salts summed."""
+    last = {}
+    for b in batches[:upto + 1]:
+        for name, salt, count, seq, batch in b:
+            if (name, salt) not in last or (batch, seq) >= last[name, salt][0]:
+                last[name, salt] = ((batch, seq), count)
+    total = {}
+    for (name, _), (_, count) in last.items():
+        total[name] = total.get(name, 0) + count
+    return sorted(((n, c) for n, c in total.items() if c), key=lambda x: (-x[1], x[0]))[:n]
+
+
+def random_batches(seed, names=60, batches=12):
+    r = random.Random(seed)
+    out, seq = [], 0
+    for b in range(batches):
+        rows = []
+        for _ in range(r.choice([0, 3, 25])):
+            seq += 1
+            decay = b > batches // 2  # most names shrink: the candidates run out
+            rows.append((f"n{r.randrange(names)}", r.randrange(2), 0 if r.random() < (0.6 if decay else 0.1) else r.randrange(1, 5 if decay else 30), seq, b))
+        out.append(rows)
+    # some rows come a batch late, after newer ones of their key
+    for b in range(1, batches):
+        if out[b - 1] and r.random() < 0.5:
+            out[b].append(out[b - 1].pop(0))
+    return out
+
+
+def _published(spark, rows):
+    return spark.createDataFrame([(n, s, c, T0, q, b) for n, s, c, q, b in rows], "name string, salt int, count long, ts timestamp, seq long, batch long")
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_candidates_give_the_exact_top_after_every_batch(spark, tmp_path, seed):
+    out, n = str(tmp_path / "out"), 5
+    sink = top_n_sink(out, n, candidates=8, buckets=8, refresh_every=100)
+    batches = random_batches(seed)
+    for b, rows in enumerate(batches):
+        sink(_published(spark, rows), b)
+        assert sorted(map(tuple, read_top(spark, out).collect())) == sorted(fold(batches, b, n))
+    manifest = topn._manifest(spark, out, len(batches) - 1)
+    assert (seed != 1 or manifest["refreshes"]) and manifest["refreshes"] < len(batches) // 2  # only when the candidates can't decide
+    assert [tuple(r) for r in join_at(spark, out).orderBy(F.desc("count"), "name").collect()] == fold(batches, len(batches) - 1, n)
+
+
+def test_every_join_point_ends_alike(spark, tmp_path):
+    out = str(tmp_path / "out")
+    sink = top_n_sink(out, 4, buckets=4)
+    batches = random_batches(7, names=12, batches=6)
+    for b, rows in enumerate(batches):
+        sink(_published(spark, rows), b)
+    want = sorted(fold(batches, 5, 4))
+    assert snapshots(spark, out) == list(range(6))
+    for b in range(6):
+        assert sorted(map(tuple, join_at(spark, out, b).collect())) == want
+
+
+def test_a_refresh_on_its_interval(spark, tmp_path):
+    out = str(tmp_path / "out")
+    sink = top_n_sink(out, 1, candidates=2, buckets=4, refresh_every=3)
+    for b in range(8):
+        sink(_published(spark, [(f"n{i}", 0, 10 + i + b, b + 1, b) for i in range(6)]), b)
+    assert topn._manifest(spark, out, 7)["refreshes"] >= 2
+
+
+def bucket_files(out):
+    return {os.path.relpath(d, out) for d, _, names in os.walk(f"{out}/hist") if any(x.endswith(".parquet") for x in names)}
+
+
+def test_a_batch_writes_the_changed_buckets_only(spark, tmp_path):
+    out = str(tmp_path / "out")
+    sink = top_n_sink(out, 5, buckets=32)
+    sink(_published(spark, [(f"n{i}", 0, 1 + i % 7, 1, 0) for i in range(2000)]), 0)
+    assert len(bucket_files(out)) == 32
+    sink(_published(spark, [("n5", 0, 50, 2, 1)]), 1)
+    new = {x for x in bucket_files(out) if x.startswith("hist/v=1")}
+    assert len(new) == 1 and ("n5", 50) in set(map(tuple, read_top(spark, out).collect()))
+    size = lambda v: sum(os.path.getsize(os.path.join(d, x)) for d, _, names in os.walk(f"{out}/hist/v={v}") for x in names)
+    assert size(1) < size(0) / 10
+
+
+def test_a_batch_that_fails_before_its_commit_is_not_seen(spark, tmp_path, monkeypatch):
+    out = str(tmp_path / "out")
+    sink = top_n_sink(out, 5, buckets=4)
+    sink(_changes(spark, [("a", 5, 1, 0)]), 0)
+    commit = topn._commit
+    monkeypatch.setattr(topn, "_commit", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        sink(_changes(spark, [("b", 9, 1, 1)]), 1)
+    assert [tuple(r) for r in read_top(spark, out).collect()] == [("a", 5)]
+    assert {tuple(r) for r in apply_messages(read_messages(spark, out)).collect()} == {("a", 5)}
+    monkeypatch.setattr(topn, "_commit", commit)
+    sink(_changes(spark, [("b", 9, 1, 1)]), 1)
+    assert sorted(tuple(r) for r in read_top(spark, out).collect()) == [("a", 5), ("b", 9)]
+
+
+def test_an_older_row_in_a_later_batch_loses(spark, tmp_path):
+    out = str(tmp_path / "out")
+    sink = top_n_sink(out, 5)
+    sink(_changes(spark, [("a", 7, 4, 3), ("b", 0, 2, 3)]), 0)
+    sink(_changes(spark, [("a", 2, 9, 1), ("b", 5, 1, 2)]), 1)
+    assert [tuple(r) for r in read_top(spark, out).collect()] == [("a", 7)]
+
+
+def test_late_rows_are_counted(spark, tmp_path):
+    # after a batch at 2h the watermark is 2h; two mentions of a and one of b come too late.
+    d = str(tmp_path / "in")
+    write_files(d, [[("a", 7200)], [("a", 0), ("a", 10), ("b", 20), ("b", 7300)], [("c", 7250), ("a", 7400)]])
+    stream = stream_table_files(spark, d, "*.parquet", MENTION_SCHEMA, 1)
+    out = str(tmp_path / "out")
+    write_batches(rolling_histogram(stream, HOUR_MS, count_late=True), out, str(tmp_path / "ck")).awaitTermination(300)
+    rows = spark.read.parquet(out)
+    assert sorted(map(tuple, late_counts(rows, "batch", "name").collect())) == [(1, "a", 2), (1, "b", 1), (2, "c", 1)]
+    final = {r["name"]: r["count"] for r in fold_changelog(changes_only(rows), keep_zero=True).collect()}
+    assert final == {"a": 2, "b": 1}
+    # readers of the published changelog don't see the late rows
+    top = str(tmp_path / "top")
+    top_n_stream(published_changelog(spark, out), top, str(tmp_path / "ck2"), 5).awaitTermination(300)
+    assert sorted(map(tuple, read_top(spark, top).collect())) == [("a", 2), ("b", 1)]
+
+
+def test_hot_names_are_spread_as_they_come(spark, tmp_path):
+    # hot in the first files, cold in the last: its keys drain, and the counts are those of the batch changelog.
+    rows = [("hot", i) for i in range(0, 1500)] + [(f"c{i % 40}", i) for i in range(0, 1500, 5)]
+    later = [("hot", 1500 + 40 * i) for i in range(60)] + [(f"c{i % 40}", 1500 + i) for i in range(0, 2400, 6)]
+    rows, later = sorted(rows, key=lambda r: r[1]), sorted(later, key=lambda r: r[1])
+    d = str(tmp_path / "in")
+    write_files(d, [rows, later, [("x", 9000)]])
+    ch = histogram_of(spark, d, spread_above=1 / 8, spread_least=50)
+    salts = {}
+    for r in ch.select("name", "salt").distinct().collect():
+        salts.setdefault(r["name"], set()).add(r["salt"])
+    assert len(salts["hot"]) > 3 and all(s == {0} for n, s in salts.items() if n != "hot")
+    # the sum of the partial counts at every time equals the batch changelog
+    want = {(t, c) for n, t, c in brute_changelog(rows + later + [("x", 9000)], 3600, 9000) if n == "hot"}
+    partial, got = {}, {}
+    for r in ch.filter("name = 'hot'").withColumn("ms", F.unix_millis("ts")).orderBy("ms", "batch", "seq").collect():
+        partial[r["salt"]] = r["count"]
+        got[(r["ts"].replace(tzinfo=None) - T0.replace(tzinfo=None)).total_seconds()] = sum(partial.values())
+    assert all(got[t] == c for t, c in want) and len(want) > 1500
+
+
+def test_live_histogram_from_the_state_store(spark, tmp_path):
+    d = str(tmp_path / "in")
+    write_files(d, [[("a", 0), ("a", 10), ("b", 20)], [("c", 3500), ("a", 3601)], [("d", 3605)]])
+    stream = stream_table_files(spark, d, "*.parquet", MENTION_SCHEMA, 1)
+    write_batches(rolling_histogram(stream, HOUR_MS), str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination(300)
+    want = {r["name"]: r["count"] for r in fold_changelog(spark.read.parquet(str(tmp_path / "out"))).collect()}
+    assert {r["name"]: r["count"] for r in live_histogram(spark, str(tmp_path / "ck")).collect()} == want == {"a": 2, "b": 1, "c": 1, "d": 1}
+
+
+def test_batches_of_two_queries_do_not_mix(spark, tmp_path):
+    d, out = str(tmp_path / "in"), str(tmp_path / "out")
+    write_files(d, [[("a", 0)]])
+    stream = stream_table_files(spark, d, "*.parquet", MENTION_SCHEMA, 1)
+    write_batches(stream, out, str(tmp_path / "ck1")).awaitTermination(300)
+    q = write_batches(stream, out, str(tmp_path / "ck2"))
+    with pytest.raises(StreamingQueryException, match="another query"):
+        q.awaitTermination(300)
+    assert spark.read.parquet(out).count() == 1
+
+
+def test_a_published_batch_is_left_alone(spark, tmp_path):
+    out = str(tmp_path / "log")
+    publish_batch(spark.range(3), out, 0)
+    files = sorted(os.listdir(f"{out}/batch=0"))
+    publish_batch(spark.range(3), out, 0)
+    assert sorted(os.listdir(f"{out}/batch=0")) == files and spark.read.parquet(out).count() == 3

@@ -16,10 +16,11 @@ continuously.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from .operators.clean import clean_names
 from .operators.daily import daily_result
+from .operators.metrics import reject_measures
 from .session import build_session
 from .sinks.writers import write_daily, write_daily_text
 from .sources.records import read_records, read_records_text, read_zipped_segments, segment_records, \
@@ -44,9 +45,14 @@ def read_any(spark: SparkSession, path: str, reader: str = "csv") -> DataFrame:
 
 def daily_top_k(spark: SparkSession, input_path: str, output_path: str, k: int = 10,
                 ties: str = "rank", per_record: str = "distinct", reader: str = "csv",
-                output: str = "json", single_file: bool = False) -> None:
-    """The batch job: top-k names per day, days ascending, written as JSON or text."""
-    names = clean_names(read_any(spark, input_path, reader), per_record=per_record)
+                output: str = "json", single_file: bool = False) -> dict[str, int]:
+    """The batch job: top-k names per day, days ascending, written as JSON or text.
+
+    Returns the records read and those dropped (F8), measured by the same run.
+    """
+    seen = Observation()
+    records = read_any(spark, input_path, reader).observe(seen, *reject_measures())
+    names = clean_names(records, per_record=per_record)
     result = daily_result(names, k, ties)
     if output == "json":
         write_daily(result, output_path, single_file=single_file)
@@ -54,6 +60,7 @@ def daily_top_k(spark: SparkSession, input_path: str, output_path: str, k: int =
         write_daily_text(result, output_path, single_file=single_file)
     else:
         raise ValueError("output must be 'json' or 'text'")
+    return seen.get
 
 
 def _start(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None):
@@ -71,16 +78,22 @@ def producer(spark: SparkSession, segments_dir: str, log_dir: str, checkpoint: s
     return _start(records, log_dir, checkpoint, trigger)
 
 
-#: State keys that a name is spread over unless a table of hot names says otherwise.
-SALTS = 16
+#: A name with more than this share of a task's rows is spread over several state keys.
+SPREAD_ABOVE = 1 / 64
 
 
 def transformer(spark: SparkSession, log_dir: str, changelog_dir: str, checkpoint: str,
-                horizon_ms: int = HOUR_MS, watermark: str = "0 seconds", salts: int = SALTS,
-                hot=None, trigger: dict | None = None):
-    """Record log → rolling-histogram changelog, by micro-batch (S10, T1–T6, K4 file form)."""
+                horizon_ms: int = HOUR_MS, watermark: str = "0 seconds", salts: int = 1,
+                hot=None, trigger: dict | None = None, count_late: bool = True):
+    """Record log → rolling-histogram changelog, by micro-batch (S10, T1–T6, K4 file form).
+
+    Hot names are found as the stream runs, unless a table ``hot`` or a number of
+    salts for every name is given. Late mentions are counted in the changelog's
+    ``late`` rows (F17), which its readers skip.
+    """
     mentions = stream_mentions(stream_records(spark, log_dir))
-    changes = rolling_histogram(mentions, horizon_ms, watermark, salts=salts, hot=hot)
+    spread = SPREAD_ABOVE if hot is None and salts == 1 else None
+    changes = rolling_histogram(mentions, horizon_ms, watermark, salts=salts, hot=hot, count_late=count_late, spread_above=spread)
     return write_batches(changes, changelog_dir, checkpoint, trigger)
 
 
@@ -112,7 +125,7 @@ def main(argv=None) -> None:
         if name == "producer":
             p.add_argument("--files-per-trigger", type=int, default=None)
         if name == "transformer":
-            p.add_argument("--salts", type=int, default=SALTS, help="state keys that each name is spread over")
+            p.add_argument("--salts", type=int, default=1, help="state keys that each name is spread over (default: as the stream needs)")
             p.add_argument("--hot", default=None, help="parquet table name, salts: only these names are spread")
         if name == "consumer":
             p.add_argument("--n", type=int, default=100)

@@ -12,6 +12,7 @@ from ..operators.shape import daily_text
 from ..session import scratch_path
 from ..sources.records import read_records, read_records_text, split_record_lines
 from ..sources.tables import event_records, order_mentions
+from ..jobs import daily_top_k
 from .catalog import register
 
 
@@ -188,3 +189,17 @@ FROM events WHERE event_id % 5 <> 3
 """)
 def q_record_rejects(spark, sf_dir):
     return reject_counts(split_record_lines(_irregular_lines(spark, sf_dir)))
+
+
+# F8 measured by the job itself: the run that writes the daily result also
+# delivers its rejects.
+@register("record_rejects_observed", """
+SELECT count(*) AS records, count(*) FILTER (WHERE event_id % 5 = 4) AS null_date, CAST(0 AS BIGINT) AS null_names, true AS written
+FROM events WHERE event_id % 5 <> 3
+""")
+def q_record_rejects_observed(spark, sf_dir):
+    lines, out = scratch_path(spark, "irregular"), scratch_path(spark, "daily-observed")
+    _irregular_lines(spark, sf_dir).write.text(lines)
+    rejects = daily_top_k(spark, lines, out, reader="text")
+    written = spark.read.text(out).agg((F.count("*") > 0).alias("written"))
+    return written.select(*[F.lit(v).cast("bigint").alias(k) for k, v in rejects.items()], "written")

@@ -10,10 +10,12 @@ from ..operators.topn import fold_changelog
 from ..sources.tables import table
 from ..sinks.writers import publish_records
 from ..sources.tables import event_records
-from ..streaming.histogram import HOUR_MS, rolling_histogram, salt_plan, stream_mentions
+from ..operators.metrics import observed, reject_measures, volume_measures
+from ..streaming.histogram import HOUR_MS, changes_only, late_counts, rolling_histogram, salt_plan, stream_mentions
+from ..streaming.state import live_histogram
 from ..session import scratch_path
 from ..streaming.runner import await_done, published_changelog, run_available, stream_records, stream_table_files, write_batches
-from ..streaming.topn import apply_messages, read_messages, read_snapshot, read_top, top_n_stream
+from ..streaming.topn import apply_messages, join_at, read_messages, read_snapshot, read_top, snapshots, top_n_stream
 from .catalog import register
 from .rolling_plans import _sql_changelog
 
@@ -160,3 +162,105 @@ def q_rolling_records_stream_1h(spark, sf_dir):
     hot = salt_plan(stream_mentions(spark.read.parquet(log)))
     changes = run_available(_histogram(mentions, hot), "records-stream")
     return fold_changelog(changes, keep_zero=True).select("name", "count")
+
+
+# events fed out of order. Every tenth event comes a slice later; it is late if
+# its time is before the watermark, the last time of all slices before (delay 0).
+_LATE_EVERY = 10
+_SQL_DELIVERED = f"""
+b AS (SELECT epoch_us(min(ts)) AS lo, epoch_us(max(ts)) AS hi FROM events),
+d AS (SELECT *, least(least((epoch_us(ts) - lo) * {SLICES} // (hi - lo + 1), {SLICES - 1}) + CASE WHEN event_id % {_LATE_EVERY} = 0 THEN 1 ELSE 0 END, {SLICES - 1}) AS slice FROM events, b),
+w AS (SELECT slice, max(max(epoch_ms(ts))) OVER (ORDER BY slice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS watermark FROM d GROUP BY slice)
+"""
+
+
+def _delivered_late(spark, sf_dir):
+    """``events`` as a stream of SLICES micro-batches, every tenth event one slice late."""
+    ev = table(spark, sf_dir, "events")
+    us = micros_of(ev, "ts")
+    lo, hi = ev.agg(F.min(us), F.max(us)).first()
+    slice_ = F.least(F.floor((us - lo) * SLICES / F.lit(hi - lo + 1)), F.lit(SLICES - 1)) + F.when(F.col("event_id") % _LATE_EVERY == 0, 1).otherwise(0)
+    log = scratch_path(spark, "late-log")
+    for i in range(SLICES):
+        ev.filter(F.least(slice_, F.lit(SLICES - 1)) == i).repartition(FILES).write.mode("append").parquet(log)
+    return stream_table_files(spark, log, "*.parquet", ev.schema, FILES)
+
+
+@register("late_rows_stream", f"""
+WITH {_SQL_DELIVERED}
+SELECT CAST(user_id AS VARCHAR) AS name, count(*) AS late FROM d JOIN w USING (slice) WHERE epoch_ms(ts) < watermark GROUP BY user_id
+""")
+def q_late_rows_stream(spark, sf_dir):
+    mentions = _delivered_late(spark, sf_dir).select(F.col("user_id").cast("string").alias("name"), "ts")
+    rows = run_available(rolling_histogram(mentions, HOUR_MS, count_late=True), "late-rows")
+    return late_counts(rows, "name")
+
+
+# The same stream's changes: counts of the mentions that weren't late, at the last time.
+@register("late_rows_histogram", f"""
+WITH {_SQL_DELIVERED}
+SELECT CAST(user_id AS VARCHAR) AS name,
+       CAST(count(*) FILTER (WHERE epoch_ms(ts) + 3600000 > (SELECT epoch_ms(max(ts)) FROM events)) AS BIGINT) AS "count"
+FROM d JOIN w USING (slice) WHERE watermark IS NULL OR epoch_ms(ts) >= watermark GROUP BY user_id
+""")
+def q_late_rows_histogram(spark, sf_dir):
+    mentions = _delivered_late(spark, sf_dir).select(F.col("user_id").cast("string").alias("name"), "ts")
+    rows = run_available(rolling_histogram(mentions, HOUR_MS, count_late=True), "late-histogram")
+    return fold_changelog(changes_only(rows), keep_zero=True).select("name", "count")
+
+
+# K7/A9 from the transformer's state store, without a consumer: names that have
+# live mentions at the last watermark.
+@register("histogram_from_state_1h", """
+SELECT name, "count" FROM (
+  SELECT CAST(user_id AS VARCHAR) AS name,
+         CAST(count(*) FILTER (WHERE epoch_ms(ts) + 3600000 > (SELECT epoch_ms(max(ts)) FROM events)) AS BIGINT) AS "count"
+  FROM events GROUP BY user_id) h WHERE "count" > 0
+""")
+def q_histogram_from_state_1h(spark, sf_dir):
+    mentions = _events_stream(spark, sf_dir).select(F.col("user_id").cast("string").alias("name"), "ts")
+    base = scratch_path(spark, "from-state")
+    await_done(write_batches(_histogram(mentions, _hot(spark, sf_dir)), f"{base}/changes", f"{base}/checkpoint"), "from-state")
+    return live_histogram(spark, f"{base}/checkpoint")
+
+
+# A reader that joins at any batch, without history before it, ends with the same top-100.
+@register("late_join_top100", f"""
+SELECT name, "count", true AS at_every_point FROM ({_SQL_TOP_STREAM}) t
+""")
+def q_late_join_top100(spark, sf_dir):
+    path = _run_top(spark, sf_dir)
+    points = snapshots(spark, path)
+    tables = None
+    for batch in points:
+        rows = join_at(spark, path, batch).select("name", "count")
+        tables = rows if tables is None else tables.unionByName(rows)
+    seen = tables.groupBy("name", "count").agg(F.count("*").alias("points"))
+    return seen.select("name", "count", (F.col("points") == len(points)).alias("at_every_point"))
+
+
+# A10 as the stream runs: the volume measured by the query that publishes the
+# records, not by a second scan.
+@register("stream_volume_observed", """
+SELECT count(*) AS records, CAST(sum(strlen(CAST(user_id AS VARCHAR)) + 8) AS BIGINT) AS bytes_out, CAST(sum(strlen(props)) AS BIGINT) AS bytes_in FROM events
+""")
+def q_stream_volume_observed(spark, sf_dir):
+    ev = _events_stream(spark, sf_dir).select(F.col("user_id").cast("string").alias("name"), "ts", "props")
+    base = scratch_path(spark, "observed")
+    q = write_batches(ev.observe("volume", *volume_measures(value_col="props")), f"{base}/out", f"{base}/checkpoint")
+    await_done(q, "observed")
+    return observed(spark, q, "volume")
+
+
+# Hot names found as the stream runs, without a table made beforehand: five
+# names hold all rows, so each is spread over several state keys.
+@register("rolling_stream_spread_1h", """
+SELECT event_type AS name,
+       CAST(count(*) FILTER (WHERE epoch_ms(ts) + 3600000 > (SELECT epoch_ms(max(ts)) FROM events)) AS BIGINT) AS "count", true AS spread
+FROM events GROUP BY event_type
+""")
+def q_rolling_stream_spread_1h(spark, sf_dir):
+    mentions = _events_stream(spark, sf_dir).select(F.col("event_type").alias("name"), "ts")
+    changes = run_available(rolling_histogram(mentions, HOUR_MS, spread_above=1 / 64, spread_least=4), "spread-stream")
+    keys = changes.groupBy(F.col("name").alias("of")).agg((F.countDistinct("salt") > 1).alias("spread"))
+    return fold_changelog(changes, keep_zero=True).join(keys, F.col("name") == F.col("of")).select("name", "count", "spread")

@@ -81,3 +81,7 @@ CHANGELOG_SCHEMA = T.StructType([
 # micro-batch that emitted it, because ``seq`` starts anew when a key's state
 # is cleared; readers order a key's rows by (batch, seq).
 PUBLISHED_CHANGELOG_SCHEMA = T.StructType([*CHANGELOG_SCHEMA.fields, T.StructField("batch", T.LongType(), True)])
+
+# A changelog that counts late mentions has this column: a number in rows that
+# say how many were dropped (with no count, time and seq), null in changes.
+LATE_FIELD = T.StructField("late", T.LongType(), True)

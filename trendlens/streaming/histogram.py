@@ -26,8 +26,13 @@ changes), never a scan of the store.
 
 Rows are ``name, salt, count, ts, seq``; ``seq`` increases while a key has
 state. A count that reaches 0 is emitted once and the key's state is cleared
-(F14), after which ``seq`` starts anew: readers order by (batch, seq). Rows
-behind the watermark are dropped (F17).
+(F14), after which ``seq`` starts anew: readers order by (batch, seq).
+
+Mentions behind the watermark are dropped (F17). With ``count_late`` they are
+counted where they are dropped: the changelog then also holds rows with a
+number in ``late`` and nothing in ``count``, one for each key and batch that
+dropped any. :func:`changes_only` and :func:`late_counts` tell the two kinds
+apart; readers of the published changelog never see late rows.
 """
 
 from __future__ import annotations
@@ -37,12 +42,14 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions.timefns import as_event_time
 from ..operators.clean import clean_names
-from ..schemas import CHANGELOG_SCHEMA, NAMES_POS
+from ..schemas import CHANGELOG_SCHEMA, LATE_FIELD, NAMES_POS
 
 HOUR_MS = 3_600_000
 #: Event time that one state bucket covers.
@@ -61,6 +68,7 @@ def ensure_rocksdb_state(spark) -> None:
 
 
 OUTPUT_SCHEMA = CHANGELOG_SCHEMA
+LATE_SCHEMA = T.StructType([*CHANGELOG_SCHEMA.fields, LATE_FIELD])
 
 _META = T.StructType([
     T.StructField("count", T.LongType()),
@@ -150,10 +158,11 @@ class _Key:
 class RollingCountProcessor(StatefulProcessor):
     """Count of mentions of one key in (t − horizon, t], at every t where it changes."""
 
-    def __init__(self, horizon_ms: int = HOUR_MS, in_order: bool = True, bucket_ms: int = BUCKET_MS):
+    def __init__(self, horizon_ms: int = HOUR_MS, in_order: bool = True, bucket_ms: int = BUCKET_MS, count_late: bool = False):
         self.horizon_ms = int(horizon_ms)
         self.in_order = bool(in_order)
         self.bucket_ms = int(bucket_ms)
+        self.count_late = bool(count_late)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -210,13 +219,23 @@ class RollingCountProcessor(StatefulProcessor):
         k.seq += rows
         k.save()
         if rows:
-            yield pd.DataFrame({
+            out = pd.DataFrame({
                 "name": [key[0]] * rows,
                 "salt": pd.Series([key[1]] * rows, dtype="int32"),
                 "count": changes[1].astype(_I64),
                 "ts": pd.to_datetime(changes[0].astype(_I64), unit="ms", utc=True),
                 "seq": seq,
             })
+            if self.count_late:
+                out["late"] = pd.Series([None] * rows, dtype="Int64")
+            yield out
+
+    @staticmethod
+    def _dropped(key, n: int) -> pd.DataFrame:
+        """The row that says how many late mentions of this key the batch dropped."""
+        none = pd.Series([None], dtype="Int64")
+        return pd.DataFrame({"name": [key[0]], "salt": pd.Series([key[1]], dtype="int32"), "count": none,
+                             "ts": pd.to_datetime(pd.Series([None]), utc=True), "seq": none, "late": pd.Series([n], dtype="Int64")})
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         ms = [pdf["ms"].to_numpy(dtype=_I64) for pdf in rows]
@@ -224,6 +243,9 @@ class RollingCountProcessor(StatefulProcessor):
         if ms.size == 0:
             return
         watermark = timerValues.getCurrentWatermarkInMs()
+        late = int((ms < watermark).sum())
+        if late and self.count_late:
+            yield self._dropped(key, late)
         ms = ms[ms >= watermark]  # Spark's own filter of late rows lags one batch behind
         if ms.size == 0:
             return
@@ -276,9 +298,28 @@ def salt_plan(names: DataFrame, share: float = 1 / 64, name_col: str = "name") -
     return counts.filter(F.col("n") > share * total).select("name", F.ceil(F.col("n") / (share * max(total, 1))).cast("int").alias("salts"))
 
 
+def _local_salts(share: float, least: int):
+    """Salts of the rows of names that hold much of an Arrow batch; all others have 0."""
+    most = max(1, int(1 / share))
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get().partitionId()
+        for number, batch in enumerate(batches):
+            code, names = pd.factorize(batch.column(0).to_pandas(), use_na_sentinel=False)
+            n = np.bincount(code, minlength=len(names))
+            limit = max(least, int(share * len(batch)))
+            salts = np.where(n > limit, np.minimum(most, -(-n // limit)), 1)
+            ms = batch.column(2).to_numpy()
+            # equal (name, ms) stay together; where a name's salts begin differs from batch to batch
+            salt = np.where(salts[code] > 1, (ms % salts[code] + task + 7 * number) % most, 0)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(salt.astype(np.int32))], names=[*batch.schema.names, "salt"])
+    return emit
+
+
 def rolling_histogram(mentions: DataFrame, horizon_ms: int = HOUR_MS, watermark: str = "0 seconds",
                       name_col: str = "name", ts_col: str = "ts", salts: int = 1,
-                      hot: DataFrame | Sequence[str] | None = None, bucket_ms: int = BUCKET_MS) -> DataFrame:
+                      hot: DataFrame | Sequence[str] | None = None, bucket_ms: int = BUCKET_MS,
+                      count_late: bool = False, spread_above: float | None = None, spread_least: int = 100) -> DataFrame:
     """Changelog ``name, salt, count, ts, seq`` of the per-name rolling count.
 
     ``mentions`` may be streaming or batch; ``ts`` of any timestamp type
@@ -295,13 +336,27 @@ def rolling_histogram(mentions: DataFrame, horizon_ms: int = HOUR_MS, watermark:
     :func:`trendlens.operators.topn.fold_changelog` and the top-N consumer
     sum the latest partial of every salt. Without salting every row carries
     the name's total.
+
+    Without a table, ``spread_above`` finds hot names as they come: in each Arrow batch
+    of a task, a name with more than this share of its rows (``spread_least`` at
+    least) gets as many salts as shares. No table, version or agreement between
+    tasks is needed, since the sum of the partial counts is right however the
+    mentions are dealt: when a name cools down, its other keys drain as their
+    mentions expire. A key gets about ``spread_above`` of the rows, or twice that.
+
+    ``count_late`` adds the column ``late`` and the rows that count dropped
+    mentions. The state step then sees every row, as Spark's own filter, which
+    doesn't say what it drops, has no event-time column to work on.
     """
     spark = mentions.sparkSession
+    if spread_above and (hot is not None or salts != 1):
+        raise ValueError("give either spread_above, or salts and hot")
     ensure_rocksdb_state(spark)
     ev = as_event_time(mentions, ts_col)
-    src = (mentions.select(F.col(name_col).alias("name"), ev.alias("event_time"))
-           .withWatermark("event_time", watermark)
-           .withColumn("ms", F.unix_millis("event_time")))
+    src = mentions.select(F.col(name_col).alias("name"), ev.alias("event_time")).withColumn("ms", F.unix_millis("event_time"))
+    if spread_above:
+        src = src.mapInArrow(_local_salts(spread_above, spread_least), "name string, event_time timestamp, ms long, salt int")
+    src = src.withWatermark("event_time", watermark)
     parts = F.lit(int(salts))
     if hot is not None:
         if not isinstance(hot, DataFrame):
@@ -311,10 +366,21 @@ def rolling_histogram(mentions: DataFrame, horizon_ms: int = HOUR_MS, watermark:
         plan = hot.groupBy(F.col("name").alias("hot_name")).agg(F.max("salts").alias("salts"))
         src = src.join(plan, F.col("name") == F.col("hot_name"), "left")
         parts = F.coalesce(F.col("salts"), F.lit(1))
-    salt = F.pmod(F.xxhash64(F.col("name"), F.col("ms")), parts).cast("int")
+    salt = F.col("salt") if spread_above else F.pmod(F.xxhash64(F.col("name"), F.col("ms")), parts).cast("int")
     in_order = not re.search(r"[1-9]", watermark)  # no delay: every row is after what has been emitted
-    return (src.select("name", "event_time", "ms", salt.alias("salt")).groupBy("name", "salt").transformWithStateInPandas(
-        statefulProcessor=RollingCountProcessor(horizon_ms, in_order, bucket_ms),
-        outputStructType=OUTPUT_SCHEMA,
+    event_time = [] if count_late else ["event_time"]
+    return (src.select("name", *event_time, "ms", salt.alias("salt")).groupBy("name", "salt").transformWithStateInPandas(
+        statefulProcessor=RollingCountProcessor(horizon_ms, in_order, bucket_ms, count_late),
+        outputStructType=LATE_SCHEMA if count_late else OUTPUT_SCHEMA,
         outputMode="Append",
         timeMode="EventTime"))
+
+
+def changes_only(rows: DataFrame) -> DataFrame:
+    """The changes of a changelog that also counts late mentions."""
+    return rows.filter("late is null").drop("late")
+
+
+def late_counts(rows: DataFrame, *by: str) -> DataFrame:
+    """``by, late``: the dropped mentions of a changelog with ``count_late``, say by ``batch`` or ``name``."""
+    return rows.filter("late is not null").groupBy(*by).agg(F.sum("late").alias("late"))

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..schemas import PUBLISHED_CHANGELOG_SCHEMA, RECORD_STREAM_SCHEMA
+from ..schemas import LATE_FIELD, PUBLISHED_CHANGELOG_SCHEMA, RECORD_STREAM_SCHEMA
 from ..session import scratch_path
 
 
@@ -79,19 +79,59 @@ def write_kafka(changes: DataFrame, servers: str, topic: str, checkpoint: str, t
 
 
 def published_changelog(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """The changelog that :func:`write_batches` wrote to ``path``, as a stream with its ``batch`` column."""
-    return stream_table_files(spark, path, "*.parquet", PUBLISHED_CHANGELOG_SCHEMA, max_files_per_trigger)
+    """The changelog that :func:`write_batches` wrote to ``path``, as a stream with its ``batch`` column; without rows that count late mentions."""
+    schema = T.StructType([*PUBLISHED_CHANGELOG_SCHEMA.fields, LATE_FIELD])
+    return stream_table_files(spark, path, "*.parquet", schema, max_files_per_trigger).filter("late is null").drop("late")
 
 
-def write_batches(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
-                  query_name: str | None = None):
-    """K4/K5: append each micro-batch to ``path/batch=<id>`` (idempotent).
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def running_query(spark: SparkSession) -> str | None:
+    """The id of the streaming query whose micro-batch is being worked on; it stays the same over restarts from a checkpoint."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
+def _own(spark: SparkSession, path: str) -> None:
+    """Mark ``path`` as this query's, or fail if it is another's: batch numbers of two queries would mix."""
+    fs, mark = _fs(spark, f"{path}/.query")
+    query = running_query(spark) or ""
+    if fs.exists(mark):
+        stream = fs.open(mark)
+        owner = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        stream.close()
+        if owner != query:
+            raise ValueError(f"{path} holds the batches of another query")
+        return
+    out = fs.create(mark, False)
+    out.write(bytearray(query.encode()))
+    out.close()
 
-    A replayed batch overwrites its own folder, so the sink is exactly-once
-    together with the checkpoint.
+
+def publish_batch(df: DataFrame, path: str, batch: int) -> None:
+    """Write a micro-batch as ``path/batch=<id>``: complete by a rename, once.
+
+    A batch that is run again finds its folder complete and leaves it, so a
+    reader that has listed it never loses or doubles a file.
     """
+    spark = df.sparkSession
+    fs, done = _fs(spark, f"{path}/batch={batch}")
+    if fs.exists(done):
+        return
+    draft = f"{path}/.draft-{batch}"
+    df.write.mode("overwrite").parquet(draft)
+    if not fs.rename(_fs(spark, draft)[1], done):
+        raise OSError(f"batch {batch} could not be published to {path}")
+
+
+def write_batches(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
+                  query_name: str | None = None):
+    """K4/K5: publish each micro-batch as ``path/batch=<id>`` (exactly once, together with the checkpoint)."""
     def sink(df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        _own(df.sparkSession, path)
+        publish_batch(df, path, batch_id)
 
     w = stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     if query_name:
