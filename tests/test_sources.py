@@ -4,17 +4,19 @@ import datetime as dt
 import glob
 import io
 import os
+import tracemalloc
 import zipfile
 
 from pyspark.sql import functions as F
 
 from trendlens.operators.daily import daily_result
 from trendlens.operators.sensor import readings_at, readings_at_sql, readings_at_text
-from trendlens.sinks.writers import publish_records, write_daily, write_daily_text
+from trendlens.sinks.writers import publish_records, read_key, write_daily, write_daily_text
 from trendlens.sources.records import (read_daily, read_zipped_segments, segment_records,
                                        segments_from_index, stream_segments)
+from trendlens.sources.segments import follow_segments, listing, read_segments, segment_batches, write_segments
 from trendlens.sources.sensor import numbered_letters, read_sensor, read_sensor_text
-from trendlens.streaming.runner import run_available, stream_records
+from trendlens.streaming.runner import run_available, stream_records, write_batches
 
 UTC = dt.timezone.utc
 
@@ -158,3 +160,85 @@ def test_publish_then_stream_records(spark, tmp_path):
         publish_records(df, log)
     got = run_available(stream_records(spark, log), "records")
     assert sorted(r["key"] for r in got.collect()) == ["r0", "r1"]
+
+
+def _zip_lines(directory, name, lines):
+    with zipfile.ZipFile(os.path.join(directory, f"{name}.gkg.csv.zip"), "w", zipfile.ZIP_DEFLATED) as z:
+        with z.open(f"{name}.gkg.csv", "w") as f:
+            for line in lines:
+                f.write(line if isinstance(line, bytes) else f"{line}\n".encode())
+
+
+def test_data_source_gives_the_lines_of_the_whole_files(spark, tmp_path):
+    d = str(tmp_path)
+    _zip_lines(d, "20150218230000", ["a\tb", "c\rd", "é x", b"bad \xff\xfe byte\r\n", "", "last"])
+    _zip_lines(d, "20150218231500", [])
+    _zip_lines(d, "20150218233000", [f"{i}\tx" for i in range(1000)])
+    with zipfile.ZipFile(os.path.join(d, "20150218234500.gkg.csv.zip"), "w"):
+        pass  # a zip without entries
+    want = read_zipped_segments(spark, f"{d}/*.zip", layout=True, whole_files=True)
+    got = read_segments(spark, d, layout=True, partition_bytes=1)
+    name = F.substring_index("path", "/", -1).alias("segment")
+    rows = lambda df: sorted(map(tuple, df.select(name, "line_no", "value", "n_lines", "first_id").collect()))
+    assert rows(got) == rows(want) and got.rdd.getNumPartitions() == 4
+    cut = read_segments(spark, d, start="20150218231500", end="20150218233000")
+    assert {r[0] for r in cut.select(name).distinct().collect()} == {"20150218233000.gkg.csv.zip"}
+
+
+def test_segments_are_read_in_bounded_batches(tmp_path):
+    # 40 MB of lines: no batch is much larger than its bound, and the reader holds one at a time
+    d = str(tmp_path)
+    _zip_lines(d, "20150218230000", [f"{i}\t" + "x" * 400 for i in range(100_000)])
+    path = listing(d)[0][0]
+    tracemalloc.start()
+    n = chars = 0
+    for batch in segment_batches(path, True):
+        n += len(batch)
+        chars = max(chars, sum(map(len, batch.column(2).to_pylist())))
+        assert batch.column(3)[0].as_py() == 100_000 and batch.column(4)[0].as_py() == "0"
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 100_000 and chars < 2 << 20 and peak < 24 << 20
+
+
+def test_stream_follows_the_last_name(spark, tmp_path):
+    d, out, ck = str(tmp_path / "seg"), str(tmp_path / "out"), str(tmp_path / "ck")
+    os.makedirs(d)
+
+    def run():
+        write_batches(segment_records(follow_segments(spark, d)), out, ck).awaitTermination(300)
+        return sorted(r["key"] for r in spark.read.parquet(out).collect())
+
+    _zip_segment(d, "20150218230000", _segment_lines("20150218230000", 2))
+    assert run() == ["20150218230000-0", "20150218230000-1"]
+    _zip_segment(d, "20150218231500", _segment_lines("20150218231500", 1))
+    _zip_segment(d, "20150218224500", _segment_lines("20150218224500", 1))  # named before the last one: not new
+    assert run() == ["20150218230000-0", "20150218230000-1", "20150218231500-0"]
+    assert len(run()) == 3
+
+
+def test_written_segments_are_read_back(spark, tmp_path):
+    rows = spark.createDataFrame([(f"2015021823{m}00.gkg.csv", i, f"{m}-{i}\té") for m in ("00", "15") for i in range(50)], "segment string, line_no long, value string")
+    assert {r["lines"] for r in write_segments(rows.repartition(4), str(tmp_path / "z")).collect()} == {50}
+    got = read_segments(spark, str(tmp_path / "z"))
+    assert sorted(r["value"] for r in got.collect()) == sorted(r["value"] for r in rows.collect())
+    assert got.filter("path like '%2300%' and line_no = 7").first()["value"] == "00-7\té"
+
+
+def test_keyed_log_reads_one_bucket(spark, tmp_path):
+    path = str(tmp_path / "log")
+    for half in (0, 1):
+        rows = [(f"k{i % 20}" if i % 21 else None, f"v{i}", dt.datetime(2024, 1, 1, tzinfo=UTC) + dt.timedelta(minutes=(7 * i) % 200)) for i in range(100 * half, 100 * half + 100)]
+        publish_records(spark.createDataFrame(rows, "key string, value string, timestamp timestamp"), path, buckets=8)
+    got = read_key(spark, path, "k3", 8)
+    want = [f"v{i}" for i in sorted((i for i in range(200) if i % 20 == 3 and i % 21), key=lambda i: (7 * i) % 200)]
+    assert [r["value"] for r in got.collect()] == want
+    files = set(got.inputFiles())
+    assert files and len({f.split("/")[-2] for f in files}) == 8  # what the log has
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan
+    assert sorted(r["value"] for r in stream_records_batch(spark, path)) == sorted(f"v{i}" for i in range(200))
+
+
+def stream_records_batch(spark, path):
+    return run_available(stream_records(spark, path).select("key", "value", "timestamp"), "keyed-log").collect()

@@ -39,6 +39,14 @@ def readings_at_sql(spark: SparkSession, df: DataFrame, ts: dt.datetime, view: s
     return spark.sql(f"SELECT * FROM {view} WHERE {cond}", args={"ts": _param(ts, ntz)})
 
 
+def readings_at_expression(df: DataFrame, ts: dt.datetime, ts_col: str = "timestamp") -> DataFrame:
+    """The same filter as an expression string."""
+    kind = "TIMESTAMP_NTZ" if _is_ntz(df, ts_col) else "TIMESTAMP"
+    value = _param(ts, kind == "TIMESTAMP_NTZ")
+    text = value if isinstance(value, str) else value.astimezone(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f+00:00")
+    return df.filter(f"`{ts_col}` = {kind} '{text}'")
+
+
 def readings_at_text(lines: DataFrame, stamp: str, field: int = 1, sep: str = ",") -> DataFrame:
     """The filter on raw text lines, comparing one split field."""
     return lines.filter(F.split(F.col("value"), sep).getItem(field) == F.lit(stamp))

@@ -11,7 +11,7 @@ from . import catalog
 
 def _load():
     # Importing the plan modules registers their queries in catalog.REGISTRY.
-    from . import daily_plans, rolling_plans, topn_plans, misc_plans, stream_plans  # noqa: F401
+    from . import daily_plans, rolling_plans, topn_plans, misc_plans, source_plans, stream_plans  # noqa: F401
     return catalog.REGISTRY
 
 
