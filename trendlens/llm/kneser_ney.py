@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import materialize
 from .blocks import blocks, positions, unpacked
-from .text_kernels import mix64
+from .text_kernels import chunks, mix64, utf8
 
 ORDER = 4
 #: One in so many trusted documents is held out from training.
@@ -56,7 +56,7 @@ WIDEN = 1.0
 _START = "\n" * (ORDER - 1)
 #: Symbols that are worked through at a time, and n-grams that are held before they are merged.
 PIECE = 1 << 18
-HELD = 1 << 19
+HELD = 1 << 18
 _FACTORS = mix64(np.arange(1, ORDER + 1, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -128,20 +128,29 @@ class Tally:
 
 
 def _by_language(rows: pa.Table) -> Iterator[tuple[str, np.ndarray, list[str]]]:
-    """Each language of some documents, their row numbers and texts."""
-    lang = rows["lang"].to_pandas()
-    texts = rows["text"].fill_null("")
-    for name, at in lang.groupby(lang, sort=True).indices.items():
-        yield name, at, texts.take(pa.array(at)).to_pylist()
-
-
-def _count(rows: pa.Table, block: int) -> pa.Table:
+    """Row numbers and texts of one language after the other, for about ``PIECE`` bytes of a block's rows at a time."""
+    done = 0
+    for batch in rows.select(["lang", "text"]).to_batches():
+        _, offsets = utf8(batch.column(1))
+        for a, b in chunks(offsets, PIECE):
+            part = batch.slice(a, b - a)
+            code, names = pd.factorize(part.column(0).to_pandas())
+            texts = part.column(1).to_pylist()
+            for k, name in enumerate(names):
+                at = np.flatnonzero(code == k)
+                yield name, done + a + at, [texts[i] or "" for i in at.tolist()]
+        done += len(batch)
+
+
+def _count(rows: pa.Table, block: int) -> pa.Table | None:
     """``block, lang, gram, n`` of the distinct n-grams of some documents."""
-    found = []
+    tallies: dict[str, Tally] = {}
     for name, _, texts in _by_language(rows):
-        tally = Tally()
+        tally = tallies.setdefault(name, Tally())
         for _, parts in _pieces(texts):
             tally.add(parts)
+    found = []
+    for name, tally in tallies.items():
         gram, n = tally.result()
         found.append(pa.table({"block": pa.array(np.full(len(n), block)), "lang": pa.array([name] * len(n), type=pa.string()), "gram": gram, "n": n}))
     return pa.concat_tables(found) if found else None
@@ -255,16 +264,14 @@ def _score(left: pa.Table, right: pa.Table) -> pa.Table:
     rows = unpacked(left["blob"][0].as_py())
     n = len(rows)
     bits, symbols, modelled = np.zeros(n), np.zeros(n, np.int64), np.zeros(n, dtype=bool)
-    lang = right["lang"].to_pandas().to_numpy()
+    lang, codes, costs = right["lang"].to_pandas().to_numpy(), _symbols_of(right["gram"].combine_chunks()), right["bits"].to_numpy()
+    models = {name: (pd.Index(codes[lang == name]), costs[lang == name]) for name in set(lang)}
     for name, at, texts in _by_language(rows):
         symbols[at] = [len(t) for t in texts]
-        mine = np.flatnonzero(lang == name)
-        if not len(mine):
+        if name not in models:
             continue
         modelled[at] = True
-        some = right.take(pa.array(mine))
-        index = pd.Index(_symbols_of(some["gram"].combine_chunks()))
-        cost = some["bits"].to_numpy()
+        index, cost = models[name]
         for of, parts in _pieces(texts):
             _, h, _, sizes = _grams(parts)
             where = index.get_indexer(h)
