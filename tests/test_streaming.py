@@ -101,8 +101,8 @@ def brute_final(rows, horizon_s, watermark_s):
     return live
 
 
-@pytest.mark.parametrize("files, bucket_ms", [(1, BUCKET_MS), (8, BUCKET_MS), (8, 1000), (3, 10_000_000)])
-def test_changelog_equals_batch_for_any_batching(spark, tmp_path, files, bucket_ms):
+@pytest.mark.parametrize("files, bucket_ms, inline", [(1, BUCKET_MS, 1024), (8, BUCKET_MS, 0), (8, 1000, 8), (3, 10_000_000, 0), (8, BUCKET_MS, 40)])
+def test_changelog_equals_batch_for_any_batching(spark, tmp_path, files, bucket_ms, inline):
     rnd = random.Random(7)
     names = ["n0", "n1", "n2", "hot"]
     rows = sorted(((rnd.choice(names + ["hot"] * 4), rnd.randrange(0, 4 * 3600)) for _ in range(400)),
@@ -114,7 +114,7 @@ def test_changelog_equals_batch_for_any_batching(spark, tmp_path, files, bucket_
             a.append(b.pop(0))
     d = str(tmp_path / "in")
     write_files(d, cuts)
-    ch = histogram_of(spark, d, horizon_ms=600_000, bucket_ms=bucket_ms)
+    ch = histogram_of(spark, d, horizon_ms=600_000, bucket_ms=bucket_ms, inline=inline)
     last = max(s for _, s in rows)
     assert emitted(ch) == brute_changelog(rows, 600, last)
     final = {r["name"]: r["count"] for r in fold_changelog(ch, keep_zero=True).collect()}

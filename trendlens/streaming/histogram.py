@@ -3,16 +3,18 @@ horizon, published as a changelog.
 
 ``rolling_histogram`` keys the mention stream by name (and salt) and runs one
 ``StatefulProcessor`` per key (``transformWithStateInPandas``, RocksDB state,
-event-time timers). State has one layout:
+event-time timers). A key's state:
 
 * ``meta`` (value): the live count, the time up to which changes are emitted,
-  the emitted-row sequence, the registered timer and the first and last ms of
-  every bucket;
-* ``buckets`` (map: bucket id → sorted ms and multiplicities, packed int64):
-  the mentions of one ``BUCKET_MS`` of event time. A value never has more than
-  ``BUCKET_MS`` entries, and a batch reads and writes only the buckets that its
-  mentions, and the expiries due with them, fall into. Mentions are typed
-  numbers, never packed into strings (fork F15).
+  the emitted-row sequence, the registered timer; and the live mentions
+  themselves (sorted ms and multiplicities, packed int64) while there are at
+  most ``INLINE``, so that a batch reads and writes one value for such a key;
+* ``buckets`` (map: bucket id → the same for one ``BUCKET_MS`` of event time): the
+  mentions of a key that has more; ``meta`` then holds the first and last ms and
+  the size of every bucket. A value never has more than ``BUCKET_MS`` entries, and
+  a batch reads and writes only the buckets that its mentions, and the expiries
+  due with them, fall into. A key that shrinks to a quarter goes back to ``meta``.
+  Mentions are typed numbers, never packed into strings (fork F15).
 
 The changelog is the batch changelog (T7) of the key's mentions, row for row,
 however the rows fall into files and micro-batches: changes are emitted in
@@ -54,6 +56,8 @@ from ..schemas import CHANGELOG_SCHEMA, LATE_FIELD, NAMES_POS
 HOUR_MS = 3_600_000
 #: Event time that one state bucket covers.
 BUCKET_MS = 60_000
+#: Distinct times that a key keeps in one value.
+INLINE = 1024
 STATE_PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -76,6 +80,7 @@ _META = T.StructType([
     T.StructField("seq", T.LongType()),
     T.StructField("timer", T.LongType()),
     T.StructField("index", T.BinaryType()),
+    T.StructField("inline", T.BinaryType()),
 ])
 _BUCKET_KEY = T.StructType([T.StructField("id", T.LongType())])
 _BUCKET = T.StructType([
@@ -100,29 +105,44 @@ def _merge(ms: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class _Key:
     """One key's state: ``meta`` at once, buckets as they are needed."""
 
-    def __init__(self, meta, buckets):
-        self._meta, self._buckets = meta, buckets
+    def __init__(self, meta, buckets, bucket_ms: int, most: int = INLINE):
+        self._meta, self._buckets, self._most = meta, buckets, most
         self._held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         self._changed: set[int] = set()
         v = meta.get()
         self.exists = v is not None
         self.count, self.done, self.seq, self.timer = (int(x) for x in v[:4]) if v else (0, _NEVER, 0, -1)
-        rows = _arr(v[4]).reshape(-1, 3) if v else np.empty((0, 3), dtype=_I64)
-        self.index = {int(i): (int(a), int(b)) for i, a, b in rows}  # bucket id: first ms, last ms
+        self.index: dict[int, tuple[int, int]] = {}  # bucket id: first ms, last ms
+        self._sizes: dict[int, int] = {}
+        self.inline = v is None or v[5] is not None
+        if v is None:
+            return
+        if self.inline:
+            ms, n = _arr(v[5]).reshape(2, -1)
+            ids, starts = np.unique(ms // bucket_ms, return_index=True)
+            for i, a, b in zip(ids.tolist(), starts.tolist(), [*starts[1:].tolist(), len(ms)]):
+                self._place(i, ms[a:b], n[a:b])
+        else:
+            for i, a, b, size in _arr(v[4]).reshape(-1, 4).tolist():
+                self.index[i], self._sizes[i] = (a, b), size
+
+    def _place(self, i: int, ms: np.ndarray, n: np.ndarray) -> None:
+        self._held[i], self.index[i], self._sizes[i] = (ms, n), (int(ms[0]), int(ms[-1])), len(ms)
 
     def bucket(self, i: int) -> tuple[np.ndarray, np.ndarray]:
         if i not in self._held:
-            v = self._buckets.getValue((i,)) if i in self.index else None
+            v = self._buckets.getValue((i,)) if i in self.index and not self.inline else None
             self._held[i] = (_arr(v[0]), _arr(v[1])) if v is not None else (np.empty(0, _I64), np.empty(0, _I64))
         return self._held[i]
 
     def put(self, i: int, ms: np.ndarray, n: np.ndarray) -> None:
-        self._held[i] = (ms, n)
         self._changed.add(i)
         if len(ms):
-            self.index[i] = (int(ms[0]), int(ms[-1]))
+            self._place(i, ms, n)
         else:
+            self._held[i] = (ms, n)
             self.index.pop(i, None)
+            self._sizes.pop(i, None)
 
     def between(self, after: int, upto: int) -> tuple[np.ndarray, np.ndarray]:
         """The mentions with ``after < ms <= upto``."""
@@ -142,27 +162,44 @@ class _Key:
         return int(ms[np.searchsorted(ms, t, side="right")])
 
     def save(self) -> None:
-        for i in self._changed:
+        was, total = self.inline, sum(self._sizes.values())
+        self.inline = total <= (self._most if was else self._most // 4)
+        if was:
+            touched = set() if self.inline else set(self.index)  # all of it moves to the map
+        elif self.inline:
+            for i in self.index:
+                self.bucket(i)
+            touched = self._changed | set(self.index)            # all of it leaves the map
+        else:
+            touched = self._changed
+        for i in touched:
             ms, n = self._held[i]
-            if len(ms):
+            if len(ms) and not self.inline:
                 self._buckets.updateValue((i,), (ms.tobytes(), n.tobytes()))
             elif self._buckets.containsKey((i,)):
                 self._buckets.removeKey((i,))
-        if self.index:
-            rows = np.array([(i, a, b) for i, (a, b) in sorted(self.index.items())], dtype=_I64)
-            self._meta.update((self.count, self.done, self.seq, self.timer, rows.tobytes()))
-        elif self.exists:
-            self._meta.clear()
+        if not self.index:
+            if self.exists:
+                self._meta.clear()
+            return
+        ids = sorted(self.index)
+        index, inline = b"", None
+        if self.inline:
+            inline = np.concatenate([np.concatenate([self._held[i][k] for i in ids]) for k in (0, 1)]).astype(_I64).tobytes()
+        else:
+            index = np.array([(i, *self.index[i], self._sizes[i]) for i in ids], dtype=_I64).tobytes()
+        self._meta.update((self.count, self.done, self.seq, self.timer, index, inline))
 
 
 class RollingCountProcessor(StatefulProcessor):
     """Count of mentions of one key in (t − horizon, t], at every t where it changes."""
 
-    def __init__(self, horizon_ms: int = HOUR_MS, in_order: bool = True, bucket_ms: int = BUCKET_MS, count_late: bool = False):
+    def __init__(self, horizon_ms: int = HOUR_MS, in_order: bool = True, bucket_ms: int = BUCKET_MS, count_late: bool = False, inline: int = INLINE):
         self.horizon_ms = int(horizon_ms)
         self.in_order = bool(in_order)
         self.bucket_ms = int(bucket_ms)
         self.count_late = bool(count_late)
+        self.inline = int(inline)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -249,14 +286,14 @@ class RollingCountProcessor(StatefulProcessor):
         ms = ms[ms >= watermark]  # Spark's own filter of late rows lags one batch behind
         if ms.size == 0:
             return
-        k = _Key(self.meta, self.buckets)
+        k = _Key(self.meta, self.buckets, self.bucket_ms, self.inline)
         late = int((ms <= k.done).sum())  # the emitted time itself: several rows of one ms in two batches
         self._add(k, ms)
         limit = int(ms.max()) if self.in_order else watermark
         yield from self._finish(key, k, self._advance(k, limit, late))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        k = _Key(self.meta, self.buckets)
+        k = _Key(self.meta, self.buckets, self.bucket_ms, self.inline)
         if not k.exists:
             return
         fired = expiredTimerInfo.getExpiryTimeInMs()
@@ -319,7 +356,7 @@ def _local_salts(share: float, least: int):
 def rolling_histogram(mentions: DataFrame, horizon_ms: int = HOUR_MS, watermark: str = "0 seconds",
                       name_col: str = "name", ts_col: str = "ts", salts: int = 1,
                       hot: DataFrame | Sequence[str] | None = None, bucket_ms: int = BUCKET_MS,
-                      count_late: bool = False, spread_above: float | None = None, spread_least: int = 100) -> DataFrame:
+                      inline: int = INLINE, count_late: bool = False, spread_above: float | None = None, spread_least: int = 100) -> DataFrame:
     """Changelog ``name, salt, count, ts, seq`` of the per-name rolling count.
 
     ``mentions`` may be streaming or batch; ``ts`` of any timestamp type
@@ -370,7 +407,7 @@ def rolling_histogram(mentions: DataFrame, horizon_ms: int = HOUR_MS, watermark:
     in_order = not re.search(r"[1-9]", watermark)  # no delay: every row is after what has been emitted
     event_time = [] if count_late else ["event_time"]
     return (src.select("name", *event_time, "ms", salt.alias("salt")).groupBy("name", "salt").transformWithStateInPandas(
-        statefulProcessor=RollingCountProcessor(horizon_ms, in_order, bucket_ms, count_late),
+        statefulProcessor=RollingCountProcessor(horizon_ms, in_order, bucket_ms, count_late, inline),
         outputStructType=LATE_SCHEMA if count_late else OUTPUT_SCHEMA,
         outputMode="Append",
         timeMode="EventTime"))
