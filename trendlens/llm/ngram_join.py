@@ -65,13 +65,14 @@ FILTER_BITS = 1 << 27
 PART = 1 << 13
 #: Shingles found at least so often are frequent.
 FREQUENT = 8
-#: Shingles that a task counts at a time.
-COUNTED = 4 << 20
+#: Shingles that a task counts at a time, and bytes of text that it works through at a time.
+COUNTED = 2 << 20
+PIECE = 1 << 20
 
 
 def _sets(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, shingle hashes sorted and distinct within each row, row edges)."""
-    for first, h, edges in shingle_chunks(column):
+    for first, h, edges in shingle_chunks(column, PIECE):
         for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
             h[a:b].sort()
         keep = np.ones(len(h), dtype=bool)
@@ -143,16 +144,17 @@ def _frequency_table(repeats: DataFrame) -> np.ndarray:
     found = often.groupBy(F.pmod("shingle", F.lit(cells)).alias("cell")).agg(word).toArrow()
     table = np.zeros(cells, dtype=np.int64)
     table[found["cell"].to_numpy()] = found["word"].to_numpy()
-    return table.view(np.uint16).reshape(cells, 4)
+    return table.view(np.uint64)
 
 
 def _scales(s: np.ndarray, table: np.ndarray) -> np.ndarray:
     """The logarithms of how frequent the shingles are, 0 for rare ones."""
-    cell, check = (s & np.uint64(len(table) - 1)).astype(np.int64), ((s >> np.uint64(40)) & np.uint64(255)).astype(np.uint16)
-    out = np.zeros(len(s), dtype=np.int64)
+    cells = table[(s & np.uint64(len(table) - 1)).astype(np.int64)]
+    out, at = np.zeros(len(s), dtype=np.int64), np.flatnonzero(cells)
+    cells, check = cells[at], (s[at] >> np.uint64(40)) & np.uint64(255)
     for i in range(4):
-        entry = table[cell, i]
-        out = np.maximum(out, np.where(entry >> 8 == check, entry & 255, 0))
+        entry = (cells >> np.uint64(16 * i)) & np.uint64(0xFFFF)
+        out[at] = np.maximum(out[at], np.where(entry >> np.uint64(8) == check, entry & np.uint64(255), 0).astype(np.int64))
     return out
 
 

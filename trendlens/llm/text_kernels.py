@@ -107,9 +107,9 @@ def shingles(words: np.ndarray, first: np.ndarray, k: int = SHINGLE_WORDS) -> tu
     return mix64(h), edges
 
 
-def shingle_chunks(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first row, shingle hashes, row edges) for the pieces of a string column."""
+def shingle_chunks(column: pa.Array, size: int = CHUNK) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, shingle hashes, row edges) for the pieces (of about ``size`` bytes) of a string column."""
     data, offsets = utf8(column)
-    for a, b in chunks(offsets):
+    for a, b in chunks(offsets, size):
         h, edges = shingles(*word_hashes(data, offsets[a:b + 1]))
         yield a, h, edges
