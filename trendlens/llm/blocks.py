@@ -16,11 +16,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import scratch_path
-from .text_kernels import chunks, utf8
+from .text_kernels import chunks
 
 BLOCK_BYTES = 16 << 20
 
 
+def text_offsets(column: pa.Array) -> np.ndarray:
+    """Where the texts of a string column begin, in bytes, with the end; without a copy of the texts."""
+    if not len(column):
+        return np.zeros(1, np.int64)
+    kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    return np.frombuffer(column.buffers()[1], dtype=kind)[column.offset:column.offset + len(column) + 1].astype(np.int64)
+
+
 def _packed(parts: list[pa.RecordBatch]) -> bytes:
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, parts[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
@@ -48,7 +56,7 @@ def _pack(size: int) -> Callable:
             return row
 
         for batch in batches:
-            _, offsets = utf8(batch.column(1))
+            offsets = text_offsets(batch.column(1))
             for a, b in chunks(offsets, size):
                 held.append(batch.slice(a, b - a))
                 held_bytes += int(offsets[b] - offsets[a])
@@ -56,6 +64,7 @@ def _pack(size: int) -> Callable:
                     yield block()
         if held:
             yield block()
+        pa.default_memory_pool().release_unused()
     return emit
 
 

@@ -42,8 +42,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import materialize
-from .blocks import blocks, positions, unpacked
-from .text_kernels import chunks, mix64, utf8
+from .blocks import blocks, positions, text_offsets, unpacked
+from .text_kernels import chunks, mix64
 
 ORDER = 4
 #: One in so many trusted documents is held out from training.
@@ -131,8 +131,7 @@ def _by_language(rows: pa.Table) -> Iterator[tuple[str, np.ndarray, list[str]]]:
     """Row numbers and texts of one language after the other, for about ``PIECE`` bytes of a block's rows at a time."""
     done = 0
     for batch in rows.select(["lang", "text"]).to_batches():
-        _, offsets = utf8(batch.column(1))
-        for a, b in chunks(offsets, PIECE):
+        for a, b in chunks(text_offsets(batch.column(1)), PIECE):
             part = batch.slice(a, b - a)
             code, names = pd.factorize(part.column(0).to_pandas())
             texts = part.column(1).to_pylist()
@@ -180,7 +179,10 @@ def count_grams(table: DataFrame, labels: DataFrame) -> DataFrame:
         if not len(left) or not len(right):
             return empty
         rows = unpacked(left["blob"][0].as_py()).take(right["pos"])
-        return _count(rows, left["block"][0].as_py()) or empty
+        found = _count(rows, left["block"][0].as_py()) or empty
+        del rows
+        pa.default_memory_pool().release_unused()
+        return found
 
     counted = table.select("block", "blob").groupBy("block").cogroup(mine.select(F.col("block").alias("of"), "pos").groupBy("of")).applyInArrow(count, _COUNTED)
     return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
@@ -293,7 +295,9 @@ def score(table: DataFrame, counted: list[DataFrame]) -> DataFrame:
     mine = grams.join(p, (F.col("lang") == F.col("p_lang")) & (F.col("gram") == F.col("p_gram"))).select(F.col("block").alias("of"), "lang", "gram", "bits")
 
     def of(left: pa.Table, right: pa.Table) -> pa.Table:
-        return _score(left, right)
+        found = _score(left, right)
+        pa.default_memory_pool().release_unused()
+        return found
 
     return materialize(table.select("block", "blob").groupBy("block").cogroup(mine.groupBy("of")).applyInArrow(of, _SCORES), "scores")
 
