@@ -43,7 +43,7 @@ def top_k_daily(counts: DataFrame, k: int = 10, ties: str = "rank", date_col: st
 
 def daily_lists(ranked: DataFrame, date_col: str = "DATE", name_col: str = "name",
                 count_col: str = "count") -> DataFrame:
-    """One row per day: ``TopNames`` = list of (topic, count), count desc, then topic.
+    """One row per day: ``day_list`` = list of (topic, count), count desc, then topic.
 
     The input is already partitioned by day (window exchange), so the
     aggregate adds no exchange; the list length is bounded by k plus ties.
@@ -52,13 +52,13 @@ def daily_lists(ranked: DataFrame, date_col: str = "DATE", name_col: str = "name
                                                  F.col(name_col).alias("topic"))))
     lst = F.transform(items, lambda s: F.struct(s["topic"].alias("topic"),
                                                 (-s["neg"]).cast("bigint").alias("count")))
-    return ranked.groupBy(date_col).agg(lst.alias("TopNames"))
+    return ranked.groupBy(date_col).agg(lst.alias("day_list"))
 
 
 def to_result_schema(lists: DataFrame, date_col: str = "DATE") -> DataFrame:
     """Rename/cast to ``data date, result array<struct<topic,count>>`` (P10)."""
     return lists.select(F.col(date_col).cast("date").alias("data"),
-                        F.col("TopNames").cast(RESULT_LIST_TYPE).alias("result"))
+                        F.col("day_list").cast(RESULT_LIST_TYPE).alias("result"))
 
 
 def result_json(results: DataFrame, keep=()) -> DataFrame:
