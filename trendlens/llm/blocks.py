@@ -16,6 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import scratch_path
+from .memory import tidy
 from .text_kernels import chunks
 
 BLOCK_BYTES = 16 << 20
@@ -64,8 +65,7 @@ def _pack(size: int) -> Callable:
                     yield block()
         if held:
             yield block()
-        pa.default_memory_pool().release_unused()
-    return emit
+    return tidy(emit)
 
 
 def blocks(docs: DataFrame, keep: list[str], size: int = BLOCK_BYTES) -> DataFrame:

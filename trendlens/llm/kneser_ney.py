@@ -43,6 +43,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import materialize
 from .blocks import blocks, positions, text_offsets, unpacked
+from .memory import give_back, tidy
 from .text_kernels import chunks, mix64
 
 ORDER = 4
@@ -181,7 +182,7 @@ def count_grams(table: DataFrame, labels: DataFrame) -> DataFrame:
         rows = unpacked(left["blob"][0].as_py()).take(right["pos"])
         found = _count(rows, left["block"][0].as_py()) or empty
         del rows
-        pa.default_memory_pool().release_unused()
+        give_back()
         return found
 
     counted = table.select("block", "blob").groupBy("block").cogroup(mine.select(F.col("block").alias("of"), "pos").groupBy("of")).applyInArrow(count, _COUNTED)
@@ -251,7 +252,7 @@ def _block_grams(table: DataFrame) -> DataFrame:
                 found = _count(unpacked(blob.as_py()), block)
                 if found is not None:
                     yield from found.select(["block", "lang", "gram"]).to_batches(max_chunksize=1 << 18)
-    return table.select("block", "blob").mapInArrow(emit, "block long, lang string, gram string")
+    return table.select("block", "blob").mapInArrow(tidy(emit), "block long, lang string, gram string")
 
 
 def _symbols_of(grams: pa.Array) -> np.ndarray:
@@ -296,7 +297,7 @@ def score(table: DataFrame, counted: list[DataFrame]) -> DataFrame:
 
     def of(left: pa.Table, right: pa.Table) -> pa.Table:
         found = _score(left, right)
-        pa.default_memory_pool().release_unused()
+        give_back()
         return found
 
     return materialize(table.select("block", "blob").groupBy("block").cogroup(mine.groupBy("of")).applyInArrow(of, _SCORES), "scores")

@@ -51,6 +51,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import materialize
 from .components import components
+from .memory import tidy
 from .text_kernels import mix64, shingle_chunks
 
 #: Similarity as a fraction.
@@ -322,7 +323,7 @@ def _content(docs: DataFrame, sent, whole: bool) -> DataFrame:
                 values = [h[edges[i]:edges[i + 1]].tobytes() if whole else _bitmap(h[edges[i]:edges[i + 1]]) for i in rows]
                 yield pa.RecordBatch.from_arrays([pa.array(keys[rows]), pa.array(values, type=pa.binary())], names=["set_key", "content"])
 
-    found = docs.mapInArrow(emit, "set_key long, content binary")
+    found = docs.mapInArrow(tidy(emit), "set_key long, content binary")
     return found.groupBy("set_key").agg(F.min("content").alias("content"))  # equal sets of several tasks
 
 
@@ -364,10 +365,10 @@ def _verified(docs: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
 
 def _tiles(d: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``doc_id, n, key`` of every document, and the tiles' rows with their most typical sets."""
-    first = materialize(d.mapInArrow(_sizes_and_repeats, "doc_id long, n long, key long, shingle long, times long"), "sizes")
+    first = materialize(d.mapInArrow(tidy(_sizes_and_repeats), "doc_id long, n long, key long, shingle long, times long"), "sizes")
     sets = first.filter("n is not null").select("doc_id", "n", "key")
     table = d.sparkSession.sparkContext.broadcast(_frequency_table(first.filter("shingle is not null").select("shingle", "times")))
-    prefixes = d.mapInArrow(_prefixes(table), "shingle long, key long, n int, place int, typical int, parts int")
+    prefixes = d.mapInArrow(tidy(_prefixes(table)), "shingle long, key long, n int, place int, typical int, parts int")
     tiles = materialize(_with_typical(prefixes), "prefixes")
     table.destroy()
     return sets, tiles

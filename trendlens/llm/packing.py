@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..session import materialize
 from .bpe import encoder
+from .memory import tidy
 
 SIZE = 1024
 END = 2
@@ -59,7 +60,7 @@ def pieces(docs: DataFrame, vocab: str, size: int = SIZE, end: int = END) -> Dat
                     names=["doc_id", "piece", "start", "length", "ids_crc32", "salt"])
                 salt += len(doc)
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return d.mapInArrow(cut, _PIECES)
+    return d.mapInArrow(tidy(cut), _PIECES)
 
 
 def lower_bound(lengths: np.ndarray, size: int = SIZE) -> int:
