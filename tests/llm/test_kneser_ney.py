@@ -4,6 +4,7 @@ import math
 import random
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -173,8 +174,11 @@ def test_languages_are_held_to_their_own_models_and_limits(spark):
 def test_blocks_give_their_rows_back(spark):
     rows = [(i, f"text {i}" * (i % 7), None if i % 5 else "en", float(i)) for i in range(500)] + [(None, None, None, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, x double").repartition(3)
-    table = blocks(docs, docs.columns, size=1000)
-    found = [x for r in table.collect() for x in unpacked(bytes(r.blob)).to_pylist()]
-    assert table.count() > 6
-    assert sorted(((x["id"], x["text"], x["row"]["lang"], x["row"]["x"]) for x in found), key=str) == sorted(rows, key=str)
-    assert positions(table).count() == len(rows)
+    table = blocks(docs, docs.columns, size=1000, row_size=300)
+    by_block = {}
+    for r in table.collect():
+        by_block.setdefault(r.block, []).append({"first": r.first, "blob": bytes(r.blob), "ids": r.ids})
+    found = {b: unpacked(pa.Table.from_pylist(rows)).to_pylist() for b, rows in by_block.items()}
+    assert table.count() > len(by_block) > 6
+    assert sorted(((x["id"], x["text"], x["row"]["lang"], x["row"]["x"]) for rows_ in found.values() for x in rows_), key=str) == sorted(rows, key=str)
+    assert all(found[r.block][r.pos]["id"] == r.doc_id for r in positions(table).collect()) and positions(table).count() == len(rows)

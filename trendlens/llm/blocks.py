@@ -1,8 +1,10 @@
-"""Blocks of documents: some thousand rows compressed into one, so that a shuffle-free join can bring results back to texts.
+"""Blocks of documents: compressed, so that a shuffle-free join can bring results back to texts.
 
-A block is what one task reads, up to about ``BLOCK_BYTES`` of text. The table
-of blocks is bucketed by its number: steps that cogroup it with what was
-computed for its documents elsewhere shuffle only that, never the texts.
+A block is what one task reads, up to about ``BLOCK_BYTES`` of text. It stands in
+several rows of about ``ROW_BYTES`` of text each, as large values are dear to the
+JVM. The table of blocks is bucketed by their number: steps that group by it, or
+cogroup it with what was computed for its documents elsewhere, shuffle only that,
+never the texts.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from .memory import tidy
 from .text_kernels import chunks
 
 BLOCK_BYTES = 16 << 20
+ROW_BYTES = 1 << 19
 
 
 def text_offsets(column: pa.Array) -> np.ndarray:
@@ -38,50 +41,52 @@ def _packed(parts: list[pa.RecordBatch]) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
-def unpacked(blob: bytes) -> pa.Table:
-    """A block's rows, in their order."""
-    return pa.ipc.open_stream(blob).read_all()
+def unpacked(rows: pa.Table) -> pa.Table:
+    """A block's documents, in their order, from its rows (``first, blob``)."""
+    blobs = rows.sort_by("first")["blob"]
+    return pa.concat_tables([pa.ipc.open_stream(blob.as_py()).read_all() for blob in blobs])
 
 
-def _pack(size: int) -> Callable:
+def _pack(size: int, row_size: int) -> Callable:
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, held, held_bytes = TaskContext.get().partitionId() << 32, [], 0
+        number, first, block_bytes, held, held_bytes = TaskContext.get().partitionId() << 32, 0, 0, [], 0
 
-        def block():
-            nonlocal number, held, held_bytes
-            ids = np.concatenate([[0], np.cumsum([len(p) for p in held])]).astype(np.int32)[[0, -1]]
-            row = pa.RecordBatch.from_arrays([
-                pa.array([number]), pa.ListArray.from_arrays(pa.array(ids), pa.concat_arrays([p.column(0) for p in held])), pa.array([_packed(held)], type=pa.binary())],
-                names=["block", "ids", "blob"])
-            number, held, held_bytes = number + 1, [], 0
-            return row
+        def row():
+            n = sum(map(len, held))
+            return pa.RecordBatch.from_arrays([
+                pa.array([number]), pa.array([first], pa.int32()), pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), pa.concat_arrays([p.column(0) for p in held])),
+                pa.array([_packed(held)], type=pa.binary())], names=["block", "first", "ids", "blob"]), n
 
         for batch in batches:
             offsets = text_offsets(batch.column(1))
-            for a, b in chunks(offsets, size):
+            for a, b in chunks(offsets, row_size):
                 held.append(batch.slice(a, b - a))
                 held_bytes += int(offsets[b] - offsets[a])
-                if held_bytes >= size:
-                    yield block()
+                if held_bytes >= row_size or sum(map(len, held)) >= 10_000:
+                    out, n = row()
+                    yield out
+                    first, block_bytes, held, held_bytes = first + n, block_bytes + held_bytes, [], 0
+                    if block_bytes >= size:
+                        number, first, block_bytes = number + 1, 0, 0
         if held:
-            yield block()
+            yield row()[0]
     return tidy(emit)
 
 
-def blocks(docs: DataFrame, keep: list[str], size: int = BLOCK_BYTES) -> DataFrame:
-    """``block, ids, blob``: the documents with columns ``doc_id`` (long), ``text``, ``lang``, and ``row`` (a struct of ``keep`` without the text)."""
+def blocks(docs: DataFrame, keep: list[str], size: int = BLOCK_BYTES, row_size: int = ROW_BYTES) -> DataFrame:
+    """``block, first, ids, blob``: the documents with columns ``doc_id`` (long), ``text``, ``lang``, and ``row`` (a struct of ``keep`` without the text)."""
     spark = docs.sparkSession
     rest = [F.col(f"`{c}`") for c in keep if c != "text"]
     row = F.struct(*rest) if rest else F.struct(F.lit(None).cast("int").alias("none"))
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"), row.alias("row"))
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     table = f"trendlens_{uuid.uuid4().hex}"
-    rows.mapInArrow(_pack(size), "block long, ids array<long>, blob binary").write.bucketBy(buckets, "block").option("path", scratch_path(spark, "blocks")).saveAsTable(table)
+    rows.mapInArrow(_pack(size, row_size), "block long, first int, ids array<long>, blob binary").write.bucketBy(buckets, "block").option("path", scratch_path(spark, "blocks")).saveAsTable(table)
     found = spark.table(table)
     spark.sql(f"DROP TABLE {table}")  # the files stay until the scratch folder goes
     return found
 
 
 def positions(table: DataFrame) -> DataFrame:
-    """``block, pos, doc_id`` of every document."""
-    return table.select("block", F.posexplode("ids").alias("pos", "doc_id"))
+    """``block, pos, doc_id`` of every document; ``pos`` is its place in the block."""
+    return table.select("block", "first", F.posexplode("ids").alias("at", "doc_id")).select("block", (F.col("first") + F.col("at")).alias("pos"), "doc_id")

@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import materialize
 from .blocks import blocks, positions, text_offsets, unpacked
-from .memory import give_back, tidy
+from .memory import give_back
 from .text_kernels import chunks, mix64
 
 ORDER = 4
@@ -179,13 +179,13 @@ def count_grams(table: DataFrame, labels: DataFrame) -> DataFrame:
         empty = pa.table({"block": pa.array([], pa.int64()), "lang": pa.array([], pa.string()), "gram": pa.array([], pa.string()), "n": pa.array([], pa.int64())})
         if not len(left) or not len(right):
             return empty
-        rows = unpacked(left["blob"][0].as_py()).take(right["pos"])
+        rows = unpacked(left).take(right["pos"])
         found = _count(rows, left["block"][0].as_py()) or empty
         del rows
         give_back()
         return found
 
-    counted = table.select("block", "blob").groupBy("block").cogroup(mine.select(F.col("block").alias("of"), "pos").groupBy("of")).applyInArrow(count, _COUNTED)
+    counted = table.select("block", "first", "blob").groupBy("block").cogroup(mine.select(F.col("block").alias("of"), "pos").groupBy("of")).applyInArrow(count, _COUNTED)
     return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
@@ -246,13 +246,12 @@ def probabilities(grams: DataFrame, counted: list[DataFrame]) -> DataFrame:
 
 def _block_grams(table: DataFrame) -> DataFrame:
     """``block, lang, gram``: the distinct n-grams of each block."""
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
-                found = _count(unpacked(blob.as_py()), block)
-                if found is not None:
-                    yield from found.select(["block", "lang", "gram"]).to_batches(max_chunksize=1 << 18)
-    return table.select("block", "blob").mapInArrow(tidy(emit), "block long, lang string, gram string")
+    def of(rows: pa.Table) -> pa.Table:
+        found = _count(unpacked(rows), rows["block"][0].as_py())
+        give_back()
+        kinds = [("block", pa.int64()), ("lang", pa.string()), ("gram", pa.string())]
+        return found.select([c for c, _ in kinds]) if found is not None else pa.schema(kinds).empty_table()
+    return table.select("block", "first", "blob").groupBy("block").applyInArrow(of, "block long, lang string, gram string")
 
 
 def _symbols_of(grams: pa.Array) -> np.ndarray:
@@ -264,7 +263,7 @@ def _symbols_of(grams: pa.Array) -> np.ndarray:
 
 def _score(left: pa.Table, right: pa.Table) -> pa.Table:
     """``block, pos, doc_id, lang, bits, symbols`` of a block's documents from the bits of its n-grams; no bits without a model."""
-    rows = unpacked(left["blob"][0].as_py())
+    rows = unpacked(left)
     n = len(rows)
     bits, symbols, modelled = np.zeros(n), np.zeros(n, np.int64), np.zeros(n, dtype=bool)
     lang, codes, costs = right["lang"].to_pandas().to_numpy(), _symbols_of(right["gram"].combine_chunks()), right["bits"].to_numpy()
@@ -300,7 +299,7 @@ def score(table: DataFrame, counted: list[DataFrame]) -> DataFrame:
         give_back()
         return found
 
-    return materialize(table.select("block", "blob").groupBy("block").cogroup(mine.groupBy("of")).applyInArrow(of, _SCORES), "scores")
+    return materialize(table.select("block", "first", "blob").groupBy("block").cogroup(mine.groupBy("of")).applyInArrow(of, _SCORES), "scores")
 
 
 def smoothed(mean: Column) -> Column:
@@ -340,7 +339,7 @@ def _with_rows(docs: DataFrame, keep: list[str], table: DataFrame, judged: DataF
     fields = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"))
 
     def of(left: pa.Table, right: pa.Table) -> pa.Table:
-        rows = unpacked(left["blob"][0].as_py())
+        rows = unpacked(left)
         some = rows.take(right["pos"])
         row = some["row"].combine_chunks()
         columns = [some["text"].combine_chunks() if c == "text" else row.field(c) for c in keep]
@@ -349,7 +348,7 @@ def _with_rows(docs: DataFrame, keep: list[str], table: DataFrame, judged: DataF
     schema = fields.schema
     for c in rest:
         schema = schema.add(judged.schema[c])
-    return table.select("block", "blob").groupBy("block").cogroup(judged.withColumnRenamed("block", "of_block").groupBy("of_block")).applyInArrow(of, schema)
+    return table.select("block", "first", "blob").groupBy("block").cogroup(judged.withColumnRenamed("block", "of_block").groupBy("of_block")).applyInArrow(of, schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None) -> DataFrame:
