@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import materialize
 from .blocks import blocks, positions, text_offsets, unpacked
-from .memory import give_back
+from .memory import give_back, tidy
 from .text_kernels import chunks, mix64
 
 ORDER = 4
@@ -247,6 +247,7 @@ def probabilities(grams: DataFrame, counted: list[DataFrame]) -> DataFrame:
 def _block_grams(table: DataFrame) -> DataFrame:
     """``block, lang, gram``: the distinct n-grams of each block."""
     def of(rows: pa.Table) -> pa.Table:
+        give_back()  # what the last block left
         found = _count(unpacked(rows), rows["block"][0].as_py())
         give_back()
         kinds = [("block", pa.int64()), ("lang", pa.string()), ("gram", pa.string())]
@@ -334,21 +335,29 @@ def verdicts(docs: DataFrame, labels: DataFrame, keep: list[str]) -> tuple[DataF
 
 
 def _with_rows(docs: DataFrame, keep: list[str], table: DataFrame, judged: DataFrame) -> DataFrame:
-    """``row`` (the kept columns) and the other columns of ``judged``, by block and place."""
+    """``row`` (the kept columns) and the other columns of ``judged``, by block and place; tasks hold one row of a block at a time."""
     rest = [c for c in judged.columns if c not in ("block", "pos", "doc_id")]
-    fields = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"))
-
-    def of(left: pa.Table, right: pa.Table) -> pa.Table:
-        rows = unpacked(left)
-        some = rows.take(right["pos"])
-        row = some["row"].combine_chunks()
-        columns = [some["text"].combine_chunks() if c == "text" else row.field(c) for c in keep]
-        return pa.table({"row": pa.StructArray.from_arrays(columns, names=keep), **{c: right[c] for c in rest}})
-
-    schema = fields.schema
+    # a block's documents are bounded by its size
+    found = judged.groupBy(F.col("block").alias("of")).agg(F.sort_array(F.collect_list(F.struct("pos", *rest))).alias("found"))
+    joined = table.select("block", "first", "blob").join(found, F.col("block") == F.col("of")).select("first", "blob", "found")
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, blob, wanted in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+                rows, wanted = pa.ipc.open_stream(blob.as_py()).read_all(), wanted.values
+                pos = wanted.field("pos").to_numpy()
+                a, b = np.searchsorted(pos, [first, first + len(rows)])
+                if a == b:
+                    continue
+                some = rows.take(pa.array(pos[a:b] - first)).combine_chunks()
+                row = some["row"].combine_chunks()
+                columns = [some["text"].combine_chunks() if c == "text" else row.field(c) for c in keep]
+                yield pa.RecordBatch.from_arrays([pa.StructArray.from_arrays(columns, names=keep), *(wanted.field(c).slice(a, b - a) for c in rest)], names=["row", *rest])
+
+    schema = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row")).schema
     for c in rest:
         schema = schema.add(judged.schema[c])
-    return table.select("block", "first", "blob").groupBy("block").cogroup(judged.withColumnRenamed("block", "of_block").groupBy("of_block")).applyInArrow(of, schema)
+    return joined.mapInArrow(tidy(emit), schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None) -> DataFrame:
