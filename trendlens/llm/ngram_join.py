@@ -45,14 +45,14 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import materialize
+from .blocks import text_offsets
 from .components import components
-from .memory import tidy
-from .text_kernels import mix64, shingle_chunks
+from .memory import give_back, tidy
+from .text_kernels import chunks, mix64, shingle_chunks
 
 #: Similarity as a fraction.
 NUMERATOR, DENOMINATOR = 3, 4
@@ -73,13 +73,15 @@ PIECE = 1 << 20
 
 def _sets(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, shingle hashes sorted and distinct within each row, row edges)."""
-    for first, h, edges in shingle_chunks(column, PIECE):
-        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-            h[a:b].sort()
-        keep = np.ones(len(h), dtype=bool)
-        keep[1:] = h[1:] != h[:-1]
-        keep[edges[:-1][np.diff(edges) > 0]] = True
-        yield first, h[keep], np.concatenate([[0], np.cumsum(keep)])[edges]
+    # slice by slice, so that no copy of a whole batch is made
+    for start, stop in chunks(text_offsets(column), PIECE):
+        for first, h, edges in shingle_chunks(column.slice(start, stop - start), PIECE):
+            for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                h[a:b].sort()
+            keep = np.ones(len(h), dtype=bool)
+            keep[1:] = h[1:] != h[:-1]
+            keep[edges[:-1][np.diff(edges) > 0]] = True
+            yield start + first, h[keep], np.concatenate([[0], np.cumsum(keep)])[edges]
 
 
 def _keys(h: np.ndarray, edges: np.ndarray) -> np.ndarray:
@@ -426,10 +428,12 @@ def link_counts(docs: DataFrame) -> DataFrame:
 
 def set_key(text: Column) -> Column:
     """The key of a text's shingle set; null if that is empty."""
-    def of(texts: pd.Series) -> pd.Series:
-        found = [pa.array(_keys(h, edges), mask=np.diff(edges) == 0) for _, h, edges in _sets(pa.array(texts, type=pa.large_string()))]
-        return pa.concat_arrays(found).to_pandas(types_mapper=lambda _: pd.Int64Dtype()) if found else pd.Series([], dtype="Int64")
-    return F.pandas_udf(of, "long")(text)
+    def of(texts: pa.Array) -> pa.Array:
+        found = [pa.array(_keys(h, edges), mask=np.diff(edges) == 0) for _, h, edges in _sets(texts)]
+        give_back()
+        return pa.concat_arrays(found) if found else pa.nulls(0, pa.int64())
+    of.__annotations__ = {"texts": pa.Array, "return": pa.Array}
+    return F.arrow_udf(of, "long")(text)
 
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
