@@ -24,6 +24,8 @@ from .text_kernels import chunks, mix64, powers, utf8
 CACHE_PIECES = 2_000_000
 #: The library gets so many pieces in one call.
 PART = 50_000
+#: Bytes of text worked on at once; the arrays over them take some 45 bytes for each.
+CHUNK = 1 << 19
 _SPACE = 0x20
 _NO_CUT_BEFORE = np.zeros(256, dtype=bool)
 _NO_CUT_BEFORE[:_SPACE + 1] = True
@@ -145,7 +147,7 @@ class Encoder:
 
     def _encode_plain(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         data, offsets = utf8(column)
-        for a, b in chunks(offsets):
+        for a, b in chunks(offsets, CHUNK):
             lo, hi = int(offsets[a]), int(offsets[b])
             edges = offsets[a:b + 1] - lo
             raw = data[lo:hi]
