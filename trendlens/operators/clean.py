@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.names import NOISE_SUBSTRINGS, STRIP_PATTERN, keep_name, name_list, strip_chars
 
+#: Mentions that a task makes distinct, about; some 250 bytes each are held.
+TASK_ROWS = 1_000_000
+
 
 def clean_names(records: DataFrame, names_col: str = "AllNames", date_col: str | None = "DATE",
                 per_record: str = "distinct", stop_substrings: Sequence[str] = NOISE_SUBSTRINGS,
@@ -41,7 +44,9 @@ def clean_mentions(mentions: DataFrame, name_col: str = "name", record_col: str
     With ``per_record="distinct"`` a name counts once per record: a
     ``dropDuplicates`` on (record, name), which Spark runs as a partial
     (map-side) aggregate before the shuffle, so a record or name repeated
-    many times is reduced where it is read.
+    many times is reduced where it is read. Where few repeat, that aggregate
+    holds about all rows of its task, however many: deal the rows by record
+    to :func:`tasks_for` tasks before.
     """
     out = mentions if names_cleaned else clean_name_table(mentions, name_col, stop_substrings,
                                                            pattern, trim)
@@ -54,6 +59,11 @@ def clean_mentions(mentions: DataFrame, name_col: str = "name", record_col: str
     return out
 
 
+def tasks_for(rows: int, least: int) -> int:
+    """So many tasks that each gets about ``TASK_ROWS`` of the rows at most, and ``least`` of them."""
+    return max(least, -(-rows // TASK_ROWS))
+
+
 def clean_name_table(df: DataFrame, name_col: str = "name",
                      stop_substrings: Sequence[str] = NOISE_SUBSTRINGS,
                      pattern: str = STRIP_PATTERN, trim: bool = False) -> DataFrame:

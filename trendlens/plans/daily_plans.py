@@ -5,13 +5,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.clean import clean_mentions, clean_name_table, clean_names
+from ..operators.clean import clean_mentions, clean_name_table, clean_names, tasks_for
 from ..operators.daily import daily_counts, daily_lists, result_json, to_result_schema, top_k_daily
 from ..operators.metrics import reject_counts
 from ..operators.shape import daily_text
 from ..session import scratch_path
 from ..sources.records import read_records, read_records_text, split_record_lines
-from ..sources.tables import event_records, order_mentions
+from ..sources.tables import event_records, order_mentions, table
 from ..jobs import daily_top_k
 from .catalog import register
 
@@ -35,7 +35,9 @@ def _sql_counts(distinct: bool) -> str:
 def _names(spark: SparkSession, sf_dir: str, per_record: str = "distinct") -> DataFrame:
     # Per-name rules run on the part table (once per part), the per-record
     # rule (distinct names per order) on the mentions.
-    m = order_mentions(spark, sf_dir, lambda part: clean_name_table(part, "p_name"))
+    # a line item has one mention at most: its table's row count (from the files' footers) bounds them
+    tasks = tasks_for(table(spark, sf_dir, "lineitem").count(), int(spark.conf.get("spark.sql.shuffle.partitions"))) if per_record == "distinct" else None
+    m = order_mentions(spark, sf_dir, lambda part: clean_name_table(part, "p_name"), tasks)
     m = m.select("record_id", F.col("DATE").alias("day"), "name")
     return clean_mentions(m, per_record=per_record, names_cleaned=True)
 

@@ -26,25 +26,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def order_mentions(spark: SparkSession, sf_dir: str, name_rules=None) -> DataFrame:
+def order_mentions(spark: SparkSession, sf_dir: str, name_rules=None, tasks: int | None = None) -> DataFrame:
     """One row per line item: ``record_id, DATE, name, offset``.
 
     ``offset`` plays the role of the character offset in ``name,offset``
-    (the line number). Catalyst prunes every other column at the scans; the
-    join strategy (broadcast of ``part`` when its measured size allows it,
-    otherwise sort-merge) is left to the planner and AQE.
+    (the line number). Catalyst prunes every other column at the scans.
+    ``orders`` is joined by sort-merge: its file's compressed size may promise a
+    small table, and broadcast it would stand whole in every executor. The
+    strategy for ``part`` is left to the planner and AQE.
 
     ``name_rules(part_df) -> part_df`` may rewrite and filter ``p_name`` on
     the part table before the join: a name depends only on its part, so the
     per-name rules then run once per part instead of once per line item.
+
+    ``tasks`` deals the rows by record to so many tasks before ``orders`` is
+    joined, so that join and what follows by record hold that share of the rows.
     """
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     if name_rules is not None:
         part = name_rules(part)
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    return (li.join(part, li.l_partkey == part.p_partkey)
-              .join(orders, li.l_orderkey == orders.o_orderkey)
+    named = li.join(part, li.l_partkey == part.p_partkey)
+    if tasks:
+        named = named.repartition(tasks, "l_orderkey")
+    return (named.join(orders.hint("merge"), named.l_orderkey == orders.o_orderkey)
               .select(F.col("l_orderkey").alias("record_id"),
                       F.to_date("o_orderdate").alias("DATE"),
                       F.col("p_name").alias("name"),
