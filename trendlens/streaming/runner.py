@@ -139,7 +139,7 @@ def write_batches(stream: DataFrame, path: str, checkpoint: str, trigger: dict |
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def run_available(stream: DataFrame, name: str, timeout_s: int = 600) -> DataFrame:
+def run_available(stream: DataFrame, name: str, timeout_s: float | None = None) -> DataFrame:
     """Run ``stream`` on everything available now, return what it emitted.
 
     A fresh checkpoint folder under ``spark.checkpoint.dir`` wipes state at
@@ -152,8 +152,12 @@ def run_available(stream: DataFrame, name: str, timeout_s: int = 600) -> DataFra
     return spark.read.schema(stream.schema.add("batch", "long")).parquet(f"{base}/out")
 
 
-def await_done(q, name: str, timeout_s: int = 600) -> None:
-    """Wait for an ``availableNow`` query; stop it and raise on timeout or failure."""
+def await_done(q, name: str, timeout_s: float | None = None) -> None:
+    """Wait for an ``availableNow`` query and raise if it fails.
+
+    It ends by itself, after a time that grows with what is available: only a
+    caller who knows how much that is can set a limit, after which it is stopped.
+    """
     q.awaitTermination(timeout_s)
     if q.isActive:
         q.stop()

@@ -9,10 +9,10 @@ def live_histogram(spark: SparkSession, checkpoint: str, batch: int | None = Non
     """``name, count`` of the names with live mentions, as of ``batch`` (default: the last committed one).
 
     Reads the state of :func:`~trendlens.streaming.histogram.rolling_histogram`
-    from its checkpoint: one value for each (name, salt), the salts summed.
+    from its checkpoint: one value for each group of (name, salt), the salts summed.
     """
-    reader = spark.read.format("statestore").option("stateVarName", "meta")
+    reader = spark.read.format("statestore").option("stateVarName", "keys")
     if batch is not None:
         reader = reader.option("batchId", batch)
-    keys = reader.load(checkpoint).select("key.name", F.col("value.count").alias("count"))
+    keys = reader.load(checkpoint).select(F.explode("value.keys").alias("key")).select("key.name", "key.count")
     return keys.groupBy("name").agg(F.sum("count").cast("bigint").alias("count")).filter(F.col("count") > 0)
